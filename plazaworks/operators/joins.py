@@ -20,8 +20,12 @@ def _same(keys: Sequence[str], left: str, right: str) -> Column:
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Left join of one-row-per-key ``stats``; size decides broadcast at run time.
 
-    ``null_safe`` lets NULL keys meet, as grouped statistics need.
+    ``null_safe`` lets NULL keys meet, as grouped statistics need.  Without keys
+    the single row of ``stats`` is read as a scalar subquery.
     """
+    if not keys:
+        row = stats.select(F.struct("*").alias("s")).scalar()
+        return df.withColumn("_s", row).select(*df.columns, *[F.col(f"_s.`{c}`") for c in stats.columns])
     if not null_safe:
         return df.join(stats, list(keys), "left")
     new = [c for c in stats.columns if c not in keys]
