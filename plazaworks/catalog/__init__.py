@@ -1,4 +1,4 @@
 """Registered queries: every operator and job on the shared tables."""
 
-from . import aggregates, dates, joins, keys, predicates, reshape, texts, windows  # noqa: F401
+from . import aggregates, dates, geography, joins, keys, learning, predicates, reshape, texts, windows  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

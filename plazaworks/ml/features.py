@@ -55,10 +55,10 @@ def word_sequences(df: DataFrame, tokens: str, name: str = "sequence", num_words
         F.map_from_entries(F.transform("a", lambda x, i: F.struct(x["w"].alias("w"), (i + 1).alias("i")))).alias("m")
     ).scalar()
     keyed = df.withColumn("_m", table)
-    ids = F.filter(F.transform(F.col(tokens), lambda w: F.try_element_at(F.col("_m"), w)), lambda i: i.isNotNull())
-    last = F.when(F.size(ids) > length, F.slice(ids, F.size(ids) - length + 1, length)).otherwise(ids)
-    padded = F.concat(last, F.array_repeat(F.lit(0), F.greatest(F.lit(length) - F.size(last), F.lit(0))))
-    return keyed.withColumn(name, padded).drop("_m")
+    ids = keyed.withColumn("_i", F.array_compact(F.transform(F.col(tokens), lambda w: F.try_element_at(F.col("_m"), w))))
+    last = F.reverse(F.slice(F.reverse("_i"), 1, length))
+    padded = F.concat(last, F.array_repeat(F.lit(0), F.greatest(F.lit(length) - F.size("_i"), F.lit(0))))
+    return ids.withColumn(name, padded).drop("_m", "_i")
 
 
 def scaled(features: Sequence[str], out: str = "scaled") -> Pipeline:

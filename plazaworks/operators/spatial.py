@@ -78,13 +78,11 @@ def point_in_polygon_join(points: DataFrame, lon: str, lat: str, polygons: DataF
     """
     r = F.col(ring)
     # closed ring: each corner with the next one, the last with the first
-    edges = F.transform(
-        F.sequence(F.lit(0), F.size(r) - 1),
-        lambda i: F.struct(
-            F.get(r, i)["lon"].alias("x1"), F.get(r, i)["lat"].alias("y1"),
-            F.get(r, (i + 1) % F.size(r))["lon"].alias("x2"), F.get(r, (i + 1) % F.size(r))["lat"].alias("y2"),
-        ),
-    )
+    def edge(i):
+        p, q = F.get(r, i), F.get(r, (i + 1) % F.size(r))
+        return F.named_struct(F.lit("x1"), p["lon"], F.lit("y1"), p["lat"], F.lit("x2"), q["lon"], F.lit("y2"), q["lat"])
+
+    edges = F.transform(F.sequence(F.lit(0), F.size(r) - 1), edge)
     xs, ys = F.transform(r, lambda p: p["lon"]), F.transform(r, lambda p: p["lat"])
     cells = lambda v: F.sequence(F.floor(F.array_min(v) / cell), F.floor(F.array_max(v) / cell))
     boxes = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,19 +27,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that all executors can read and write.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; only
-    where none is set (single-machine tests) is a scratch folder made.
+    It lies below the folder the session names in ``spark.checkpoint.dir``; only
+    where none is set, on a single machine, a scratch folder is made.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if folder:
-        sc.setCheckpointDir(folder)
-    elif sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="run-")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and forget its plan."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
