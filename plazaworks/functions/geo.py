@@ -23,7 +23,8 @@ def geodesic_m(lon1, lat1, lon2, lat2) -> Column:
     """Great-circle metres (haversine; within 0.5 % of the ellipsoid)."""
     lon1, lat1, lon2, lat2 = (F.radians(col(c)) for c in (lon1, lat1, lon2, lat2))
     h = F.pow(F.sin((lat2 - lat1) / 2), 2) + F.cos(lat1) * F.cos(lat2) * F.pow(F.sin((lon2 - lon1) / 2), 2)
-    return F.lit(2 * EARTH_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    h = F.when(h > 1, F.lit(1.0)).otherwise(h)  # rounding may step over 1; NULL stays NULL
+    return F.lit(2 * EARTH_M) * F.asin(F.sqrt(h))
 
 
 def manhattan_km(lon1, lat1, lon2, lat2) -> Column:
