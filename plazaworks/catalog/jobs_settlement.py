@@ -290,7 +290,7 @@ SELECT request_id, CASE WHEN d=1 AND c=1 THEN 'Si' ELSE 'No' END AS check_pair,
 def adjustment_checks(t):
     """Checks of requested adjustments against past transactions."""
     l = t("lineitem", *_IDS)
-    rows = with_sequence(l, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"], "n")
+    rows = with_sequence(l, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"], "n", F.floor(F.col("l_partkey") / 500))
     requests = rows.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber") * 10 + F.col("n")).alias("request_id"), F.col("l_orderkey").alias("order_id"), F.lit("s").alias("sku"), F.col("l_linenumber").alias("item_id"),
         F.when(F.col("l_suppkey") % 2 == 0, "Commission Adjustment").otherwise("Commission Credit Adjustment").alias("group"),

@@ -19,19 +19,20 @@ def sum_when(condition: Column, amount) -> Column:
     return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0))
 
 
+def ledger_columns(kind: str, amount: str, charges: Mapping[str, tuple[Sequence[str], Sequence[str]]]) -> list[Column]:
+    """Aggregates, one per measure: amounts charged minus amounts paid back."""
+    k, out = F.col(kind), []
+    for name, (back, charged) in charges.items():
+        total = sum_when(k.isin(list(charged)), amount)
+        out.append((total - sum_when(k.isin(list(back)), amount) if back else total).alias(name))
+    return out
+
+
 def ledger_measures(
     df: DataFrame, keys: Sequence[str], kind: str, amount: str, charges: Mapping[str, tuple[Sequence[str], Sequence[str]]]
 ) -> DataFrame:
-    """One column per measure: amounts charged minus amounts paid back.
-
-    All measures come from one pass and one hash aggregate.
-    """
-    k = F.col(kind)
-    cols = [
-        (sum_when(k.isin(list(charged)), amount) - sum_when(k.isin(list(back)), amount) if back else sum_when(k.isin(list(charged)), amount)).alias(n)
-        for n, (back, charged) in charges.items()
-    ]
-    return df.groupBy(*keys).agg(*cols)
+    """All measures of a ledger from one pass and one aggregate."""
+    return df.groupBy(*keys).agg(*ledger_columns(kind, amount, charges))
 
 
 def allocate_evenly(df: DataFrame, keys: Sequence[str], amounts: Sequence[str]) -> DataFrame:

@@ -85,8 +85,8 @@ def flag_by_group(df: DataFrame, key: str, flags: dict[str, Column]) -> DataFram
 
 def key_conflict_flag(df: DataFrame, keys: Sequence[str], owner: str, name: str = "observation") -> DataFrame:
     """'OK' where a key has one owner, 'NOK' where it has several."""
-    stats = df.groupBy(*keys).agg(F.count_distinct(owner).alias("_o"))
-    return attach(df, stats, keys, null_safe=True).withColumn(name, F.when(F.col("_o") == 1, "OK").otherwise("NOK")).drop("_o")
+    stats = df.groupBy(*keys).agg((F.min(owner) == F.max(owner)).alias("_one"))
+    return attach(df, stats, keys, null_safe=True).withColumn(name, F.when(F.col("_one"), "OK").otherwise("NOK")).drop("_one")
 
 
 def cascade_join(
@@ -125,10 +125,13 @@ def longest_prefix_match(
 
 
 def unique_values(right: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Keys that identify exactly one value, with that value."""
-    return (
-        right.groupBy(*keys).agg(F.count_distinct(value).alias("_n"), F.min(value).alias(value)).where(F.col("_n") == 1).drop("_n")
-    )
+    """Keys that identify exactly one value, with that value.
+
+    Smallest and largest value agree exactly when there is one, so no distinct
+    count (and no second shuffle) is needed.
+    """
+    spread = right.groupBy(*keys).agg(F.min(value).alias(value), F.max(value).alias("_max"))
+    return spread.where(F.col(value) == F.col("_max")).drop("_max")
 
 
 def join_if_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

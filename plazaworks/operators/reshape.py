@@ -60,12 +60,17 @@ def concat_values(c, sep: str = "|", distinct: bool = True) -> Column:
     return F.array_join(F.sort_array(F.collect_set(c) if distinct else F.collect_list(c)), sep)
 
 
-def single_or_list(df: DataFrame, keys: Sequence[str], cols: Sequence[str], sep: str = "|") -> DataFrame:
-    """The value where a key has one distinct value, else all of them joined."""
+def single_or_list(df: DataFrame, keys: Sequence[str], cols: Sequence[str], sep: str = "|", more: Sequence[Column] = ()) -> DataFrame:
+    """The value where a key has one distinct value, else all of them joined.
+
+    ``more`` are further aggregates to take in the same pass.
+    """
     aggs = [concat_values(c, sep).alias(f"_t_{c}") for c in cols]
-    out = df.groupBy(*keys).agg(*aggs)
+    out = df.groupBy(*keys).agg(*aggs, *more)
     # one distinct value joins to itself, none joins to '': that is NULL again
-    return out.select(*keys, *[F.when(F.col(f"_t_{c}") != "", F.col(f"_t_{c}")).alias(c) for c in cols])
+    texts = {c: F.when(F.col(f"_t_{c}") != "", F.col(f"_t_{c}")) for c in cols}
+    rest = [c for c in out.columns if c not in keys and not c.startswith("_t_")]
+    return out.select(*keys, *[e.alias(c) for c, e in texts.items()], *rest)
 
 
 def pivot_concat(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], text: str, sep: str = ",") -> DataFrame:

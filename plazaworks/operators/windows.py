@@ -18,6 +18,18 @@ from pyspark.sql import functions as F
 HEAD, ROW, TAIL = 0, 1, 2
 
 
+def natural_block(df: DataFrame, column: str, unit: str = "month", width: int = 1_000_000, prefix: int = 4) -> Column:
+    """A block that fits the type of the leading order column.
+
+    Times are cut by ``unit``, numbers by ``width``, texts by their first
+    ``prefix`` letters; each of these never decreases along the column.
+    """
+    kind = dict(df.dtypes)[column]
+    if kind.startswith(("timestamp", "date")):
+        return F.date_trunc(unit, column)
+    return F.left(column, F.lit(prefix)) if kind == "string" else F.floor(F.col(column) / width)
+
+
 def blocked_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,22 +41,30 @@ def blocked_window(
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
     range_frame: bool = False,
+    range_order: Sequence[str] | None = None,
+    group_count: str | None = None,
 ) -> DataFrame:
     """Add running columns over ``order`` (ascending) within ``keys``.
 
     ``block`` must not decrease along ``order`` and is constant among rows that
     tie on it; ``None`` computes plain windows for histories known to be short.
 
+    See :func:`natural_block` for a block by the type of the order column.
+
     * ``row_number`` -- name of the position column
     * ``sums`` -- name -> summed expression, up to the current row
-      (``range_frame`` includes the rows that tie with it)
+      (``range_frame`` includes the rows that tie with it, by ``range_order``
+      where that is only the first part of ``order``)
+    * ``group_count`` -- name of the number of rows of the whole key
     * ``previous`` / ``following`` -- name -> column read from the neighbour row
     """
     sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
     columns = df.columns
     if block is None:
-        w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-        return _apply(df, w, order, row_number, F.lit(1), sums, previous, following, range_frame)
+        part = Window.partitionBy(*(keys or [F.lit(0)]))
+        frame = part.orderBy(*(range_order or order)) if range_frame else None
+        out = _apply(df, part.orderBy(*order), frame, row_number, F.lit(1), sums, previous, following)
+        return out.withColumn(group_count, F.count(F.lit(1)).over(part)) if group_count else out
 
     data = df.withColumns({"_block": block, **{f"_v_{n}": e for n, e in sums.items()}})
     carried = sorted({*previous.values(), *following.values()})
@@ -59,6 +79,7 @@ def blocked_window(
     edges = per_block.withColumns(
         {
             "_weight": F.coalesce(F.sum("_n").over(before), F.lit(0)),
+            **({"_all": F.sum("_n").over(Window.partitionBy(*(keys or [F.lit(0)])))} if group_count else {}),
             **{f"_v_{n}": F.sum(f"_s_{n}").over(before) for n in sums},
             **({"_in": F.lag("_last").over(over_blocks), "_out": F.lead("_first").over(over_blocks)} if carried else {}),
         }
@@ -71,6 +92,7 @@ def blocked_window(
             F.lit(tag).alias("_tag"),
             (F.col("_weight") if tag == HEAD else F.lit(0).cast("bigint")).alias("_weight"),
             *([F.col(f"_v_{n}") for n in sums] if tag == HEAD else []),
+            *([F.col("_all")] if tag == HEAD and group_count else []),
             *[F.col(f"{source}.{c}").alias(c) for c in names],
         )
 
@@ -79,17 +101,20 @@ def blocked_window(
     stacked = rows.unionByName(edge(HEAD, "_in", free if previous else []), allowMissingColumns=True)
     if following:
         stacked = stacked.unionByName(edge(TAIL, "_out", free), allowMissingColumns=True)
-    w = Window.partitionBy(*keys, "_block").orderBy("_tag", *order)
-    out = _apply(
-        stacked, w, order, row_number, F.col("_weight"), {n: F.col(f"_v_{n}") for n in sums}, previous, following, range_frame
-    )
+    part = Window.partitionBy(*keys, "_block")
+    frame = part.orderBy("_tag", *(range_order or order)) if range_frame else None
+    values = {n: F.col(f"_v_{n}") for n in sums}
+    out = _apply(stacked, part.orderBy("_tag", *order), frame, row_number, F.col("_weight"), values, previous, following)
     added = [n for n in (row_number,) if n] + [*sums, *previous, *following]
+    if group_count:
+        out = out.withColumn(group_count, F.max("_all").over(part))
+        added.append(group_count)
     return out.where(F.col("_tag") == ROW).select(*[c for c in columns if c not in added], *added)
 
 
-def _apply(df, w, order, row_number, weight, sums, previous, following, range_frame) -> DataFrame:
+def _apply(df, w, ties, row_number, weight, sums, previous, following) -> DataFrame:
     rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    frame = w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if range_frame else rows
+    frame = ties.rangeBetween(Window.unboundedPreceding, Window.currentRow) if ties is not None else rows
     new = {}
     if row_number:
         new[row_number] = F.sum(weight).over(rows)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..operators.joins import anti_join, attach, attach_group
 from ..operators.rules import bands, case_first
-from ..operators.windows import with_sequence
+from ..operators.windows import blocked_window, natural_block
 
 
 def merge_channels(channels: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
@@ -45,11 +45,24 @@ def drop_superseded(df: DataFrame, key: str, state: str, cols: Sequence[str], ac
     return out.withColumns({c: F.when(~gone, F.col(c)) for c in cols}).drop("_n", "_ok")
 
 
-def share_payment(df: DataFrame, key: str, amount: str, income: str, paid: str) -> DataFrame:
-    """Split the paid amount over the rows that carry one, and relate it to the income."""
-    rows = df.groupBy(key).agg(F.count(F.when(F.col(amount) != 0, F.col(key))).alias("_n"))
-    share = F.round(F.try_divide(F.coalesce(F.col(amount), F.col(paid)), F.col(income)), 2)
-    return attach(df, rows, [key]).withColumn("acceptance", share).withColumn(amount, F.try_divide(F.col(amount), F.col("_n"))).drop("_n")
+def share_payment(df: DataFrame, key: str, state: str, amount: str, income: str, paid: str, accepted: str = "Aceptado") -> DataFrame:
+    """Clear superseded amounts, split the rest over the rows that carry one, relate it to the income.
+
+    Everything about the order comes from one aggregate: whether it has an
+    accepted row beside others, and how many rows carry an amount among all and
+    among the accepted ones.
+    """
+    s, v = F.col(state), F.col(amount)
+    ok = s == accepted
+    out = attach_group(
+        df, [key], F.count_distinct(s).alias("_n"), F.max(ok.cast("int")).alias("_ok"),
+        F.count(F.when(v != 0, 1)).alias("_rows"), F.count(F.when(ok & (v != 0), 1)).alias("_ok_rows"),
+    )
+    mixed = (F.col("_n") > 1) & (F.col("_ok") == 1)
+    kept, rows = F.when(~(mixed & (s != accepted)), v), F.when(mixed, F.col("_ok_rows")).otherwise(F.col("_rows"))
+    share = F.round(F.try_divide(F.coalesce(kept, F.col(paid)), F.col(income)), 2)
+    out = out.withColumns({"acceptance": share, amount: F.try_divide(kept, rows)})
+    return out.drop("_n", "_ok", "_rows", "_ok_rows")
 
 
 def acceptance_band(c: str) -> Column:
@@ -64,8 +77,8 @@ def return_motive(reason: str) -> Column:
 
 def mark_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None = None) -> DataFrame:
     """Appeal number per line, the last number, and whether the line was appealed again."""
-    numbered = with_sequence(df, keys, order, "n_appeal", block)
-    out = attach_group(numbered, keys, F.max("n_appeal").alias("max_appeal"))
+    block = natural_block(df, order[0]) if block is None else block
+    out = blocked_window(df, keys, order, block, row_number="n_appeal", group_count="max_appeal")
     return out.withColumn("re_appeal", F.when(F.col("max_appeal") > 1, "Si").otherwise("No"))
 
 
@@ -77,8 +90,7 @@ def appeals(channels: Sequence[tuple[str, DataFrame]], orders: DataFrame, block:
     """
     rows = merge_channels(channels, ["order_id", "sku"])
     rows = attach(rows, orders, ["order_id", "sku"])
-    rows = drop_superseded(rows, "order_id", "state", ["value"])
-    rows = share_payment(rows, "order_id", "value", "income", "paid_price")
+    rows = share_payment(rows, "order_id", "state", "value", "income", "paid_price")
     rows = rows.withColumns(
         {
             "acceptance_band": acceptance_band("acceptance"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -16,7 +16,7 @@ from ..operators.joins import attach
 from ..operators.keys import latest_per_key
 from ..operators.quality import sequence_gaps
 from ..operators.rules import classify, classify_by_prefix
-from ..operators.windows import with_sequence
+from ..operators.windows import natural_block, with_sequence
 from ..sources.sinks import fixed_width, money_digits
 
 
@@ -98,10 +98,11 @@ def validate_adjustments(requests: DataFrame, transactions: DataFrame, compat_id
     ).drop("_debit", "_credit", "_returned", "_adjusted", "_seller", "_fee")
 
 
-def with_line(requests: DataFrame, lines: DataFrame, block: Column | None = None) -> DataFrame:
+def with_line(requests: DataFrame, lines: DataFrame) -> DataFrame:
     """Order line of each request by position within (order, sku)."""
-    asked = with_sequence(requests, ["order_id", "sku", "group"], ["request_id"], "position", block)
-    offered = with_sequence(lines, ["order_id", "sku"], ["line_id"], "position")
+    ask, offer = natural_block(requests, "request_id"), natural_block(lines, "line_id")
+    asked = with_sequence(requests, ["order_id", "sku", "group"], ["request_id"], "position", ask)
+    offered = with_sequence(lines, ["order_id", "sku"], ["line_id"], "position", offer)
     return asked.join(offered, ["order_id", "sku", "position"], "left")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions.dates import as_date
 from ..functions.numbers import cap, cap_outflow, money_from_cents, whole_units
-from ..operators.aggregates import ledger_measures, sum_when
+from ..operators.aggregates import ledger_columns, sum_when
 from ..operators.joins import attach
 from ..operators.rules import case_first
 
@@ -56,7 +56,6 @@ def settled(settlements: DataFrame, outside: DataFrame | None = None, charges=vo
     """
     rows = settlements.select(*LINE, "transaction_type", "event_date", "total", "commission").distinct()
     kind = F.col("transaction_type")
-    measures = ledger_measures(rows, LINE, "transaction_type", "total", charges) if charges else rows.select(*LINE).distinct()
     at = lambda kinds: F.max(F.when(kind.isin(*kinds), F.col("event_date"))).cast("date")
     core = rows.groupBy(*LINE).agg(
         F.max("commission").alias("comision"),
@@ -66,12 +65,12 @@ def settled(settlements: DataFrame, outside: DataFrame | None = None, charges=vo
         at(vocab.LEDGER_PAYMENT).alias("fecha_pago"),
         at(vocab.LEDGER_DISCOUNT).alias("fecha_descuento"),
         at(("APPEALED_RETURN_CREDIT", "LOST_OR_DAMAGED_ORDER_ITEM_LEVEL_CREDIT")).alias("fecha_ajuste"),
+        *ledger_columns("transaction_type", "total", charges or {}),
     ).withColumn("descuento", -F.col("descuento"))
     if outside is not None:
         side = outside.groupBy("order_id", "sku").agg(F.max("discount").alias("_d"))
         core = attach(core, side, ["order_id", "sku"]).withColumn("descuento", F.coalesce("_d", "descuento")).drop("_d")
-    core = core.withColumn("descuento", F.coalesce("descuento", F.lit(0)))
-    return core.join(measures, LINE) if charges else core
+    return core.withColumn("descuento", F.coalesce("descuento", F.lit(0)))
 
 
 def order_values(items: DataFrame, mode: str = "sum") -> DataFrame:
@@ -85,7 +84,7 @@ def order_values(items: DataFrame, mode: str = "sum") -> DataFrame:
     return out.withColumn("value", F.col("items") * F.col("value")) if mode == "items_times_sum" else out
 
 
-def order_balance(events: DataFrame, settlements: DataFrame, items: DataFrame, refunds=None, outside=None, value_mode="sum", charges=None) -> DataFrame:
+def order_balance(events: DataFrame, settlements: DataFrame, items: DataFrame, refunds=None, outside=None, value_mode="sum", charges=vocab.LEDGER_CHARGES) -> DataFrame:
     """Debit, credit, balance and type ('CxP' owed, 'CxC' due) per order line."""
     c = F.col
     joined = attach(collected(events, refunds), settled(settlements, outside, charges), LINE)

@@ -13,7 +13,7 @@ from ..operators.joins import attach, effective_lookup, explode_matches
 from ..operators.keys import dominant_label, latest_per_key
 from ..operators.reshape import single_or_list
 from ..operators.rules import case_first, classify
-from ..operators.windows import blocked_window
+from ..operators.windows import blocked_window, natural_block
 
 
 def claim_outcomes(claims: DataFrame) -> DataFrame:
@@ -114,11 +114,10 @@ def case_report(
     department, valid_from, valid_to.
     """
     details = mentioned_orders(cases, patterns).join(orders, "order_id", "left")
-    texts = single_or_list(details, ["case_id"], ["customer", "order_id", "sku"])
-    sums = details.groupBy("case_id").agg(
+    sums = [
         F.max("seller_id").alias("seller_id"), F.sum("value").alias("value"), F.count_distinct("order_id").alias("orders"), F.count_distinct("sku").alias("skus")
-    )
-    out = attach(cases, texts.join(sums, "case_id"), ["case_id"])
+    ]
+    out = attach(cases, single_or_list(details, ["case_id"], ["customer", "order_id", "sku"], more=sums), ["case_id"])
     out = case_times(out, as_of)
     if sla_rules is not None:
         out = effective_lookup(out, sla_rules, ["type"], "created_at", "valid_from", "valid_to")
@@ -140,7 +139,10 @@ def task_log(tasks: DataFrame, as_of: str, block: Column | None = None) -> DataF
     created at the same time share the running total.
     """
     end = F.coalesce(F.col("completed_at"), F.lit(as_of).cast("timestamp_ntz"))
+    block = natural_block(tasks, "created_at") if block is None else block
     timed = tasks.withColumn("task_hours", hours_crossed(end, "created_at"))
-    cum = blocked_window(timed, ["case_id"], ["created_at"], block, sums={"cumulative_hours": F.col("task_hours")}, range_frame=True)
-    numbered = blocked_window(cum, ["case_id"], ["created_at", "task_id"], block, row_number="task_number")
+    numbered = blocked_window(
+        timed, ["case_id"], ["created_at", "task_id"], block, row_number="task_number",
+        sums={"cumulative_hours": F.col("task_hours")}, range_frame=True, range_order=["created_at"],
+    )
     return attach(numbered, team_of_owner(tasks), ["owner"])

@@ -12,7 +12,7 @@ from ..functions.dates import days_between
 from ..functions.sem import initcap_delims, regexp_extract_n, safe_cast
 from ..operators.joins import attach, join_if_unique
 from ..operators.reshape import concat_values, single_or_list
-from ..operators.rules import bands, case_first, label_rank, vocabulary
+from ..operators.rules import case_first, label_rank, vocabulary
 from ..operators.setops import union_sources
 
 
@@ -95,12 +95,11 @@ def consolidate_returns(feeds: Mapping[str, DataFrame], prior_balance: DataFrame
 def returns_per_line(rows: DataFrame) -> DataFrame:
     """One row per (order, sku): values, or their lists where they differ."""
     keys = ["order_id", "sku"]
-    texts = single_or_list(rows, keys, ["state_group", "carrier"])
-    counts = rows.groupBy(*keys).agg(
+    counts = [
         F.count_distinct("guide").alias("n_guides"),
         concat_values("guide").alias("guides"),
         F.max("requested_at").alias("requested_at"),
         F.max("delivered_at").alias("delivered_at"),
         F.min("state_rank").alias("state_rank"),
-    )
-    return texts.join(counts, keys)
+    ]
+    return single_or_list(rows, keys, ["state_group", "carrier"], more=counts)

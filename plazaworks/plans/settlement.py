@@ -11,8 +11,8 @@ from .. import vocab
 from ..functions.dates import as_date, settlement_week
 from ..functions.numbers import commission_split, nearest_units, sign_type
 from ..operators.aggregates import sum_when
-from ..operators.joins import attach, cascade_join, longest_prefix_match, unique_values
-from ..operators.keys import flag_first, latest_per_key, priority_dedup
+from ..operators.joins import attach, cascade_join, key_conflict_flag, longest_prefix_match, unique_values
+from ..operators.keys import priority_dedup
 from ..operators.rules import case_first, dated_tariff
 from ..operators.setops import new_rows, reconcile
 
@@ -66,7 +66,7 @@ def repair_refunds(refunds: DataFrame, sales: DataFrame) -> DataFrame:
     def rule(frame: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
         name = f"_f{len(found)}"
         found.append(name)
-        side = unique_values(s.where(F.greatest(*[F.col(r).isNull() for r in right], F.lit(False)) == F.lit(False)), right, "_line")
+        side = unique_values(s.na.drop(subset=list(right)), right, "_line")
         side = side.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(right)], F.col("_line").alias(name))
         keyed = frame.withColumns({f"_k{i}": F.col(c) for i, c in enumerate(left)})
         keys = [f"_k{i}" for i in range(len(left))]
@@ -161,12 +161,13 @@ def delivered_returns(refunds: DataFrame, since: str, state: str = "refund_state
     )
 
 
-def seller_statement(lines: DataFrame, payments: DataFrame, row_id: Sequence[str] = ("document",)) -> DataFrame:
+def seller_statement(lines: DataFrame, payments: DataFrame) -> DataFrame:
     """Weekly statement per seller with running settlement and payment and a comment.
 
     lines: week, seller, concept, amount; payments: week, seller, document,
     paid.  The weekly amount stays on the first document of a week and is zero
-    on the others, so that running totals count it once.
+    on the others.  Running totals are taken over one row per (seller, week),
+    before the documents are joined.
     """
     c = F.col
     weekly = lines.groupBy("week", "seller").agg(
@@ -175,26 +176,23 @@ def seller_statement(lines: DataFrame, payments: DataFrame, row_id: Sequence[str
         sum_when(c("concept") == "Regularización", "amount").alias("regularisation"),
     )
     weekly = weekly.withColumn("settlement", c("payment") + c("discount") + c("regularisation"))
-    docs = weekly.join(payments, ["week", "seller"], "left")
-    docs = flag_first(docs, ["week", "seller"], [F.asc(r) for r in row_id], row_id, "_first")
-    amounts = ["payment", "discount", "regularisation", "settlement"]
-    docs = docs.withColumns({a: F.when(c("_first"), c(a)).otherwise(F.lit(0)) for a in amounts}).drop("_first")
-    # running totals are taken over one row per (seller, week)
-    per_week = docs.groupBy("seller", "week").agg(
-        F.sum("settlement").alias("_s"), F.sum(F.coalesce("paid", F.lit(0))).alias("_p"), F.max("document").alias("_d")
-    )
+    paid = payments.groupBy("week", "seller").agg(F.sum(F.coalesce("paid", F.lit(0))).alias("_p"), F.min("document").alias("_d"))
     w = Window.partitionBy("seller").orderBy("week").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = per_week.withColumns({"settled_total": F.sum("_s").over(w), "paid_total": F.sum("_p").over(w)})
+    run = attach(weekly, paid, ["week", "seller"]).withColumns(
+        {"settled_total": F.sum("settlement").over(w), "paid_total": F.coalesce(F.sum("_p").over(w), F.lit(0))}
+    )
     diff = c("settled_total") - c("paid_total")
     comment = case_first(
         [
             (c("_d").isNull() & (diff < 0), "NO CORRESPONDE PAGO - SALDOS PENDIENTES POR COBRAR"),
-            (c("_d").isNull() & (diff >= 0) & (c("_s") > 0), "ERROR DE PAGO - COMUNICAR AL SELLER"),
+            (c("_d").isNull() & (diff >= 0) & (c("settlement") > 0), "ERROR DE PAGO - COMUNICAR AL SELLER"),
         ],
         "PAGO REALIZADO",
     )
-    run = run.withColumns({"difference": diff, "comment": comment}).drop("_s", "_p", "_d")
-    return attach(docs, run, ["seller", "week"])
+    docs = run.withColumns({"difference": diff, "comment": comment}).drop("_p").join(payments, ["week", "seller"], "left")
+    first = c("document").eqNullSafe(c("_d"))
+    amounts = ["payment", "discount", "regularisation", "settlement"]
+    return docs.withColumns({a: F.when(first, c(a)).otherwise(F.lit(0)) for a in amounts}).drop("_d")
 
 
 def statement_rollforward(settled: DataFrame, invoices: DataFrame) -> DataFrame:
@@ -258,8 +256,7 @@ def transaction_balance(collected: DataFrame, settled: DataFrame) -> DataFrame:
         [(c("net") < 0, -c("net")), (c("settlement") < 0, -c("settlement")), (c("net") != c("settlement"), c("net") - c("settlement"))], F.lit(0)
     )
     rows = rows.withColumns({"cxp": owed, "cxc": c("descuento") - c("egreso")}).withColumn("saldo", c("cxc") - c("cxp"))
-    owners = rows.groupBy(*LINE).agg(F.count_distinct("seller").alias("_o"))
-    return attach(rows, owners, LINE).withColumn("observation", F.when(c("_o") == 1, "OK").otherwise("NOK")).drop("_o")
+    return key_conflict_flag(rows, LINE, "seller")
 
 
 def unjustified_discounts(balance: DataFrame, already: DataFrame) -> DataFrame:
