@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from ..sources.readers import scan
+from ..sources.readers import scan, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,10 @@ class Tables:
     def __call__(self, name: str, *cols: str) -> DataFrame:
         return scan(self.spark, f"{self.folder}/{name}.parquet", cols or None)
 
+    def texts(self, name: str, *cols: str) -> DataFrame:
+        """A table whose rows are costly to work on, shared out over the cores."""
+        return spread(self(name, *cols))
+
 
 def query(sql: str | None = None):
     """Register a function ``(tables) -> DataFrame`` under its own name."""

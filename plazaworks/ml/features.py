@@ -41,24 +41,27 @@ def prepare_features(df: DataFrame, width: str, length: str, height: str, others
     return out.withColumns({c: F.round(c, scale) for c in [*nums, volume]}).na.drop(subset=[*nums, volume])
 
 
-def word_sequences(df: DataFrame, tokens: str, name: str = "sequence", num_words: int = 50, length: int = 50) -> DataFrame:
-    """Token ids of the most common words, cut to the last ``length`` and padded behind.
+def common_words(df: DataFrame, tokens: str, num_words: int = 50) -> list[str]:
+    """The ``num_words - 1`` most common words, by falling count, equal counts by word.
 
-    Ids run from 1 by falling frequency (equal counts by word); the
-    ``num_words - 1`` most common words have one, other words are left out.  The
-    word table has a fixed size and reaches the rows as a scalar subquery.
+    This is the fitted state of :func:`word_sequences`; its size is the
+    parameter's, whatever the table's.
     """
     words = df.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    top = words.orderBy(F.desc("n"), F.asc("w")).limit(num_words - 1)
-    ranked = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "w"))).alias("a"))
-    table = ranked.select(
-        F.map_from_entries(F.transform("a", lambda x, i: F.struct(x["w"].alias("w"), (i + 1).alias("i")))).alias("m")
-    ).scalar()
-    keyed = df.withColumn("_m", table)
-    ids = keyed.withColumn("_i", F.array_compact(F.transform(F.col(tokens), lambda w: F.try_element_at(F.col("_m"), w))))
-    last = F.reverse(F.slice(F.reverse("_i"), 1, length))
-    padded = F.concat(last, F.array_repeat(F.lit(0), F.greatest(F.lit(length) - F.size("_i"), F.lit(0))))
-    return ids.withColumn(name, padded).drop("_m", "_i")
+    return [r["w"] for r in words.orderBy(F.desc("n"), F.asc("w")).limit(num_words - 1).collect()]
+
+
+def word_sequences(df: DataFrame, tokens: str, words: Sequence[str], name: str = "sequence", length: int = 50) -> DataFrame:
+    """Word ids of each text, cut to the last ``length`` and padded behind.
+
+    Ids are the positions in ``words``, from 1; other words are left out.
+    """
+    table = F.create_map(*[F.lit(x) for i, w in enumerate(words, 1) for x in (w, i)])
+    known = F.filter(F.col(tokens), lambda w: w.isin(list(words)))
+    kept = df.withColumn("_w", F.reverse(F.slice(F.reverse(known), 1, length)))
+    ids = kept.withColumn("_i", F.transform("_w", lambda w: F.element_at(table, w)))
+    padded = F.concat(F.col("_i"), F.array_repeat(F.lit(0), F.lit(length) - F.size("_i")))
+    return ids.withColumn(name, padded).drop("_w", "_i")
 
 
 def scaled(features: Sequence[str], out: str = "scaled") -> Pipeline:
