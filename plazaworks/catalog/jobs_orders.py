@@ -158,7 +158,7 @@ ord AS (SELECT order_id, sku, COUNT(sku) AS items, SUM(m) AS value FROM (SELECT
 j AS (SELECT seller_id, order_id, sku, fi, fe, items, CAST(value AS DOUBLE) AS value, round(CAST(least(ing,value) AS DOUBLE),2) AS ing, round(CAST(CASE WHEN abs(egr)>value THEN -value ELSE egr END AS DOUBLE),2) AS egr, round(COALESCE(pago,0),2) AS pago, round(COALESCE(des,0),2) AS des, com
  FROM debe2 LEFT JOIN hab USING (seller_id, order_id, sku) LEFT JOIN ord USING (order_id, sku)),
 p AS (SELECT * REPLACE (CASE WHEN des<0 AND pago=0 THEN ing ELSE pago END AS pago) FROM j), q AS (SELECT * REPLACE (least(pago,ing) AS pago, CASE WHEN abs(des)>abs(egr) THEN egr ELSE des END AS des) FROM p),
-u AS (SELECT * REPLACE (round(CASE WHEN egr/(value/items)<>ceil(egr/(value/items)) THEN ceil(egr/(value/items))*(value/items) ELSE egr END,2) AS egr) FROM q),
+u AS (SELECT * REPLACE (CAST(round(CAST(CASE WHEN egr/(value/items)<>ceil(egr/(value/items)) THEN ceil(egr/(value/items))*(value/items) ELSE egr END AS DECIMAL(18,6)),2) AS DOUBLE) AS egr) FROM q),
 b AS (SELECT *, round(ing+egr-(pago+des),2) AS saldo FROM u)"""
 
 
