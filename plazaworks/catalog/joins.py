@@ -244,14 +244,14 @@ SELECT DISTINCT page_id, m FROM (
 """)
 def explode_numbers(t):
     """Numbers mentioned in the address or the text of a page."""
-    return J.explode_matches(t.texts("pages"), ["page_id"], [("url", r"[0-9]{2,}"), ("html", r"\b2[0-9]{1,9}\b")], "m")
+    return J.explode_matches(t.shared_out("pages"), ["page_id"], [("url", r"[0-9]{2,}"), ("html", r"\b2[0-9]{1,9}\b")], "m")
 
 
 @query(r"""
 SELECT doc_id, n FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text,'\b[0-9]{3,9}\b'))) AS n FROM documents)
 """)
 def explode_ids(t):
-    return J.explode_matches(t.texts("documents", "doc_id", "text"), ["doc_id"], [("text", r"\b[0-9]{3,9}\b")], "n")
+    return J.explode_matches(t.shared_out("documents", "doc_id", "text"), ["doc_id"], [("text", r"\b[0-9]{3,9}\b")], "n")
 
 
 @query(f"""

@@ -17,7 +17,7 @@ from .sizes_data import sized_parts
 @query()
 def text_tfidf(t):
     """Weight and number of the distinct words of each document."""
-    d = t.texts("documents", "doc_id", "text", "lang")
+    d = t.shared_out("documents", "doc_id", "text", "lang")
     model = X.text_features(["text"]).fit(d)
     weights = F.unwrap_udt("text_tfidf")["values"]  # the stored values of the sparse vector
     out = model.transform(d).select("doc_id", weights.alias("v"))
@@ -97,7 +97,7 @@ SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(0, 50-len(i
 """)
 def word_sequences(t):
     """Ids of the 49 most common words in order, last fifty, padded behind."""
-    d = t.texts("documents", "doc_id", "text").withColumn("w", tokens("text"))
+    d = t.shared_out("documents", "doc_id", "text").withColumn("w", tokens("text"))
     return X.word_sequences(d, "w", X.common_words(d, "w")).select("doc_id", F.concat_ws(" ", F.transform("sequence", lambda i: i.cast("string"))).alias("sequence"))
 
 

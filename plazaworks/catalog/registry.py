@@ -23,7 +23,7 @@ class Tables:
     def __call__(self, name: str, *cols: str) -> DataFrame:
         return scan(self.spark, f"{self.folder}/{name}.parquet", cols or None)
 
-    def texts(self, name: str, *cols: str) -> DataFrame:
+    def shared_out(self, name: str, *cols: str) -> DataFrame:
         """A table whose rows are costly to work on, shared out over the cores."""
         return spread(self(name, *cols))
 

@@ -26,7 +26,7 @@ def _strip(c):
 @query(f"SELECT doc_id, md5({_fold('text')}) AS folded, md5({_strip('text')}) AS clean, length(regexp_replace({_strip('text')},'\\s+',' ','g')) AS squeezed FROM documents")
 def text_clean(t):
     """Accent folding, sign removal and blank squeezing over whole texts."""
-    d = t.texts("documents", "doc_id", "text")
+    d = t.shared_out("documents", "doc_id", "text")
     return d.select(
         "doc_id", F.md5(T.fold_accents("text")).alias("folded"), F.md5(T.fold_and_strip("text")).alias("clean"),
         F.length(T.squeeze_blanks(T.fold_and_strip("text"))).cast("bigint").alias("squeezed"),
@@ -89,7 +89,7 @@ SELECT doc_id, CASE WHEN regexp_matches(text,'([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\
 """)
 def contact_extraction(t):
     c = T.extract_contact("text")
-    return t.texts("documents", "doc_id", "text").select("doc_id", c["email"].alias("email"), c["phone"].alias("phone"))
+    return t.shared_out("documents", "doc_id", "text").select("doc_id", c["email"].alias("email"), c["phone"].alias("phone"))
 
 
 def _units_sql(c):
@@ -131,7 +131,7 @@ _TOPICS = (("token|key", "secret"), (r"\bthe\b.*\bof\b", "english"), (r"\bder\b|
 @query("SELECT doc_id, CASE " + " ".join(f"WHEN regexp_matches({_fold('text')},'{p}') THEN '{v}'" for p, v in _TOPICS) + " ELSE 'Otro' END AS topic FROM documents")
 def classify_text(t):
     """Ordered pattern rules over whole folded texts, first match wins."""
-    return t.texts("documents", "doc_id", "text").select("doc_id", classify(T.fold_accents("text"), _TOPICS, "Otro").alias("topic"))
+    return t.shared_out("documents", "doc_id", "text").select("doc_id", classify(T.fold_accents("text"), _TOPICS, "Otro").alias("topic"))
 
 
 def _rules_sql(c, rules, default):
@@ -158,7 +158,7 @@ SELECT conv_id, turn, md5(regexp_replace(regexp_extract(flat,'^(.*con esta infor
 """)
 def mail_body(t):
     """Body of a mail between its opening and closing words."""
-    c = t.texts("conversations", "conv_id", "turn", "text")
+    c = t.shared_out("conversations", "conv_id", "turn", "text")
     mail = F.concat(F.lit("Cuerpo: "), F.col("text"), F.lit(" con esta informacion quedamos. Agradecemos su tiempo"))
     return c.select("conv_id", "turn", F.md5(T.mail_body(mail)).alias("body"))
 
@@ -171,7 +171,7 @@ SELECT doc_id, len(w) AS n, md5(array_to_string(w,' ')) AS h FROM (
  SELECT doc_id, list_filter(regexp_split_to_array(lower(text),'[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x)>0 AND x NOT IN ({','.join(repr(s) for s in _STOP)})) AS w FROM documents)
 """)
 def token_filter(t):
-    d = t.texts("documents", "doc_id", "text").withColumn("w", T.tokens("text", _STOP))
+    d = t.shared_out("documents", "doc_id", "text").withColumn("w", T.tokens("text", _STOP))
     return d.select("doc_id", F.size("w").cast("bigint").alias("n"), F.md5(F.concat_ws(" ", "w")).alias("h"))
 
 

@@ -13,15 +13,28 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_WORD = "[0-9A-Za-z_]"
+_BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
+
+
+def ascii_pattern(pattern: str) -> str:
+    r"""The pattern with ``\b`` between ASCII word signs only.
+
+    The warehouse sees a boundary between an accented letter and a plain one;
+    Java does not, so the boundary is spelled out.
+    """
+    return pattern.replace(r"\b", _BOUNDARY)
+
+
 def regexp_extract_n(c, pattern: str, group: int = 1) -> Column:
     """Group of the first match; NULL (not '') where nothing matches."""
-    c = col(c)
+    c, pattern = col(c), ascii_pattern(pattern)
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
 def regexp_extract_all_n(c, pattern: str, group: int = 0) -> Column:
     """All matches as an array; group 0 is the whole match."""
-    return F.regexp_extract_all(col(c), F.lit(pattern), F.lit(group))
+    return F.regexp_extract_all(col(c), F.lit(ascii_pattern(pattern)), F.lit(group))
 
 
 # after any of these a new word starts

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sem import regexp_extract_all_n
 from .windows import with_sequence
 
 MAX_HOT_KEYS = 64
@@ -155,7 +156,7 @@ def pair_by_position(
 
 def explode_matches(df: DataFrame, ids: Sequence[str], patterns: Sequence[tuple[str, str]], name: str) -> DataFrame:
     """One row per distinct regex match found in any of the (column, pattern) pairs."""
-    found = [F.coalesce(F.regexp_extract_all(F.col(c), F.lit(p), F.lit(0)), F.array().cast("array<string>")) for c, p in patterns]
+    found = [F.coalesce(regexp_extract_all_n(c, p), F.array().cast("array<string>")) for c, p in patterns]
     merged = F.array_distinct(F.concat(*found)) if len(found) > 1 else F.array_distinct(found[0])
     return df.select(*ids, F.explode(merged).alias(name))
 

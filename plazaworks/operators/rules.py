@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sem import col
+from ..functions.sem import ascii_pattern, col
 from .joins import attach
 
 
@@ -22,13 +22,13 @@ def case_first(rules: Sequence[tuple[Column, object]], default=None) -> Column:
 def classify(c, rules: Sequence[tuple[str, str]], default: str | None = None) -> Column:
     """Ordered (pattern, label) rules over a text; first match wins."""
     c = col(c)
-    return case_first([(c.rlike(p), label) for p, label in rules], default)
+    return case_first([(c.rlike(ascii_pattern(p)), label) for p, label in rules], default)
 
 
 def classify_by_prefix(c, lists: Mapping[str, Sequence[str]] = {}, patterns: Mapping[str, str] = {}, default: str = "Otro") -> Column:
     """Label by membership in a list first, then by pattern."""
     c = col(c)
-    rules = [(c.isin(list(v)), k) for k, v in lists.items()] + [(c.rlike(p), k) for k, p in patterns.items()]
+    rules = [(c.isin(list(v)), k) for k, v in lists.items()] + [(c.rlike(ascii_pattern(p)), k) for k, p in patterns.items()]
     return case_first(rules, default)
 
 

@@ -51,9 +51,7 @@ def repair_refunds(refunds: DataFrame, sales: DataFrame) -> DataFrame:
     are looked up side by side on sides reduced to one candidate per key, so the
     refund count stays as it is.
     """
-    line = F.struct(*LINE)
-    s = sales.withColumn("_line", line)
-    found: list[str] = []
+    s = sales.select(*LINE, "sold_on", "store", "till", "trx", "total", "unit_price", F.struct(*LINE).alias("_line"))
     out = refunds.withColumns(
         {
             "_order": F.coalesce(by_shape(ORDER_SHAPE, "order_no", "folio"), F.when(F.length("sku") == 9, F.concat(F.lit("5"), "sku"))),
@@ -62,29 +60,30 @@ def repair_refunds(refunds: DataFrame, sales: DataFrame) -> DataFrame:
             "_back": -F.col("amount"),
         }
     )
-
-    def rule(frame: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
-        name = f"_f{len(found)}"
-        found.append(name)
+    till = ["sold_on", "store", "till", "trx"]
+    rules = [
+        (LINE, LINE),
+        (till, till),
+        (["_order", "_sku"], ["order_no", "sku"]),
+        (["_order", "_back"], ["order_no", "total"]),
+        (["_order", "_back"], ["order_no", "unit_price"]),
+        (["_folio", "_back"], ["folio", "total"]),
+        (["_folio", "_back"], ["folio", "unit_price"]),
+        (["_order"], ["order_no"]),
+        (["_folio"], ["folio"]),
+    ]
+    for i, (left, right) in enumerate(rules, 1):
+        keys = [f"_k{j}" for j in range(len(left))]
         side = unique_values(s.na.drop(subset=list(right)), right, "_line")
-        side = side.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(right)], F.col("_line").alias(name))
-        keyed = frame.withColumns({f"_k{i}": F.col(c) for i, c in enumerate(left)})
-        keys = [f"_k{i}" for i in range(len(left))]
-        return keyed.join(side, keys, "left").drop(*keys)
-
-    out = rule(out, LINE, LINE)
-    out = rule(out, ["sold_on", "store", "till", "trx"], ["sold_on", "store", "till", "trx"])
-    out = rule(out, ["_order", "_sku"], ["order_no", "sku"])
-    out = rule(out, ["_order", "_back"], ["order_no", "total"])
-    out = rule(out, ["_order", "_back"], ["order_no", "unit_price"])
-    out = rule(out, ["_folio", "_back"], ["folio", "total"])
-    out = rule(out, ["_folio", "_back"], ["folio", "unit_price"])
-    out = rule(out, ["_order"], ["order_no"])
-    out = rule(out, ["_folio"], ["folio"])
-    hit = F.coalesce(*found)
-    number = case_first([(F.col(f).isNotNull(), i) for i, f in enumerate(found, 1)], 0)
-    fixed = {c: F.coalesce(hit[c], F.col(c)) for c in LINE}
-    return out.withColumns({**fixed, "rule": number}).drop(*found, "_order", "_sku", "_folio", "_back")
+        side = side.select(*[F.col(r).alias(k) for r, k in zip(right, keys)], F.col("_line").alias("_new"))
+        out = out.withColumns({k: F.col(c) for c, k in zip(left, keys)}).join(side, keys, "left").drop(*keys)
+        # one sale per refund travels on, not one per rule
+        hit = F.coalesce("_hit", "_new") if i > 1 else F.col("_new")
+        found = F.when(F.col("_new").isNotNull(), i).otherwise(0)
+        number = F.when(F.col("rule") == 0, found).otherwise(F.col("rule")) if i > 1 else found
+        out = out.withColumns({"_hit": hit, "rule": number}).drop("_new")
+    fixed = {c: F.coalesce(F.col("_hit")[c], F.col(c)) for c in LINE}
+    return out.withColumns(fixed).drop("_hit", "_order", "_sku", "_folio", "_back")
 
 
 def commission_period(sold_on: str, second: str, third: str) -> Column:

@@ -22,6 +22,11 @@ def test_no_match_is_null(one):
     assert one(sem.regexp_extract_n(F.lit("a12"), r"(\d+)")) == "12"
 
 
+def test_word_boundary_is_ascii(one):
+    assert one(sem.regexp_extract_n(F.lit("caféla"), r"\b(la)")) == "la"
+    assert one(sem.regexp_extract_n(F.lit("cafela"), r"\b(la)")) is None
+
+
 def test_initcap_after_punctuation(one):
     assert one(sem.initcap_delims(F.lit("hello-world foo"))) == "Hello-World Foo"
 
