@@ -96,15 +96,15 @@ def sku_master(t):
 
 
 @query("""
-WITH r AS (SELECT event_id%3000 AS review_id, event_id%200 AS product_id, ts, value, event_type FROM events), n AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY ts DESC, value DESC, event_type DESC) rn FROM r) WHERE rn=1)
-SELECT DISTINCT review_id, value AS rating, event_type AS title, p_partkey AS sku, l_suppkey AS seller_id FROM n JOIN part ON p_partkey%200=product_id JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_quantity=1) ON l_partkey=p_partkey
+WITH r AS (SELECT CAST(user_id AS VARCHAR)||'-'||event_type AS review_id, user_id AS product_id, ts, value, props FROM events), n AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY ts DESC, value DESC, props DESC) rn FROM r) WHERE rn=1)
+SELECT DISTINCT review_id, value AS rating, lower(props) AS title, l_partkey AS sku, l_suppkey AS seller_id FROM n JOIN part ON p_partkey=product_id JOIN lineitem ON l_partkey=p_partkey
 """)
 def review_report(t):
     """Newest version of each review with the products and sellers it is about."""
-    e = t("events", "event_id", "ts", "value", "event_type").select(
-        (F.col("event_id") % 3000).alias("review_id"), (F.col("event_id") % 200).alias("product_id"), F.col("ts").alias("processed_at"), F.col("value").alias("rating"), F.col("event_type").alias("title"), F.lit("a, b").alias("review"))
-    products = t("part", "p_partkey").select(F.col("p_partkey").alias("sku"), (F.col("p_partkey") % 200).alias("product_id"))
-    sold = t("lineitem", "l_partkey", "l_suppkey", "l_quantity").where(F.col("l_quantity") == 1).select(F.col("l_partkey").alias("sku"), F.col("l_suppkey").alias("seller_id"))
+    e = t("events", "user_id", "ts", "value", "event_type", "props").select(
+        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("review_id"), F.col("user_id").alias("product_id"), F.col("ts").alias("processed_at"), F.col("value").alias("rating"), F.col("props").alias("title"), F.lit("a, b").alias("review"))
+    products = t("part", "p_partkey").select(F.col("p_partkey").alias("sku"), F.col("p_partkey").alias("product_id"))
+    sold = t("lineitem", "l_partkey", "l_suppkey").select(F.col("l_partkey").alias("sku"), F.col("l_suppkey").alias("seller_id"))
     return K.review_report(e, products, sold).select("review_id", "rating", "title", "sku", "seller_id")
 
 
@@ -129,24 +129,24 @@ _HAV = "2*6371008.8::DOUBLE*asin(sqrt(least(1.0::DOUBLE, pow(sin((radians({b2})-
 
 
 @query(f"""
-WITH s AS (SELECT c_custkey AS seller_id, round({_place_sql('c_custkey', _LON)},6) AS lon, round({_place_sql('c_custkey', _LAT)},6) AS lat, c_custkey%4=0 AS moved, c_custkey%3 AS w, c_name, c_custkey%5 AS dp FROM customer),
+WITH s AS (SELECT c_custkey AS seller_id, round({_place_sql('c_custkey', _LON)},6) AS lon, round({_place_sql('c_custkey', _LAT)},6) AS lat, c_mktsegment='BUILDING' AS moved, c_custkey%3 AS w, c_name, c_mktsegment AS dp FROM customer),
 b AS (SELECT *, CASE WHEN moved THEN lon+0.01::DOUBLE ELSE lon END AS bl FROM s)
 SELECT seller_id, CASE WHEN w<>1 THEN 1 ELSE 0 END AS monday, CASE WHEN w=1 THEN 1 ELSE 0 END AS saturday, CASE WHEN moved THEN 'Corregir' ELSE 'Ok' END AS location_check, CASE WHEN moved THEN 'Corregir' ELSE 'Ok' END AS phone_check, 'Ok' AS district_check,
  CASE WHEN moved THEN 'Corregir' ELSE 'Ok' END AS address_check, round({_HAV.format(a1='bl', b1='lat', a2='CAST(-76.958073 AS DOUBLE)', b2='CAST(-12.21717 AS DOUBLE)')}/1000,2) AS geodesic_km_hub,
- CASE WHEN dp=0 THEN round(abs(lat+12::DOUBLE)*CAST(111.32 AS DOUBLE)+abs(bl+77::DOUBLE)*CAST(111.32 AS DOUBLE)*cos(radians(lat)),2) END AS manhattan_km_dropoff FROM b
+ CASE WHEN dp='MACHINERY' THEN round(abs(lat+12::DOUBLE)*CAST(111.32 AS DOUBLE)+abs(bl+77::DOUBLE)*CAST(111.32 AS DOUBLE)*cos(radians(lat)),2) END AS manhattan_km_dropoff FROM b
 """)
 def seller_profile(t):
     """Sellers from attribute rows, corrections and drop-off points."""
-    c = t("customer", "c_custkey", "c_name").withColumns({"lon": F.round(_place("c_custkey", _LON), 6), "lat": F.round(_place("c_custkey", _LAT), 6)})
+    c = t("customer", "c_custkey", "c_name", "c_mktsegment").withColumns({"lon": F.round(_place("c_custkey", _LON), 6), "lat": F.round(_place("c_custkey", _LAT), 6)})
     k = F.col("c_custkey")
     fmt = lambda n: F.format_string("%.6f", F.col(n))
     values = F.create_map(
         F.lit("location"), F.concat(fmt("lat"), F.lit(","), fmt("lon")), F.lit("work_days"), F.when(k % 3 == 1, "Sat, Sun").otherwise("Mon, Tue"), F.lit("address"), F.concat(F.lit("Calle   "), "c_name"),
         F.lit("phone"), F.lit("911"), F.lit("district"), F.lit("Lima"))
     attributes = c.select(k.alias("seller_id"), F.explode(values).alias("name", "value"))
-    moved = c.where(k % 4 == 0).select(
+    moved = c.where(F.col("c_mktsegment") == "BUILDING").select(
         k.alias("seller_id"), F.col("lat").alias("latitude"), (F.col("lon") + 0.01).alias("longitude"), F.lit("Otra avenida").alias("address"), F.lit("922").alias("phone"), F.lit("Lima").alias("district"))
-    drops = c.where(k % 5 == 0).select(k.alias("seller_id"), F.lit("P").alias("dropoff"), F.lit(-77.0).alias("dropoff_lon"), F.lit(-12.0).alias("dropoff_lat"))
+    drops = c.where(F.col("c_mktsegment") == "MACHINERY").select(k.alias("seller_id"), F.lit("P").alias("dropoff"), F.lit(-77.0).alias("dropoff_lon"), F.lit(-12.0).alias("dropoff_lat"))
     out = S.seller_profile(attributes, moved, drops, ["location", "work_days", "address", "phone", "district"], {"hub": (-76.958073, -12.21717)})
     return out.select("seller_id", "monday", "saturday", "location_check", "phone_check", "district_check", "address_check", "geodesic_km_hub", "manhattan_km_dropoff")
 

@@ -65,7 +65,7 @@ def repaired_refunds(t):
 
 _RATES = """rates AS (SELECT CASE p_partkey%3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS period, p_partkey%6+1 AS rule, CAST(p_partkey%23 AS VARCHAR) AS seller,
  CASE p_partkey%6+1 WHEN 1 THEN '' WHEN 2 THEN CAST(p_partkey%23 AS VARCHAR)||' - '||c7 WHEN 3 THEN '0 - '||c7 WHEN 4 THEN CAST(p_partkey%23 AS VARCHAR)||' - '||c5 WHEN 5 THEN CAST(p_partkey%23 AS VARCHAR)||' - '||c3 ELSE '0 - '||c5 END AS rate_key, CAST(p_size AS DOUBLE)/100 AS rate
- FROM (SELECT *, 'K0'||lpad(CAST(p_partkey%40 AS VARCHAR),2,'0')||lpad(CAST(p_partkey%30 AS VARCHAR),3,'0') AS c7, 'K0'||lpad(CAST(p_partkey%40 AS VARCHAR),2,'0')||'0' AS c5, 'K0'||CAST(p_partkey%4 AS VARCHAR) AS c3 FROM part) WHERE p_partkey%6<>0 OR p_partkey%23<5)"""
+ FROM (SELECT *, 'K0'||lpad(CAST(p_partkey%40 AS VARCHAR),2,'0')||lpad(CAST(p_partkey%30 AS VARCHAR),3,'0') AS c7, 'K0'||lpad(CAST(p_partkey%40 AS VARCHAR),2,'0')||'0' AS c5, 'K0'||CAST(p_partkey%4 AS VARCHAR) AS c3 FROM part) WHERE p_partkey%6+1<>1 OR p_size<5)"""
 _CLASS = "'K0'||lpad(CAST(l_partkey%40 AS VARCHAR),2,'0')||lpad(CAST(l_linenumber%3*10 AS VARCHAR),3,'0')"
 
 
@@ -79,7 +79,7 @@ def _rates(t):
     dash = lambda a, b: F.concat(a, F.lit(" - "), b)
     zero = F.lit("0")
     key = F.when(rule == 1, "").when(rule == 2, dash(who, c7)).when(rule == 3, dash(zero, c7)).when(rule == 4, dash(who, c5)).when(rule == 5, dash(who, c3)).otherwise(dash(zero, c5))
-    rows = p.where((k % 6 != 0) | (k % 23 < 5))
+    rows = p.where((rule != 1) | (F.col("p_size") < 5))
     return rows.select(F.when(k % 3 == 0, "A").when(k % 3 == 1, "B").otherwise("C").alias("period"), rule.cast("string").alias("rule"), who.alias("seller"), key.alias("rate_key"), (F.col("p_size").cast("double") / 100).alias("rate"))
 
 
@@ -106,7 +106,7 @@ def commission_rates(t):
 
 
 @query(_RATED + f""", n AS (SELECT *, l_extendedprice/1000 AS total, 'O'||CAST(l_orderkey AS VARCHAR) AS order_no, CAST(l_partkey AS VARCHAR) AS sku FROM z),
-h AS (SELECT DISTINCT order_no, sku, total FROM n WHERE l_suppkey%7=0), f AS (SELECT n.*, CASE l_partkey%4 WHEN 0 THEN 'XXXS' WHEN 1 THEN 'M' WHEN 2 THEN 'XL' ELSE 'S' END AS size FROM n WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.order_no=n.order_no AND h.sku=n.sku AND h.total=n.total)),
+h AS (SELECT DISTINCT order_no, sku, total FROM n WHERE sold_on<DATE '1996-01-01'), f AS (SELECT n.*, CASE p_type WHEN 'PROMO' THEN 'XXXS' WHEN 'SMALL' THEN 'M' WHEN 'LARGE' THEN 'XL' WHEN 'MEDIUM' THEN 'S' ELSE 'S' END AS size FROM n JOIN part ON p_partkey=l_partkey WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.order_no=n.order_no AND h.sku=n.sku AND h.total=n.total)),
 g AS (SELECT *, CASE WHEN sold_on>=DATE '1996-01-01' AND sold_on<DATE '1998-01-01' THEN {_case(vocab.TARIFF_1, 'total', 'size')} WHEN sold_on>=DATE '1998-01-01' THEN {_case(vocab.TARIFF_2, 'total', 'size')} ELSE 0::DOUBLE END AS shipping FROM f)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CASE WHEN substr(class_code,1,5) IN ('K0010','K0020') THEN substr(class_code,1,5) WHEN substr(class_code,1,3)='K00' THEN 'K00' ELSE class_code END AS category,
  total*rate AS commission, shipping, total-total*rate-shipping AS payable, strftime(date_trunc('week',sold_on),'%Y%m%d')||'-'||strftime(date_trunc('week',sold_on)+INTERVAL 6 DAY,'%Y%m%d') AS week FROM g WHERE sold_on<DATE '2001-06-01'-14 OR l_linestatus='F'""")
@@ -116,9 +116,10 @@ def settlement(t):
         "total": F.col("l_extendedprice") / 1000, "order_no": F.concat(F.lit("O"), F.col("l_orderkey").cast("string")), "sku": F.col("l_partkey").cast("string"), "folio": F.lit("-"), "unit_price": F.lit(1.0),
         "delivery_state": F.when(F.col("l_linestatus") == "F", "Entrega Total").otherwise("-")})
     managers = t.spark.createDataFrame([("K0010", "m1"), ("K0020", "m2"), ("K00", "m3")], "category string, manager string")
-    k = F.col("p_partkey")
-    sizes = t("part", "p_partkey").where(k % 4 != 3).select(k.cast("string").alias("sku"), F.when(k % 4 == 0, "XXXS").when(k % 4 == 1, "M").otherwise("XL").alias("size"))
-    before = l.where(F.col("l_suppkey") % 7 == 0).select("order_no", "sku", "total")
+    kind = F.col("p_type")
+    sizes = t("part", "p_partkey", "p_type").select(
+        F.col("p_partkey").cast("string").alias("sku"), F.when(kind == "PROMO", "XXXS").when(kind == "SMALL", "M").when(kind == "LARGE", "XL").alias("size"))
+    before = l.where(F.col("sold_on") < F.lit("1996-01-01").cast("timestamp_ntz")).select("order_no", "sku", "total")
     tariffs = [("1996-01-01", "1998-01-01", vocab.TARIFF_1), ("1998-01-01", None, vocab.TARIFF_2)]
     out = S.settle(l, _rates(t), managers, sizes, before, "2001-06-01", tariffs)
     return out.select(*_IDS, "category", "commission", "shipping", "payable", "week")
@@ -253,12 +254,12 @@ def capped_refunds(t):
 
 @query("""
 WITH d AS (SELECT DISTINCT l_orderkey AS n FROM lineitem), g AS (SELECT n, LEAD(n) OVER (ORDER BY n) AS nx FROM d), m AS (SELECT unnest(range(n+1,nx)) AS n FROM g WHERE nx-n>1)
-SELECT 'F001' AS series, n AS number, 'F001-'||CAST(n AS VARCHAR) AS folio, o_custkey AS payer FROM m LEFT JOIN orders ON o_orderkey=n AND o_orderkey%2=0
+SELECT 'F001' AS series, n AS number, 'F001-'||CAST(n AS VARCHAR) AS folio, o_custkey AS payer FROM m LEFT JOIN orders ON o_orderkey=n AND o_orderstatus<>'P'
 """)
 def document_gaps(t):
     """Missing documents of a series with what a second ledger knows of them."""
     docs = t("lineitem", "l_orderkey").select(F.concat(F.lit("F001-"), F.col("l_orderkey").cast("string"), F.lit(".0")).alias("folio"))
-    ledger = t("orders", "o_orderkey", "o_custkey").where(F.col("o_orderkey") % 2 == 0).select(F.concat(F.lit("F001-"), F.col("o_orderkey").cast("string")).alias("folio"), F.col("o_custkey").alias("payer"))
+    ledger = t("orders", "o_orderkey", "o_custkey", "o_orderstatus").where(F.col("o_orderstatus") != "P").select(F.concat(F.lit("F001-"), F.col("o_orderkey").cast("string")).alias("folio"), F.col("o_custkey").alias("payer"))
     return A.sequence_gap_audit(docs, ledger, width=5000).select("series", "number", "folio", "payer")
 
 

@@ -145,16 +145,15 @@ def cascade_rate(t):
 
 @query("""
 WITH c AS (SELECT c_custkey, substr(c_name,10) AS code FROM customer),
-l AS (SELECT DISTINCT substr(s_name,10,7) AS p FROM supplier WHERE s_suppkey%3=0 UNION SELECT DISTINCT substr(s_name,10,5) FROM supplier WHERE s_suppkey%5=0),
+l AS (SELECT DISTINCT substr(s_name,10,7) AS p FROM supplier WHERE s_acctbal>0 UNION SELECT DISTINCT substr(s_name,10,5) FROM supplier WHERE s_acctbal<=0),
 m AS (SELECT c_custkey, code, (SELECT p FROM l WHERE p=substr(code,1,7)) AS a, (SELECT p FROM l WHERE p=substr(code,1,5)) AS b FROM c)
 SELECT c_custkey, COALESCE(a,b,code) AS category FROM m
 """)
 def longest_prefix(t):
     """Longest listed prefix (7, then 5 digits) of a customer code."""
     c = t("customer", "c_custkey", "c_name").select("c_custkey", F.substring("c_name", 10, 99).alias("code"))
-    s = t("supplier", "s_suppkey", "s_name")
-    codes = s.where(F.col("s_suppkey") % 3 == 0).select(F.substring("s_name", 10, 7).alias("p")).union(
-        s.where(F.col("s_suppkey") % 5 == 0).select(F.substring("s_name", 10, 5)))
+    codes = t("supplier", "s_name", "s_acctbal").select(
+        F.when(F.col("s_acctbal") > 0, F.substring("s_name", 10, 7)).otherwise(F.substring("s_name", 10, 5)).alias("p"))
     return J.longest_prefix_match(c, "code", codes, "p", (7, 5), "category").select("c_custkey", "category")
 
 

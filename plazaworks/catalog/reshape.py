@@ -76,14 +76,13 @@ def pivot_mean(t):
 
 
 @query("""
-SELECT l_suppkey, string_agg(DISTINCT p_brand, '|' ORDER BY p_brand) AS p_brand, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS p_type
-FROM lineitem JOIN part ON l_partkey=p_partkey WHERE l_quantity>=49 GROUP BY 1
+SELECT l_orderkey, string_agg(DISTINCT p_brand, '|' ORDER BY p_brand) AS p_brand, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS p_type
+FROM lineitem JOIN part ON l_partkey=p_partkey GROUP BY 1
 """)
 def single_or_list_brand(t):
-    """Brands a supplier sold in bulk: the one, or the list."""
-    l = t("lineitem", "l_suppkey", "l_partkey", "l_quantity").where(F.col("l_quantity") >= 49)
-    rows = l.join(t("part", "p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    return R.single_or_list(rows, ["l_suppkey"], ["p_brand", "p_type"])
+    """Brands and types of an order: the one, or the list."""
+    rows = t("lineitem", "l_orderkey", "l_partkey").join(t("part", "p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    return R.single_or_list(rows, ["l_orderkey"], ["p_brand", "p_type"])
 
 
 @query("SELECT p_brand, string_agg(DISTINCT p_type, ' | ' ORDER BY p_type) AS types FROM part GROUP BY 1")

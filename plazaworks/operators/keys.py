@@ -82,18 +82,12 @@ def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], row_
     joined back on the row id, so rows of a hot key spread over all tasks.
     """
     ids = list(dict.fromkeys([*keys, *row_id]))
-    firsts = latest_per_key(df.select(*dict.fromkeys([*ids, *_names(df, order)])), keys, order).select(*ids)
+    firsts = latest_per_key(df, keys, order).select(*ids)
     on = reduce(lambda a, b: a & b, [F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in ids])
     joined = df.alias("d").join(firsts.withColumn("_hit", F.lit(True)).alias("f"), on, "left")
     return joined.select("d.*", F.coalesce(F.col("f._hit"), F.lit(False)).alias(flag))
 
 
-def _names(df: DataFrame, order: Sequence[Column]) -> list[str]:
-    """Columns of ``df`` that the sort expressions mention."""
-    text = " ".join(str(o) for o in order)
-    return [c for c in df.columns if c in text]
-
-
 def amount_on_first_row(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], row_id: Sequence[str], cols: Sequence[str]
 ) -> DataFrame:
