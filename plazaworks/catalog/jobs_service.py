@@ -187,3 +187,28 @@ def transport_plan(t):
     orders = t("orders", "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("seller_id"))
     out = T.transport_plan(planned, unplanned, tickets, orders)
     return out.select("kind", "order_id", "position", "state", "reason", "guide", "case_id", "seller_id", "period_planned", "period_ticket")
+
+
+_ANSWERS = ["no procede", "se procedera a aceptar", "gracias", None]
+
+
+@query(f"""
+WITH a AS (SELECT conv_id, turn, CASE WHEN turn%5=0 THEN 'Aviso cierre caso' ELSE 'Correo' END AS subject, list_extract(['no procede','se procedera a aceptar','gracias',NULL],1+CAST((conv_id+turn)%4 AS INT)) AS answer FROM conversations)
+SELECT conv_id, turn, CASE WHEN regexp_matches(answer,'no procede|no procedio') THEN 'Rechazado' WHEN regexp_matches(subject,'{vocab.APPEAL_REJECT_SUBJECT}') THEN 'Rechazado' WHEN answer IS NULL THEN 'Rechazado'
+ WHEN regexp_matches(answer,'{vocab.APPEAL_ACCEPT_TEXT}') THEN 'Aceptado' ELSE 'Por validar' END AS state FROM a
+""")
+def appeal_states(t):
+    """Outcome of an appeal by the words of the answer."""
+    c = t("conversations", "conv_id", "turn")
+    answer = F.get(F.array(*[F.lit(a) for a in _ANSWERS]), ((F.col("conv_id") + F.col("turn")) % 4).cast("int"))
+    rows = c.withColumns({"subject": F.when(F.col("turn") % 5 == 0, "Aviso cierre caso").otherwise("Correo"), "answer": answer})
+    return rows.select("conv_id", "turn", A.appeal_state("subject", "answer", "no procede|no procedio").alias("state"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_acctbal<0 THEN 'Seller' ELSE 'Customer' END AS stakeholder, CASE WHEN regexp_matches('G'||c_mktsegment,'DEV|RET|BUI') THEN 'x' ELSE 'y' END AS k FROM customer
+""")
+def stakeholders(t):
+    """Who a case is about: the customer when there is a document, else the seller."""
+    c = t("customer", "c_custkey", "c_acctbal", "c_mktsegment").withColumns({"doc": F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")), "seller": F.col("c_custkey")})
+    return c.select("c_custkey", C.stakeholder("doc", "seller").alias("stakeholder"), F.when(F.concat(F.lit("G"), "c_mktsegment").rlike("DEV|RET|BUI"), "x").otherwise("y").alias("k"))

@@ -70,3 +70,14 @@ SELECT o_orderkey, n FROM (SELECT o_orderkey, COUNT(*) OVER (PARTITION BY o_cust
 def group_size_filter(t):
     o = t("orders", "o_orderkey", "o_custkey")
     return attach_group(o, ["o_custkey"], F.count(F.lit(1)).alias("n")).where(F.col("n") > 2).select("o_orderkey", "n")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)=1 THEN 1 ELSE 0 END AS is_first,
+  CASE WHEN ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)=1 THEN 1 ELSE 0 END AS is_last FROM orders
+""")
+def first_last_marks(t):
+    """First and last order of each customer marked on all orders."""
+    o = t("orders", "o_orderkey", "o_custkey", "o_orderdate")
+    out = W.first_last_flags(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.date_trunc("year", "o_orderdate"))
+    return out.select("o_orderkey", F.col("is_first").cast("int").alias("is_first"), F.col("is_last").cast("int").alias("is_last"))

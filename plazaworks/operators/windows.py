@@ -145,6 +145,13 @@ def with_sequence(df, keys, order, name="n", block=None) -> DataFrame:
     return blocked_window(df, keys, order, block, row_number=name)
 
 
+def first_last_flags(df, keys, order, block=None, first="is_first", last="is_last") -> DataFrame:
+    """Mark the first and the last row of each key; all rows stay."""
+    out = blocked_window(df, keys, order, block, row_number="_n", group_count="_all")
+    flags = {first: F.col("_n") == 1, last: F.col("_n") == F.col("_all")}
+    return out.withColumns(flags).drop("_n", "_all")
+
+
 def with_row_id(df, order, block, name="row_id") -> DataFrame:
     """Gap-free global ids in ``order`` without sorting the table in one task.
 
