@@ -65,7 +65,7 @@ z AS (SELECT r.order_id, r.seller_id, r.status, r.action, CAST(r.late AS BIGINT)
  FROM r JOIN g USING (seller_id) LEFT JOIN s USING (seller_id))"""
 
 
-def _backlog(t):
+def _backlog(t, slot="am"):
     o = t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     k = F.col("o_orderkey")
     rows = o.select(
@@ -77,7 +77,7 @@ def _backlog(t):
     sellers = t("customer", "c_custkey", "c_mktsegment").select(
         c.alias("seller_id"), F.when(F.col("c_mktsegment") == "BUILDING", "AAA").otherwise("Longtail").alias("segment"),
         F.when(c % 10 == 0, "none").otherwise(F.concat(F.lit("s"), c.cast("string"), F.lit("@example.org"))).alias("email"), F.lit(None).cast("string").alias("phone"), F.when(c % 4 == 0, "P1").alias("dropoff"))
-    return B.backlog_report(rows, tracking, sellers, literal_table(t.spark, [1, 2, 3], "seller_id", "bigint"), _AS_OF)
+    return B.backlog_report(rows, tracking, sellers, literal_table(t.spark, [1, 2, 3], "seller_id", "bigint"), _AS_OF, slot=slot)
 
 
 @query(_BL_REPORT + " SELECT order_id, seller_id, status, action, days_late, speech, segment, carrier, delay_text FROM z")
@@ -86,6 +86,21 @@ def backlog_report(t):
     return _backlog(t).select("order_id", "seller_id", "status", "action", F.col("days_late").cast("bigint").alias("days_late"), "speech", "segment", "carrier", "delay_text")
 
 
+_PM = """, h AS (SELECT seller_id, COUNT(CASE WHEN segment<>'AAA' THEN 1 END)>0 AS other, COUNT(DISTINCT segment)=1 AND COUNT(DISTINCT status)>1 AS mixed, COUNT(*)=COUNT(CASE WHEN status='pending' THEN 1 END) AS pend FROM z GROUP BY 1),
+y AS (SELECT z.* REPLACE (CASE WHEN other THEN 'Speech_3' WHEN mixed THEN 'Speech_2' WHEN pend THEN 'Speech_4' ELSE 'Otro caso' END AS speech) FROM z JOIN h USING (seller_id))"""
+
+
+@query(_BL_REPORT + _PM + " SELECT order_id, seller_id, status, action, speech, segment, delay_text FROM y")
+def backlog_afternoon(t):
+    """The afternoon report: same orders, text by segment first."""
+    return _backlog(t, "pm").select("order_id", "seller_id", "status", "action", "speech", "segment", "delay_text")
+
+
+@query(_BL_REPORT + " SELECT 'mail_pending' AS campaign, seller_id, COUNT(DISTINCT order_id) AS orders, COUNT(*) AS lines FROM z WHERE status='pending' AND email LIKE '%@%' GROUP BY 2")
+def afternoon_audience(t):
+    return B.alert_audiences(B.alert_rows(_backlog(t, "pm"), B.afternoon_rules()), "seller_id", "order_id")
+
+
 _CAMPAIGNS = """c AS (SELECT *, unnest(list_filter([CASE WHEN segment='AAA' AND carrier<>'dropoff' THEN 'mail_top' END, CASE WHEN segment<>'AAA' AND speech='Speech_2' AND carrier<>'dropoff' THEN 'mail_route_delay_pending' END,
  CASE WHEN segment<>'AAA' AND speech='Speech_3' AND carrier<>'dropoff' THEN 'mail_route_delay' END, CASE WHEN segment<>'AAA' AND speech='Speech_4' THEN 'mail_pending' END, CASE WHEN segment<>'AAA' AND carrier='dropoff' THEN 'mail_dropoff' END,
  CASE WHEN segment='AAA' AND carrier='dropoff' AND status<>'pending' THEN 'mail_top_dropoff' END, CASE WHEN segment='AAA' AND carrier<>'dropoff' AND delay_text<>'A tiempo' THEN 'chat_top_delay' END], lambda x: x IS NOT NULL)) AS campaign FROM z WHERE email LIKE '%@%')"""

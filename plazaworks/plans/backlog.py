@@ -36,6 +36,19 @@ def speech(df: DataFrame, seller: str, status: str) -> DataFrame:
     return out.withColumn("speech", text).drop(*flags)
 
 
+def afternoon_speech(df: DataFrame, seller: str, status: str, segment: str) -> DataFrame:
+    """The afternoon's text segment: by the seller's segment first, then by the mix of states."""
+    seg, s = F.col(segment), F.col(status)
+    flags = {
+        "_other": F.count(F.when(seg != "AAA", 1)) > 0,
+        "_mixed": (F.count_distinct(seg) == 1) & (F.count_distinct(s) > 1),
+        "_pending": F.count(F.lit(1)) == F.count(F.when(s == "pending", 1)),
+    }
+    out = flag_by_group(df, seller, flags)
+    text = case_first([(F.col("_other"), "Speech_3"), (F.col("_mixed"), "Speech_2"), (F.col("_pending"), "Speech_4")], "Otro caso")
+    return out.withColumn("speech", text).drop(*flags)
+
+
 def backlog_report(
     orders: DataFrame,
     tracking: DataFrame,
@@ -44,8 +57,9 @@ def backlog_report(
     as_of: str,
     carriers: Sequence[str] = ("ibis", "urbano"),
     links: Mapping[str, str] | None = None,
+    slot: str = "am",
 ) -> DataFrame:
-    """Orders to act on, with action, seller contact and text segment.
+    """Orders to act on, with action, seller contact and the text segment of the slot.
 
     orders: order_id, seller_id, tracking_code, src_status, status, carrier,
     shipment_type, target_to_ship, updated_at; tracking: tracking_code, state;
@@ -63,7 +77,8 @@ def backlog_report(
     moving = tracking.where(~c("state").isin("Anulado", "Retorno a seller")).select("tracking_code", c("state").alias("tracking_state"))
     known = exclude_keys(open_, "seller_id", test_sellers).join(moving, "tracking_code")
     aged = age(known, "target_to_ship", as_of).where(~c("action").isin(*vocab.BACKLOG_SILENT))
-    out = speech(attach(aged, sellers, ["seller_id"]), "seller_id", "status")
+    known = attach(aged, sellers, ["seller_id"])
+    out = speech(known, "seller_id", "status") if slot == "am" else afternoon_speech(known, "seller_id", "status", "segment")
     out = out.withColumns(
         {
             "delay_text": case_first([(c("action") == k, v) for k, v in vocab.BACKLOG_DELAY_TEXT.items()]),
@@ -91,6 +106,11 @@ def campaign_rules(segment="segment", speech="speech", carrier="carrier", delay=
     ]
 
 
+def afternoon_rules(status: str = "status") -> list[tuple[str, Column]]:
+    """The afternoon only writes about pending orders."""
+    return [("mail_pending", F.col(status) == "pending")]
+
+
 def alert_rows(backlog: DataFrame, campaigns: Sequence[tuple[str, Column]], email: str = "email", action: str = "action") -> DataFrame:
     """Backlog rows with a usable address, once per campaign they belong to."""
     usable = backlog.where(F.col(email).contains("@") & ~F.col(action).isin(*vocab.BACKLOG_SILENT))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from plazaworks.operators import joins as J
 from plazaworks.operators import keys as K
+from plazaworks.operators import windows as W
 from plazaworks.session import RUNTIME, configure
 
 WRITERS = {"monthly_files", "delimited_files", "per_key_files", "watched_orders", "reloaded_model"}
@@ -66,6 +67,17 @@ def test_group_limit_keeps_hot_keys_small(spark):
     assert "WindowGroupLimit" in plan(K.nth_per_key(df, ["k"], [F.asc("id")], 2))
 
 
+def test_blocks_spread_a_hot_key(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 40_000, 1, 8).select(F.lit("hot").alias("k"), "id")
+        out = W.running_sum(df, ["k"], ["id"], "id", "s", F.floor(F.col("id") / 500))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 40_000 and max(sizes) < 15_000
+    finally:
+        configure(spark)
+
+
 def test_settings_are_applied(spark):
     configure(spark)
     assert all(spark.conf.get(k) == v for k, v in RUNTIME.items())
