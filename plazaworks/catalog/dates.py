@@ -70,7 +70,7 @@ def local_times(t):
 
 
 @query("""
-SELECT o_orderkey, strftime(o_orderdate,'%Y-%m-%d') AS parsed, CASE WHEN o_orderkey%3=0 THEN NULL ELSE strftime(o_orderdate,'%Y-%m-%d') END AS repaired, NULL AS bad FROM orders
+SELECT o_orderkey, strftime(o_orderdate,'%Y-%m-%d') AS parsed, CASE WHEN o_orderkey%3=0 THEN NULL ELSE strftime(o_orderdate,'%Y-%m-%d') END AS repaired, CAST(NULL AS VARCHAR) AS bad FROM orders
 """)
 def parsed_dates(t):
     """Dates written day first, hand-typed month first with swallowed slashes, and nonsense."""

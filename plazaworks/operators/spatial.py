@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,28 +30,36 @@ def _hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return side(pts) + side(pts[::-1])
 
 
-def convex_hull(df: DataFrame, group: str, lon: str, lat: str, parts: int = 64) -> DataFrame:
+def convex_hull(df: DataFrame, group: str, lon: str, lat: str, parts: int = 256) -> DataFrame:
     """Hull corners per group: (group, corner, lon, lat).
 
-    A hull of hulls is the hull of the whole, so each group is cut into
-    ``parts`` pieces that are reduced on their own first; the second step only
-    sees the corners of the pieces.
+    A hull of hulls is the hull of the whole.  Every batch of a scan is reduced
+    to its corners before anything moves; the corners of a group are reduced
+    again in ``parts`` pieces, and only what is left of these meets in one task.
     """
     gtype = dict(df.dtypes)[group]
     pts = df.select(F.col(group).alias("g"), F.col(lon).cast("double").alias("x"), F.col(lat).cast("double").alias("y"))
-    pts = pts.where(F.col("x").isNotNull() & F.col("y").isNotNull()).distinct()
+    pts = pts.where(F.col("x").isNotNull() & F.col("y").isNotNull())
 
-    def reduce_points(pdf: pd.DataFrame) -> pd.DataFrame:
+    def corners_of(g, pdf: pd.DataFrame) -> pd.DataFrame:
         corners = _hull(list(zip(pdf["x"], pdf["y"])))
-        g = pdf["g"].iloc[0]
         return pd.DataFrame(
             {"g": [g] * len(corners), "corner": range(len(corners)), "x": [c[0] for c in corners], "y": [c[1] for c in corners]}
         )
 
+    def reduce_batches(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pd.concat([corners_of(g, part) for g, part in pdf.groupby("g", dropna=False, sort=False)])
+
+    def reduce_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return corners_of(key[0], pdf)
+
     schema = f"g {gtype}, corner int, x double, y double"
-    pieces = pts.withColumn("_p", F.pmod(F.xxhash64("x", "y"), F.lit(parts)))
-    partial = pieces.groupBy("g", "_p").applyInPandas(reduce_points, schema)
-    whole = partial.select("g", "x", "y").groupBy("g").applyInPandas(reduce_points, schema)
+    local = pts.mapInPandas(reduce_batches, schema).select("g", "x", "y")
+    pieces = local.withColumn("_p", F.pmod(F.xxhash64("x", "y"), F.lit(parts)))
+    partial = pieces.groupBy("g", "_p").applyInPandas(reduce_group, schema)
+    whole = partial.select("g", "x", "y").groupBy("g").applyInPandas(reduce_group, schema)
     return whole.select(F.col("g").alias(group), "corner", F.col("x").alias(lon), F.col("y").alias(lat))
 
 

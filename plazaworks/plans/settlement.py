@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import vocab
 from ..functions.dates import as_date, settlement_week
 from ..functions.numbers import commission_split, nearest_units, sign_type
 from ..operators.aggregates import sum_when
