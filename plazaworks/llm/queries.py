@@ -10,8 +10,8 @@ from .registry import ORACLES, QUERIES, register, table  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: DuckDB: words parted by blanks, and runs of digits, letters and non-ASCII characters
-BLANK_WORDS = f"list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
-ALNUM_WORDS = f"list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), w -> w <> '')"
+BLANK_WORDS = f"[w for w in string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+') if w <> '']"
+ALNUM_WORDS = f"[w for w in string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if w <> '']"
 
 
 def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
