@@ -16,8 +16,7 @@ from .common import blank_words, connected_components, mix32, mix64, rows_of, wr
 
 SHINGLE = 5  # words
 PERCENT = 75  # least similarity of a link, in hundredths
-BANDS, ROWS = 32, 4  # a pair at the threshold shares no band with probability (1 - 0.75^4)^32 = 5e-6
-SMALL_BUCKET = 48  # larger mixed buckets take the prefix way instead of listing pairs; both ways are whole
+BANDS, ROWS = 40, 5  # a pair at the threshold shares no band with probability (1 - 0.75^5)^40 = 2e-5
 CHUNK = 1 << 16  # shingles hashed at once
 
 
@@ -119,28 +118,45 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, percent: int
     return both.where(F.col("i") * 100 >= percent * (F.col("n") + F.col("m") - F.col("i"))).select("a", "b")
 
 
-def _similar_size(n, m, percent: int):
-    return F.least(n, m) * 100 >= percent * F.greatest(n, m)
-
-
 def _prefix_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs of different components that share one of their rarest shingles.
+    """Pairs of different components among ``members`` (node, component) that can still reach the similarity.
 
-    Two sets at the threshold must share a shingle among the n - ceil(t n) + 1
-    that come first when all sets are ordered by rarity, so no link is missed
-    whatever the size of a bucket, and a passage that many documents share comes
-    last in that order and lists no pairs.
+    All sets are ordered by rarity, shingles of one set alone first. A pair at
+    the threshold t must overlap in t/(1+t) of both sizes, so its first common
+    shingle stands early enough in both orders to leave room for that overlap.
+    No link is missed, whatever the size of a group; a passage that many
+    documents share comes last in the order and lists no pairs.
     """
-    shingles = written(_sets_of(texts, members, k).select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("s")), "shingles")
-    rarity = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    ranked = shingles.join(rarity, "s").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("order"))
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    prefix = ranked.select("node", "n", F.explode(F.slice("order", F.lit(1), length)).alias("o")).where("o.df > 1").select("node", "n", "o.s")
-    prefix = prefix.join(members.select("node", "component").distinct(), "node")
-    mixed = prefix.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
-    prefix = prefix.join(mixed, "s")
-    a, b = prefix.toDF("s", "a", "n", "ca"), prefix.toDF("s", "b", "m", "cb")
-    return a.join(b, "s").where((F.col("ca") < F.col("cb")) & _similar_size(F.col("n"), F.col("m"), percent)).select("a", "b")
+    sets = written(_sets_of(texts, members, k), "sets")
+    shingles = sets.select("node", F.explode("shingles").alias("s"))
+    common = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    ranked = shingles.join(common, "s").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("order"))
+    ranked = ranked.join(sets.select("node", F.size("shingles").alias("n")), "node").join(members, "node")
+    own = F.col("n") - F.size("order")
+    # the smallest partner allowed has t n shingles and overlaps in all of them
+    room = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1 - own
+    spots = ranked.where(room > 0).select("node", "n", "component", own.alias("own"), F.posexplode(F.slice("order", F.lit(1), room)).alias("at", "o"))
+    spots = spots.select("o.s", "node", "n", "component", (F.col("own") + F.col("at")).alias("at"))
+    mixed = spots.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
+    spots = spots.join(mixed, "s")
+    a, b = spots.toDF("s", "a", "n", "ca", "i"), spots.toDF("s", "b", "m", "cb", "j")
+    left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+    fits = left * (100 + percent) >= percent * (F.col("n") + F.col("m"))
+    return a.join(b, "s").where((F.col("ca") < F.col("cb")) & fits).select("a", "b").distinct()
+
+
+def _leader_links(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Verified pairs of each node with the most central leader of its buckets.
+
+    A node's weight is the number of places it shares; the heaviest node of a
+    bucket leads it, which in a group of copies is one close to the original.
+    ``members`` holds (key, node, component, weight).
+    """
+    heavy = F.struct("weight", -F.col("node"), "component")
+    leaders = members.groupBy("key").agg(F.max(heavy).alias("top"))
+    led = members.join(leaders, "key").where("component <> top.component")
+    pairs = led.groupBy(F.col("node").alias("a")).agg((-F.max("top")["col2"]).alias("b"))
+    return written(verified(pairs, texts, k, percent), "links")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -149,12 +165,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, b
     1. One pass makes each text's shingle set, its digest and its band keys;
        that small table is written. Equal sets become one node, named by the
        smallest doc_id.
-    2. Each bucket of a band points its members at its smallest node; each node
-       is verified against the smallest node it was pointed at. That one pair
-       per node connects a group of copies of any size without listing pairs.
-    3. Buckets that still hold several components give all pairs across them:
-       small buckets by a join, larger ones by rarest shingles. All are verified
-       on the full sets, and the components are joined.
+    2. Each bucket of a band points its members at its most central node; each
+       node is verified against the heaviest node it was pointed at. That one pair
+       per node connects groups of copies of any size.
+    3. Nodes of buckets that still hold several components are paired across
+       components by their rarest shingles, and verified on the full sets.
 
     Null or empty texts have no shingles and link with nothing. Rows with one
     doc_id are one document. A null doc_id links with nothing: its component_id
@@ -164,27 +179,26 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, b
     sketch = written(texts.mapInArrow(partial(_sketch, k=k, bands=bands, rows=rows), "doc_id long, n_shingles long, set_id binary, bands array<long>"), "sketch")
     named = sketch.where("doc_id is not null and n_shingles > 0")
     nodes = named.groupBy("set_id").agg(F.min("doc_id").alias("node"))
-    reps = named.join(nodes, (named["set_id"] == nodes["set_id"]) & (named["doc_id"] == nodes["node"])).select("node", F.col("n_shingles").alias("n"), "bands")
-    spots = reps.select("node", "n", F.explode("bands").alias("key"))
-    buckets = spots.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").select("key", "leader")
-    members = written(spots.join(buckets, "key"), "members")
+    reps = named.join(nodes, (named["set_id"] == nodes["set_id"]) & (named["doc_id"] == nodes["node"])).select("node", "bands")
+    spots = reps.select("node", F.explode("bands").alias("key"))
+    buckets = spots.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = spots.join(buckets, "key")
+    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    members = written(shared.select("key", "node").join(weights, "node"), "members")
 
-    pairs = members.where("node <> leader").groupBy("node").agg(F.min("leader").alias("b")).select(F.col("node").alias("a"), "b")
-    copies = named.join(nodes, "set_id").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    links = written(verified(pairs, texts, k, percent), "links")
-    component = connected_components(links)
-
-    placed = members.join(component, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ = written(placed.join(mixed.select("key", "size"), "key"), "open")
-    few = open_.where(F.col("size") <= SMALL_BUCKET).drop("size")
-    a, b = few.toDF("key", "a", "n", "ca"), few.toDF("key", "b", "m", "cb")
-    across = a.join(b, "key").where((F.col("ca") < F.col("cb")) & _similar_size(F.col("n"), F.col("m"), percent)).select("a", "b")
-    large = open_.where(F.col("size") > SMALL_BUCKET).select("node", "component").distinct()
-    rest = written(across.union(_prefix_pairs(large, texts, k, percent)).distinct(), "rest")
-    more = verified(rest, texts, k, percent)
+    links = _leader_links(members.withColumn("component", F.col("node")), texts, k, percent)
+    rest = _mixed(members, connected_components(links)).select("node", "component").distinct()
+    more = verified(written(_prefix_pairs(rest, texts, k, percent), "rest"), texts, k, percent)
 
+    copies = named.join(nodes, "set_id").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     component = connected_components(links.union(more).union(copies))
     out = sketch.select("doc_id", "n_shingles").join(component.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component_id = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"))
+
+
+def _mixed(members: DataFrame, component: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components."""
+    placed = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return placed.join(mixed, "key").select("key", "node", "component", "weight")
