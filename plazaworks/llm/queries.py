@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import minhash
+from . import curriculum, decontaminate, minhash, ring
 from .registry import ORACLES, QUERIES, register, table  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,3 +33,66 @@ select d.doc_id, cast(len(s) as bigint) as n_shingles, component_id, d.doc_id =
 """
 
 register("op1_minhash", op1_minhash, OP1_SQL)
+
+
+def op7_ring(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 24 shards of equal counts."""
+    return ring.bounded_ring(table(configure(spark), folder, "documents", "doc_id", "text"), 24)
+
+
+register("op7_ring", op7_ring)
+
+
+def op8_curriculum(spark: SparkSession, folder: str) -> DataFrame:
+    """Words taken from every document, and its position in training."""
+    return curriculum.mix(table(configure(spark), folder, "documents", "doc_id", "text", "source")).drop("source")
+
+
+def _position(middle: str) -> str:
+    """Inverse of the integrated schedules of the three weight classes, each worked out by hand."""
+    return f"""case class when 0 then 2 * ({middle}) / (1.5 + sqrt(greatest(2.25 - 2 * ({middle}), 0)))
+        when 1 then {middle} else 2 * ({middle}) / (0.5 + sqrt(greatest(0.25 + 2 * ({middle}), 0))) end"""
+
+
+OP8_SQL = f"""
+with b as (select doc_id, source, cast(len({BLANK_WORDS}) as bigint) as size, md5('0:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+s as (select source, cast(sum(size) as bigint) as source_size from b group by source),
+r as (select *, row_number() over (order by source is null, source) - 1 as nth from s),
+c as (select *, nth % 3 as class, case nth % 3 when 0 then 3.0 when 1 then 1.0 else 2.0 end::double as weight, 2.0::double * source_size as cap,
+      1.5::double * sum(source_size) over () as budget from r),
+l as (select *, (budget - coalesce(sum(cap) over (order by cap / weight, nth rows between unbounded preceding and 1 preceding), 0))
+      / sum(weight) over (order by cap / weight, nth rows between current row and unbounded following) as level from c),
+m as (select *, level > cap / weight as is_full from l),
+t as (select source, source_size, class, case when is_full then cap else weight * (select min_by(level, (cap / weight, nth)) from m where not is_full) end as target from m),
+d as (select b.*, source_size, class, target, cast(floor(target + 0.5) as bigint) as wanted,
+      cast(coalesce(sum(size) over (partition by b.source order by h, doc_id, size rows between unbounded preceding and 1 preceding), 0) as bigint) as start
+      from b join t on b.source is not distinct from t.source),
+p as (select *, greatest(0, least(size, wanted - start)) as p0, greatest(0, least(size, wanted - start - source_size)) as p1 from d),
+q as (select *, case when p0 > 0 then (start + p0 / 2) / wanted end as m0, case when p1 > 0 then (start + source_size + p1 / 2) / wanted end as m1 from p)
+select doc_id, size, source_size, target, cast(p0 + p1 as bigint) as taken, cast(p0 > 0 as int) + cast(p1 > 0 as int) as passes,
+       {_position("m0")} as position, {_position("m1")} as later_position from q
+"""
+register("op8_curriculum", op8_curriculum, OP8_SQL)
+
+
+def op10_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark hits of every document."""
+    spark = configure(spark)
+    return decontaminate.contamination(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text"))
+
+
+OP10_SQL = f"""
+with d as (select doc_id, {ALNUM_WORDS} as w from documents),
+b as (select item_id, {ALNUM_WORDS} as w from benchmark),
+iw as (select distinct item_id, least(len(w), 10) as n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as p
+       from (select item_id, w, unnest(range(1, greatest(2, len(w) - 8))) as i from b where len(w) > 0)),
+dw as (select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as p
+       from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct n from iw) where len(w) >= n)),
+h as (select distinct dw.doc_id, dw.i, dw.n, iw.item_id from dw join iw on dw.n = iw.n and dw.p = iw.p),
+x as (select doc_id, count(distinct spot) as n_hit from (select doc_id, unnest(range(i, i + n)) as spot from h) group by 1),
+y as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from h) group by 1)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join x using (doc_id) left join y using (doc_id)
+"""
+register("op10_index", op10_index, OP10_SQL)
