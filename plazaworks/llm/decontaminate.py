@@ -39,6 +39,11 @@ def term_filter(terms: DataFrame) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def _n_words(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series([len(alnum_words(t)) for t in batch], dtype="int64")
+
+
 def _windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in rows_of(batches):
         ids, terms = [], []
@@ -186,9 +191,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     hits = found.select("doc_id", F.explode(F.sequence("start", F.col("end") - 1)).alias("at")).distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_hit"))
     items = found.select("doc_id", "phrase").distinct().join(windows.where("item_id is not null").select("phrase", "item_id"), "phrase").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
     items = items.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("item"))).alias("items"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    # words are counted on the upper half of the same split: A-Z are word characters before lower-casing
-    rows = docs.select("doc_id", F.regexp_count(text, F.lit("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+")).cast("long").alias("n_words"))
+    rows = docs.select("doc_id", F.pandas_udf(_n_words, "long")("text").alias("n_words"))
     out = rows.join(hits, "doc_id", "left").join(items, "doc_id", "left")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
