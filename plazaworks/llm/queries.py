@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import curriculum, decontaminate, minhash, ring
+from . import consensus, curriculum, decontaminate, minhash, ring
 from .registry import ORACLES, QUERIES, register, table  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -96,3 +96,11 @@ select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
 from d left join x using (doc_id) left join y using (doc_id)
 """
 register("op10_index", op10_index, OP10_SQL)
+
+
+def op4_consensus(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return consensus.extract_main_text(table(configure(spark), folder, "pages", "page_id", "url", "html"))
+
+
+register("op4_consensus", op4_consensus)
