@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import consensus, curriculum, decontaminate, minhash, ring
+from . import consensus, curriculum, decontaminate, licenses, minhash, ring, subspace
 from .registry import ORACLES, QUERIES, register, table  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -104,3 +104,49 @@ def op4_consensus(spark: SparkSession, folder: str) -> DataFrame:
 
 
 register("op4_consensus", op4_consensus)
+
+
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and templates of every document."""
+    return licenses.license_scan(table(configure(spark), folder, "documents", "doc_id", "text"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+OP6_SQL = f"""
+with d as (select doc_id, text, {ALNUM_WORDS} as w from documents),
+p(phrase, label) as (values ('gnu general public license', 'gpl'), ('apache license', 'apache'), ('cc by', 'cc-by'), ('mit license', 'mit')),
+h as (select doc_id, i - 1 as spot, label from (select doc_id, w, phrase, label, unnest(range(1, len(w) + 1)) as i from d, p)
+      where array_to_string(w[i:i + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
+b as (select doc_id, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list_sort(list(distinct label)) as labels from h group by 1),
+t as (select label, list_distinct({ALNUM_WORDS}) as t from (values {', '.join(f'({_quoted(k)}, {_quoted(v)})' for k, v in licenses.TEMPLATES.items())}) x(label, text)),
+l as (select doc_id, list_distinct({ALNUM_WORDS}) as w from (select doc_id, unnest(string_split(text, chr(10))) as text from documents)),
+c as (select doc_id, label, len(list_intersect(w, t)) / len(t) as share from l, t where 100 * len(list_intersect(w, t)) >= 80 * len(t)),
+f as (select doc_id, max(share) as best, list(distinct label) as found from c group by 1)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+       coalesce(array_to_string(b.labels, ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, f.found))), ','), '') as labels,
+       greatest(coalesce(best, 0), case when n_base > 0 then 1 else 0 end)::double as score
+from d left join b using (doc_id) left join f using (doc_id)
+"""
+register("op6_licenses", op6_licenses, OP6_SQL)
+
+
+def op9_subspace(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and class of every vector."""
+    return subspace.linked_vectors(table(configure(spark), folder, "embeddings", "vec_id", "embedding"))
+
+
+OP9_SQL = """
+with recursive v as (select vec_id, embedding::double[] as e from embeddings where len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))),
+n as (select vec_id, e, sqrt(list_dot_product(e, e)) as n from v where list_dot_product(e, e) > 0),
+l as (select a.vec_id as x, b.vec_id as y from n a join n b on a.vec_id <> b.vec_id and list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+r as (select vec_id as x, vec_id as y from embeddings union select r.x, l.y from r join l on r.y = l.x),
+k as (select x, min(y) as component_id from r group by x),
+m as (select x, count(*) as n_links from l group by x)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from embeddings join k on k.x = vec_id left join m on m.x = vec_id
+"""
+register("op9_subspace", op9_subspace, OP9_SQL)
