@@ -15,8 +15,7 @@ from .common import connected_components, written
 
 COSINE = 0.9
 BLOCK_DIMS = 16  # dimensions of a block of the rotated space
-CELL_ROWS = 256  # vectors that a cell should hold on average
-CHUNK = 1024  # vectors of one side of a task
+CHUNK = 4096  # vectors of one side of a task, and about as many of a cell's own
 EPS = 1e-9  # added to every budget, far above rounding errors
 
 
@@ -134,7 +133,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
        vectors within the distance hold no more than a proportional share of it
        in at least one block. In every block a vector is sent to its own cell
        and to the higher cells that this share can reach.
-    3. Cells are joined in chunks of at most about a thousand vectors a side;
+    3. Cells are joined in chunks of about four thousand vectors a side;
        candidates are verified on the whole vectors in double precision, and
        counted in the first block that found them.
 
@@ -149,7 +148,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     sound = F.col("vec_id").isNotNull() & finite & F.coalesce(F.exists(e, lambda v: v != 0), F.lit(False))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", sound.alias("sound"))
     nodes = written(rows.where("sound").groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "nodes")
-    bits = max(2, math.ceil(math.log2(max(1, nodes.count()) / CELL_ROWS)))
+    bits = max(1, math.ceil(math.log2(max(1, nodes.count()) / CHUNK)))
     spots = nodes.select("node", "embedding").mapInArrow(partial(_place, bits=bits, cosine=cosine), "dims int, block int, cell int, home boolean, node long")
     spots = written(spots, "cells")
     key = ["dims", "block", "cell"]
