@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import consensus, curriculum, decontaminate, licenses, minhash, ring, subspace
+from . import consensus, curriculum, decontaminate, licenses, minhash, recurrent, ring, subspace, subwords, surrogates
 from .registry import ORACLES, QUERIES, register, table  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -150,3 +150,29 @@ select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component
 from embeddings join k on k.x = vec_id left join m on m.x = vec_id
 """
 register("op9_subspace", op9_subspace, OP9_SQL)
+
+
+def op3_subwords(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    spark = configure(spark)
+    return subwords.quality(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "labels", "doc_id", "quality"))
+
+
+register("op3_subwords", op3_subwords)
+
+
+def op5_recurrent(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    spark = configure(spark)
+    return recurrent.toxicity(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "labels", "doc_id", "toxic"))
+
+
+register("op5_recurrent", op5_recurrent)
+
+
+def op2_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    return surrogates.replace_entities(table(configure(spark), folder, "documents", "doc_id", "text"))
+
+
+register("op2_surrogates", op2_surrogates)
