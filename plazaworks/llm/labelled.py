@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from zlib import crc32
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +40,24 @@ def class_totals(labels: DataFrame, label: str) -> tuple[int, int]:
     return max(1, known[0]), max(1, known[1])
 
 
-def char_ngrams(word: str, shortest: int, longest: int, buckets: int) -> list[int]:
-    """Hashed character n-grams of a word between boundary marks."""
-    marked = f"<{word}>"
-    return [crc32(marked[i : i + n].encode("utf-8", "surrogatepass")) % buckets for n in range(shortest, longest + 1) for i in range(len(marked) - n + 1)]
+def char_ngrams(words: list[str], shortest: int, longest: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed character n-grams of words between boundary marks, word after word, and their number per word.
+
+    All words are hashed at once: one array of code points, shifted against itself.
+    """
+    lengths = np.array([len(w) + 2 for w in words])
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters up to the word's end
+    padded = np.concatenate([codes, np.zeros(longest, np.uint64)])
+    value, ids = np.zeros(len(codes), np.uint64), []
+    for n in range(1, longest + 1):
+        value = (value + padded[n - 1 : n - 1 + len(codes)]) * np.uint64(0x9E3779B97F4A7C15)
+        value ^= value >> np.uint64(29)
+        if n >= shortest:
+            ids.append((value + np.uint64(n)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32))
+    there = room[:, None] >= np.arange(shortest, longest + 1)
+    grams = (np.stack(ids, axis=1)[there] % np.uint64(buckets)).astype(np.int64)
+    return grams, np.add.reduceat(there.sum(1), np.cumsum(lengths) - lengths)
 
 
 def word_bucket(word: str, buckets: int) -> int:

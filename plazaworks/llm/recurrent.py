@@ -45,17 +45,15 @@ def new_params(seed: int = 0) -> Params:
     }
 
 
-def word_features(word: str) -> tuple[int, list[int]]:
-    return word_bucket(word, WORDS), char_ngrams(word, SHORTEST, LONGEST, CHARS)
+def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of words, those of their character n-grams word after word, and how many each has."""
+    return np.array([word_bucket(w, WORDS) for w in words]), *char_ngrams(words, SHORTEST, LONGEST, CHARS)
 
 
-def word_inputs(p: Params, features: list[tuple[int, list[int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_inputs(p: Params, ids: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Input vector of each word: its own one, and the mean of its character n-grams."""
-    ids = np.array([f[0] for f in features])
-    counts = np.array([len(f[1]) for f in features])
-    grams = np.concatenate([f[1] for f in features]).astype(np.int64)
-    means = np.add.reduceat(p["chars"][grams], np.concatenate([[0], np.cumsum(counts)])[:-1]) / counts[:, None]
-    return np.concatenate([p["words"][ids], means], axis=1).astype(np.float32), ids, grams, counts
+    means = np.add.reduceat(p["chars"][grams], np.cumsum(counts) - counts) / counts[:, None]
+    return np.concatenate([p["words"][ids], means], axis=1).astype(np.float32)
 
 
 def run_gates(gates: np.ndarray, u: np.ndarray, keep: list | None = None) -> np.ndarray:
@@ -162,14 +160,17 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = RAT
         p["out_bias"][:] = 0 if not len(ys) else 8 * (ys[0] - 0.5)
         return p
     at, owner = np.concatenate(parts), np.concatenate(owner)
-    features = [word_features(w) for w in vocabulary]
+    features = word_features(list(vocabulary))
+    word_ids, word_counts = features[0], features[2]
+    word_grams = np.split(features[1], np.cumsum(word_counts)[:-1])
     squares = {k: np.full_like(v, 1e-4) for k, v in p.items() if k != "calibration"}
 
     def step(rows: np.ndarray, w: np.ndarray) -> None:
         used, places = np.unique(at[rows], return_inverse=True)
         used, places = (used[1:], places) if used[0] == 0 else (used, places + 1)  # row 0: no word
         places = places.reshape(len(rows), WIDTH)
-        x, ids, grams, counts = word_inputs(p, [features[i - 1] for i in used])
+        ids, grams, counts = word_ids[used - 1], np.concatenate([word_grams[i - 1] for i in used]), word_counts[used - 1]
+        x = word_inputs(p, ids, grams, counts)
         table = np.concatenate([np.zeros((1, 6 * HIDDEN), np.float32), x @ p["input"] + p["input_bias"]])
         g, dtable = gradients(p, table, places, ys[owner[rows]], w)
         dt = dtable[1:]
@@ -183,7 +184,7 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = RAT
             p[name] -= rate * d / np.sqrt(squares[name])
 
     def best() -> tuple[np.ndarray, np.ndarray]:
-        table = gate_table(p, features)
+        table = gate_table(p, *features)
         z = np.concatenate([logits(p, table, at[i : i + AT_ONCE]) for i in range(0, len(at), AT_ONCE)])
         top = np.full(len(ys), -np.inf, np.float32)
         np.maximum.at(top, owner, z)
@@ -225,12 +226,10 @@ def calibrated(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.array([w[0] / spread, w[1] - w[0] * mean / spread], np.float32)
 
 
-def gate_table(p: Params, features: list[tuple[int, list[int]]]) -> np.ndarray:
+def gate_table(p: Params, *features: np.ndarray) -> np.ndarray:
     """Input parts of the gates of words, below a row of zeros for no word."""
     zero = np.zeros((1, 6 * HIDDEN), np.float32)
-    if not features:
-        return zero
-    return np.concatenate([zero, word_inputs(p, features)[0] @ p["input"] + p["input_bias"]])
+    return np.concatenate([zero, word_inputs(p, *features) @ p["input"] + p["input_bias"]]) if features else zero
 
 
 def scorer(p: Params) -> Callable[[Column], Column]:
@@ -243,7 +242,7 @@ def scorer(p: Params) -> Callable[[Column], Column]:
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, int] = {}
-        table = gate_table(p, [])
+        table = gate_table(p)
         slope, shift = (float(x) for x in p["calibration"])
         for texts in batches:
             top = np.empty(len(texts), np.float64)
@@ -257,9 +256,9 @@ def scorer(p: Params) -> Callable[[Column], Column]:
                             _score_all(p, table, docs, top)
                             docs, pending = [], 0
                             known.clear()
-                            table, new = gate_table(p, []), list(set(words))
+                            table, new = gate_table(p), list(set(words))
                         known |= {w: len(known) + 1 + k for k, w in enumerate(new)}
-                        table = _grown(table, gate_table(p, [word_features(w) for w in new])[1:], len(known) - len(new) + 1)
+                        table = _grown(table, gate_table(p, *word_features(new))[1:], len(known) - len(new) + 1)
                     docs.append((i, windows([known[w] for w in words] or [0])))
                     pending += len(docs[-1][1])
                 if pending >= AT_ONCE or i == len(texts):

@@ -29,8 +29,10 @@ class Subwords:
     bias: np.ndarray
 
 
-def features_of(word: str) -> list[int]:
-    return [word_bucket(word, BUCKETS), *[BUCKETS + i for i in char_ngrams(word, SHORTEST, LONGEST, BUCKETS)]]
+def features_of(words: list[str]) -> list[np.ndarray]:
+    """Feature numbers of each word: its own, and those of its character n-grams."""
+    grams, counts = char_ngrams(words, SHORTEST, LONGEST, BUCKETS)
+    return [np.append(g + BUCKETS, word_bucket(w, BUCKETS)) for w, g in zip(words, np.split(grams, np.cumsum(counts)[:-1]), strict=True)]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -46,16 +48,12 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = RAT
     """
     rng = np.random.default_rng(seed)
     model = Subwords(rng.uniform(-1 / dims, 1 / dims, (2 * BUCKETS, dims)), np.zeros((dims, 2)), np.zeros(2))
-    known: dict[str, list[int]] = {}
+    vocabulary = list(dict.fromkeys(w for text, _ in sample for w in text.split()))
+    known = dict(zip(vocabulary, features_of(vocabulary), strict=True)) if vocabulary else {}
     bags, ys = [], []
     for text, y in sample:
-        ids = []
-        for w in text.split():
-            if w not in known:
-                known[w] = features_of(w)
-            ids += known[w]
-        if ids:
-            at, n = np.unique(ids, return_counts=True)
+        if words := text.split():
+            at, n = np.unique(np.concatenate([known[w] for w in words]), return_counts=True)
             bags.append((at, n / n.sum()))
             ys.append(y)
     share = np.bincount(ys, minlength=2) / max(1, len(ys))
@@ -100,9 +98,11 @@ def scorer(model: Subwords) -> Callable[[Column], Column]:
                 if len(value) > CACHE:
                     value.clear()
                     size.clear()
-                for w in set(words).difference(value):
-                    ids = features_of(w)
-                    value[w], size[w] = float(part[ids].sum()), len(ids)
+                if new := list(set(words).difference(value)):
+                    grams, counts = char_ngrams(new, SHORTEST, LONGEST, BUCKETS)
+                    sums = np.add.reduceat(part[BUCKETS + grams], np.cumsum(counts) - counts) + part[[word_bucket(w, BUCKETS) for w in new]]
+                    value |= zip(new, sums.tolist(), strict=True)
+                    size |= zip(new, (counts + 1).tolist(), strict=True)
                 out[i] += sum(map(value.__getitem__, words)) / sum(map(size.__getitem__, words))
             yield pd.Series(1 / (1 + np.exp(-out)))
 
