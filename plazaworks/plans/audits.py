@@ -43,15 +43,17 @@ def withholding(docs: DataFrame, concepts: DataFrame, minimum: float = vocab.WIT
 
     docs: period, payer, doc, description, total; concepts: concept, code, rate.
     The highest rate of a document applies to its largest total, rounded to
-    whole units.  Payers in ``first_party`` are left out.
+    whole units; of codes with that rate the smallest is named.  Payers in
+    ``first_party`` are left out.
     """
     kind = classify_by_prefix("payer", {"1P": list(first_party)}, default="3P") if first_party else F.lit("3P")
     rows = docs.where(kind == "3P").withColumn("concept", classify(F.lower("description"), vocab.WITHHOLDING_CONCEPTS, vocab.WITHHOLDING_OTHER))
     rows = attach(rows, concepts, ["concept"])
     liable = threshold_groups(rows, ["period", "payer"], "doc", "total", minimum)
-    # the code that comes with the highest rate of the document
-    best = rows.where(F.col("rate").isNotNull()).groupBy("doc").agg(F.max(F.struct("rate", "code")).alias("_b"))
-    out = attach(liable, best.select("doc", "_b.code", "_b.rate"), ["doc"])
+    # the smallest code that comes with the highest rate of the document
+    first = F.struct((-F.col("rate")).alias("lowered"), F.col("code").isNull().alias("bare"), "code")
+    best = rows.where(F.col("rate").isNotNull()).groupBy("doc").agg(F.min(first).alias("_b"))
+    out = attach(liable, best.select("doc", "_b.code", (-F.col("_b.lowered")).alias("rate")), ["doc"])
     return out.withColumn("withheld", round_half_even(F.col("total") * F.col("rate"), 0))
 
 

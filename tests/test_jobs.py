@@ -126,3 +126,14 @@ def test_word_ids_are_cut_in_front_and_padded_behind(spark):
     out = X.word_sequences(df, "w", ["a", "b"], length=5).orderBy("id").collect()
     assert [r["sequence"] for r in out] == [[1, 2, 1, 0, 0], [1, 2, 1, 2, 1]]
     assert X.common_words(df, "w", 3) == ["a", "b"]
+
+
+def test_withholding_names_the_smallest_code_of_a_tie(spark):
+    from plazaworks import vocab
+    from plazaworks.plans.audits import withholding
+
+    concept = vocab.WITHHOLDING_OTHER
+    docs = spark.createDataFrame([("2024-01", "p", "d", "no known words", 5000.0)], "period string, payer string, doc string, description string, total double")
+    # two concepts of one document with one rate
+    concepts = spark.createDataFrame([(concept, "037", 0.12), (concept, "022", 0.12)], "concept string, code string, rate double")
+    assert {r["code"] for r in withholding(docs, concepts).collect()} == {"022"}
