@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,8 @@ SHORTEST, LONGEST = 2, 5  # character n-grams
 PER_CLASS, MOST_CHARS = 1500, 12_000  # the labelled sample
 EPOCHS, RATE, BATCH = 5, 0.08, 256
 CACHE = 150_000  # words whose input gates a task remembers
-AT_ONCE = 4096  # windows scored at once
+AT_ONCE = 4096  # windows whose words are looked up at once
+BLOCK = 1024  # windows that run through the network at once
 Params = dict[str, np.ndarray]
 
 
@@ -56,18 +58,18 @@ def word_inputs(p: Params, ids: np.ndarray, grams: np.ndarray, counts: np.ndarra
     return np.concatenate([p["words"][ids], means], axis=1).astype(np.float32)
 
 
-def run_gates(gates: np.ndarray, u: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States of one direction; ``gates`` (steps, windows, 3 x hidden) holds the inputs' parts."""
+def run_gates(table: np.ndarray, steps: np.ndarray, u: np.ndarray, keep: list | None = None) -> np.ndarray:
+    """States (steps, hidden, windows) of one direction; row ``steps[t]`` of ``table`` holds the inputs' parts."""
     h = HIDDEN
-    state = np.zeros((gates.shape[1], h), np.float32)
-    out = np.empty((*gates.shape[:2], h), np.float32)
-    for t, a in enumerate(gates):
-        s = state @ u
-        zr = _sigmoid(a[:, : 2 * h] + s[:, : 2 * h])
-        z, r = zr[:, :h], zr[:, h:]
-        n = np.tanh(a[:, 2 * h :] + r * s[:, 2 * h :])
+    state = np.zeros((h, steps.shape[1]), np.float32)
+    out = np.empty((len(steps), *state.shape), np.float32)
+    for t, rows in enumerate(steps):
+        a, s = np.ascontiguousarray(table[rows].T), u.T @ state
+        zr = _sigmoid(a[: 2 * h] + s[: 2 * h])
+        z, r = zr[:h], zr[h:]
+        n = np.tanh(a[2 * h :] + r * s[2 * h :])
         if keep is not None:
-            keep.append((state, z, r, n, s[:, 2 * h :]))
+            keep.append((state, z, r, n, s[2 * h :]))
         state = n + z * (state - n)
         out[t] = state
     return out
@@ -75,7 +77,7 @@ def run_gates(gates: np.ndarray, u: np.ndarray, keep: list | None = None) -> np.
 
 def back_gates(grad: np.ndarray, u: np.ndarray, kept: list) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of the gates and of ``u`` from those of the states."""
-    du, dgates = np.zeros_like(u), np.empty((*grad.shape[:2], 3 * HIDDEN), np.float32)
+    du, dgates = np.zeros_like(u), np.empty((len(grad), 3 * HIDDEN, grad.shape[2]), np.float32)
     dstate = np.zeros_like(grad[0])
     for t in range(len(grad) - 1, -1, -1):
         before, z, r, n, s_n = kept[t]
@@ -83,57 +85,67 @@ def back_gates(grad: np.ndarray, u: np.ndarray, kept: list) -> tuple[np.ndarray,
         dn = d * (1 - z) * (1 - n * n)
         dz = d * (before - n) * z * (1 - z)
         dr = dn * s_n * r * (1 - r)
-        dgates[t] = np.concatenate([dz, dr, dn], axis=1)
-        ds = np.concatenate([dz, dr, dn * r], axis=1)
-        du += before.T @ ds
-        dstate = d * z + ds @ u.T
+        dgates[t] = np.concatenate([dz, dr, dn])
+        ds = np.concatenate([dz, dr, dn * r])
+        du += before @ ds.T
+        dstate = d * z + u @ ds
     return dgates, du
 
 
 def logits(p: Params, table: np.ndarray, at: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Output of each window; ``at`` (windows, steps) names rows of ``table``, whose row 0 stands for no word."""
-    h, steps = HIDDEN, at.T
-    gates = table[steps]
+    h, steps = HIDDEN, np.ascontiguousarray(at.T)
     kf, kb = ([], []) if keep is not None else (None, None)
-    forward = run_gates(gates[:, :, : 3 * h], p["forward"], kf)
-    backward = run_gates(gates[::-1, :, 3 * h :], p["backward"], kb)[::-1]
-    states = np.concatenate([forward, backward], axis=2)
-    hidden = np.tanh(states @ p["attend"])
-    weight = np.where(steps > 0, hidden @ p["attend_out"], np.float32(-30))
+    forward = run_gates(table[:, : 3 * h], steps, p["forward"], kf)
+    backward = run_gates(table[:, 3 * h :], steps[::-1], p["backward"], kb)[::-1]
+    states = np.concatenate([forward, backward], axis=1)
+    hidden = np.tanh(p["attend"].T @ states)
+    weight = np.where(steps > 0, p["attend_out"] @ hidden, np.float32(-30))
     weight = np.exp(weight - weight.max(0))
     weight /= weight.sum(0)
-    pooled = (weight[:, :, None] * states).sum(0)
+    pooled = (weight[:, None] * states).sum(0)
     if keep is not None:
         keep |= {"kf": kf, "kb": kb, "states": states, "hidden": hidden, "weight": weight, "pooled": pooled}
-    return pooled @ p["out"] + p["out_bias"][0]
+    return p["out"] @ pooled + p["out_bias"][0]
+
+
+def summed(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers of ``at`` in order, and the sum of the rows of ``values`` of each."""
+    order = np.argsort(at, kind="stable")
+    ranked = at[order]
+    starts = np.flatnonzero(np.diff(ranked, prepend=-1))
+    return ranked[starts], np.add.reduceat(values[order], starts)
 
 
 def gradients(p: Params, table: np.ndarray, at: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[Params, np.ndarray]:
-    """Gradients of the weighted log loss, and those of the rows of ``table``."""
+    """Gradients of the weighted log loss, and those of the rows of ``table`` below row 0; ``at`` names each of them."""
     k: dict = {}
     d = ((_sigmoid(logits(p, table, at, k)) - y) * w / len(y)).astype(np.float32)
-    g: Params = {"out": k["pooled"].T @ d, "out_bias": np.array([d.sum()], np.float32)}
-    dpooled = d[:, None] * p["out"]
-    dweight = (k["states"] * dpooled).sum(2)
+    g: Params = {"out": k["pooled"] @ d, "out_bias": np.array([d.sum()], np.float32)}
+    dpooled = p["out"][:, None] * d
+    dweight = (k["states"] * dpooled).sum(1)
     dscore = k["weight"] * (dweight - (k["weight"] * dweight).sum(0))
-    dhidden = dscore[:, :, None] * p["attend_out"] * (1 - k["hidden"] ** 2)
-    g["attend_out"] = (k["hidden"] * dscore[:, :, None]).sum((0, 1))
-    g["attend"] = np.einsum("tni,tnj->ij", k["states"], dhidden)
-    dstates = k["weight"][:, :, None] * dpooled + dhidden @ p["attend"].T
+    dhidden = p["attend_out"][:, None] * dscore[:, None] * (1 - k["hidden"] ** 2)
+    g["attend_out"] = (k["hidden"] * dscore[:, None]).sum((0, 2))
+    g["attend"] = (k["states"] @ dhidden.transpose(0, 2, 1)).sum(0)
+    dstates = k["weight"][:, None] * dpooled + p["attend"] @ dhidden
     h = HIDDEN
-    df, g["forward"] = back_gates(dstates[:, :, :h], p["forward"], k["kf"])
-    db, g["backward"] = back_gates(dstates[::-1, :, h:], p["backward"], k["kb"])
-    dtable = np.zeros_like(table)
-    np.add.at(dtable, at.T, np.concatenate([df, db[::-1]], axis=2))
-    return g, dtable
-
-
-def windows(ids: list[int] | np.ndarray) -> np.ndarray:
-    """Rows of word numbers of all windows of a text, filled up with 0."""
-    ids = np.asarray(ids)
-    starts = np.array(starts_of(len(ids)))
+    df, g["forward"] = back_gates(dstates[:, :h], p["forward"], k["kf"])
+    db, g["backward"] = back_gates(dstates[::-1, h:], p["backward"], k["kb"])
+    dgates = np.concatenate([df, db[::-1]], axis=1).transpose(0, 2, 1).reshape(-1, 6 * h)
+    named, dtable = summed(at.T.ravel(), dgates)
+    return g, dtable[int(named[0] == 0) :]
+
+
+def windows(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of all windows of texts that stand one after the other, filled up with 0, and the text of each."""
+    counts = np.array([len(starts_of(n)) for n in lengths.tolist()])
+    owner = np.repeat(np.arange(len(lengths)), counts)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    ends = np.cumsum(lengths)
+    places = ((ends - lengths)[owner] + STRIDE * within)[:, None] + np.arange(WIDTH)
     padded = np.concatenate([ids, np.zeros(WIDTH, ids.dtype)])
-    return padded[starts[:, None] + np.arange(WIDTH)]
+    return np.where(places < ends[owner, None], padded[places], 0), owner
 
 
 def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 0, totals: tuple[int, int] | None = None) -> Params:
@@ -148,18 +160,18 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = RAT
     p["calibration"] = np.array([1.0, 0.0], np.float32)
     rng = np.random.default_rng(seed)
     vocabulary: dict[str, int] = {}
-    parts, owner, ys = [], [], []
+    ids, lengths, ys = [], [], []
     for text, y in sample:
         if words := words_of(text):
-            parts.append(windows([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]))
-            owner.append(np.full(len(parts[-1]), len(ys)))
+            ids += [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]
+            lengths.append(len(words))
             ys.append(y)
     ys = np.array(ys, np.float32)
     if not len(ys) or ys.min() == ys.max():
         p["out"][:] = 0
         p["out_bias"][:] = 0 if not len(ys) else 8 * (ys[0] - 0.5)
         return p
-    at, owner = np.concatenate(parts), np.concatenate(owner)
+    at, owner = windows(np.array(ids), np.array(lengths))
     features = word_features(list(vocabulary))
     word_ids, word_counts = features[0], features[2]
     word_grams = np.split(features[1], np.cumsum(word_counts)[:-1])
@@ -172,23 +184,20 @@ def train(sample: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = RAT
         ids, grams, counts = word_ids[used - 1], np.concatenate([word_grams[i - 1] for i in used]), word_counts[used - 1]
         x = word_inputs(p, ids, grams, counts)
         table = np.concatenate([np.zeros((1, 6 * HIDDEN), np.float32), x @ p["input"] + p["input_bias"]])
-        g, dtable = gradients(p, table, places, ys[owner[rows]], w)
-        dt = dtable[1:]
+        g, dt = gradients(p, table, places, ys[owner[rows]], w)
         g["input"], g["input_bias"] = x.T @ dt, dt.sum(0)
         dx = dt @ p["input"].T
-        g["words"], g["chars"] = np.zeros_like(p["words"]), np.zeros_like(p["chars"])
-        np.add.at(g["words"], ids, dx[:, :EMBED])
-        np.add.at(g["chars"], grams, np.repeat(dx[:, EMBED:] / counts[:, None], counts, axis=0))
-        for name, d in g.items():
-            squares[name] += d * d
-            p[name] -= rate * d / np.sqrt(squares[name])
+        touched = {name: (slice(None), d) for name, d in g.items()}
+        touched["words"] = summed(ids, dx[:, :EMBED])
+        touched["chars"] = summed(grams, np.repeat(dx[:, EMBED:] / counts[:, None], counts, axis=0))
+        for name, (part, d) in touched.items():
+            squares[name][part] += d * d
+            p[name][part] -= rate * d / np.sqrt(squares[name][part])
 
     def best() -> tuple[np.ndarray, np.ndarray]:
         table = gate_table(p, *features)
-        z = np.concatenate([logits(p, table, at[i : i + AT_ONCE]) for i in range(0, len(at), AT_ONCE)])
-        top = np.full(len(ys), -np.inf, np.float32)
-        np.maximum.at(top, owner, z)
-        return z, top
+        z = outputs(p, table, at)
+        return z, np.maximum.reduceat(z, np.flatnonzero(np.diff(owner, prepend=-1)))
 
     for epoch in range(epochs):
         if epoch < 2:
@@ -245,25 +254,18 @@ def scorer(p: Params) -> Callable[[Column], Column]:
         table = gate_table(p)
         slope, shift = (float(x) for x in p["calibration"])
         for texts in batches:
-            top = np.empty(len(texts), np.float64)
-            docs: list[tuple[int, np.ndarray]] = []
-            pending = 0
-            for i in range(len(texts) + 1):
-                if i < len(texts):
-                    words = words_of(texts.iloc[i])
-                    if new := list(set(words).difference(known)):
-                        if len(known) > CACHE:
-                            _score_all(p, table, docs, top)
-                            docs, pending = [], 0
-                            known.clear()
-                            table, new = gate_table(p), list(set(words))
-                        known |= {w: len(known) + 1 + k for k, w in enumerate(new)}
-                        table = _grown(table, gate_table(p, *word_features(new))[1:], len(known) - len(new) + 1)
-                    docs.append((i, windows([known[w] for w in words] or [0])))
-                    pending += len(docs[-1][1])
-                if pending >= AT_ONCE or i == len(texts):
-                    _score_all(p, table, docs, top)
-                    docs, pending = [], 0
+            top = []
+            for words in together(texts):
+                if len(known) > CACHE:
+                    known.clear()
+                    table = gate_table(p)
+                if new := list(set().union(*words).difference(known)):
+                    table = _grown(table, gate_table(p, *word_features(new))[1:], len(known) + 1)
+                    known |= zip(new, range(len(known) + 1, len(known) + len(new) + 1), strict=True)
+                lengths = np.array([len(w) for w in words])
+                ids = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, lengths.sum())
+                top.append(highest(p, table, *windows(ids, lengths)))
+            top = np.concatenate([*top, []])
             yield pd.Series(1 / (1 + np.exp(-np.clip(slope * top + shift, -30, 30))))
 
     return F.pandas_udf(score, "double")
@@ -277,14 +279,28 @@ def _grown(table: np.ndarray, rows: np.ndarray, at: int) -> np.ndarray:
     return table
 
 
-def _score_all(p: Params, table: np.ndarray, docs: list[tuple[int, np.ndarray]], top: np.ndarray) -> None:
-    """Write the largest output of each text's windows to ``top``."""
-    if not docs:
-        return
-    at = np.concatenate([w for _, w in docs])
-    z = np.concatenate([logits(p, table, at[i : i + AT_ONCE]) for i in range(0, len(at), AT_ONCE)])
-    starts = np.concatenate([[0], np.cumsum([len(w) for _, w in docs])])[:-1]
-    top[[i for i, _ in docs]] = np.maximum.reduceat(z, starts)
+def together(texts: pd.Series) -> Iterator[list[list[str]]]:
+    """Words of texts, so many texts at a time as have some thousand windows."""
+    some: list[list[str]] = []
+    n = 0
+    for text in texts:
+        some.append(words_of(text))
+        n += len(some[-1])
+        if n >= AT_ONCE * STRIDE:
+            yield some
+            some, n = [], 0
+    if some:
+        yield some
+
+
+def highest(p: Params, table: np.ndarray, at: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Largest output of the windows of each text."""
+    return np.maximum.reduceat(outputs(p, table, at), np.flatnonzero(np.diff(owner, prepend=-1)))
+
+
+def outputs(p: Params, table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Output of each window, a block of windows at a time."""
+    return np.concatenate([logits(p, table, at[i : i + BLOCK]) for i in range(0, len(at), BLOCK)])
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS) -> Params:

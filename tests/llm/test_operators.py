@@ -187,4 +187,5 @@ def test_classifiers_on_odd_rows(spark, odd, empty):
 
 def test_windows_cover_the_text():
     for n in (1, 12, 13, 24, 25, 100):
-        assert set(range(1, n + 1)) <= set(recurrent.windows(np.arange(1, n + 1)).ravel().tolist())
+        at, owner = recurrent.windows(np.arange(1, n + 3), np.array([n, 2]))
+        assert set(at[owner == 0].ravel().tolist()) - {0} == set(range(1, n + 1)) and set(at[owner == 1].ravel().tolist()) == {0, n + 1, n + 2}
