@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOLDS = 5  # rows whose checksum is 0 modulo this are held out
+BLOCK = 8192  # words hashed at once
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -43,8 +44,14 @@ def class_totals(labels: DataFrame, label: str) -> tuple[int, int]:
 def char_ngrams(words: list[str], shortest: int, longest: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed character n-grams of words between boundary marks, word after word, and their number per word.
 
-    All words are hashed at once: one array of code points, shifted against itself.
+    Some thousand words are hashed at once, so that what is made on the way stays small.
     """
+    parts = [_char_ngrams(words[i : i + BLOCK], shortest, longest, buckets) for i in range(0, len(words), BLOCK)]
+    return np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts])
+
+
+def _char_ngrams(words: list[str], shortest: int, longest: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of one block of words: one array of code points, shifted against itself."""
     lengths = np.array([len(w) + 2 for w in words])
     codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters up to the word's end
@@ -56,7 +63,7 @@ def char_ngrams(words: list[str], shortest: int, longest: int, buckets: int) ->
         if n >= shortest:
             ids.append((value + np.uint64(n)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32))
     there = room[:, None] >= np.arange(shortest, longest + 1)
-    grams = (np.stack(ids, axis=1)[there] % np.uint64(buckets)).astype(np.int64)
+    grams = (np.stack(ids, axis=1)[there] % np.uint64(buckets)).astype(np.int32)
     return grams, np.add.reduceat(there.sum(1), np.cumsum(lengths) - lengths)
 
 

@@ -237,8 +237,15 @@ def calibrated(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def gate_table(p: Params, *features: np.ndarray) -> np.ndarray:
     """Input parts of the gates of words, below a row of zeros for no word."""
-    zero = np.zeros((1, 6 * HIDDEN), np.float32)
-    return np.concatenate([zero, word_inputs(p, *features) @ p["input"] + p["input_bias"]]) if features else zero
+    parts = [np.zeros((1, 6 * HIDDEN), np.float32)]
+    if features:
+        ids, grams, counts = features
+        ends = np.cumsum(counts)
+        for i in range(0, len(ids), AT_ONCE):  # the vectors of all n-grams together would be large
+            some = slice(i, min(i + AT_ONCE, len(ids)))
+            x = word_inputs(p, ids[some], grams[ends[i] - counts[i] : ends[some.stop - 1]], counts[some])
+            parts.append(x @ p["input"] + p["input_bias"])
+    return np.concatenate(parts)
 
 
 def scorer(p: Params) -> Callable[[Column], Column]:
