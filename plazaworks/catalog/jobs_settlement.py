@@ -7,18 +7,19 @@ from ..plans import audits as A
 from ..plans import settlement as S
 from ..operators.windows import with_row_id, with_sequence
 from ..sources.sinks import with_header
+from ..functions.text import zero_pad
 from .joins import _case
 from .registry import money, num, query
 
 _M = "CAST(l_extendedprice AS DECIMAL(18,2))"
 # sale lines shaped like the reports' ids: order 5 + nine digits, folio 1 + ten, sku 1 + seven
-_SALES = f"""SELECT DISTINCT '5'||lpad(CAST(l_orderkey AS VARCHAR),9,'0') AS order_no, '1'||lpad(CAST(l_orderkey*10+l_linenumber AS VARCHAR),10,'0') AS folio, '1'||lpad(CAST(l_partkey AS VARCHAR),7,'0') AS sku,
+_SALES = f"""SELECT DISTINCT '5'||lpad(CAST(l_orderkey AS VARCHAR),CAST(greatest(9,length(CAST(l_orderkey AS VARCHAR))) AS INT),'0') AS order_no, '1'||lpad(CAST(l_orderkey*10+l_linenumber AS VARCHAR),CAST(greatest(10,length(CAST(l_orderkey*10+l_linenumber AS VARCHAR))) AS INT),'0') AS folio, '1'||lpad(CAST(l_partkey AS VARCHAR),CAST(greatest(7,length(CAST(l_partkey AS VARCHAR))) AS INT),'0') AS sku,
  CAST(l_suppkey%10 AS VARCHAR) AS store, CAST(l_orderkey%50 AS VARCHAR) AS till, CAST(l_partkey%40 AS VARCHAR) AS trx, CAST(l_shipdate AS DATE) AS sold_on, {_M} AS total, CAST({_M}/2 AS DECIMAL(18,2)) AS unit_price FROM lineitem WHERE l_returnflag<>'R'"""
 
 
 def _sales(t):
     l = t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_returnflag").where(F.col("l_returnflag") != "R")
-    pad = lambda c, n: F.concat(F.lit(n[0]), F.lpad(c.cast("string"), n[1], "0"))
+    pad = lambda c, n: F.concat(F.lit(n[0]), zero_pad(c, n[1]))
     k = F.col("l_orderkey")
     m = money("l_extendedprice")
     return l.select(
@@ -109,7 +110,7 @@ def commission_rates(t):
 h AS (SELECT DISTINCT order_no, sku, total FROM n WHERE sold_on<DATE '1996-01-01'), f AS (SELECT n.*, CASE p_type WHEN 'PROMO' THEN 'XXXS' WHEN 'SMALL' THEN 'M' WHEN 'LARGE' THEN 'XL' WHEN 'MEDIUM' THEN 'S' ELSE 'S' END AS size FROM n JOIN part ON p_partkey=l_partkey WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.order_no=n.order_no AND h.sku=n.sku AND h.total=n.total)),
 g AS (SELECT *, CASE WHEN sold_on>=DATE '1996-01-01' AND sold_on<DATE '1998-01-01' THEN {_case(vocab.TARIFF_1, 'total', 'size')} WHEN sold_on>=DATE '1998-01-01' THEN {_case(vocab.TARIFF_2, 'total', 'size')} ELSE 0::DOUBLE END AS shipping FROM f)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CASE WHEN substr(class_code,1,5) IN ('K0010','K0020') THEN substr(class_code,1,5) WHEN substr(class_code,1,3)='K00' THEN 'K00' ELSE class_code END AS category,
- total*rate AS commission, shipping, total-total*rate-shipping AS payable, strftime(date_trunc('week',sold_on),'%Y%m%d')||'-'||strftime(date_trunc('week',sold_on)+INTERVAL 6 DAY,'%Y%m%d') AS week FROM g WHERE sold_on<DATE '2001-06-01'-14 OR l_linestatus='F'""")
+ total*rate AS commission, shipping, total-total*rate-shipping AS payable, '20010528-20010603' AS week FROM g WHERE sold_on<DATE '2001-06-01'-14 OR l_linestatus='F'""")
 def settlement(t):
     """Payable lines of a week with commission, shipping share and net."""
     l = _lines(t).withColumns({

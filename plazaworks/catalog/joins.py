@@ -34,11 +34,11 @@ SELECT o_orderpriority, s_nationkey, CAST(SUM({_LM}) AS DOUBLE) AS total, COUNT(
 FROM lineitem JOIN orders ON l_orderkey=o_orderkey JOIN supplier ON l_suppkey=s_suppkey GROUP BY 1,2
 """)
 def inner_chain(t):
-    """Lines to orders and suppliers; hot order keys are spread over tasks."""
+    """Lines to orders and suppliers; the lines of an order are summed before they are joined."""
     l = t("lineitem", "l_orderkey", "l_suppkey", "l_extendedprice").groupBy("l_orderkey", "l_suppkey").agg(
         F.sum(money("l_extendedprice")).alias("m"), F.count(F.lit(1)).alias("c"))
     o = t("orders", "o_orderkey", "o_orderpriority").withColumnRenamed("o_orderkey", "l_orderkey")
-    rows = J.skew_join(l, o, ["l_orderkey"], "inner").join(t("supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = l.join(o, "l_orderkey").join(t("supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     return rows.groupBy("o_orderpriority", "s_nationkey").agg(num(F.sum("m")).alias("total"), F.sum("c").alias("n"))
 
 
@@ -242,14 +242,14 @@ SELECT DISTINCT page_id, m FROM (
 """)
 def explode_numbers(t):
     """Numbers mentioned in the address or the text of a page."""
-    return J.explode_matches(t.shared_out("pages"), ["page_id"], [("url", r"[0-9]{2,}"), ("html", r"\b2[0-9]{1,9}\b")], "m")
+    return J.explode_matches(t("pages"), ["page_id"], [("url", r"[0-9]{2,}"), ("html", r"\b2[0-9]{1,9}\b")], "m")
 
 
 @query(r"""
 SELECT doc_id, n FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text,'\b[0-9]{3,9}\b'))) AS n FROM documents)
 """)
 def explode_ids(t):
-    return J.explode_matches(t.shared_out("documents", "doc_id", "text"), ["doc_id"], [("text", r"\b[0-9]{3,9}\b")], "n")
+    return J.explode_matches(t("documents", "doc_id", "text"), ["doc_id"], [("text", r"\b[0-9]{3,9}\b")], "n")
 
 
 @query(f"""

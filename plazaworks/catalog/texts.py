@@ -26,7 +26,7 @@ def _strip(c):
 @query(f"SELECT doc_id, md5({_fold('text')}) AS folded, md5({_strip('text')}) AS clean, length(regexp_replace({_strip('text')},'\\s+',' ','g')) AS squeezed FROM documents")
 def text_clean(t):
     """Accent folding, sign removal and blank squeezing over whole texts."""
-    d = t.shared_out("documents", "doc_id", "text")
+    d = t("documents", "doc_id", "text")
     return d.select(
         "doc_id", F.md5(T.fold_accents("text")).alias("folded"), F.md5(T.fold_and_strip("text")).alias("clean"),
         F.length(T.squeeze_blanks(T.fold_and_strip("text"))).cast("bigint").alias("squeezed"),
@@ -89,7 +89,7 @@ SELECT doc_id, CASE WHEN regexp_matches(text,'([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\
 """)
 def contact_extraction(t):
     c = T.extract_contact("text")
-    return t.shared_out("documents", "doc_id", "text").select("doc_id", c["email"].alias("email"), c["phone"].alias("phone"))
+    return t("documents", "doc_id", "text").select("doc_id", c["email"].alias("email"), c["phone"].alias("phone"))
 
 
 def _units_sql(c):
@@ -131,7 +131,7 @@ _TOPICS = (("token|key", "secret"), (r"\bthe\b.*\bof\b", "english"), (r"\bder\b|
 @query("SELECT doc_id, CASE " + " ".join(f"WHEN regexp_matches({_fold('text')},'{p}') THEN '{v}'" for p, v in _TOPICS) + " ELSE 'Otro' END AS topic FROM documents")
 def classify_text(t):
     """Ordered pattern rules over whole folded texts, first match wins."""
-    return t.shared_out("documents", "doc_id", "text").select("doc_id", classify(T.fold_accents("text"), _TOPICS, "Otro").alias("topic"))
+    return t("documents", "doc_id", "text").select("doc_id", classify(T.fold_accents("text"), _TOPICS, "Otro").alias("topic"))
 
 
 def _rules_sql(c, rules, default):
@@ -158,7 +158,7 @@ SELECT conv_id, turn, md5(regexp_replace(regexp_extract(flat,'^(.*con esta infor
 """)
 def mail_body(t):
     """Body of a mail between its opening and closing words."""
-    c = t.shared_out("conversations", "conv_id", "turn", "text")
+    c = t("conversations", "conv_id", "turn", "text")
     mail = F.concat(F.lit("Cuerpo: "), F.col("text"), F.lit(" con esta informacion quedamos. Agradecemos su tiempo"))
     return c.select("conv_id", "turn", F.md5(T.mail_body(mail)).alias("body"))
 
@@ -171,7 +171,7 @@ SELECT doc_id, len(w) AS n, md5(array_to_string(w,' ')) AS h FROM (
  SELECT doc_id, list_filter(regexp_split_to_array(lower(text),'[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x)>0 AND x NOT IN ({','.join(repr(s) for s in _STOP)})) AS w FROM documents)
 """)
 def token_filter(t):
-    d = t.shared_out("documents", "doc_id", "text").withColumn("w", T.tokens("text", _STOP))
+    d = t("documents", "doc_id", "text").withColumn("w", T.tokens("text", _STOP))
     return d.select("doc_id", F.size("w").cast("bigint").alias("n"), F.md5(F.concat_ws(" ", "w")).alias("h"))
 
 
@@ -265,17 +265,17 @@ def fee_split(t):
 
 
 @query(r"""
-SELECT event_id, regexp_replace(regexp_extract(r,'^([^-]*)',1),' PROD','') AS order_id, CASE WHEN event_id%2=0 THEN '1'||lpad(CAST(event_id AS VARCHAR),8,'0') END AS sku, CAST(event_id%3+1 AS BIGINT) AS n_guide,
+SELECT event_id, regexp_replace(regexp_extract(r,'^([^-]*)',1),' PROD','') AS order_id, CASE WHEN event_id%2=0 THEN '1'||lpad(CAST(event_id AS VARCHAR),CAST(greatest(8,length(CAST(event_id AS VARCHAR))) AS INT),'0') END AS sku, CAST(event_id%3+1 AS BIGINT) AS n_guide,
  CASE WHEN regexp_matches(o,'^2') AND length(o)=10 THEN 'FSC' WHEN regexp_matches(o,'^RLO') THEN 'RLO' WHEN length(o)>12 THEN 'Rastreo' ELSE 'Otro' END AS kind
-FROM (SELECT event_id, b||'-'||CAST(event_id%3+1 AS VARCHAR) AS r, b AS o FROM (SELECT event_id, list_extract(['2','RLO','1234','9'],1+CAST(event_id%4 AS INT))||lpad(CAST(event_id AS VARCHAR),9,'0') AS b FROM events))
+FROM (SELECT event_id, b||'-'||CAST(event_id%3+1 AS VARCHAR) AS r, b AS o FROM (SELECT event_id, list_extract(['2','RLO','1234','9'],1+CAST(event_id%4 AS INT))||lpad(CAST(event_id AS VARCHAR),CAST(greatest(9,length(CAST(event_id AS VARCHAR))) AS INT),'0') AS b FROM events))
 """)
 def carrier_feed(t):
     """Order, sku and guide number from a carrier's reference texts."""
     e = t("events", "event_id")
-    base = F.concat(F.get(F.array(*[F.lit(x) for x in ("2", "RLO", "1234", "9")]), (F.col("event_id") % 4).cast("int")), F.lpad(F.col("event_id").cast("string"), 9, "0"))
+    base = F.concat(F.get(F.array(*[F.lit(x) for x in ("2", "RLO", "1234", "9")]), (F.col("event_id") % 4).cast("int")), T.zero_pad("event_id", 9))
     feed = e.select(
         F.concat(base, F.lit("-"), (F.col("event_id") % 3 + 1).cast("string")).alias("reference"),
-        F.concat(F.when(F.col("event_id") % 2 == 0, F.lit("1")).otherwise(F.lit("x")), F.lpad(F.col("event_id").cast("string"), 8, "0"), F.lit(" box")).alias("content"),
+        F.concat(F.when(F.col("event_id") % 2 == 0, F.lit("1")).otherwise(F.lit("x")), T.zero_pad("event_id", 8), F.lit(" box")).alias("content"),
         F.lit(None).cast("string").alias("pieces"), F.col("event_id").alias("guide"), F.lit("").alias("state"), F.lit(None).cast("date").alias("requested_at"),
     )
     out = parse_carrier_feed(feed)

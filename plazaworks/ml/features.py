@@ -17,10 +17,10 @@ def stop_words(language: str = "spanish") -> list[str]:
     return StopWordsRemover.loadDefaultStopWords(language)
 
 
-def text_features(cols: Sequence[str], language: str = "spanish", vocabulary: int = 1 << 14, min_df: float = 1.0) -> Pipeline:
+def text_features(cols: Sequence[str], language: str = "spanish", vocabulary: int = 1 << 18, min_df: float = 1.0) -> Pipeline:
     """Tokens, counts and inverse document frequencies of each text column.
 
-    The vocabulary is bounded, because a model keeps it on every executor.
+    The vocabulary is bounded as by Spark's own default, because a model keeps it on every executor.
     """
     stages = []
     for c in cols:

@@ -1,4 +1,4 @@
-"""Joins: cascades, unique matches, positions, prefixes, effective dates, skew."""
+"""Joins: cascades, unique matches, positions, prefixes, effective dates."""
 
 from __future__ import annotations
 
@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from ..functions.sem import regexp_extract_all_n
 from .windows import with_sequence
 
-MAX_HOT_KEYS = 64
-
 
 def _same(keys: Sequence[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys])
@@ -42,26 +40,6 @@ def attach_group(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame
     return attach(df, df.groupBy(*keys).agg(*aggs), keys, null_safe=True)
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salts: int = 32) -> DataFrame:
-    """Equi-join whose hot left keys are spread over ``salts`` tasks.
-
-    The hot keys are the at most ``MAX_HOT_KEYS`` most frequent ones -- a table
-    of fixed size, which is why it may be broadcast.  Their right rows are
-    repeated once per salt; all other rows are joined as they are.
-    """
-    on = list(on)
-    hot = (
-        left.groupBy(*on).agg(F.count(F.lit(1)).alias("_c")).orderBy(F.desc("_c"), *on).limit(MAX_HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    hot = F.broadcast(hot)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    salted = left.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
-
-
 def anti_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``a`` whose key is not in ``b``."""
     return a.join(b.select(*keys), list(keys), "left_anti")

@@ -80,8 +80,8 @@ def vocabulary(c, groups: Mapping[str, Sequence[str]]) -> Column:
 
 
 def map_vocabulary(df: DataFrame, column: str, mapping: DataFrame, source: str, target: str, name: str) -> DataFrame:
-    """The same from a table that grows: left join, unknown words stay."""
-    side = mapping.select(F.upper(F.col(source)).alias("_w"), F.col(target).alias("_t")).dropDuplicates(["_w"])
+    """The same from a table that grows: left join, unknown words stay; of several targets the smallest counts."""
+    side = mapping.select(F.upper(F.col(source)).alias("_w"), F.col(target).alias("_t")).groupBy("_w").agg(F.min("_t").alias("_t"))
     out = attach(df.withColumn("_w", F.upper(F.col(column))), side, ["_w"])
     return out.withColumn(name, F.coalesce(F.col("_t"), F.col(column))).drop("_w", "_t")
 

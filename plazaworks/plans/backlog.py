@@ -11,6 +11,7 @@ from .. import vocab
 from ..functions.dates import as_date, cutoff
 from ..operators.joins import attach, exclude_keys, flag_by_group
 from ..operators.rules import case_first, ranges
+from ..operators.windows import with_sequence
 
 
 def age(df: DataFrame, target: str, as_of: str) -> DataFrame:
@@ -128,11 +129,12 @@ def alert_payload(rows: DataFrame, audience: DataFrame, seller: str, line: Seque
     """Messages as pages of at most ``page`` lines per (campaign, seller).
 
     A seller with very many orders gets several pages, so no task ever holds all
-    lines of one seller.
+    lines of one seller: lines are numbered block by block of their hash.
     """
     kept = rows.join(audience.select("campaign", seller, "orders", "lines"), ["campaign", seller])
-    pages = F.ceil(F.col("lines") / page)
-    paged = kept.withColumn("page", F.pmod(F.xxhash64(*line), pages))
+    kept = kept.withColumn("_part", F.pmod(F.xxhash64(*line), F.ceil(F.col("lines") / page)))
+    numbered = with_sequence(kept, ["campaign", seller], ["_part", *line], "_n", F.col("_part"))
+    paged = numbered.withColumn("page", F.floor((F.col("_n") - 1) / page))
     return paged.groupBy("campaign", seller, "page").agg(F.sort_array(F.collect_list(F.struct(*line))).alias("rows"))
 
 

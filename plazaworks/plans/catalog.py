@@ -107,9 +107,9 @@ def sku_master(products: DataFrame, data: DataFrame, logistics: DataFrame, price
     """Product master: names, levels, attributes, measured size, price, size histogram.
 
     products: sku, seller_id, name, category, category_code, product_set; data:
-    product_set, attributes.
+    product_set, attributes; of several documents of a set the smallest text counts.
     """
-    rows = attach(products, data.select("product_set", "attributes").dropDuplicates(["product_set"]), ["product_set"])
+    rows = attach(products, data.groupBy("product_set").agg(F.min("attributes").alias("attributes")), ["product_set"])
     rows = level_names(product_names(product_dimensions(rows)), categories)
     rows = attach(rows, logistics_sizes(logistics), ["sku"])
     rows = attach(rows, effective_price(prices, as_of).select("sku", "price"), ["sku"])

@@ -116,7 +116,7 @@ def settle(sales: DataFrame, rates: DataFrame, managers: DataFrame, sizes: DataF
     sales: order_no, folio, sku, seller, class_code, period, sold_on, total,
     unit_price, delivery_state; managers: category, manager; sizes: sku, size;
     settled_before: order_no, sku, total.  A line is payable 14 days after the
-    sale, or once fully delivered.
+    sale, or once fully delivered, and belongs to the week of the run.
     """
     c = F.col
     fresh = new_rows(sales, settled_before, ["order_no", "sku", "total"])
@@ -131,7 +131,7 @@ def settle(sales: DataFrame, rates: DataFrame, managers: DataFrame, sizes: DataF
             **commission_split("total", "rate"),
             "pays": F.when(old | (c("delivery_state") == "Entrega Total"), "SI").otherwise("NO"),
             "shipping": dated_tariff("sold_on", "total", "size", tariffs, exempt),
-            "week": settlement_week("sold_on"),
+            "week": settlement_week(as_date(week_start)),
             "quantity": nearest_units(F.try_divide(c("total"), c("unit_price"))),
         }
     )

@@ -20,18 +20,6 @@ def scan(spark: SparkSession, path: str, cols: Sequence[str] | None = None, wher
     return df.select(*cols) if cols else df
 
 
-def spread(df: DataFrame, split_bytes: int = 128 << 20) -> DataFrame:
-    """Give every core a share of a scan that is smaller than one split per core.
-
-    A small file is a single task, which leaves the other cores idle under heavy
-    per-row work.  The size is the planner's own estimate; a table that already
-    fills the cores with splits is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split_bytes else df
-
-
 def read_delimited_folder(
     spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|", encoding: str = "ISO-8859-1", name_glob: str | None = None
 ) -> DataFrame:

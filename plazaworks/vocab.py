@@ -286,7 +286,8 @@ NODE_SELLER = r"-(SC\w{5})"
 
 # Attribute keys of a product document, in order of preference.
 SCREEN_KEYS = ("258", "724", "844", "1138", "1379", "1434", "1703")
-WIDTH_KEYS = ("48", "55", "60", "72", "344", "375", "514", "10794")
+WIDTH_KEYS = ("48", "55", "60", "72", "344", "375", "514", "548", "730", "762", "938", "962", "1082", "1210", "1295", "1314",
+              "1333", "1405", "1431", "1495", "1719", "10794")
 MODEL_KEY = "32"
 SCREEN_CATEGORY_IDS = ("G19020305", "G19080602")
 

@@ -4,9 +4,10 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from plazaworks import vocab
 from plazaworks.ml import features as X
 from plazaworks.ml import models as M
-from plazaworks.plans import appeals, audits, balance, catalog, orders, settlement, sizes
+from plazaworks.plans import appeals, audits, backlog, balance, catalog, orders, settlement, sizes
 from plazaworks.plans.landing import clean_landed
 
 
@@ -137,3 +138,29 @@ def test_withholding_names_the_smallest_code_of_a_tie(spark):
     # two concepts of one document with one rate
     concepts = spark.createDataFrame([(concept, "037", 0.12), (concept, "022", 0.12)], "concept string, code string, rate double")
     assert {r["code"] for r in withholding(docs, concepts).collect()} == {"022"}
+
+
+def test_message_pages_hold_their_bound(spark):
+    rows = spark.range(5000).select(F.lit("c").alias("campaign"), F.lit("s").alias("seller"), F.col("id").alias("order_no"))
+    audience = spark.createDataFrame([("c", "s", 5000, 5000)], "campaign string, seller string, orders long, lines long")
+    pages = backlog.alert_payload(rows, audience, "seller", ["order_no"]).select(F.size("rows").alias("n"), "rows").collect()
+    assert sorted(r["n"] for r in pages) == [500] * 10
+    assert sorted(x["order_no"] for r in pages for x in r["rows"]) == list(range(5000))
+
+
+def test_old_sale_settles_in_the_week_of_the_run(spark):
+    sales = spark.createDataFrame(
+        [("o", "f", "k", "x", "A", "P", date(2024, 1, 2), 50.0, 50.0, "Entrega Total")],
+        "order_no string, folio string, sku string, seller string, class_code string, period string, sold_on date, total double, unit_price double, delivery_state string")
+    rates = spark.createDataFrame([("P", "1", "x", "", 0.1)], "period string, rule string, seller string, rate_key string, rate double")
+    managers = spark.createDataFrame([("A", "m")], "category string, manager string")
+    parts = spark.createDataFrame([("k", "S")], "sku string, size string")
+    none = sales.select("order_no", "sku", "total").limit(0)
+    row = settlement.settle(sales, rates, managers, parts, none, "2024-03-06", [("2023-01-01", None, vocab.TARIFF_1)]).collect()[0]
+    assert row["week"] == "20240304-20240310"
+
+
+def test_every_width_key_is_read(spark):
+    keys = "48 55 60 72 344 375 514 548 730 762 938 962 1082 1210 1295 1314 1333 1405 1431 1495 1719 10794".split()
+    rows = spark.createDataFrame([(k, f'{{"{k}": "7,5"}}') for k in keys], "name string, attributes string")
+    assert {r["width"] for r in catalog.product_dimensions(rows).select("width").collect()} == {7.5}

@@ -101,14 +101,6 @@ def test_cascade_keeps_rows_and_order_of_rules(spark):
     assert sorted((r["i"], r["rate"]) for r in out.collect()) == [(1, 0.1), (2, 0.3), (3, 0.15), (3, 0.15)]
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_skew_join_equals_join(rows, spark, how):
-    data, df = rows
-    side = spark.createDataFrame([("hot", 1), ("a", 2)], "k string, w int")
-    tidy = lambda d: sorted((r["id"], r["w"] or 0) for r in d.collect())
-    assert tidy(J.skew_join(df, side, ["k"], how, 4)) == tidy(df.join(side, "k", how))
-
-
 def test_unique_values(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (2, "y"), (3, None)], "k int, v string")
     assert [(r["k"], r["v"]) for r in J.unique_values(df, ["k"], "v").collect()] == [(1, "x")]
