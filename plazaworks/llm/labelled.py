@@ -17,21 +17,26 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int) -> list[tuple[str, int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_chars: int, fill: bool = False) -> list[tuple[str, int]]:
     """(text, label) of at most ``per_class`` rows a class, in the order of a hash of doc_id.
 
+    With ``fill``, a class that has fewer labels leaves its room to the other.
     Only rows that are not held out and texts of at most ``most_chars``
     characters teach; the sample is the one thing brought to the driver, and its
     size is at most 2 x per_class x most_chars.
     """
+    room = [per_class, per_class]
+    if fill:
+        few = [min(n, per_class) for n in class_totals(labels, label)]
+        room = [few[y] if few[y] < per_class else 2 * per_class - few[1 - y] for y in (0, 1)]
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col(label).cast("int").alias("y")).distinct()
     short = docs.where((F.length("text") > 0) & (F.length("text") <= most_chars)).select("doc_id", "text")
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("y")]
     # some labelled rows have no short text: more ids than rows are drawn
-    drawn = [known.where(F.col("y") == y).orderBy(*order).limit(2 * per_class) for y in (0, 1)]
+    drawn = [known.where(F.col("y") == y).orderBy(*order).limit(2 * room[y]) for y in (0, 1)]
     rows = []
     for y, ids in enumerate(drawn):
-        rows += short.join(ids, "doc_id").orderBy(*order, "text").limit(per_class).select("text", "y").collect()
+        rows += short.join(ids, "doc_id").orderBy(*order, "text").limit(room[y]).select("text", "y").collect()
     return [(r["text"], r["y"]) for r in rows]
 
 

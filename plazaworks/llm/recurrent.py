@@ -17,7 +17,7 @@ HIDDEN, EMBED, ATTEND = 8, 8, 8
 WORDS, CHARS = 1 << 14, 1 << 15  # hash buckets of words and of character n-grams
 SHORTEST, LONGEST = 2, 5  # character n-grams
 PER_CLASS, MOST_CHARS = 1500, 12_000  # the labelled sample
-EPOCHS, RATE, BATCH = 5, 0.08, 256
+EPOCHS, RATE, BATCH = 6, 0.2, 256
 CACHE = 150_000  # words whose input gates a task remembers
 AT_ONCE = 4096  # windows whose words are looked up at once
 BLOCK = 1024  # windows that run through the network at once
@@ -312,7 +312,7 @@ def outputs(p: Params, table: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS) -> Params:
     """The network learned from ``labels`` (doc_id, toxic) of rows that are not held out, on a bounded sample."""
-    return train(labelled_sample(docs, labels, "toxic", per_class, most_chars), totals=class_totals(labels, "toxic"))
+    return train(labelled_sample(docs, labels, "toxic", per_class, most_chars, fill=True), totals=class_totals(labels, "toxic"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
