@@ -1,5 +1,6 @@
 """Operators on small tables: brute force, and null, empty, repeated and odd rows."""
 
+import textwrap
 from itertools import combinations
 
 import numpy as np
@@ -124,6 +125,17 @@ def test_licenses(spark, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    def wrapped(label, width, mark):
+        return mark + textwrap.fill(" ".join((licenses.TEMPLATES | licenses.TEXTS)[label].split()), width).replace("\n", "\n" + mark)
+
+    labels = sorted(licenses.TEMPLATES | licenses.TEXTS)
+    rows = [(i, f"int x;\n\n{wrapped(label, 50, ' * ')}\n\nint y;") for i, label in enumerate(labels)]
+    rows += [(100, "# " + " ".join(licenses.TEMPLATES["bsd"].split()[:12])), (101, None)]
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.license_scan(doc_table(spark, rows)).collect()}
+    assert all(label in got[i] for i, label in enumerate(labels)) and got[100] == got[101] == [""]
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((12, 64))
