@@ -136,6 +136,17 @@ def test_wrapped_licenses(spark):
     assert all(label in got[i] for i, label in enumerate(labels)) and got[100] == got[101] == [""]
 
 
+def test_licenses_of_other_versions_and_kinds(spark):
+    texts = licenses.TEMPLATES
+    rows = [
+        "Licensed under CC BY 4.0.", "Licensed under CC BY-NC-SA 4.0.", texts["gpl-3.0"].replace("3", "2"), texts["gpl-grant"].replace("GNU", "GNU Lesser"),
+        texts["cc-by-sa"].replace("ShareAlike", "NonCommercial"), "released under the BSD license", texts["apache-notice"].replace("2.0", "1.1"),
+        texts["mpl-2.0"].replace("2.0", "1.1"), texts["mit-grant"].replace("associated", "accompanying"), " filler words between".join(texts["mit-notice"].split()),
+    ]
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in licenses.license_scan(doc_table(spark, list(enumerate(rows)))).collect()}
+    assert not any(g & set(texts | licenses.TEXTS) for g in got.values()), got
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((12, 64))
