@@ -22,8 +22,8 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these holds no entity; far cheaper to look for.
-HINT = r"[0-9]{2}|@|\b(?:Mrs|Mr|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr)\b"
+#: A text without any of these holds no entity; far cheaper to look for. Single digits stand in addresses and secrets only.
+HINT = r"[0-9]{2}|@|[0-9]\.[0-9]|[0-9A-Fa-f]{32}|\b(?:Mrs|Mr|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr)\b"
 #: Given names by gender, the title's language decides nothing: all are in Latin script.
 NAMES = {
     "f": "Ada Berta Clara Dora Elena Flora Greta Hanna Irene Julia Karla Laura Maria Nora Olga Paula Rosa Sara Teresa Vera".split(),

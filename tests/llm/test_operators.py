@@ -178,6 +178,17 @@ def test_surrogates(spark, empty):
     assert surrogates.replace_entities(empty).count() == 0
 
 
+def test_hint_lets_every_pattern_through(spark):
+    values = {
+        "email": "a@b.org", "name": "Señora Muster", "secret": "a1" * 16, "ip": "8.8.8.8", "iban": "DE12 3456 7890 1234", "phone": "(555) 123-4567",
+        "ssn": "123-45-6789", "card": "4111 1111 1111 1111",
+    }
+    assert set(values) == set(surrogates.PATTERNS)
+    rows = [*values.values(), "1.2.3.4", "a" * 31 + "1", "+12345678"]
+    got = {r["doc_id"]: r for r in surrogates.replace_entities(doc_table(spark, [(i, f"see {v} here") for i, v in enumerate(rows)])).collect()}
+    assert all(got[i]["n_entities"] == 1 and v not in got[i]["text"] for i, v in enumerate(rows)), got
+
+
 def test_surrogates_are_distinct(spark):
     values = spark.createDataFrame([("name", f"Herr N{chr(97 + i // 26)}{chr(97 + i % 26)}") for i in range(200)], "kind string, value string")
     table = surrogates.surrogate_table(values, "k").collect()
