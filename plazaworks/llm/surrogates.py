@@ -85,8 +85,10 @@ def draw(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     title = F.regexp_extract(value, "^(\\S+) ", 1)
     given = F.when(value.rlike(FEMALE), _pick(NAMES["f"], _number(stream, F.lit(0)))).otherwise(_pick(NAMES["m"], _number(stream, F.lit(0))))
     surname = _pick(SURNAMES, _number(stream, F.lit(1)))
-    # later attempts have room for more names: a second surname is joined on
-    surname = F.when(attempt > 2, F.concat(surname, F.lower(_pick(SURNAMES, _number(stream, F.lit(2)))), F.lower(_pick(SURNAMES, _number(stream, F.lit(3)))))).otherwise(surname)
+    # every attempt after the second joins one more surname on, so there is room for any number of names
+    more = F.sha2(F.concat(name, F.lit(":more")), 512)
+    joined = F.transform(F.sequence(F.lit(1), F.greatest(attempt - 1, F.lit(1))), lambda i: F.lower(_pick(SURNAMES, _number(more, i))))
+    surname = F.when(attempt > 1, F.concat(surname, F.array_join(joined, ""))).otherwise(surname)
     person = F.concat(title, F.lit(" "), F.when(value.rlike(" .* "), F.concat(given, F.lit(" "), surname)).otherwise(surname))
     country = F.regexp_extract(value, "^(\\+[0-9]{1,3}(?=[ .(-])|)", 1)
     phone = F.concat(country, _redrawn(F.substring(value, F.length(country) + 1, F.length(value)), stream, False))
@@ -117,7 +119,7 @@ def surrogate_table(values: DataFrame, key: str) -> DataFrame:
         open_ = cut_lineage(open_.join(won, ["kind", "value"], "left_anti"))
         if open_.isEmpty():
             return drawn
-    raise ValueError(f"no distinct surrogates after {ROUNDS} draws: a kind's format has too few forms")
+    raise ValueError(f"no distinct surrogates after {ROUNDS} draws: a kind's format has too few forms")  # never names
 
 
 def replace_entities(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:

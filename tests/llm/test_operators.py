@@ -195,6 +195,14 @@ def test_surrogates_are_distinct(spark):
     assert len(table) == 200 == len({r["surrogate"] for r in table})
 
 
+def test_surrogates_of_many_names(spark):
+    n = 9000  # more than 20 + 20 ** 3
+    letters = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    values = spark.createDataFrame([("name", f"Mr X{letters(i)}") for i in range(n)], "kind string, value string")
+    table = surrogates.surrogate_table(values, "k").collect()
+    assert len(table) == n == len({r["surrogate"] for r in table})
+
+
 def test_gradients_match_differences():
     p = {k: v.astype(np.float64) for k, v in recurrent.new_params(3).items()}
     rng = np.random.default_rng(0)
