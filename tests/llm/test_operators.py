@@ -203,6 +203,24 @@ def test_surrogates_of_many_names(spark):
     assert len(table) == n == len({r["surrogate"] for r in table})
 
 
+def test_surrogates_keep_coreference_gender_and_script(spark):
+    pairs = [
+        "Mr. John Smith", "Mr Smith", "Mr. Smith", "Dr. Maria Lopez", "Herr Иван Петров", "Frau Ελένη Παππά", "4111 1111 1111 1111", "4111111111111111",
+        "DE12 3456 7890 1234", "DE12345678901234", "+1 (555) 123-4567", "+15551234567", "Mrs Maria Smith",
+    ]
+    docs = doc_table(spark, list(enumerate(f"see {v}; end" for v in pairs)))
+    got = [r["text"][4:-5] for r in sorted(surrogates.replace_entities(docs).collect(), key=lambda r: r["doc_id"])]
+    assert got[0].split()[2] == got[1].split()[1] == got[2].split()[1] == got[12].split()[2] != "Smith" and got[0].split()[1] in surrogates.NAMES["m"]
+    assert got[1].startswith("Mr ") and got[2].startswith("Mr. ")
+    assert got[3].split()[1] in surrogates.NAMES["f"] and got[3].split()[1] == got[12].split()[1]
+    assert got[4].split()[1] in surrogates.NAMES["Cyrillic m"] and got[4].split()[2] in surrogates.SURNAMES["Cyrillic"]
+    assert got[5].split()[1] in surrogates.NAMES["Greek f"] and got[5].split()[2] in surrogates.SURNAMES["Greek"]
+    for spaced, plain in ((6, 7), (8, 9), (10, 11)):
+        assert got[plain] == "".join(c for c in got[spaced] if c.isalnum() or c == "+") != pairs[plain]
+        assert [c.isalnum() for c in got[spaced]] == [c.isalnum() for c in pairs[spaced]]
+    assert got[11].startswith("+1")
+
+
 def test_gradients_match_differences():
     p = {k: v.astype(np.float64) for k, v in recurrent.new_params(3).items()}
     rng = np.random.default_rng(0)
