@@ -33,6 +33,8 @@ ASIDE_WORDS = frozenset(
     " taboola teaser toc toolbar topbar widget widgets".split()
 )
 HEAD_WORDS = frozenset("header masthead".split())
+MOST, NEARLY_ALL = 0.5, 0.8  # of a page's text, links counted against it
+SPARSE = 0.1  # share of the text beside a container below which the whole body is not taken
 
 
 def _words(value: str) -> list[str]:
@@ -44,16 +46,39 @@ class Page:
 
     A path is the tags of the containers around it, with their class words
     sorted and without digits. Blocks inside menus, forms, comments and the like
-    are left out; a header counts as one unless it stands in an article.
+    are left out; a header counts as one unless it stands in an article. A class
+    or id leaves nothing out if the element holds most of the page's text: more
+    than half, or four fifths if a whole name is a listed word ('comments', not
+    'with-comments'), and no article or main element with text stands beside it.
     """
 
     def __init__(self, html: str):
         self.blocks: list[tuple[str, str, int]] = []  # path, text, characters inside links
-        self.stack: list[list] = []  # tag, path of the nearest container, left out
+        self.marked: list[tuple[int, ...]] = []  # of each block, the elements around it with a listed word
+        self.plain: list[bool] = []  # of each such element, whether a whole name is a listed word
+        self.stack: list[list] = []  # tag, path of the nearest container, left out, elements with a listed word
         self.text: list[str] = []
         self.linked = self.links = 0
-        self.path = ""
+        self.path, self.around = "", ()
         self.read(html)
+        self.drop_marked()
+
+    def drop_marked(self) -> None:
+        weights = [prose(text, linked) for _, text, linked in self.blocks]
+        held, total = [0] * len(self.plain), sum(weights)
+        semantic = [lifted(path) != path or path.split(">")[-1].split(".")[0] in ("article", "main") for path, _, _ in self.blocks]
+        inside, all_semantic = [0] * len(self.plain), sum(w for w, s in zip(weights, semantic, strict=True) if s)
+        free = sum(w for w, s, around in zip(weights, semantic, self.marked, strict=True) if s and not around)
+        for w, s, around in zip(weights, semantic, self.marked, strict=True):
+            for i in around:
+                held[i] += w
+                inside[i] += w if s else 0
+        for share in (NEARLY_ALL, MOST):
+            kept = [n > (share if plain else MOST) * total and (own == all_semantic or not free) for n, plain, own in zip(held, self.plain, inside, strict=True)]
+            blocks = [b for b, around in zip(self.blocks, self.marked, strict=True) if all(kept[i] for i in around)]
+            if blocks:
+                break
+        self.blocks = blocks
 
     def read(self, html: str) -> None:
         at, end = 0, len(html)
@@ -82,7 +107,7 @@ class Page:
         if not self.text:
             if raw.isspace():
                 return
-            self.path = self.stack[-1][1] if self.stack else ""
+            self.path, self.around = (self.stack[-1][1], self.stack[-1][3]) if self.stack else ("", ())
         self.text.append(raw)
         if self.links:
             self.linked += len(raw)
@@ -91,6 +116,7 @@ class Page:
         text = " ".join("".join(self.text).split())
         if text:
             self.blocks.append((self.path, text, min(len(text), self.linked)))
+            self.marked.append(self.around)
         self.text, self.linked = [], 0
 
     def pop_to(self, depth: int) -> None:
@@ -117,17 +143,20 @@ class Page:
             self.pop_to(i)
         if tag in VOID or attributes.endswith("/") and tag not in CONTAINER:
             return
-        _, path, out = self.stack[-1] if self.stack else ("", "", False)
+        _, path, out, around = self.stack[-1] if self.stack else ("", "", False, ())
         found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
         names = _words(found.get("class", ""))
-        marks = {*names, *_words(found.get("id", "")), *_words(found.get("role", ""))}
         inside = "article" in path or ">main" in path
-        out = out or tag in ASIDE_TAGS or bool(marks & ASIDE_WORDS) and tag not in ("html", "body", "article", "main") or found.get("aria-hidden") == "true"
-        out = out or not inside and (tag == "header" or tag not in ("html", "body") and bool(marks & HEAD_WORDS))
+        out = out or tag in ASIDE_TAGS or bool({*_words(found.get("role", ""))} & ASIDE_WORDS) and tag not in ("html", "body", "article", "main") or found.get("aria-hidden") == "true"
+        out = out or not inside and (tag == "header" or tag not in ("html", "body") and bool({*_words(found.get("role", ""))} & HEAD_WORDS))
+        listed = (ASIDE_WORDS if tag not in ("html", "body", "article", "main") else frozenset()) | (HEAD_WORDS if not inside and tag not in ("html", "body") else frozenset())
+        if not out and listed & {*names, *_words(found.get("id", ""))}:
+            around = (*around, len(self.plain))
+            self.plain.append(bool(listed & {*found.get("class", "").lower().split(), found.get("id", "").strip().lower()}))
         if tag in CONTAINER:
             path = f"{path}>{tag}" + "".join(f".{w}" for w in sorted(set(names)))
         self.links += tag == "a"
-        self.stack.append([tag, path, out])
+        self.stack.append([tag, path, out, around])
 
     def close(self, tag: str) -> None:
         if tag not in INLINE:
@@ -146,22 +175,57 @@ def lifted(path: str) -> str:
     return path
 
 
-def scores(page: Page) -> dict[str, float]:
-    """Score of every container path: characters of its own blocks, links counted against it."""
-    out: dict[str, float] = defaultdict(float)
-    for path, text, linked in page.blocks:
-        out[lifted(path)] += len(text) - 2 * linked
-    return out
+def prose(text: str, linked: int) -> int:
+    """Characters of a block, links counted against it."""
+    return max(0, len(text) - 2 * linked)
+
+
+def above(path: str) -> str:
+    return path.rpartition(">")[0]
 
 
-def best(found: dict[str, float]) -> str | None:
-    return min(found, key=lambda p: (-found[p], p)) if found else None
+def best(page: Page) -> tuple[str, float] | None:
+    """The lowest container that holds most of the page's text, and its prose.
+
+    Text of all blocks below a container counts. From the lowest one with more
+    than half it goes on upwards while what is added is not mostly links, so
+    headings, introductions and lists beside the longest part stay in; not above
+    an article or main element, and to the body only if much stands beside.
+    """
+    below: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])  # prose, characters, those inside links
+    for path, text, linked in page.blocks:
+        sums = below[lifted(path)]
+        for i, n in enumerate((prose(text, linked), len(text), linked)):
+            sums[i] += n
+    if not below:
+        return None
+    own = {path: sums[1] for path, sums in below.items()}
+    for path in own:
+        while path and (up := above(path)) not in below:
+            below[up] = [0, 0, 0]
+            path = up
+    for path in sorted(below, key=lambda p: -p.count(">")):
+        if path:
+            up = above(path)
+            below[up] = [a + b for a, b in zip(below[up], below[path], strict=True)]
+    total = below[""][0]
+    if not total:  # nothing but links
+        return min(own, key=lambda p: (-own[p], p)), 0.0
+    path = max((p for p in below if below[p][0] > MOST * total), key=lambda p: p.count(">"))
+    while path and path.rpartition(">")[2].split(".")[0] not in ("article", "main", "body", "html"):
+        up = above(path)
+        chars, linked = below[up][1] - below[path][1], below[up][2] - below[path][2]
+        if 2 * linked > chars or up.rpartition(">")[2].split(".")[0] in ("", "body", "html") and below[up][0] - below[path][0] < SPARSE * total:
+            break
+        path = up
+    return path, float(below[path][0])
 
 
 def main_text(page: Page, winners: list[str]) -> str:
     """Blocks below the first winning path that the page has, else below its own best one."""
     paths = {p for p, _, _ in page.blocks}
-    for path in [*winners, best(scores(page))]:
+    found = best(page)
+    for path in [*winners, found and found[0]]:
         if path is not None and any(p == path or p.startswith(f"{path}>") for p in paths):
             return "\n\n".join(t for p, t, _ in page.blocks if p == path or p.startswith(f"{path}>"))
     return ""
@@ -178,11 +242,10 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows_of(batches):
         hosts, paths, points = [], [], []
         for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = scores(Page(html or ""))
-            if (path := best(found)) is not None:
+            if (found := best(Page(html or ""))) is not None:
                 hosts.append(host_of(url))
-                paths.append(path)
-                points.append(found[path])
+                paths.append(found[0])
+                points.append(found[1])
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(points, pa.float64())], names=["host", "path", "score"])
 
 

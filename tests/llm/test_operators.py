@@ -168,6 +168,22 @@ def test_pages(spark):
     assert got == {1: "T & x\n\nOne two\n\nThree", 2: "", 3: "", 4: "bare"}
 
 
+@pytest.mark.parametrize(("html", "kept", "dropped"), [
+    ("<body><div class='post'><h1>Head</h1><div class='intro'><p>Short words.</p></div><div class='body'><p>{long}</p></div></div></body>", ["Head", "Short words."], []),
+    ("<body><section class='a'><p>{long}</p></section><section class='b'><p>second {long}</p></section></body>", ["second"], []),
+    ("<body><div class='post'><p>Lead in.</p><ul><li>{long}</li><li>{long}</li></ul></div></body>", ["Lead in."], []),
+    ("<body><div class='content has-sidebar'><p>{long}</p><div class='sidebar'>Aside</div></div></body>", [], ["Aside"]),
+    ("<body><div class='post with-comments'><p>{long}</p><div class='comments'>Reply one</div></div></body>", [], ["Reply one"]),
+    ("<body><div class='text'><p>{long}</p></div><div class='comments'><p>no {long} {long}</p></div></body>", [], ["no "]),
+    ("<body><article><p>{long}</p></article><div class='comments-area'><p>no {long} {long}</p></div></body>", [], ["no "]),
+    ("<body><div class='cols'><div class='text'><p>{long}</p></div><div class='x'><a>Link one</a><a>Link two</a></div></div></body>", [], ["Link"]),
+])
+def test_main_text_is_whole(html, kept, dropped):
+    long = " ".join(WORDS)
+    text = consensus.main_text(consensus.Page(html.format(long=long)), [])
+    assert all(k in text for k in [long, *kept]) and not any(d in text for d in dropped), text
+
+
 def test_surrogates(spark, empty):
     rows = [(1, "mail a.b@x.org or A.B@X.ORG, card 4111111111111111"), (2, "ip 10.2.3.4 card 4111111111111111"), (3, None), (4, "nothing"), (5, "Frau Maria Muster")]
     got = {r["doc_id"]: r for r in surrogates.replace_entities(doc_table(spark, rows)).collect()}
