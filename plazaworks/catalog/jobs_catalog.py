@@ -45,6 +45,27 @@ def category_outliers(t):
     return handle_outliers(raw_parts(t), "category_code", ["width"], "winsorize").select("p_partkey", "width")
 
 
+_MEASURES = ("width", "length", "height")
+
+
+@query(f"""
+WITH r AS (SELECT p_partkey, category_code, width, length, height FROM {raw_sql()}), c AS (SELECT category_code, COUNT(*) AS n, {', '.join(f'list_sort(list({m})) AS {m}s' for m in _MEASURES)} FROM r GROUP BY 1)
+SELECT p_partkey, {', '.join(f'least(greatest({m}, {m}s[CAST(floor(n*0.03) AS BIGINT)+1]), {m}s[n-CAST(floor(n*0.03) AS BIGINT)]) AS {m}' for m in _MEASURES)} FROM r JOIN c USING (category_code)
+""")
+def category_tails(t):
+    """Width, length and height pulled into the tails of their category."""
+    return handle_outliers(raw_parts(t), "category_code", _MEASURES, "winsorize").select("p_partkey", *_MEASURES)
+
+
+@query(f"""
+WITH r AS (SELECT p_partkey, category_code, width, length, height FROM {raw_sql()}), c AS (SELECT category_code, {', '.join(f'AVG({m}) AS m_{m}, STDDEV_SAMP({m}) AS s_{m}' for m in _MEASURES)} FROM r GROUP BY 1)
+SELECT p_partkey, width, length, height FROM r JOIN c USING (category_code) WHERE NOT ({' OR '.join(f'COALESCE(abs({m}-m_{m}) > 3*s_{m} AND s_{m} > 0, FALSE)' for m in _MEASURES)})
+""")
+def category_removed(t):
+    """Parts of which no measure is further than three deviations from its category's mean."""
+    return handle_outliers(raw_parts(t), "category_code", _MEASURES, "remove").select("p_partkey", *_MEASURES)
+
+
 _PRICES = "SELECT l_partkey AS sku, l_extendedprice AS normal, CASE WHEN l_discount>0.03 THEN l_extendedprice*0.5::DOUBLE ELSE 0 END AS internet, l_quantity AS ev, CAST(l_shipdate AS DATE) AS e FROM lineitem"
 
 

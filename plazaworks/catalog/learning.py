@@ -9,7 +9,6 @@ from ..plans.landing import clean_landed
 from ..session import shared_folder
 from ..sources import readers, sinks
 from ..streaming import watch
-from ..vocab import SIZES
 from .registry import query
 from .sizes_data import sized_parts
 
@@ -38,7 +37,7 @@ def size_network(t):
     features = ["width", "length", "height", "weight", "volume_m3"]
     train, valid, test = M.split(sized_parts(t), [0.8, 0.1, 0.1], 42, ["p_partkey"])
     k = train.select("size").distinct().count()
-    model = M.mlp_classifier(features, "size", k, (32, 16), 6).fit(train)
+    model = M.mlp_classifier(features, "size", k).fit(train)
     scored = M.score(model, test)
     probabilities = [f"p_{n}" for n in M.labels_of(model)]
     return scored.select("p_partkey", "size", "predicted", *[F.round(c, 6).alias(c) for c in sorted(probabilities)])
@@ -162,6 +161,6 @@ def reloaded_model(t):
     """A fitted model saved, loaded and applied."""
     path = shared_folder(t.spark) + "/model"
     parts = sized_parts(t)
-    sinks.save_pipeline(M.tree_classifier(["width", "length", "weight"], "size", 8).fit(parts), path)
+    sinks.save_pipeline(M.tree_classifier(["width", "length", "height", "weight", "volume_m3"], "size").fit(parts), path)
     scored = M.score(sinks.load_pipeline(path), parts)
-    return scored.select("p_partkey", "predicted").where(F.col("predicted").isin(*SIZES))
+    return scored.select("p_partkey", "predicted")
