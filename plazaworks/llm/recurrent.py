@@ -1,4 +1,4 @@
-"""Toxicity: a bidirectional gated recurrent network with attention pooling over all overlapping windows."""
+"""Toxicity: a bidirectional gated recurrent network with attention pooling over windows that overlap by half."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .labelled import char_ngrams, class_totals, held_out, labelled_sample, word_bucket
 
-WIDTH, STRIDE = 24, 12  # words of a window, and between two starts
+WIDTH, STRIDE = 24, 12  # words of a window, and between two starts; passages of up to 13 words stand whole in one
 HIDDEN, EMBED, ATTEND = 8, 8, 8
 WORDS, CHARS = 1 << 14, 1 << 15  # hash buckets of words and of character n-grams
 SHORTEST, LONGEST = 2, 5  # character n-grams
@@ -318,8 +318,8 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
 def toxicity(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """Toxicity of every row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
 
-    Every overlapping window of the whole text is scored; the text has the score
-    of its highest window. Only the text enters the score. Repeated rows and
+    Windows that start every 12 words of the whole text are scored; the text has
+    the score of its highest window. A passage of 14 to 24 words may be cut in two. Only the text enters the score. Repeated rows and
     null ids are scored like any other.
     """
     rows = docs.select("doc_id", held_out().alias("held_out"), scorer(toxicity_model(docs, labels))("text").alias("score"))
