@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import consensus, curriculum, decontaminate, licenses, minhash, recurrent, ring, subspace, subwords, surrogates
+from . import bisector, bpe, consensus, curriculum, decontaminate, licenses, minhash, recurrent, ring, subspace, subwords, surrogates, variants
 from .registry import ORACLES, QUERIES, register, table  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -176,3 +176,53 @@ def op2_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 register("op2_surrogates", op2_surrogates)
+
+
+def op11_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Probable spelling variants among all words of all documents."""
+    return variants.spelling_variants(table(configure(spark), folder, "documents", "doc_id", "text"))
+
+
+register("op11_variants", op11_variants)
+
+
+def op12_merges(spark: SparkSession, folder: str) -> DataFrame:
+    """Checksums of the ids and of the decoded text of every document."""
+    import public_tokenizers
+
+    return bpe.digests(table(configure(spark), folder, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+register("op12_merges", op12_merges)
+
+
+def op13_bisector(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of all vectors after five rounds from 40 centroids."""
+    return bisector.clusters(table(configure(spark), folder, "embeddings", "vec_id", "embedding"))
+
+
+def _floored(total: str, count: str) -> str:
+    """DuckDB: floor of a quotient of whole numbers, whose own division cuts towards zero."""
+    return f"(({total}) - ((({total}) % ({count})) + ({count})) % ({count})) // ({count})"
+
+
+def _op13_sql(k: int, dims: int, rounds: int) -> str:
+    """Nearest centroids by squared distances to all of them, round by round."""
+    near = "select vec_id, e, arg_min(c, (dist, c)) as c, min(dist) as dist from (select vec_id, e, c, list_sum(list_transform(list_zip(e, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as dist from v, {}) group by all"
+    parts = [
+        f"""v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * x::double) as hugeint)) as e from embeddings
+            where len(embedding) = {dims} and len(list_filter(embedding, lambda x: isfinite(x))) = {dims})""",
+        f"m0 as (select row_number() over (order by h) - 1 as c, e as m from (select e, sha256('2:' || vec_id) as h from v order by h limit {k}))",
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} as ({near.format(f'm{r}')})")
+        parts.append(f"s{r} as (select c, d, sum(x) as total, count(*) as n from (select c, unnest(e) as x, unnest(range({dims})) as d from a{r}) group by all)")
+        parts.append(
+            f"m{r + 1} as (select m{r}.c, coalesce(l.m, m{r}.m) as m from m{r} left join (select c, list({_floored('total', 'n')} order by d) as m from s{r} group by c) l on l.c = m{r}.c)"
+        )
+    parts.append(f"f as ({near.format(f'm{rounds}')})")
+    return f"""with {", ".join(parts)} select vec_id, cast(f.c as int) as cluster, cast(dist as bigint) as distance, cast(sum(dist) over (partition by f.c) as bigint) as cluster_inertia,
+        cast(sum(dist) over () as bigint) as inertia, sha256(array_to_string(m, ',')) as centroid_sha256 from f join m{rounds} m on m.c = f.c"""
+
+
+register("op13_bisector", op13_bisector, _op13_sql(40, 64, 5))
