@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.windows import blocked_window
+from ..operators.windows import BLOCKS, Sampled, blocked_window
 from .features import scaled
 
 
@@ -107,11 +107,12 @@ def class_metrics(pred: DataFrame, label: str, predicted: str) -> DataFrame:
     return rows.unionByName(micro).unionByName(macro).unionByName(weighted)
 
 
-def one_vs_rest_auc(pred: DataFrame, label: str, probabilities: dict[str, str], blocks: int = 1024) -> DataFrame:
+def one_vs_rest_auc(pred: DataFrame, label: str, probabilities: dict[str, str], blocks: int = BLOCKS) -> DataFrame:
     """Area under the ROC curve of each class against the others.
 
     Rows with equal scores are counted together, and the counts are cumulated
-    over score blocks, so no class is sorted in one task.
+    over blocks between sampled scores, so no class is sorted in one task,
+    however its scores crowd together.
     """
     long = pred.select(
         F.col(label).alias("_l"),
@@ -119,7 +120,8 @@ def one_vs_rest_auc(pred: DataFrame, label: str, probabilities: dict[str, str],
     )
     hit = (F.col("_l") == F.col("s.class")).cast("int")
     counts = long.groupBy("s.class", "s.score").agg(F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg"))
-    run = blocked_window(counts, ["class"], ["score"], F.floor(F.col("score") * blocks), sums={"upto": F.col("neg")})
+    block = Sampled(["class", "score"], blocks, long.select("s.class", "s.score"))
+    run = blocked_window(counts, ["class"], ["score"], block, sums={"upto": F.col("neg")})
     below = F.col("upto") - F.col("neg")
     return run.groupBy("class").agg(
         F.try_divide(F.sum(F.col("pos") * (below + F.col("neg") / 2)), F.sum("pos") * F.sum("neg")).alias("auc")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import attach, attach_group
 from .keys import latest_per_key
-from .windows import blocked_window
+from .windows import BLOCKS, Sampled, with_block
 
 
 def sum_when(condition: Column, amount) -> Column:
@@ -77,24 +77,35 @@ def upto_latest(df: DataFrame, period: str, where: Column) -> DataFrame:
     return df.where(F.col(period) <= df.where(where).agg(F.max(period)).scalar())
 
 
-def order_statistics(df: DataFrame, group: Sequence[str], value: str, picks: Mapping[str, Column], blocks: int = 1024) -> DataFrame:
+def order_statistics(df: DataFrame, group: Sequence[str], value: str, picks: Mapping[str, Column], blocks: int = BLOCKS) -> DataFrame:
     """Exact order statistics per group without gathering a group anywhere.
 
     ``picks`` maps a name to the 0-based rank wanted, an expression over the
-    group's row count ``n``.  Equal values are counted together first; the
-    counts are then cumulated over value blocks of equal width, so neither a
-    repeated value nor a large group ends up in one task.
+    group's row count ``n``.  Equal values are counted together first.  Sampled
+    edges cut the sorted (group, value) pairs into even ranges, whatever the
+    values; the exact counts of the ranges tell in which range a rank lies, and
+    only the rows of those ranges are looked at a second time.
     """
     known = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_x"))
     counts = known.groupBy(*group, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    span = counts.groupBy(*group).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_c").alias("n"))
-    placed = attach(counts, span, group, null_safe=True)
-    place = F.coalesce(F.floor(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * blocks), F.lit(0))
-    cumulated = blocked_window(placed, list(group), ["_x"], place, sums={"_upto": F.col("_c")})
-    hit = [((F.col("_upto") > r) & (F.col("_upto") - F.col("_c") <= r)) for r in picks.values()]
-    return cumulated.groupBy(*group).agg(
-        F.first("n").alias("n"), *[F.max(F.when(h, F.col("_x"))).alias(name) for h, name in zip(hit, picks)]
-    )
+    placed = with_block(counts, Sampled([*group, "_x"], blocks, known), "_at")
+    ranges = placed.groupBy(*group, "_at").agg(F.sum("_c").alias("_n"))
+    # at most ``blocks`` + 1 rows a group
+    w = Window.partitionBy(*(group or [F.lit(0)]))
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.withColumns({"n": F.sum("_n").over(w), "_before": before})
+    ranks = F.array(*[F.struct(F.lit(i).alias("_pick"), r.cast("bigint").alias("_rank")) for i, r in enumerate(picks.values())])
+    wanted = ranges.select(*group, "_at", "n", "_n", "_before", F.explode(ranks).alias("_p"))
+    wanted = wanted.where((F.col("_p._rank") >= F.col("_before")) & (F.col("_p._rank") < F.col("_before") + F.col("_n")))
+    # one row a range: several ranks may lie in it
+    wanted = wanted.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_at").alias("_r")).agg(F.first("n").alias("n"), F.first("_before").alias("_before"), F.collect_list("_p").alias("_ranks"))
+    on = [placed[g].eqNullSafe(F.col(f"_g_{g}")) for g in group] + [placed["_at"] == F.col("_r")]
+    second = placed.join(wanted, reduce(lambda a, b: a & b, on)).drop("_r", *[f"_g_{g}" for g in group])
+    inner = Window.partitionBy(*group, "_at").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    second = second.withColumn("_upto", F.col("_before") + F.sum("_c").over(inner))
+    hit = F.filter("_ranks", lambda p: (F.col("_upto") > p["_rank"]) & (F.col("_upto") - F.col("_c") <= p["_rank"]))
+    found = second.select(*group, "n", "_x", F.explode(hit).alias("_p"))
+    return found.groupBy(*group).agg(F.first("n").alias("n"), *[F.max(F.when(F.col("_p._pick") == i, F.col("_x"))).alias(name) for i, name in enumerate(picks)])
 
 
 def medians(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:

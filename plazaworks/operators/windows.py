@@ -1,40 +1,93 @@
 """Windows over whole histories that stay even when one key is huge.
 
 A plain window sends all rows of a key to one task.  Here the ordered history
-is cut into *blocks* (a month, a day, a range of ids); each (key, block) is its
-own window partition.  What earlier blocks contribute -- how many rows, which
-running total, which last value -- comes from one small aggregate per block and
-enters the block as an extra head row, so the result is the same as that of the
-uncut window.  The large side is shuffled once.
+is cut into *blocks* (a month, a day, a range of ids, a range between sampled
+edges); each (key, block) is its own window partition.  What earlier blocks
+contribute -- how many rows, which running total, which last value -- comes from
+one small aggregate per block and enters the block as an extra head row, so the
+result is the same as that of the uncut window.  The large side is shuffled once.
+
+The block summaries of a key are rows in an order themselves, so they are cut
+into coarser blocks in the same way: no task sees all blocks of a long history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEAD, ROW, TAIL = 0, 1, 2
+FAN = 1024  # numbered blocks in a coarser block
+BLOCKS = 4096  # ranges between sampled edges
+PER_EDGE = 16  # sampled rows for each edge
 
 
-def natural_block(df: DataFrame, column: str, unit: str = "month", width: int = 1_000_000, prefix: int = 4) -> Column:
+class Sampled(NamedTuple):
+    """Blocks between sampled edges: ``order`` is compared with at most ``blocks`` edges taken from ``rows`` (else the table itself)."""
+
+    order: Sequence[str]
+    blocks: int = BLOCKS
+    rows: DataFrame | None = None
+
+
+def natural_block(df: DataFrame, column: str, unit: str = "month", width: int = 1_000_000) -> Column | Sampled:
     """A block that fits the type of the leading order column.
 
-    Times are cut by ``unit``, numbers by ``width``, texts by their first
-    ``prefix`` letters; each of these never decreases along the column.
+    Times are cut by ``unit``, numbers by ``width``, texts between sampled
+    edges; none of these ever decreases along the column.
     """
     kind = dict(df.dtypes)[column]
     if kind.startswith(("timestamp", "date")):
         return F.date_trunc(unit, column)
-    return F.left(column, F.lit(prefix)) if kind == "string" else F.floor(F.col(column) / width)
+    return Sampled([column]) if kind == "string" else F.floor(F.col(column) / width)
+
+
+def sampled_edges(df: DataFrame, order: Sequence[str], blocks: int = BLOCKS) -> Column:
+    """Sorted array of at most ``blocks`` values of the order columns that part the rows evenly: a scalar subquery.
+
+    Every ``PER_EDGE``-th row of a random sample of about ``blocks * PER_EDGE``
+    rows; the sample's size does not grow with the table.  Edges decide where
+    rows are handled and never what comes out.
+    """
+    rows = df.select(F.struct(*order).alias("_o"))
+    share = F.lit(float(blocks * PER_EDGE)) / F.greatest(rows.agg(F.count(F.lit(1))).scalar(), F.lit(1))
+    some = rows.where(F.rand(17) < share).agg(F.sort_array(F.collect_list("_o")).alias("_all"))
+    picked = F.filter(F.col("_all"), lambda _, i: i % PER_EDGE == PER_EDGE - 1)
+    return some.select(F.array_distinct(picked)).scalar()
+
+
+def with_block(df: DataFrame, block: Column | Sampled, name: str = "_block") -> DataFrame:
+    """``df`` with its block: a column's value, or the number of sampled edges at or below the row.
+
+    Where keys lead the order columns of sampled edges, a key with many rows is
+    cut into many blocks, whatever its values.  Rows that tie on them share one.
+    """
+    if isinstance(block, Column):
+        return df.withColumn(name, block)
+    edges, me = sampled_edges(block.rows or df, block.order, block.blocks), F.struct(*block.order)
+    out = df.withColumn(name, F.lit(0))
+    # halving, one projection a step; past the last edge there is null, which is not at or below anything
+    for k in reversed(range((2 * block.blocks).bit_length())):
+        out = out.withColumn(name, F.col(name) + F.when(F.get(edges, F.col(name) + ((1 << k) - 1)) <= me, 1 << k).otherwise(0))
+    return out
+
+
+def _coarser(df: DataFrame, block: str) -> Column | None:
+    """The block of a block: years of times, thousands of numbers."""
+    kind = dict(df.dtypes)[block]
+    if kind.startswith(("timestamp", "date")):
+        return F.year(block)
+    return None if kind == "string" else F.floor(F.col(block) / FAN)
 
 
 def blocked_window(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    block: Column | None = None,
+    block: Column | Sampled | None = None,
     *,
     row_number: str | None = None,
     sums: Mapping[str, Column] | None = None,
@@ -46,10 +99,11 @@ def blocked_window(
 ) -> DataFrame:
     """Add running columns over ``order`` (ascending) within ``keys``.
 
-    ``block`` must not decrease along ``order`` and is constant among rows that
+    ``block`` must not decrease along ``order`` within a key and is constant among rows that
     tie on it; ``None`` computes plain windows for histories known to be short.
 
-    See :func:`natural_block` for a block by the type of the order column.
+    See :func:`natural_block` for a block by the type of the order column;
+    :class:`Sampled` blocks follow the rows.
 
     * ``row_number`` -- name of the position column
     * ``sums`` -- name -> summed expression, up to the current row
@@ -60,68 +114,58 @@ def blocked_window(
     """
     sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
     columns = df.columns
-    if block is None:
-        part = Window.partitionBy(*(keys or [F.lit(0)]))
-        frame = part.orderBy(*(range_order or order)) if range_frame else None
-        out = _apply(df, part.orderBy(*order), frame, row_number, F.lit(1), sums, previous, following)
-        return out.withColumn(group_count, F.count(F.lit(1)).over(part)) if group_count else out
+    added = [n for n in (row_number,) if n] + [*sums, *previous, *following] + [n for n in (group_count,) if n]
+    data = df if block is None else with_block(df, block)
+    data = data.withColumns({f"_v_{n}": e for n, e in sums.items()} | {f"_c_{n}": F.lit(1).cast("bigint") for n in (row_number, group_count) if n})
+    totals = {n: f"_v_{n}" for n in sums} | ({row_number: f"_c_{row_number}"} if row_number else {})
+    whole = {group_count: f"_c_{group_count}"} if group_count else {}
+    ties = (range_order or order) if range_frame else None
+    out = _running(data, keys, order, 0 if block is None else 2, totals, whole, previous, following, ties if sums else None, [*sums])
+    return out.select(*[c for c in columns if c not in added], *added)
+
 
-    data = df.withColumns({"_block": block, **{f"_v_{n}": e for n, e in sums.items()}})
+def _running(df, keys, order, levels: int, totals, whole, previous, following, ties=None, tied=(), before=False) -> DataFrame:
+    """``df`` with running totals (``totals``: name -> column), totals of the key (``whole``) and neighbours.
+
+    ``levels`` says how often histories are cut, by the column ``_block``; with
+    ``before`` a total leaves the row itself out and is null on the first.
+    """
+    if not levels or "_block" not in df.columns:
+        w = Window.partitionBy(*(keys or [F.lit(0)]))
+        new = _columns(w.orderBy(*order), w.orderBy(*ties) if ties else None, tied, totals, previous, following, before)
+        return df.withColumns(new | {n: F.sum(c).over(w) for n, c in whole.items()})
     carried = sorted({*previous.values(), *following.values()})
     by = F.struct(*order)
-    per_block = data.groupBy(*keys, "_block").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in sums],
+    blocks = df.groupBy(*keys, F.col("_block").alias("_at")).agg(
+        *[F.sum(c).alias(c) for c in sorted({*totals.values(), *whole.values()})],
         *([F.min_by(F.struct(*carried), by).alias("_first"), F.max_by(F.struct(*carried), by).alias("_last")] if carried else []),
     )
-    over_blocks = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_block")
-    before = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
-    edges = per_block.withColumns(
-        {
-            "_weight": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-            **({"_all": F.sum("_n").over(Window.partitionBy(*(keys or [F.lit(0)])))} if group_count else {}),
-            **{f"_v_{n}": F.sum(f"_s_{n}").over(before) for n in sums},
-            **({"_in": F.lag("_last").over(over_blocks), "_out": F.lead("_first").over(over_blocks)} if carried else {}),
-        }
-    )
-
-    def edge(tag: int, source: str, names) -> DataFrame:
-        return edges.select(
-            *keys,
-            "_block",
-            F.lit(tag).alias("_tag"),
-            (F.col("_weight") if tag == HEAD else F.lit(0).cast("bigint")).alias("_weight"),
-            *([F.col(f"_v_{n}") for n in sums] if tag == HEAD else []),
-            *([F.col("_all")] if tag == HEAD and group_count else []),
-            *[F.col(f"{source}.{c}").alias(c) for c in names],
-        )
-
-    free = [c for c in carried if c not in keys]
-    rows = data.withColumns({"_tag": F.lit(ROW), "_weight": F.lit(1).cast("bigint")})
-    stacked = rows.unionByName(edge(HEAD, "_in", free if previous else []), allowMissingColumns=True)
-    if following:
-        stacked = stacked.unionByName(edge(TAIL, "_out", free), allowMissingColumns=True)
-    part = Window.partitionBy(*keys, "_block")
-    frame = part.orderBy("_tag", *(range_order or order)) if range_frame else None
-    values = {n: F.col(f"_v_{n}") for n in sums}
-    out = _apply(stacked, part.orderBy("_tag", *order), frame, row_number, F.col("_weight"), values, previous, following)
-    added = [n for n in (row_number,) if n] + [*sums, *previous, *following]
-    if group_count:
-        out = out.withColumn(group_count, F.max("_all").over(part))
-        added.append(group_count)
-    return out.where(F.col("_tag") == ROW).select(*[c for c in columns if c not in added], *added)
-
-
-def _apply(df, w, ties, row_number, weight, sums, previous, following) -> DataFrame:
-    rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    frame = ties.rangeBetween(Window.unboundedPreceding, Window.currentRow) if ties is not None else rows
-    new = {}
-    if row_number:
-        new[row_number] = F.sum(weight).over(rows)
-    new.update({n: F.sum(e).over(frame) for n, e in sums.items()})
-    new.update({n: F.lag(c).over(w) for n, c in previous.items()})
-    new.update({n: F.lead(c).over(w) for n, c in following.items()})
-    return df.withColumns(new)
+    coarse = _coarser(blocks, "_at")
+    if coarse is not None:
+        blocks = blocks.withColumn("_block", coarse)
+    sofar, all_ = {f"_b{levels}_{c}": c for c in sorted({*totals.values()})}, {f"_w{levels}_{c}": c for c in sorted({*whole.values()})}
+    ends = {"_in": "_last"} if carried else {}, {"_out": "_first"} if carried else {}
+    edges = _running(blocks, keys, ["_at"], levels - 1, sofar, all_, *ends, before=True)
+
+    def edge(tag: int, source: str) -> Column:
+        heads = [(F.col(b) if tag == HEAD else F.lit(None).cast(edges.schema[b].dataType)).alias(c) for b, c in sofar.items()]
+        return F.struct(F.lit(tag).alias("_tag"), *heads, *all_, *[F.col(f"{source}.{c}").alias(c) for c in carried if c not in keys])
+
+    rows = F.array(edge(HEAD, "_in"), *([edge(TAIL, "_out")] if following else []))
+    heads = edges.select(*keys, F.col("_at").alias("_block"), F.explode(rows).alias("_e")).select(*keys, "_block", "_e.*")
+    stacked = df.withColumn("_tag", F.lit(ROW)).unionByName(heads, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "_block")
+    new = _columns(w.orderBy("_tag", *order), w.orderBy("_tag", *ties) if ties else None, tied, totals, previous, following, before)
+    new |= {n: F.max(f"_w{levels}_{c}").over(w) for n, c in whole.items()}
+    return stacked.withColumns(new).where(F.col("_tag") == ROW).drop("_tag", *all_)
+
+
+def _columns(w, ties, tied, totals, previous, following, before) -> dict[str, Column]:
+    rows = w.rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
+    same = ties.rangeBetween(Window.unboundedPreceding, Window.currentRow) if ties is not None else rows
+    new = {n: F.sum(c).over(same if n in tied else rows) for n, c in totals.items()}
+    new |= {n: F.lag(c).over(w) for n, c in previous.items()}
+    return new | {n: F.lead(c).over(w) for n, c in following.items()}
 
 
 def running_sum(df, keys, order, value, name, block=None, range_frame=False) -> DataFrame:
