@@ -9,22 +9,22 @@ from ..operators.windows import with_row_id, with_sequence
 from ..sources.sinks import with_header
 from ..functions.text import zero_pad
 from .joins import _case
-from .registry import money, num, query
+from .registry import day, money, num, query
 
 _M = "CAST(l_extendedprice AS DECIMAL(18,2))"
 # sale lines shaped like the reports' ids: order 5 + nine digits, folio 1 + ten, sku 1 + seven
 _SALES = f"""SELECT DISTINCT '5'||lpad(CAST(l_orderkey AS VARCHAR),CAST(greatest(9,length(CAST(l_orderkey AS VARCHAR))) AS INT),'0') AS order_no, '1'||lpad(CAST(l_orderkey*10+l_linenumber AS VARCHAR),CAST(greatest(10,length(CAST(l_orderkey*10+l_linenumber AS VARCHAR))) AS INT),'0') AS folio, '1'||lpad(CAST(l_partkey AS VARCHAR),CAST(greatest(7,length(CAST(l_partkey AS VARCHAR))) AS INT),'0') AS sku,
- CAST(l_suppkey%10 AS VARCHAR) AS store, CAST(l_orderkey%50 AS VARCHAR) AS till, CAST(l_partkey%40 AS VARCHAR) AS trx, CAST(l_shipdate AS DATE) AS sold_on, {_M} AS total, CAST({_M}/2 AS DECIMAL(18,2)) AS unit_price FROM lineitem WHERE l_returnflag<>'R'"""
+ CAST(l_suppkey%10 AS VARCHAR) AS store, CAST(l_orderkey%50 AS VARCHAR) AS till, CAST(l_partkey%40 AS VARCHAR) AS trx, CAST(l_shipdate AS DATE) AS sold_on, {_M} AS total, CAST({_M}*0.5 AS DECIMAL(18,2)) AS unit_price FROM lineitem"""
 
 
 def _sales(t):
-    l = t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_returnflag").where(F.col("l_returnflag") != "R")
+    l = t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
     pad = lambda c, n: F.concat(F.lit(n[0]), zero_pad(c, n[1]))
     k = F.col("l_orderkey")
     m = money("l_extendedprice")
     return l.select(
         pad(k, ("5", 9)).alias("order_no"), pad(k * 10 + F.col("l_linenumber"), ("1", 10)).alias("folio"), pad(F.col("l_partkey"), ("1", 7)).alias("sku"), (F.col("l_suppkey") % 10).cast("string").alias("store"),
-        (k % 50).cast("string").alias("till"), (F.col("l_partkey") % 40).cast("string").alias("trx"), F.to_date("l_shipdate").alias("sold_on"), m.alias("total"), (m / 2).cast("decimal(18,2)").alias("unit_price")).distinct()
+        (k % 50).cast("string").alias("till"), (F.col("l_partkey") % 40).cast("string").alias("trx"), F.to_date("l_shipdate").alias("sold_on"), m.alias("total"), (m * F.lit("0.5").cast("decimal(2,1)")).cast("decimal(18,2)").alias("unit_price")).distinct()
 
 
 def _rule(n, left, right, sales="s"):
@@ -35,33 +35,54 @@ def _rule(n, left, right, sales="s"):
 _RULES = [
     (["order_no", "folio", "sku"], ["order_no", "folio", "sku"]), (["sold_on", "store", "till", "trx"], ["sold_on", "store", "till", "trx"]), (["o2", "s2"], ["order_no", "sku"]),
     (["o2", "back"], ["order_no", "total"]), (["o2", "back"], ["order_no", "unit_price"]), (["f2", "back"], ["folio", "total"]), (["f2", "back"], ["folio", "unit_price"]), (["o2"], ["order_no"]), (["f2"], ["folio"]),
+    (["a1", "s3"], ["a1", "sku"]), (["a2", "s3"], ["a2", "sku"]), (["a3", "s3"], ["a3", "sku"]), (["a4", "s3"], ["a4", "sku"]),
 ]
+# characters 3 to 8, 1 to 7, 5 to 10 and the last six of an order number, where it has them
+_PARTS = "CASE WHEN length(order_no)>=8 THEN substr(order_no,3,6) END AS a1, CASE WHEN length(order_no)>=7 THEN substr(order_no,1,7) END AS a2, CASE WHEN length(order_no)>=10 THEN substr(order_no,5,6) END AS a3, CASE WHEN length(order_no)>=6 THEN right(order_no,6) END AS a4"
 
 
-@query(f"""
-WITH s AS ({_SALES}),
-b AS (SELECT order_no, folio, sku, total, CAST(substr(order_no,2) AS BIGINT)%7 AS m, sold_on, store, till, trx, unit_price FROM s),
-q AS (SELECT folio||sku||CAST(total AS VARCHAR) AS refund_id, CASE m WHEN 1 THEN sku WHEN 3 THEN 'x' WHEN 4 THEN 'y' ELSE order_no END AS order_no, CASE m WHEN 2 THEN order_no WHEN 3 THEN 'x' WHEN 4 THEN folio WHEN 5 THEN 'z' ELSE folio END AS folio,
- CASE m WHEN 1 THEN order_no WHEN 2 THEN 'bad' WHEN 3 THEN '777' WHEN 5 THEN 'w' WHEN 6 THEN 'v' ELSE sku END AS sku, CASE WHEN m=3 THEN sold_on END AS sold_on, store, till, trx, -CASE WHEN m=6 THEN unit_price ELSE total END AS amount FROM b),
+_REPAIRED = f"""WITH s AS (SELECT *, {_PARTS} FROM ({_SALES})),
+b AS (SELECT order_no, folio, sku, total, CAST(substr(order_no,2) AS BIGINT)%11 AS m, sold_on, store, till, trx, unit_price FROM s),
+q AS (SELECT folio||sku||CAST(total AS VARCHAR) AS refund_id, CASE m WHEN 1 THEN sku WHEN 3 THEN 'x' WHEN 4 THEN 'y' WHEN 7 THEN '99'||substr(order_no,3,6)||'99' WHEN 8 THEN substr(order_no,1,7)||'xxx' WHEN 9 THEN 'xxxx'||substr(order_no,5,6) WHEN 10 THEN right(order_no,6) ELSE order_no END AS order_no,
+ CASE WHEN m=2 THEN order_no WHEN m=3 THEN 'x' WHEN m=4 THEN folio WHEN m=5 OR m>6 THEN 'z' ELSE folio END AS folio,
+ CASE m WHEN 1 THEN order_no WHEN 2 THEN 'bad' WHEN 3 THEN '777' WHEN 5 THEN 'w' WHEN 6 THEN 'v' ELSE sku END AS sku, CASE WHEN m=3 THEN sold_on END AS sold_on, store, till, trx, -CASE WHEN m=6 THEN unit_price WHEN m=8 THEN 2*total WHEN m=9 THEN CAST(total*0.25 AS DECIMAL(18,2)) ELSE total END AS amount FROM b),
 x AS (SELECT *, -amount AS back, COALESCE(CASE WHEN regexp_matches(order_no,'^5') AND length(order_no)=10 THEN order_no END, CASE WHEN regexp_matches(folio,'^5') AND length(folio)=10 THEN folio END, CASE WHEN length(sku)=9 THEN '5'||sku END) AS o2,
- COALESCE(CASE WHEN regexp_matches(order_no,'^1') AND length(order_no)=8 THEN order_no END, CASE WHEN regexp_matches(folio,'^1') AND length(folio)=8 THEN folio END, CASE WHEN regexp_matches(sku,'^1') AND length(sku)=8 THEN sku END) AS s2,
- COALESCE(CASE WHEN regexp_matches(order_no,'^1') AND length(order_no) BETWEEN 11 AND 12 THEN order_no END, CASE WHEN regexp_matches(folio,'^1') AND length(folio) BETWEEN 11 AND 12 THEN folio END, CASE WHEN regexp_matches(sku,'^1') AND length(sku) BETWEEN 11 AND 12 THEN sku END) AS f2 FROM q)
-SELECT refund_id, CASE {' '.join(f'WHEN r{i}.hit IS NOT NULL THEN {i}' for i in range(1, 10))} ELSE 0 END AS rule, COALESCE({','.join(f'r{i}.hit' for i in range(1, 10))}, x.order_no||x.folio||x.sku) AS line
-FROM x {' '.join(_rule(i, a, b) for i, (a, b) in enumerate(_RULES, 1))}
-""")
-def repaired_refunds(t):
-    """Refunds whose ids were mistyped, led back to the sale they undo."""
-    s = _sales(t)
+ COALESCE(CASE WHEN regexp_matches(order_no,'^1') AND length(order_no)=8 THEN order_no END, CASE WHEN regexp_matches(folio,'^1') AND length(folio)=8 THEN folio END, CASE WHEN regexp_matches(sku,'^1') AND length(sku)=8 THEN sku END) AS s2, COALESCE(s2, sku) AS s3, {_PARTS},
+ COALESCE(CASE WHEN regexp_matches(order_no,'^1') AND length(order_no) BETWEEN 11 AND 12 THEN order_no END, CASE WHEN regexp_matches(folio,'^1') AND length(folio) BETWEEN 11 AND 12 THEN folio END, CASE WHEN regexp_matches(sku,'^1') AND length(sku) BETWEEN 11 AND 12 THEN sku END) AS f2 FROM q),
+rep AS (SELECT refund_id, amount, CASE {' '.join(f'WHEN r{i}.hit IS NOT NULL THEN {i}' for i in range(1, 14))} ELSE 0 END AS rule, COALESCE({','.join(f'r{i}.hit' for i in range(1, 14))}, x.order_no||x.folio||x.sku) AS line
+FROM x {' '.join(_rule(i, a, b) for i, (a, b) in enumerate(_RULES, 1))})"""
+
+
+def _refunds(s):
+    """Refunds of all sale lines, their ids mistyped in ten ways."""
     c = F.col
-    m = F.substring("order_no", 2, 99).cast("bigint") % 7
-    refunds = s.select(
+    m = F.substring("order_no", 2, 99).cast("bigint") % 11
+    part = lambda *a: F.substring("order_no", *a)
+    order = F.when(m == 1, c("sku")).when(m == 3, "x").when(m == 4, "y").when(m == 7, F.concat(F.lit("99"), part(3, 6), F.lit("99"))).when(m == 8, F.concat(part(1, 7), F.lit("xxx")))
+    amount = F.when(m == 6, c("unit_price")).when(m == 8, 2 * c("total")).when(m == 9, (c("total") * F.lit("0.25").cast("decimal(3,2)")).cast("decimal(18,2)")).otherwise(c("total"))
+    return s.select(
         F.concat("folio", "sku", c("total").cast("string")).alias("refund_id"),
-        F.when(m == 1, c("sku")).when(m == 3, "x").when(m == 4, "y").otherwise(c("order_no")).alias("order_no"),
-        F.when(m == 2, c("order_no")).when(m == 3, "x").when(m == 5, "z").otherwise(c("folio")).alias("folio"),
+        order.when(m == 9, F.concat(F.lit("xxxx"), part(5, 6))).when(m == 10, F.right("order_no", F.lit(6))).otherwise(c("order_no")).alias("order_no"),
+        F.when(m == 2, c("order_no")).when(m == 3, "x").when((m == 5) | (m > 6), "z").otherwise(c("folio")).alias("folio"),
         F.when(m == 1, c("order_no")).when(m == 2, "bad").when(m == 3, "777").when(m == 5, "w").when(m == 6, "v").otherwise(c("sku")).alias("sku"),
-        F.when(m == 3, c("sold_on")).alias("sold_on"), "store", "till", "trx", (-F.when(m == 6, c("unit_price")).otherwise(c("total"))).alias("amount"))
-    out = S.repair_refunds(refunds, s)
-    return out.select("refund_id", "rule", F.concat("order_no", "folio", "sku").alias("line"))
+        F.when(m == 3, c("sold_on")).alias("sold_on"), "store", "till", "trx", (-amount).cast("decimal(18,2)").alias("amount"))
+
+
+@query(_REPAIRED + " SELECT refund_id, rule, line FROM rep")
+def repaired_refunds(t):
+    """Refunds whose ids were mistyped, led back to the sale they undo."""
+    s = _sales(t)
+    return S.repair_refunds(_refunds(s), s).select("refund_id", "rule", F.concat("order_no", "folio", "sku").alias("line"))
+
+
+@query(_REPAIRED + """, v AS (SELECT order_no||folio||sku AS line, MAX(total) AS t, MAX(unit_price) AS u FROM s GROUP BY 1),
+h AS (SELECT rep.*, t, CASE WHEN u=-amount THEN 1 WHEN t=-amount THEN 2 WHEN t>=-amount THEN 3 WHEN t IS NOT NULL THEN 4 END AS amount_rule, CASE WHEN t<-amount AND u<>-amount THEN -t ELSE amount END AS held FROM rep LEFT JOIN v USING (line))
+SELECT refund_id, rule, line, amount_rule, CAST(held AS DOUBLE) AS amount FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY line, held ORDER BY rule, refund_id) AS rn FROM h) WHERE rn=1""")
+def held_refunds(t):
+    """Repaired refunds held within their sale, one of each line and amount."""
+    s = _sales(t)
+    out = S.held_refunds(S.repair_refunds(_refunds(s), s), s)
+    return out.select("refund_id", "rule", F.concat("order_no", "folio", "sku").alias("line"), "amount_rule", num("amount").alias("amount"))
 
 
 _RATES = """rates AS (SELECT CASE p_partkey%3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS period, p_partkey%6+1 AS rule, CAST(p_partkey%23 AS VARCHAR) AS seller,
@@ -253,6 +274,82 @@ def capped_refunds(t):
     return S.cap_refund(refunds, sold).select(*_IDS, F.col("quantity").cast("double").alias("quantity"))
 
 
+# lines of a collection file: every line is sold, those of flag R come back too, for too much or for 1.2 units
+_COLLECTED = f"""WITH l AS (SELECT 'O'||CAST(l_orderkey AS VARCHAR) AS order_no, CAST(l_linenumber AS VARCHAR) AS folio, CAST(l_partkey AS VARCHAR) AS sku, CAST(l_suppkey%23 AS VARCHAR) AS seller, CAST(l_shipdate AS DATE) AS sold_on, l_returnflag AS f, l_linestatus AS st,
+ l_partkey AS k, l_suppkey%7 AS w, CAST({_M}*0.002 AS DECIMAL(18,2)) AS total, CAST(CAST({_M}*0.001 AS DECIMAL(18,2)) AS DOUBLE) AS unit_price, CAST(CAST(CASE WHEN l_partkey%2=1 THEN {_M}*0.0030 ELSE {_M}*0.0012 END AS DECIMAL(18,2)) AS DOUBLE) AS back FROM lineitem),
+s AS (SELECT order_no, folio, sku, CAST(MAX(total) AS DOUBLE) AS t, MAX(unit_price) AS u, MIN(sold_on) AS bought_on FROM l GROUP BY 1,2,3),
+c1 AS (SELECT l.order_no, l.folio, l.sku, seller, sold_on, u, bought_on, back, CASE WHEN back>t THEN t ELSE back END AS b1 FROM l JOIN s USING (order_no, folio, sku) WHERE f='R'),
+c2 AS (SELECT *, CASE WHEN u>b1 THEN u ELSE b1 END/u AS n, ROW_NUMBER() OVER (PARTITION BY order_no, folio, sku ORDER BY sold_on, seller, back DESC) AS rn FROM c1 WHERE u<>0),
+c3 AS (SELECT order_no, folio, sku, seller, sold_on, bought_on, CAST(-(floor(n)+CASE WHEN n-floor(n)<0.5 THEN 0 ELSE 1 END)*u AS DECIMAL(18,2)) AS total FROM c2 WHERE rn=1),
+rows AS (SELECT order_no, folio, sku, seller, sold_on, sold_on AS bought_on, total FROM l UNION ALL SELECT order_no, folio, sku, seller, sold_on, bought_on, total FROM c3),
+one AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_no, folio, sku, total ORDER BY sold_on, seller) AS rn FROM rows) WHERE rn=1),
+h AS (SELECT DISTINCT order_no, sku, total FROM l WHERE sold_on<DATE '1995-01-01' AND f='N'),
+fr AS (SELECT * FROM one WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.order_no=one.order_no AND h.sku=one.sku AND h.total=one.total) AND NOT EXISTS (SELECT 1 FROM h WHERE h.order_no=one.order_no AND h.sku=one.sku AND (h.total>=0)=(one.total>=0))),
+col AS (SELECT * EXCLUDE (rn, r2) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_no, sku, total>=0 ORDER BY sold_on, folio, total, seller) AS r2 FROM fr) WHERE r2=1)"""
+_SETTLED = _COLLECTED + f""", z AS (SELECT CAST(p_partkey AS VARCHAR) AS sku, MAX(CASE p_type WHEN 'PROMO' THEN 'XXXS' WHEN 'SMALL' THEN 'M' WHEN 'LARGE' THEN 'XL' END) AS size FROM part GROUP BY 1),
+pay AS (SELECT order_no, folio, sku, seller, sold_on, total, CAST(w AS DOUBLE)/100 AS rate, total*CAST(w AS DOUBLE)/100 AS commission, 1::DOUBLE AS shipping FROM l WHERE st='F'), com AS (SELECT order_no, folio, sku, MIN(rate) AS rate FROM pay GROUP BY 1,2,3),
+g AS (SELECT col.*, -col.total AS back, COALESCE(size,'S') AS size, rate FROM col LEFT JOIN z USING (sku) LEFT JOIN com USING (order_no, folio, sku) WHERE col.total<0),
+dis AS (SELECT *, total*rate AS commission, -(CASE WHEN bought_on>=DATE '1996-01-01' AND bought_on<DATE '1998-01-01' THEN {_case(vocab.TARIFF_1, 'back', 'size')} WHEN bought_on>=DATE '1998-01-01' THEN {_case(vocab.TARIFF_2, 'back', 'size')} ELSE 0::DOUBLE END) AS shipping FROM g),
+both_ AS (SELECT 1 AS p, order_no, folio, sku, seller, sold_on, total, commission, shipping FROM pay UNION ALL SELECT 2, order_no, folio, sku, seller, sold_on, total, commission, shipping FROM dis),
+k1 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_no, sku, total ORDER BY p, sold_on, folio, seller) AS r1 FROM both_) WHERE r1=1),
+liq AS (SELECT *, total-COALESCE(commission,0)-shipping AS payable FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_no, sku, total>=0 ORDER BY p, sold_on, folio, total, seller) AS r2 FROM k1) WHERE r2=1)"""
+
+
+def _collected(t):
+    """(sold lines, collection file) of all line items."""
+    l = t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_returnflag", "l_linestatus")
+    c, m = F.col, money("l_extendedprice")
+    share = lambda x: (m * F.lit(x).cast("decimal(5,4)")).cast("decimal(18,2)")
+    sold = l.select(
+        F.concat(F.lit("O"), c("l_orderkey").cast("string")).alias("order_no"), c("l_linenumber").cast("string").alias("folio"), c("l_partkey").cast("string").alias("sku"), (c("l_suppkey") % 23).cast("string").alias("seller"),
+        F.to_date("l_shipdate").alias("sold_on"), "l_returnflag", "l_linestatus", (c("l_suppkey") % 7).alias("w"), share("0.0020").alias("total"), num(share("0.0010")).alias("unit_price"), num(-F.when(c("l_partkey") % 2 == 1, share("0.0030")).otherwise(share("0.0012"))).alias("amount"))
+    ids = ["order_no", "folio", "sku", "seller", "sold_on"]
+    amounts = sold.withColumn("total", num("total"))
+    back = S.refund_lines(amounts.where(c("l_returnflag") == "R").select(*ids, "amount"), amounts.select(*ids, "total", "unit_price"))
+    income = sold.select(*ids, c("sold_on").alias("bought_on"), "total")
+    outflow = back.select(*ids, "bought_on", money("amount").alias("total"))
+    before = sold.where((c("sold_on") < F.lit("1995-01-01").cast("date")) & (c("l_returnflag") == "N")).select("order_no", "sku", "total")
+    return sold, S.collected_lines(income, outflow, before)
+
+
+def _settled(t):
+    """(payments, collection file, discounts, settled lines)."""
+    sold, collected = _collected(t)
+    c, kind, rate = F.col, F.col("p_type"), F.col("w").cast("double") / 100
+    sizes = t("part", "p_partkey", "p_type").select(c("p_partkey").cast("string").alias("sku"), F.when(kind == "PROMO", "XXXS").when(kind == "SMALL", "M").when(kind == "LARGE", "XL").alias("size"))
+    payments = sold.where(c("l_linestatus") == "F").select("order_no", "folio", "sku", "seller", "sold_on", "total", rate.alias("rate"), (c("total") * c("w").cast("double") / 100).alias("commission"), F.lit(1.0).alias("shipping"))
+    tariffs = [("1996-01-01", "1998-01-01", vocab.TARIFF_1), ("1998-01-01", None, vocab.TARIFF_2)]
+    refunded = S.discounts(collected, payments, sizes, tariffs)
+    return payments, collected, refunded, S.settled_lines(payments, refunded)
+
+
+@query(_COLLECTED + " SELECT order_no, folio, sku, seller, strftime(sold_on,'%Y-%m-%d') AS sold_on, strftime(bought_on,'%Y-%m-%d') AS bought_on, CAST(total AS DOUBLE) AS total, CASE WHEN total>=0 THEN 'Ingreso' ELSE 'Egreso' END AS type FROM col")
+def collected_lines(t):
+    """Sales and refunds that earlier collection files do not hold."""
+    out = _collected(t)[1]
+    return out.select("order_no", "folio", "sku", "seller", day("sold_on").alias("sold_on"), day("bought_on").alias("bought_on"), num("total").alias("total"), "type")
+
+
+@query(_SETTLED + " SELECT order_no, folio, sku, seller, size, CAST(total AS DOUBLE) AS total, rate, commission, shipping FROM dis")
+def settled_refunds(t):
+    """Refunds of a settlement with the commission and shipping that go back."""
+    return _settled(t)[2].select("order_no", "folio", "sku", "seller", "size", num("total").alias("total"), "rate", "commission", "shipping")
+
+
+@query(_SETTLED + " SELECT order_no, folio, sku, seller, CAST(total AS DOUBLE) AS total, commission, shipping, payable, CASE WHEN total>=0 THEN 'Ingreso' ELSE 'Egreso' END AS type FROM liq")
+def settled_lines(t):
+    """Payments and refunds of a settlement, one of each direction per order and sku."""
+    return _settled(t)[3].select("order_no", "folio", "sku", "seller", num("total").alias("total"), "commission", "shipping", "payable", "type")
+
+
+@query(_SETTLED + """ SELECT 'payable' AS label, CAST(SUM(total) AS DOUBLE) AS total FROM pay UNION ALL SELECT 'settled_in', CAST(SUM(total) AS DOUBLE) FROM liq WHERE total>0 UNION ALL SELECT 'collected_in', CAST(SUM(total) AS DOUBLE) FROM col WHERE total>0
+ UNION ALL SELECT 'collected_out', CAST(SUM(total) AS DOUBLE) FROM col WHERE total<0 UNION ALL SELECT 'settled_out', CAST(SUM(total) AS DOUBLE) FROM liq WHERE total<0""")
+def settlement_totals(t):
+    """Control totals of a settlement, in and out."""
+    payments, collected, _, settled = _settled(t)
+    return S.settlement_totals(payments, collected, settled)
+
+
 @query("""
 WITH d AS (SELECT DISTINCT l_orderkey AS n FROM lineitem), g AS (SELECT n, LEAD(n) OVER (ORDER BY n) AS nx FROM d), m AS (SELECT unnest(range(n+1,nx)) AS n FROM g WHERE nx-n>1)
 SELECT 'F001' AS series, n AS number, 'F001-'||CAST(n AS VARCHAR) AS folio, o_custkey AS payer FROM m LEFT JOIN orders ON o_orderkey=n AND o_orderstatus<>'P'

@@ -118,6 +118,44 @@ def join_if_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], value
     return attach(left, unique_values(right, keys, value), keys)
 
 
+def _key(rule: int, parts: Sequence[Column]) -> list[Column]:
+    """128 bits of a rule's number and its key, in two columns; null where a part is null."""
+    known = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+    return [F.when(known, F.xxhash64(F.lit(rule * 2 + half), *parts)) for half in (0, 1)]
+
+
+def first_unique_match(left: DataFrame, right: DataFrame, rules: Sequence[tuple[Sequence[Column], Sequence[Column]]], value: str, number: str = "rule") -> DataFrame:
+    """``left`` with the ``value`` of the first rule whose key stands for exactly one value of ``right``.
+
+    A rule is (left key expressions, right key expressions) of the same types; a
+    null part matches nothing.  ``number`` is the rule's number from 1, 0 where
+    none matches.
+
+    Both sides become (rule, key) rows and meet in one join, whatever the number
+    of rules; the smallest rule of each row then goes back to it.  Rows of
+    ``left`` with the same keys are looked up once.  Keys, rows
+    and values are told apart by 112 bits or more.
+    """
+    asked = F.array(*[F.struct(F.lit(i).cast("long").alias("_rule"), *[k.alias(n) for k, n in zip(_key(i, l), ("_h", "_i"))]) for i, (l, _) in enumerate(rules, 1)])
+    hashes = [h for l, _ in rules for h in l]
+    # a null leaves a hash as it was, so which parts are null is part of it
+    same = {f"_s{half}": F.xxhash64(F.lit(half), F.concat(*[F.isnull(h).cast("string") for h in hashes]), *hashes) for half in (0, 1)}
+    probes = left.select(*[c.alias(n) for n, c in same.items()], F.explode(asked).alias("_a")).select(*same, "_a.*").where(F.col("_h").isNotNull())
+    # values travel as two numbers of 56 bits, which hash aggregates hold in place; a rule's number fits above them
+    marks = {f"_v{half}": F.shiftrightunsigned(F.xxhash64(F.lit(half), value), 8) for half in (0, 1)}
+    offered = F.array(*[F.struct(*[k.alias(n) for k, n in zip(_key(i, r), ("_h", "_i"))]) for i, (_, r) in enumerate(rules, 1)])
+    offers = right.select(*[c.alias(n) for n, c in marks.items()], F.explode(offered).alias("_o")).select(*marks, "_o.*").where(F.col("_h").isNotNull())
+    spread = offers.groupBy("_h", "_i").agg(*[f(m).alias(f"{m}{n}") for m in marks for n, f in (("a", F.min), ("b", F.max))])
+    single = spread.where("_v0a = _v0b and _v1a = _v1b").select("_h", "_i", *[F.col(f"{m}a").alias(m) for m in marks])
+    tops = [F.min(F.shiftleft("_rule", 56) + F.col(m)).alias(m) for m in marks]
+    first = probes.join(single, ["_h", "_i"]).groupBy(*same).agg(*tops)
+    first = first.select(*same, F.shiftright("_v0", 56).cast("int").alias(number), *[F.col(m).bitwiseAND(F.lit((1 << 56) - 1)).alias(m) for m in marks])
+    values = right.select(value, *[c.alias(n) for n, c in marks.items()]).groupBy(*marks).agg(F.first(value).alias(value))
+    found = first.join(values, list(marks)).drop(*marks)
+    out = left.withColumns(same).join(found, list(same), "left").drop(*same)
+    return out.withColumn(number, F.coalesce(number, F.lit(0)))
+
+
 def pair_by_position(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_order, right_order, left_block=None, right_block=None,
     name: str = "position", how: str = "left",

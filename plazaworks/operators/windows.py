@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 HEAD, ROW, TAIL = 0, 1, 2
 FAN = 1024  # numbered blocks in a coarser block
-BLOCKS = 4096  # ranges between sampled edges
-PER_EDGE = 16  # sampled rows for each edge
+BLOCKS = 1024  # ranges between sampled edges; to be raised with the number of tasks of a cluster
+PER_EDGE = 8  # sampled rows for each edge
 
 
 class Sampled(NamedTuple):

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, settlement_week
 from ..functions.numbers import commission_split, nearest_units, sign_type
-from ..operators.aggregates import sum_when
-from ..operators.joins import attach, cascade_join, key_conflict_flag, longest_prefix_match, unique_values
-from ..operators.keys import priority_dedup
+from ..operators.aggregates import control_totals, sum_when
+from ..operators.joins import attach, cascade_join, first_unique_match, key_conflict_flag, longest_prefix_match
+from ..operators.keys import drop_duplicates_ordered, priority_dedup
 from ..operators.rules import case_first, dated_tariff
 from ..operators.setops import new_rows, reconcile
 
@@ -33,10 +33,14 @@ def by_shape(shape, *cols: str) -> Column:
     return F.coalesce(*[F.when(has_shape(c, shape), F.col(c)) for c in cols])
 
 
+#: Parts of an order number by which a mistyped one is still recognised, as (first character, length); from the end if negative.
+ORDER_PARTS = ((3, 6), (1, 7), (5, 6), (-6, 6))
+
+
 def repair_refunds(refunds: DataFrame, sales: DataFrame) -> DataFrame:
     """Refunds with the (order, folio, sku) of the sale they undo.
 
-    Rules, the first that finds a sale wins:
+    Rules, the first that finds one sale line, and no other, wins:
 
     1. the ids match a sale as they stand
     2. the till transaction held a single sale line
@@ -44,45 +48,57 @@ def repair_refunds(refunds: DataFrame, sales: DataFrame) -> DataFrame:
     4. order and refunded amount fit one sale line (line total, then unit price)
     5. folio and refunded amount fit one sale line (line total, then unit price)
     6. the order, then the folio, holds a single sku
+    7. a part of the order number (characters 3 to 8, 1 to 7, 5 to 10, the last six) and the sku
 
     refunds: refund_id, order_no, folio, sku, store, till, trx, sold_on,
-    amount (negative); sales: the same ids with unit_price and total.  All rules
-    are looked up side by side on sides reduced to one candidate per key, so the
-    refund count stays as it is.
+    amount (negative); sales: the same ids with unit_price and total.  Amounts
+    are compared to the cent.  All rules meet in one join
+    (:func:`first_unique_match`), so the refund count stays as it is.
     """
-    s = sales.select(*LINE, "sold_on", "store", "till", "trx", "total", "unit_price", F.struct(*LINE).alias("_line"))
-    out = refunds.withColumns(
-        {
-            "_order": F.coalesce(by_shape(ORDER_SHAPE, "order_no", "folio"), F.when(F.length("sku") == 9, F.concat(F.lit("5"), "sku"))),
-            "_sku": by_shape(SKU_SHAPE, "order_no", "folio", "sku"),
-            "_folio": by_shape(FOLIO_SHAPE, "order_no", "folio", "sku"),
-            "_back": -F.col("amount"),
-        }
-    )
-    till = ["sold_on", "store", "till", "trx"]
+    c = F.col
+    cents = lambda x: x.cast("decimal(18,2)")
+    # shapes are looked at once, not once a rule
+    shaped = refunds.withColumns({
+        "_order": F.coalesce(by_shape(ORDER_SHAPE, "order_no", "folio"), F.when(F.length("sku") == 9, F.concat(F.lit("5"), "sku"))),
+        "_sku": by_shape(SKU_SHAPE, "order_no", "folio", "sku"),
+        "_folio": by_shape(FOLIO_SHAPE, "order_no", "folio", "sku"),
+    })
+    order, sku, folio = c("_order"), c("_sku"), c("_folio")
+    back, total, price = cents(-c("amount")), cents(c("total")), cents(c("unit_price"))
+    line, till = [c(x) for x in LINE], [c(x) for x in ("sold_on", "store", "till", "trx")]
     rules = [
-        (LINE, LINE),
+        (line, line),
         (till, till),
-        (["_order", "_sku"], ["order_no", "sku"]),
-        (["_order", "_back"], ["order_no", "total"]),
-        (["_order", "_back"], ["order_no", "unit_price"]),
-        (["_folio", "_back"], ["folio", "total"]),
-        (["_folio", "_back"], ["folio", "unit_price"]),
-        (["_order"], ["order_no"]),
-        (["_folio"], ["folio"]),
+        ([order, sku], [c("order_no"), c("sku")]),
+        ([order, back], [c("order_no"), total]),
+        ([order, back], [c("order_no"), price]),
+        ([folio, back], [c("folio"), total]),
+        ([folio, back], [c("folio"), price]),
+        ([order], [c("order_no")]),
+        ([folio], [c("folio")]),
     ]
-    for i, (left, right) in enumerate(rules, 1):
-        keys = [f"_k{j}" for j in range(len(left))]
-        side = unique_values(s.na.drop(subset=list(right)), right, "_line")
-        side = side.select(*[F.col(r).alias(k) for r, k in zip(right, keys)], F.col("_line").alias("_new"))
-        out = out.withColumns({k: F.col(c) for c, k in zip(left, keys)}).join(side, keys, "left").drop(*keys)
-        # one sale per refund travels on, not one per rule
-        hit = F.coalesce("_hit", "_new") if i > 1 else F.col("_new")
-        found = F.when(F.col("_new").isNotNull(), i).otherwise(0)
-        number = F.when(F.col("rule") == 0, found).otherwise(F.col("rule")) if i > 1 else found
-        out = out.withColumns({"_hit": hit, "rule": number}).drop("_new")
-    fixed = {c: F.coalesce(F.col("_hit")[c], F.col(c)) for c in LINE}
-    return out.withColumns(fixed).drop("_hit", "_order", "_sku", "_folio", "_back")
+    for start, length in ORDER_PARTS:
+        part = F.substring("order_no", start, length)
+        part = F.when(F.length(part) == length, part)
+        rules.append(([part, F.coalesce(sku, c("sku"))], [part, c("sku")]))
+    out = first_unique_match(shaped, sales.withColumn("_line", F.struct(*LINE)), rules, "_line")
+    return out.withColumns({x: F.coalesce(c("_line")[x], c(x)) for x in LINE}).drop("_line", "_order", "_sku", "_folio")
+
+
+def held_refunds(repaired: DataFrame, sales: DataFrame) -> DataFrame:
+    """Repaired refunds with the sale's amounts, held within the sale, one of each (line, amount).
+
+    ``amount_rule`` is 1 where the refund is the unit price, 2 where it is the
+    line total, 3 where it is less and 4 where it was more and became the total;
+    null without a sale.  repaired: as :func:`repair_refunds` returns them.
+    """
+    c = F.col
+    side = sales.groupBy(*LINE).agg(F.max("total").alias("sale_total"), F.max("unit_price").alias("sale_price"), F.min("sold_on").alias("bought_on"))
+    out = attach(repaired, side, LINE)
+    back = -c("amount")
+    out = out.withColumn("amount_rule", F.when(c("sale_price") == back, 1).when(c("sale_total") == back, 2).when(c("sale_total") >= back, 3).when(c("sale_total").isNotNull(), 4))
+    out = out.withColumn("amount", F.when(c("amount_rule") == 4, -c("sale_total")).otherwise(c("amount")))
+    return drop_duplicates_ordered(out, [*LINE, "amount"], [F.asc("rule"), F.asc("refund_id")])
 
 
 def commission_period(sold_on: str, second: str, third: str) -> Column:
@@ -145,6 +161,80 @@ def one_per_direction(new: DataFrame, history: DataFrame, order: Sequence[Column
     return kept.where(F.col("_prio") == 2).drop("_prio")
 
 
+def refund_lines(refunds: DataFrame, sold: DataFrame, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+    """The refunds of a week, held within their sale in whole units, one per line, with the day of purchase.
+
+    refunds: LINE, seller, sold_on (the day of the refund), amount (negative);
+    sold: LINE, sold_on, total, unit_price.  Refunds without a sale have no day
+    of purchase.  Of several refunds of a line the earliest stays.
+    """
+    c = F.col
+    week = refunds
+    if first_day is not None:
+        week = week.where(c("sold_on") >= F.lit(first_day).cast("date"))
+    if last_day is not None:
+        week = week.where(c("sold_on") <= F.lit(last_day).cast("date"))
+    one = drop_duplicates_ordered(week, LINE, [F.asc("sold_on"), F.asc("seller"), F.asc("amount")])
+    return attach(cap_refund(one, sold), sold.groupBy(*LINE).agg(F.min("sold_on").alias("bought_on")), LINE)
+
+
+def collected_lines(income: DataFrame, outflow: DataFrame, history: DataFrame) -> DataFrame:
+    """Lines of a week's collection file: sales and refunds that earlier files do not hold.
+
+    income: LINE, seller, sold_on, bought_on, total (of the week's sales);
+    outflow: the same of the week's refunds, with negative totals; history:
+    order_no, sku, total of earlier files.  Lines without a folio and refunds
+    without a known sale are left out; one income and one outflow stay per
+    (order, sku), the earliest.
+    """
+    rows = income.unionByName(outflow.where(F.col("bought_on").isNotNull())).where(F.col("folio").isNotNull())
+    order = [F.asc("sold_on"), F.asc("folio"), F.asc("total"), F.asc("seller")]
+    rows = drop_duplicates_ordered(rows, [*LINE, "total"], order)
+    fresh = new_rows(rows, history, ["order_no", "sku", "total"])
+    return one_per_direction(fresh, history, order)
+
+
+def discounts(collected: DataFrame, commissions: DataFrame, sizes: DataFrame, tariffs, exempt: Column | None = None) -> DataFrame:
+    """Outflow lines of a collection with the commission and shipping that go back with them.
+
+    commissions: LINE, rate of the settled sale; sizes: sku, size.  The shipping
+    share is that of a sale of the refunded amount, by the date of purchase, with
+    its sign turned.  A line without a settled sale has no commission.
+    """
+    c = F.col
+    out = collected.where(c("total") < 0)
+    out = attach(out, sizes.groupBy("sku").agg(F.max("size").alias("size")), ["sku"]).withColumn("size", F.coalesce("size", F.lit("S")))
+    out = attach(out, commissions.groupBy(*LINE).agg(F.min("rate").alias("rate")), LINE).withColumn("_back", -c("total"))
+    out = out.withColumns({"commission": c("total") * c("rate"), "shipping": -dated_tariff("bought_on", "_back", "size", tariffs, exempt)})
+    return out.drop("_back")
+
+
+def settled_lines(payments: DataFrame, refunded: DataFrame) -> DataFrame:
+    """A week's settlement: payable sales and discounts, one of each direction per (order, sku), with what is paid.
+
+    Both: LINE, seller, sold_on, total, commission, shipping.  Payments come
+    before discounts where they claim the same place, then the earlier line.
+    """
+    c = F.col
+    cols = [*LINE, "seller", "sold_on", "total", "commission", "shipping"]
+    order = [F.asc("sold_on"), F.asc("folio"), F.asc("total"), F.asc("seller")]
+    kept = priority_dedup([payments.select(*cols), refunded.select(*cols)], ["order_no", "sku", "total"], order, "_prio")
+    kept = drop_duplicates_ordered(kept.withColumn("type", sign_type("total")), ["order_no", "sku", "type"], [F.asc("_prio"), *order]).drop("_prio")
+    return kept.withColumn("payable", c("total") - F.coalesce("commission", F.lit(0)) - c("shipping"))
+
+
+def settlement_totals(payments: DataFrame, collected: DataFrame, settled: DataFrame) -> DataFrame:
+    """Control totals by side: what was payable, collected and settled, in and out."""
+    total, side = F.col("total"), lambda sign: F.sum(F.when(F.col("total") > 0 if sign else F.col("total") < 0, F.col("total")))
+    return control_totals({
+        "payable": (payments, F.sum(total)),
+        "settled_in": (settled, side(True)),
+        "collected_in": (collected, side(True)),
+        "collected_out": (collected, side(False)),
+        "settled_out": (settled, side(False)),
+    })
+
+
 def classify_losses(rejects: DataFrame, kind: str = "type") -> DataFrame:
     """'Rechazo' and 'Siniestro' by keyword; other types stay."""
     k = F.col(kind)
