@@ -31,18 +31,30 @@ def size_tree(t):
     return M.class_metrics(M.score(model, test), "size", "predicted")
 
 
-@query()
-def size_network(t):
-    """Class probabilities of a dense network, trained on eight tenths."""
+def _network(t):
+    """(model, history, test rows) of a dense network trained on eight tenths and stopped by one."""
     features = ["width", "length", "height", "weight", "volume_m3"]
     train, valid, test = M.split(sized_parts(t), [0.8, 0.1, 0.1], 42, ["p_partkey"])
     k = train.select("size").distinct().count()
-    model = M.mlp_classifier(features, "size", k).fit(train)
+    return *M.fit_early_stopping(train, valid, features, "size", k), test
+
+
+@query()
+def size_network(t):
+    """Class probabilities of a dense network, trained on eight tenths and stopped by the loss on one."""
+    model, _, test = _network(t)
     scored = M.score(model, test)
     probabilities = [f"p_{n}" for n in M.labels_of(model)]
     return scored.select("p_partkey", "size", "predicted", *[F.round(c, 6).alias(c) for c in sorted(probabilities)])
 
 
+@query()
+def size_network_history(t):
+    """Passes run by the network, with the losses on both parts and the pass that was kept."""
+    out = _network(t)[1]
+    return out.select("epoch", F.round("train_loss", 6).alias("train_loss"), F.round("valid_loss", 6).alias("valid_loss"), "kept")
+
+
 @query()
 def component_variance(t):
     """Variance per principal component of the product measures."""

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.windows import BLOCKS, Sampled, blocked_window
+from ..session import cut_lineage
 from .features import scaled
 
 
@@ -57,6 +58,51 @@ def mlp_classifier(features: Sequence[str], label: str, classes: int, hidden: Se
     )
 
 
+def log_loss(model, rows: DataFrame) -> float:
+    """Mean negative log-likelihood of the indexed labels; infinite without rows."""
+    p = F.get(vector_to_array("probability"), F.col("label_index").cast("int"))
+    value = model.transform(rows).agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15))))).first()[0]
+    return float("inf") if value is None else value
+
+
+def fit_early_stopping(
+    train: DataFrame, valid: DataFrame, features: Sequence[str], label: str, classes: int, hidden: Sequence[int] = (256, 128, 64), epochs: int = 20,
+    step: int = 2, patience: int = 3, min_delta: float = 0.0,
+) -> tuple[PipelineModel, DataFrame]:
+    """The network with the smallest loss on ``valid``, and (epoch, train_loss, valid_loss, kept) of every round.
+
+    Each round goes on from the weights of the one before for ``step`` passes
+    over ``train``.  Learning ends after ``epochs`` passes, or when ``patience``
+    rounds in a row were not better than the best by more than ``min_delta``;
+    the weights of the best round are returned.  Without validation rows all
+    rounds run and the last one stays.  Weights and losses are all that reaches
+    the driver.
+    """
+    *before, network = mlp_classifier(features, label, classes, hidden, epochs).getStages()
+    prepared = Pipeline(stages=before).fit(train)
+    ready = lambda df: cut_lineage(prepared.transform(df).select("label_index", "features"))
+    rows, held = ready(train), ready(valid)
+    best, best_loss, weights, worse, history = None, float("inf"), None, 0, []
+    for done in range(step, epochs + step, step):
+        stage = network.copy({network.maxIter: min(step, epochs - done + step)})
+        if weights is not None:
+            stage.setInitialWeights(weights)
+        model = stage.fit(rows)
+        weights = model.weights
+        loss = log_loss(model, held)
+        better = best is None or loss < best_loss - min_delta or loss == float("inf")
+        if better:
+            best, best_loss, worse = model, loss, 0
+        else:
+            worse += 1
+        history.append((min(done, epochs), float(log_loss(model, rows)), float(loss)))
+        if worse >= patience:
+            break
+    kept = min((loss, i) for i, (_, _, loss) in enumerate(history))[1] if best_loss < float("inf") else len(history) - 1
+    table = [(*h, i == kept) for i, h in enumerate(history)]
+    return PipelineModel(stages=[*prepared.stages, best]), train.sparkSession.createDataFrame(table, "epoch int, train_loss double, valid_loss double, kept boolean")
+
+
 def labels_of(model: PipelineModel) -> list[str]:
     """Class names in the order of their index."""
     return next(s for s in model.stages if isinstance(s, StringIndexerModel)).labels

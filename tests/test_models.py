@@ -1,8 +1,11 @@
 """Models and outliers as the reference has them."""
 
 import __spark_entry__ as entry
+import numpy as np
 import pytest
 
+from plazaworks.ml import models as M
+
 QUERIES = entry.queries()
 
 
@@ -34,3 +37,28 @@ def test_outliers_of_all_measures(spark, folder):
     before = {r["p_partkey"]: r for r in QUERIES["category_tails"](spark, folder).collect()}
     assert set(before[next(iter(before))].asDict()) == {"p_partkey", "width", "length", "height"}
     assert set(QUERIES["category_removed"](spark, folder).columns) == {"p_partkey", "width", "length", "height"}
+
+
+def test_learning_stops_and_keeps_the_best_weights(spark):
+    """Labels are noise: the loss on held rows soon grows, and the weights of its smallest value are returned."""
+    rng = np.random.default_rng(0)
+    rows = [(float(a), float(b), str(int(a + 0.7 * rng.normal() > 0))) for a, b in rng.normal(size=(120, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, label string")
+    train, valid = df.limit(60), df.subtract(df.limit(60))
+    model, history = M.fit_early_stopping(train, valid, ["a", "b"], "label", 2, hidden=(24, 24), epochs=120, step=10, patience=2)
+    h = history.orderBy("epoch").collect()
+    assert len(h) < 12 and h[-1]["epoch"] == 10 * len(h)  # stopped before the last pass
+    best = min(range(len(h)), key=lambda i: h[i]["valid_loss"])
+    assert [r["kept"] for r in h] == [i == best for i in range(len(h))] and len(h) - 1 - best == 2
+    held = M.PipelineModel(stages=model.stages[:-1]).transform(valid)
+    assert M.log_loss(model.stages[-1], held) == pytest.approx(h[best]["valid_loss"], abs=1e-9)
+
+
+def test_rounds_go_on_from_each_other(spark):
+    rng = np.random.default_rng(1)
+    rows = [(float(a), float(b), str(int(a * b > 0))) for a, b in rng.normal(size=(200, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, label string")
+    _, history = M.fit_early_stopping(df, df.limit(0), ["a", "b"], "label", 2, hidden=(8,), epochs=25, step=10)
+    h = history.orderBy("epoch").collect()
+    assert [r["epoch"] for r in h] == [10, 20, 25] and [r["kept"] for r in h] == [False, False, True]
+    assert h[0]["train_loss"] > h[1]["train_loss"] > h[2]["train_loss"]
