@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sem import col
+from .cover import SIZES, covered_by, polygon_cover
 from .joins import attach_group
 
 
@@ -63,41 +65,14 @@ def convex_hull(df: DataFrame, group: str, lon: str, lat: str, parts: int = 256)
     return whole.select(F.col("g").alias(group), "corner", F.col("x").alias(lon), F.col("y").alias(lat))
 
 
-def in_ring(lon, lat, edges) -> Column:
-    """True if a point lies inside a ring given as an array of its edges."""
-    x, y = col(lon), col(lat)
-
-    def crosses(e: Column) -> Column:
-        above = (e["y1"] > y) != (e["y2"] > y)
-        at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
-        return F.coalesce(above & (x < at), F.lit(False))
-
-    return F.size(F.filter(col(edges), crosses)) % 2 == 1
+def point_in_polygon_join(points: DataFrame, lon: str, lat: str, polygons: DataFrame, name: str, ring: str, sizes: Sequence[float] = SIZES) -> DataFrame:
+    """Area of each point; points in no area keep a NULL area, points in several have a row for each.
 
-
-def point_in_polygon_join(points: DataFrame, lon: str, lat: str, polygons: DataFrame, name: str, ring: str, cell: float = 0.01) -> DataFrame:
-    """Area of each point; points in no area keep a NULL area.
-
-    Areas are laid out on a grid of ``cell`` degrees and meet the points by
-    cell, so the ring test only runs on points whose cell an area's box covers;
-    the join is an equi-join, never a product.
+    Areas are covered with cells of several sizes (``plazaworks.operators.cover``)
+    and meet the points by cell: the join is an equi-join, inner cells need no
+    test and border cells test their own few edges.
     """
-    r = F.col(ring)
-    # closed ring: each corner with the next one, the last with the first
-    def edge(i):
-        p, q = F.get(r, i), F.get(r, (i + 1) % F.size(r))
-        return F.named_struct(F.lit("x1"), p["lon"], F.lit("y1"), p["lat"], F.lit("x2"), q["lon"], F.lit("y2"), q["lat"])
-
-    edges = F.transform(F.sequence(F.lit(0), F.size(r) - 1), edge)
-    xs, ys = F.transform(r, lambda p: p["lon"]), F.transform(r, lambda p: p["lat"])
-    cells = lambda v: F.sequence(F.floor(F.array_min(v) / cell), F.floor(F.array_max(v) / cell))
-    boxes = (
-        polygons.select(F.col(name).alias("_area"), edges.alias("_edges"), F.explode(cells(xs)).alias("_cx"), ys.alias("_ys"))
-        .select("_area", "_edges", "_cx", F.explode(cells(F.col("_ys"))).alias("_cy"))
-    )
-    placed = points.withColumns({"_px": F.floor(F.col(lon) / cell), "_py": F.floor(F.col(lat) / cell)})
-    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & in_ring(lon, lat, "_edges")
-    return placed.join(boxes, on, "left").select(*points.columns, F.col("_area").alias(name))
+    return covered_by(points, lon, lat, polygon_cover(polygons, name, ring, sizes), name, sizes)
 
 
 def cell_counts(df: DataFrame, cell: Column, name: str = "cell") -> DataFrame:
