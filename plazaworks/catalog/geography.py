@@ -84,10 +84,17 @@ def hexagon_counts(t):
     return S.cell_counts(_points(t), G.hex_cell("lon", "lat", 500.0, -77.0, -12.05))
 
 
-@query()
+@query(f"""
+WITH p AS (SELECT DISTINCT c_nationkey AS g, lon AS x, lat AS y FROM {_points_sql()}),
+e AS (SELECT a.g, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS b_y FROM p a JOIN p b ON a.g=b.g AND (a.x<>b.x OR a.y<>b.y)),
+o AS (SELECT g, ax, ay, bx, b_y FROM e WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.g=e.g AND ((bx-ax)*(p.y-ay)-(b_y-ay)*(p.x-ax)<0 OR ((bx-ax)*(p.y-ay)-(b_y-ay)*(p.x-ax)=0 AND (p.x-ax)*(p.x-bx)+(p.y-ay)*(p.y-b_y)>0)))),
+c AS (SELECT g, ax AS x, ay AS y, atan2(b_y-ay, bx-ax) AS way FROM o UNION SELECT g, MIN(x), MIN(y), 0 FROM p GROUP BY 1 HAVING COUNT(*)=1)
+SELECT g AS c_nationkey, CAST(ROW_NUMBER() OVER (PARTITION BY g ORDER BY way) - 1 AS INT) AS corner, x AS lon, y AS lat FROM
+ (SELECT g, x, y, CASE WHEN way<=-pi()/2 THEN way+2*pi() ELSE way END AS way FROM c)
+""")
 def hull_corners(t):
     """Convex hull of the customers of every nation."""
-    return S.convex_hull(_points(t, "customer", "c_custkey", "c_nationkey"), "c_nationkey", "lon", "lat", parts=8)
+    return S.convex_hull(_points(t, "customer", "c_custkey", "c_nationkey"), "c_nationkey", "lon", "lat")
 
 
 # corners of a zone around its centre, in degrees

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from plazaworks.operators import cover as C
-from plazaworks.operators.spatial import point_in_polygon_join
+from plazaworks.operators import spatial
+from plazaworks.operators.spatial import convex_hull, point_in_polygon_join
 
 
 def star(corners, seed, radius=0.5, at=(0.1, -0.2)):
@@ -78,3 +79,52 @@ def test_repeated_points_and_names(spark):
     got = sorted((r["level"], r["zone"]) for r in point_in_polygon_join(points, "lon", "lat", areas, "zone", "ring").collect() if r["zone"])
     assert got == [(7, "x"), (7, "x"), (8, "x"), (8, "x")]
     assert point_in_polygon_join(points, "lon", "lat", areas.limit(0), "zone", "ring").where("zone is null").count() == 4
+
+
+def hull_of(points):
+    """Corners by gift wrapping in whole numbers, counter-clockwise from the leftmost, lowest one."""
+    pts = sorted(set(points))
+    out, at = [], pts[0]
+    while not out or at != out[0]:
+        out.append(at)
+        best = None
+        for p in pts:
+            if p == at:
+                continue
+            turn = 0 if best is None else (best[0] - at[0]) * (p[1] - at[1]) - (best[1] - at[1]) * (p[0] - at[0])
+            far = best is None or (p[0] - at[0]) ** 2 + (p[1] - at[1]) ** 2 > (best[0] - at[0]) ** 2 + (best[1] - at[1]) ** 2
+            if best is None or turn < 0 or (turn == 0 and far):
+                best = p
+        if best is None:
+            break
+        at = best
+    return out
+
+
+def test_hulls_agree_with_gift_wrapping(spark):
+    """Whole numbers with many points on straight sides, groups of one, two and three points, a line, nulls."""
+    rng = np.random.default_rng(6)
+    groups = {f"g{i}": [tuple(map(int, p)) for p in rng.integers(0, size, (n, 2))] for i, (n, size) in enumerate([(400, 9), (400, 1000), (60, 4), (3, 50), (2, 50), (1, 5)])}
+    groups["line"] = [(i, 2 * i) for i in range(30)]
+    groups["same"] = [(1, 1)] * 5
+    groups[None] = [(0, 0), (4, 0), (4, 4), (0, 4), (2, 0), (2, 2), (4, 2)]
+    rows = [(g, float(x), float(y)) for g, pts in groups.items() for x, y in pts] + [("g0", None, 1.0), ("none", 1.0, None)]
+    got = {}
+    for r in convex_hull(spark.createDataFrame(rows, "g string, x double, y double"), "g", "x", "y", 16).orderBy("corner").collect():
+        got.setdefault(r["g"], []).append((r["corner"], r["x"], r["y"]))
+    for g, pts in groups.items():
+        assert got[g] == [(i, float(x), float(y)) for i, (x, y) in enumerate(hull_of(pts))], g
+    assert "none" not in got
+
+
+def test_no_task_holds_a_whole_circle(spark, monkeypatch):
+    """All points are corners; each side of the farthest points holds a small part of them."""
+    n = 20_000
+    turn = np.arange(n) * 2 * np.pi / n
+    rows = [("a", float(np.cos(t)), float(np.sin(t))) for t in turn]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(64)
+    out = convex_hull(df, "g", "x", "y").orderBy("corner").collect()
+    assert len(out) == n and [r["corner"] for r in out] == list(range(n))
+    ends = spatial._extremes(df.select("g", "x", "y"), 64).collect()[0]["e"]
+    places = sorted(round(np.arctan2(e["y"], e["x"]) * n / 2 / np.pi) % n for e in ends)
+    assert len(places) == 64 and max(np.diff([*places, places[0] + n])) < 0.02 * n
