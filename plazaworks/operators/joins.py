@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sem import regexp_extract_all_n
-from .windows import with_sequence
+from .windows import Sampled, blocked_window, carry_last, with_sequence
 
 
 def _same(keys: Sequence[str], left: str, right: str) -> Column:
@@ -182,12 +182,32 @@ def effective_lookup(
 ) -> DataFrame:
     """Rule valid for the key at a date: ``start <= at < end``, open ends are NULL.
 
-    An equi-join on the key with the range as residual; rules of one key must
-    not overlap.  Unmatched rows keep NULL or the given defaults.
+    An as-of join: rules and rows of a key form one stream in the order of time,
+    cut between sampled edges, that carries the last rule along.  Every row
+    comes out once, whatever the number of rules and rows of its key: where
+    rules overlap (:func:`rule_overlaps` lists them), the one that began last
+    counts; of rules that begin together, the one that ends last, an open end
+    being last of all.  Unmatched rows keep NULL or the given defaults; NULL
+    keys match nothing.
     """
     new = [c for c in rules.columns if c not in (*keys, start, end)]
-    on = reduce(lambda a, b: a & b, [F.col(f"d.{k}") == F.col(f"r.{k}") for k in keys])
-    at_col = F.col(f"d.{at}")
-    on = on & (F.col(f"r.{start}").isNull() | (at_col >= F.col(f"r.{start}"))) & (F.col(f"r.{end}").isNull() | (at_col < F.col(f"r.{end}")))
-    out = df.alias("d").join(rules.alias("r"), on, "left").select("d.*", *[f"r.{c}" for c in new])
+    rule = F.struct(F.col(end).isNull().alias("open"), F.col(end).alias("end"), *[F.col(c).alias(f"v_{c}") for c in new])
+    known = rules.na.drop(subset=list(keys)).groupBy(*keys, F.col(start).alias("_t")).agg(F.max(rule).alias("_rule")).withColumn("_late", F.lit(0))
+    rows = df.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_late"), F.struct(*df.columns).alias("_row"))
+    stream = known.unionByName(rows, allowMissingColumns=True)
+    out = carry_last(stream, keys, ["_t", "_late"], "_rule", Sampled([*keys, "_t"])).where("_late = 1")
+    valid = F.col("_rule.open") | (F.col(f"_row.{at}") < F.col("_rule.end"))
+    out = out.select("_row.*", *[F.when(valid, F.col("_rule")[f"v_{c}"]).alias(c) for c in new])
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in (default or {}).items()})
+
+
+def rule_overlaps(rules: DataFrame, keys: Sequence[str], start: str, end: str, name: str = "next_start") -> DataFrame:
+    """Rules that are still valid when the next one of their key begins, with that one's start.
+
+    There are none exactly where no two rules of a key overlap.
+    """
+    first = rules.na.drop(subset=list(keys))
+    order = [start, "_ends"]
+    rows = first.withColumns({"_ends": F.struct(F.col(end).isNull().alias("open"), F.col(end).alias("end")), "_one": F.lit(True)})
+    out = blocked_window(rows, keys, order, Sampled([*keys, *order]), following={name: start, "_more": "_one"})
+    return out.where(F.col("_more") & (F.col(end).isNull() | F.col(name).isNull() | (F.col(name) < F.col(end)))).drop("_ends", "_one", "_more")

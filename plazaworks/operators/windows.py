@@ -168,6 +168,23 @@ def _columns(w, ties, tied, totals, previous, following, before) -> dict[str, Co
     return new | {n: F.lead(c).over(w) for n, c in following.items()}
 
 
+def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: Column | Sampled) -> DataFrame:
+    """``df`` with the latest known ``value`` at or before each row of its key, in place of its own.
+
+    Rows that tie on ``order`` must not both know a value.  One head row a block
+    brings in what earlier blocks knew.
+    """
+    data = with_block(df, block)
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    per_block = data.groupBy(*keys, "_block").agg(F.max_by(value, known).alias(value))
+    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    heads = per_block.withColumn(value, F.last(value, ignorenulls=True).over(w)).where(F.col(value).isNotNull()).withColumn("_tag", F.lit(HEAD))
+    stacked = data.withColumn("_tag", F.lit(ROW)).unionByName(heads, allowMissingColumns=True)
+    rows = Window.partitionBy(*keys, "_block").orderBy("_tag", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = stacked.withColumn(value, F.last(value, ignorenulls=True).over(rows))
+    return out.where(F.col("_tag") == ROW).drop("_tag", "_block")
+
+
 def running_sum(df, keys, order, value, name, block=None, range_frame=False) -> DataFrame:
     """Running total; ``range_frame`` gives tied rows the same total."""
     return blocked_window(df, keys, order, block, sums={name: F.col(value)}, range_frame=range_frame)

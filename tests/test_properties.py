@@ -147,7 +147,7 @@ def test_hull_against_brute_force(spark):
     rnd = random.Random(5)
     pts = [(rnd.randrange(20), rnd.randrange(20)) for _ in range(80)]
     df = spark.createDataFrame([("g", float(x), float(y)) for x, y in pts], "g string, x double, y double")
-    got = {(r["x"], r["y"]) for r in S.convex_hull(df, "g", "x", "y", parts=5).collect()}
+    got = {(r["x"], r["y"]) for r in S.convex_hull(df, "g", "x", "y", directions=5).collect()}
 
     def corner(p):
         # a corner has some direction in which it is the only farthest point
