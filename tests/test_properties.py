@@ -166,7 +166,7 @@ def test_points_meet_all_areas_and_none(spark):
     ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (2.0, 1.0), (0.0, 4.0)]  # a notch from above
     areas = spark.createDataFrame([("n", [{"lon": x, "lat": y} for x, y in ring])], "name string, ring array<struct<lon double, lat double>>")
     pts = spark.createDataFrame([(1, 1.0, 1.0), (2, 2.0, 3.0), (3, 9.0, 9.0), (4, 0.5, 2.5)], "id int, lon double, lat double")
-    out = {r["id"]: r["name"] for r in S.point_in_polygon_join(pts, "lon", "lat", areas, "name", "ring", cell=0.5).collect()}
+    out = {r["id"]: r["name"] for r in S.point_in_polygon_join(pts, "lon", "lat", areas, "name", "ring", sizes=(2.0, 0.5)).collect()}
     assert out == {1: "n", 2: None, 3: None, 4: "n"}
 
 
