@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Fixed phrases and their labels.
@@ -79,7 +80,6 @@ class Template(NamedTuple):
     tokens: list[str]  # distinct words
     need: int  # of them
     span: int  # words among which they stand
-    rare: list[str]  # words of which any span that holds enough has one
     deciding: list[str]  # runs of words that must stand in the span
 
 
@@ -117,18 +117,13 @@ def _plain_words(text: str) -> list[str]:
 
 
 def template_table(templates: Mapping[str, str], percent: int = CONTAINMENT, deciding: Mapping[str, Sequence[str]] = DECIDING) -> list[Template]:
-    """What is looked for of each template; the texts are parameters of ASCII words.
-
-    A span holds a template if it has ``percent`` hundredths of its distinct
-    words. As it lacks size - need of them at most, it has one of any
-    size - need + 1; the longest ones, which are rare in other texts, are taken.
-    """
+    """What is looked for of each template; the texts are parameters of ASCII words."""
     out = []
     for label, text in templates.items():
         words = _plain_words(text)
-        tokens = sorted(set(words), key=lambda w: (-len(w), w))
+        tokens = sorted(set(words))
         need = -(-len(tokens) * percent // 100)
-        out.append(Template(label, tokens, need, -(-len(words) * 100 // percent), tokens[: len(tokens) - need + 1], list(deciding.get(label, ()))))
+        out.append(Template(label, tokens, need, -(-len(words) * 100 // percent), list(deciding.get(label, ()))))
     return out
 
 
@@ -136,47 +131,101 @@ def _strings(words: Sequence[str]) -> Column:
     return F.array(*[F.lit(w) for w in words]).cast("array<string>")
 
 
-def _best_share(words: Column, t: Column) -> Column:
-    """Most distinct words of ``t`` in any span of its length that holds its deciding runs, null below its least number.
+def _row_key() -> list[Column]:
+    """128 bits of a row's id and text: rows that share them share their result, rows without an id have one."""
+    return [F.xxhash64(F.lit(half), F.col("doc_id").cast("string"), F.col("doc_id").isNull(), "text").alias(f"k{half}") for half in (0, 1)]
+
+
+def _rough(text: Column) -> Column:
+    """Words of a text in lower case. Letters that are not ASCII may become ASCII ones, so there can be more of a template's words, never fewer."""
+    return F.split(F.lower(text), f"{GAP}+")
 
-    A best span can be moved on to its first word of the template, so only these
-    are starts, and of them only those with enough such words in reach.
+
+def token_order(docs: DataFrame, table: Sequence[Template]) -> DataFrame:
+    """(label, token, rank): the words of each template from the rarest in all texts, ranks from 0.
+
+    The order is the same for all templates, by the number of texts with the
+    word, then by the word. One row per template and word, whatever the texts.
     """
-    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(t["tokens"], F.get(words, i)))
+    vocabulary = sorted({w for t in table for w in t.tokens})
+    counts = docs.select(F.explode(F.array_intersect(_strings(vocabulary), _rough(F.col("text")))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    spark = docs.sparkSession
+    tokens = spark.createDataFrame([(t.label, w) for t in table for w in t.tokens], "label string, token string").join(counts, "token", "left")
+    return tokens.select("label", "token", (F.row_number().over(W.partitionBy("label").orderBy(F.coalesce("n", F.lit(0)), "token")) - 1).alias("rank"))
+
 
-    def share(all_places: Column) -> Column:
-        starts = F.filter(all_places, lambda i, j: F.coalesce(F.get(all_places, j + t["need"] - 1) < i + t["span"], F.lit(False)))
-        spans = F.transform(starts, lambda i: F.slice(words, i + 1, t["span"]))
-        joined = lambda s: F.concat(F.lit(" "), F.array_join(s, " "), F.lit(" "))
+def _near(places: Column, start: Column, span: Column) -> Column:
+    """The places from the ``start``-th on that stand in a span beginning with it."""
+    reach = F.slice(places, start + 1, span)
+    return F.filter(reach, lambda p: p["at"] < F.get(reach, F.lit(0))["at"] + span)
+
+
+def _best_overlap(t: Column) -> Column:
+    """Most distinct words of a template in any span that holds its deciding runs, null below its least number.
+
+    ``t`` has the template and ``places``, its words in the text with their
+    positions. A best span can be moved on to its first word of the template, so
+    only places are starts. Positional filter: from a start there must be as many
+    words within reach as are needed, one of them in the template's prefix.
+    """
+
+    def overlap(places: Column) -> Column:
+        enough = lambda j: F.coalesce(F.get(places, j + t["need"] - 1)["at"] < F.get(places, j)["at"] + t["span"], F.lit(False))
+        starts = F.filter(F.sequence(F.lit(0), F.size(places) - 1), enough)
+        spans = F.transform(starts, lambda j: _near(places, j, t["span"]))
+        spans = F.filter(spans, lambda s: F.exists(s, lambda p: p["rank"] <= F.size(t["tokens"]) - t["need"]))
+        # words that do not follow each other in the text are parted by a sign that is no word
+        follows = lambda s: F.transform(s, lambda p, i: F.when(F.get(s, i - 1)["at"] == p["at"] - 1, p["token"]).otherwise(F.concat(F.lit(". "), p["token"])))
+        joined = lambda s: F.concat(F.lit(" "), F.array_join(follows(s), " "), F.lit(" "))
         spans = F.filter(spans, lambda s: F.forall(t["deciding"], lambda d: F.contains(joined(s), F.concat(F.lit(" "), d, F.lit(" ")))))
-        return F.array_max(F.transform(spans, lambda s: F.size(F.array_intersect(t["tokens"], s))))
+        return F.array_max(F.transform(spans, lambda s: F.size(F.array_distinct(F.transform(s, lambda p: p["token"])))))
 
     # the places are bound once, so that every start reads the same array
-    most = F.element_at(F.transform(F.array(places), share), 1)
+    most = F.element_at(F.transform(F.array(t["places"]), overlap), 1)
     return F.when(most >= t["need"], most)
 
 
 def contained_templates(docs: DataFrame, templates: Mapping[str, str], percent: int = CONTAINMENT) -> DataFrame:
-    """(doc_id, label, containment): every template that stands in a span of a text's words.
-
-    Spans are runs of consecutive words, 100 / ``percent`` times as long as the
-    template, at any place; line ends, comment signs and blank lines do not part
-    them. The runs that tell a licence from its likes (``DECIDING``) must stand in
-    the span in full. A text without any of the words of which each template needs one is
-    passed over; what remains is compared on the whole sets. No row leaves its task.
+    """(k0, k1, label, containment): every template that stands in a span of a row's words, by the row's key.
+
+    The blocks of a text are its spans: runs of consecutive words, 100 /
+    ``percent`` times as long as the template, at any place; line ends, comment
+    signs and blank lines do not part them. The join of spans and templates on
+    the share of a template's distinct words goes by four steps:
+
+    * all words of templates are put in one order, the rarest in all texts first;
+    * length: a text with fewer distinct words of a template than it needs holds none of its spans;
+    * prefix: a span that lacks size - need words at most holds one of the
+      template's first size - need + 1; places of words in texts are joined with
+      the prefixes of templates on the word;
+    * position: in what joins, spans begin at a word of the template, with enough of them in reach.
+
+    The spans left are compared on whole sets, and must hold the runs that tell a
+    licence from its likes (``DECIDING``). Templates are parameters, so their
+    table has a fixed size; no text is cut.
     """
     table = template_table(templates, percent)
-    rare = sorted({w for t in table for w in t.rare})
     vocabulary = sorted({w for t in table for w in t.tokens})
-    # lower() makes ASCII letters of a few others too, which only lets more texts through
-    texts = docs.where(F.arrays_overlap(F.split(F.lower("text"), f"{GAP}+"), _strings(rare)))
-    rows = texts.select("doc_id", F.transform(_words(F.col("text")), _lowered).alias("words"))
-    rows = rows.select("doc_id", "words", F.array_intersect(_strings(vocabulary), "words").alias("known"))
+    spark = docs.sparkSession
     wanted = F.array(*[F.struct(F.lit(t.label).alias("label"), _strings(t.tokens).alias("tokens"), F.lit(t.need).alias("need"), F.lit(t.span).alias("span"), _strings(t.deciding).alias("deciding")) for t in table])
-    likely = F.filter(wanted, lambda t: F.size(F.array_intersect(t["tokens"], F.col("known"))) >= t["need"])
-    rows = rows.select("doc_id", "words", F.explode(likely).alias("t"))
-    checked = rows.select("doc_id", F.col("t.label").alias("label"), _best_share(F.col("words"), F.col("t")).alias("share"), F.size("t.tokens").alias("size"))
-    return checked.where("share is not null").select("doc_id", "label", (F.col("share") / F.col("size")).alias("containment"))
+    known = F.array_intersect(_strings(vocabulary), _rough(F.col("text")))
+    long_enough = lambda words: F.filter(wanted, lambda t: F.size(F.array_intersect(t["tokens"], words)) >= t["need"])
+    likely = docs.select(*_row_key(), "text", known.alias("known"))
+    likely = likely.select("k0", "k1", "text", long_enough(F.col("known")).alias("ts")).where(F.size("ts") > 0)
+
+    # the words of templates in those texts, with their positions
+    words = F.transform(_words(F.col("text")), _lowered)
+    at = likely.select("k0", "k1", F.col("ts")["label"].alias("labels"), F.posexplode(words).alias("at", "token"))
+    order = token_order(docs, table)
+    sizes = spark.createDataFrame([(t.label, len(t.tokens) - t.need) for t in table], "label string, lacks int")
+    ranked = order.join(sizes, "label").withColumn("first", F.col("rank") <= F.col("lacks"))
+    found = at.join(ranked, "token").where(F.array_contains("labels", F.col("label")))
+    held = found.groupBy("k0", "k1", "label").agg(F.array_sort(F.collect_set(F.struct("at", "token", "rank"))).alias("places"), F.max("first").alias("any_first"))
+    rules = spark.createDataFrame([(t.label, t.tokens, t.need, t.span, t.deciding) for t in table], "label string, tokens array<string>, need int, span int, deciding array<string>")
+    held = held.where("any_first").join(rules, "label")
+    t = F.struct("tokens", "need", "span", "deciding", "places")
+    checked = held.select("k0", "k1", "label", F.size("tokens").alias("size"), t.alias("t")).select("k0", "k1", "label", "size", _best_overlap(F.col("t")).alias("most"))
+    return checked.where("most is not null").select("k0", "k1", "label", (F.col("most") / F.col("size")).alias("containment"))
 
 
 def license_scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] | None = None, percent: int = CONTAINMENT) -> DataFrame:
@@ -186,14 +235,17 @@ def license_scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, template
     score. Base places are runs of a phrase's words; ``labels`` adds the
     templates (by default all notices and texts) found in a span of its words,
     however the text is wrapped. ``score`` is the largest containment found, 1
-    where a phrase stands. Null and empty texts have no words and no
-    labels; rows that share a doc_id share the template labels, rows without one
-    have base labels only.
+    where a phrase stands.
+
+    Every row is scanned by itself: rows that share a doc_id, or have none, have
+    the findings of their own text. Null and empty texts have no words and no
+    labels. A very long text is one row throughout. Other columns are ignored.
     """
-    docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = contained_templates(docs.where("doc_id is not null"), {**TEMPLATES, **TEXTS} if templates is None else templates, percent).groupBy("doc_id").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
-    rows = docs.select("doc_id", F.regexp_count("text", F.lit(f"{WORD}+")).cast("long").alias("n_words"), phrase_places(F.col("text"), phrases).alias("places"))
-    out = rows.join(found, "doc_id", "left")
+    docs = docs.select("doc_id", F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    found = contained_templates(docs, {**TEMPLATES, **TEXTS} if templates is None else templates, percent)
+    found = found.groupBy("k0", "k1").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
+    rows = docs.select("doc_id", *_row_key(), F.regexp_count("text", F.lit(f"{WORD}+")).cast("long").alias("n_words"), phrase_places(F.col("text"), phrases).alias("places"))
+    out = rows.join(found, ["k0", "k1"], "left")
     none = F.array().cast("array<string>")
     base = F.coalesce(F.array_sort(F.array_distinct(F.col("places")["label"])), none)
     n_base = F.coalesce(F.size("places"), F.lit(0))

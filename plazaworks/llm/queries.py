@@ -115,21 +115,29 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _list(words) -> str:
+    return "[" + ", ".join(_quoted(w) for w in words) + "]::varchar[]"
+
+
+_TEMPLATES = ", ".join(f"({_quoted(k)}, {_quoted(v)}, {_list(licenses.DECIDING.get(k, ()))})" for k, v in {**licenses.TEMPLATES, **licenses.TEXTS}.items())
 OP6_SQL = f"""
-with d as (select doc_id, text, {ALNUM_WORDS} as w from documents),
+with d as (select row_number() over () as r, doc_id, {ALNUM_WORDS} as w from documents),
 p(phrase, label) as (values ('gnu general public license', 'gpl'), ('apache license', 'apache'), ('cc by', 'cc-by'), ('mit license', 'mit')),
-h as (select doc_id, i - 1 as spot, label from (select doc_id, w, phrase, label, unnest(range(1, len(w) + 1)) as i from d, p)
+h as (select r, i - 1 as spot, label from (select r, w, phrase, label, unnest(range(1, len(w) + 1)) as i from d, p)
       where array_to_string(w[i:i + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
-b as (select doc_id, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list_sort(list(distinct label)) as labels from h group by 1),
-t as (select label, list_distinct({ALNUM_WORDS}) as t from (values {', '.join(f'({_quoted(k)}, {_quoted(v)})' for k, v in licenses.TEMPLATES.items())}) x(label, text)),
-l as (select doc_id, list_distinct({ALNUM_WORDS}) as w from (select doc_id, unnest(string_split(text, chr(10))) as text from documents)),
-c as (select doc_id, label, len(list_intersect(w, t)) / len(t) as share from l, t where 100 * len(list_intersect(w, t)) >= 80 * len(t)),
-f as (select doc_id, max(share) as best, list(distinct label) as found from c group by 1)
+b as (select r, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list_sort(list(distinct label)) as labels from h group by 1),
+t as (select label, list_distinct(w) as t, cast(ceil(len(list_distinct(w)) * 80 / 100) as bigint) as need, cast(ceil(len(w) * 100 / 80) as bigint) as span, deciding
+      from (select label, {ALNUM_WORDS} as w, deciding from (values {_TEMPLATES}) x(label, text, deciding))),
+c as (select r, label, w, t, need, deciding, span, unnest(range(1, len(w) + 1)) as i from d, t where len(list_intersect(w, t)) >= need),
+s as (select r, label, t, need, deciding, w[i:i + span - 1] as s from c where list_contains(t, w[i])),
+o as (select r, label, len(list_intersect(s, t)) / len(t) as share from s where len(list_intersect(s, t)) >= need
+      and len(list_filter(deciding, lambda x: not contains(' ' || array_to_string(s, ' ') || ' ', ' ' || x || ' '))) = 0),
+f as (select r, max(share) as best, list(distinct label) as found from o group by 1)
 select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
        coalesce(array_to_string(b.labels, ','), '') as base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, f.found))), ','), '') as labels,
        greatest(coalesce(best, 0), case when n_base > 0 then 1 else 0 end)::double as score
-from d left join b using (doc_id) left join f using (doc_id)
+from d left join b using (r) left join f using (r)
 """
 register("op6_licenses", op6_licenses, OP6_SQL)
 
