@@ -47,6 +47,28 @@ def geo_distance(t):
     )
 
 
+def _vincenty_sql(rounds: int) -> str:
+    """Vincenty's iteration written out, one step a common table."""
+    f, a = repr(G.WGS84_F), repr(G.WGS84_A)
+    parts = [f"""p AS (SELECT c_custkey, lon, lat, radians({_HUB[0]!r}::DOUBLE-lon) AS l, atan((1-{f}::DOUBLE)*tan(radians(lat))) AS u1, atan((1-{f}::DOUBLE)*tan(radians({_HUB[1]!r}::DOUBLE))) AS u2 FROM {_points_sql()}),
+ q AS (SELECT *, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2 FROM p), n0 AS (SELECT *, l AS lam FROM q)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS (SELECT *, sqrt(pow(c2*sin(lam),2)+pow(c1*s2-s1*c2*cos(lam),2)) AS ss, s1*s2+c1*c2*cos(lam) AS cs FROM n{i}),
+ b{i} AS (SELECT *, c1*c2*sin(lam)/ss AS sa FROM a{i}), d{i} AS (SELECT *, 1-sa*sa AS ca, cs-2*s1*s2/(1-sa*sa) AS cm, atan2(ss,cs) AS sg FROM b{i}), e{i} AS (SELECT *, {f}::DOUBLE/16*ca*(4+{f}::DOUBLE*(4-3*ca)) AS c FROM d{i})""")
+        if i < rounds:
+            parts.append(f"n{i + 1} AS (SELECT c_custkey, lon, lat, l, u1, u2, s1, c1, s2, c2, l+(1-c)*{f}::DOUBLE*sa*(sg+c*ss*(cm+c*cs*(2*cm*cm-1))) AS lam FROM e{i})")
+    b = repr(G.WGS84_A * (1 - G.WGS84_F))
+    return f"""WITH {", ".join(parts)}, g AS (SELECT *, ca*({a}::DOUBLE*{a}-{b}::DOUBLE*{b})/({b}::DOUBLE*{b}) AS u FROM e{rounds}),
+ h AS (SELECT *, 1+u/16384*(4096+u*(-768+u*(320-175*u))) AS big_a, u/1024*(256+u*(-128+u*(74-47*u))) AS big_b FROM g)
+SELECT c_custkey, ROUND({b}::DOUBLE*big_a*(sg-big_b*ss*(cm+big_b/4*(cs*(2*cm*cm-1)-big_b/6*cm*(4*ss*ss-3)*(4*cm*cm-3)))),3) AS metres FROM h"""
+
+
+@query(_vincenty_sql(8))
+def spheroid_distance(t):
+    """Metres on the ellipsoid from each customer to the hub."""
+    return _points(t).select("c_custkey", F.round(G.spheroid_m("lon", "lat", F.lit(_HUB[0]), F.lit(_HUB[1])), 3).alias("metres"))
+
+
 @query("""
 SELECT s_suppkey, TRY_CAST(regexp_extract(p,'^([-0-9.]+)',1) AS DOUBLE) AS lat, TRY_CAST(regexp_extract(p,'([-0-9.]+)$',1) AS DOUBLE) AS lon FROM
  (SELECT s_suppkey, CASE WHEN s_suppkey%10=0 THEN 'unknown' ELSE '-12.'||CAST(s_suppkey AS VARCHAR)||', -77.0'||CAST(s_nationkey AS VARCHAR) END AS p FROM supplier)

@@ -92,7 +92,9 @@ n AS (SELECT g1, MAX(p_name) AS n1 FROM c GROUP BY 1),
 a AS (SELECT p_partkey, CAST(p_size AS DOUBLE)+0.5::DOUBLE AS width, CASE WHEN p_size<40 THEN CAST(p_size*3 AS DOUBLE) END AS screen FROM p),
 l AS (SELECT l_partkey, MAX(l_tax) AS h FROM lineitem GROUP BY 1),
 x AS (SELECT sku, CASE WHEN e>=DATE '2001-06-01' THEN ev WHEN internet>0 THEN internet ELSE normal END AS price FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sku ORDER BY e DESC, ev DESC, internet DESC, normal DESC) rn FROM ({_PRICES})) WHERE rn=1)
-SELECT c.p_partkey AS sku, g1, g2, g3, n1, width, COALESCE(CASE WHEN screen<99 THEN screen END, CASE WHEN g1 IN ('G07','G08','G18') THEN 1.0::DOUBLE ELSE CAST(p_size AS DOUBLE) END) AS dimension_quantity, CASE WHEN g1 IN ('G07','G08','G18') THEN 'un' ELSE 'kg' END AS dimension_units, 'AB 1' AS model, h+0.0::DOUBLE AS height_in_cm, price
+SELECT c.p_partkey AS sku, g1, g2, g3, n1, width, COALESCE(CASE WHEN screen<99 THEN screen END, CASE WHEN g1 IN ('G07','G08','G18') THEN 1.0::DOUBLE ELSE CAST(p_size AS DOUBLE) END) AS dimension_quantity, CASE WHEN g1 IN ('G07','G08','G18') THEN 'un' ELSE 'kg' END AS dimension_units, 'AB 1' AS model, h+0.0::DOUBLE AS height_in_cm, price,
+ CAST(c.p_partkey%6 AS DOUBLE)+0.25::DOUBLE AS pieces, CASE WHEN p_size>25 THEN CAST(p_size AS DOUBLE) END AS packs, CASE WHEN c.p_partkey%3=0 THEN 'azul' ELSE 'rojo' END AS colour, CASE WHEN c.p_partkey%3=1 THEN 'claro' END AS basic_colour, CASE WHEN c.p_partkey%3=0 THEN 'azul' END AS second_colour,
+ 'T'||CAST(p_size AS VARCHAR) AS apparel_size, '12 meses' AS seller_warranty, CASE WHEN c.p_partkey%2=0 THEN 'nuevo' ELSE 'usado' END AS condition
 FROM c JOIN n USING (g1) JOIN a USING (p_partkey) LEFT JOIN l ON l_partkey=c.p_partkey LEFT JOIN x ON x.sku=c.p_partkey
 """)
 def sku_master(t):
@@ -100,19 +102,25 @@ def sku_master(t):
     p = t("part", "p_partkey", "p_name", "p_size")
     size = F.col("p_size")
     code = F.concat(F.lit("G"), F.lpad((F.col("p_partkey") % 997).cast("string"), 3, "0"), F.lpad(size.cast("string"), 2, "0"))
+    third = F.col("p_partkey") % 3
+    varied = F.to_json(F.create_map(
+        F.lit("468"), F.when(third == 0, "azul"), F.lit("1717"), F.lit("rojo"), F.lit("1734"), F.when(third == 1, "claro"), F.lit("794"), F.concat(F.lit("T"), size.cast("string"))))
+    options = t.spark.createDataFrame([("0", "Nuevo"), ("1", "Usado")], "option_id string, option_name string")
     named = p.select(
         F.col("p_partkey").alias("sku"), F.lit(1).alias("seller_id"), F.concat("p_name", F.lit(" "), size.cast("string"), F.lit(" kilos")).alias("name"), F.lit("misc").alias("category"), code.alias("category_code"),
-        F.col("p_partkey").alias("product_set"), "p_name")
+        F.col("p_partkey").alias("product_set"), "p_name", varied.alias("variation"))
     attrs = F.to_json(F.create_map(
-        F.lit("60"), F.concat(size.cast("string"), F.lit(",5")), F.lit("844"), F.when(size < 40, (size * 3).cast("string")), F.lit(vocab.MODEL_KEY), F.lit("áb 1_DELETED_7")))
+        F.lit("60"), F.concat(size.cast("string"), F.lit(",5")), F.lit("844"), F.when(size < 40, (size * 3).cast("string")), F.lit(vocab.MODEL_KEY), F.lit("áb 1_DELETED_7"),
+        F.lit("818"), F.concat((F.col("p_partkey") % 6).cast("string"), F.lit(",25")), F.lit("31239"), F.when(size > 25, size.cast("string")), F.lit("10206"), F.lit("12 Meses"), F.lit("22"), (F.col("p_partkey") % 2).cast("string")))
     data = p.select(F.col("p_partkey").alias("product_set"), attrs.alias("attributes"))
     l = t("lineitem", "l_partkey", "l_tax").select(
         F.array(F.struct(F.col("l_partkey").alias("offering_id"))).alias("item_info"),
         F.array(F.struct(F.lit("S").alias("item_size"), F.lit(1.0).alias("length_in_cm"), F.lit(1.0).alias("width_in_cm"), F.col("l_tax").alias("height_in_cm"), F.lit(1.0).alias("weight_in_kg"))).alias("presentation_footprints"))
     levels = K.category_levels("category_code")
     categories = named.withColumns(levels).select("g1", "g2", "g3", "g4", F.col("p_name").alias("n1"), F.col("p_name").alias("n2"), F.col("p_name").alias("n3"), F.col("p_name").alias("n4"))
-    out = K.sku_master(named.drop("p_name"), data, l, _prices(t), categories, "2001-06-01")
-    return out.select("sku", "g1", "g2", "g3", "n1", "width", "dimension_quantity", "dimension_units", "model", (F.col("height_in_cm") + 0.0).alias("height_in_cm"), "price")
+    out = K.sku_master(named.drop("p_name"), data, l, _prices(t), categories, "2001-06-01", options)
+    return out.select(
+        "pieces", "packs", "colour", "basic_colour", "second_colour", "apparel_size", "seller_warranty", "condition", "sku", "g1", "g2", "g3", "n1", "width", "dimension_quantity", "dimension_units", "model", (F.col("height_in_cm") + 0.0).alias("height_in_cm"), "price")
 
 
 @query("""

@@ -47,15 +47,32 @@ def resolved_claims(t):
     return _claims(t).select("case_id", "outcome_support", "outcome_aftersales", "outcome_sx", "outcome")
 
 
-@query(_CLAIMS + """ SELECT conv_id AS case_id, CASE WHEN a IS NULL AND 40>30 THEN 'Reembolso fuera de plazo' WHEN outcome IS NULL AND conv_id%3=0 THEN 'Error sistemico' WHEN outcome IS NULL AND seg='Longtail' AND days>=30 THEN 'Seller no responde'
- WHEN outcome IS NULL AND seg='AAA' AND days>=120 THEN 'Seller no responde' ELSE outcome END AS outcome FROM (SELECT *, CASE WHEN conv_id%2=0 THEN 'Longtail' ELSE 'AAA' END AS seg, CAST(conv_id%200 AS INT) AS days FROM d)""")
-def aged_claims(t):
-    """Undecided claims after their grace period."""
+_AGED = """ SELECT conv_id AS case_id, CASE WHEN a IS NULL AND 40>30 THEN 'Reembolso fuera de plazo' WHEN outcome IS NULL AND conv_id%3=0 THEN 'Error sistemico' WHEN outcome IS NULL AND seg='Longtail' AND days>=30 THEN 'Seller no responde'
+ WHEN outcome IS NULL AND seg='AAA' AND days>=120 THEN 'Seller no responde' ELSE outcome END AS outcome FROM (SELECT *, CASE WHEN conv_id%2=0 THEN 'Longtail' ELSE 'AAA' END AS seg, CAST(conv_id%200 AS INT) AS days FROM d)"""
+
+
+def _aged(t):
     k = F.col("case_id")
     out = _claims(t).withColumns({
         "segment": F.when(k % 2 == 0, "Longtail").otherwise("AAA"), "fecha_egreso": F.date_sub(F.lit("2024-06-30").cast("date"), (k % 200).cast("int")),
         "fecha_ingreso": F.date_sub(F.lit("2024-06-30").cast("date"), (k % 200 + 40).cast("int")), "status_catalyst": F.when(k % 3 == 0, "CANCELLED"), "status_tms": F.lit("Entregado"), "status_backstore": F.lit(None).cast("string")})
-    return C.age_outcome(out, "2024-06-30").select("case_id", "outcome")
+    return C.age_outcome(out, "2024-06-30")
+
+
+@query(_CLAIMS + _AGED)
+def aged_claims(t):
+    """Undecided claims after their grace period."""
+    return _aged(t).select("case_id", "outcome")
+
+
+@query(_CLAIMS + f""", g AS ({_AGED}) SELECT case_id, outcome, CASE WHEN case_id%7=0 OR case_id%7=3 THEN 'Saldo por recuperar Seller'
+ WHEN outcome IN ('Devuelto a seller','Error de seller','Pedido no entregado a cliente','Seller no responde') THEN 'Saldo por recuperar Seller' WHEN outcome IN ('Error de OPL','OPL no responde','Siniestro OPL') THEN 'Saldo por recuperar HD'
+ WHEN outcome IN ('Caso cerrado por mediacion','Caso improcedente o sin evidencias','Cliente no responde','Error sistemico','Pedido entregado al cliente','Reembolso fuera de plazo') THEN 'Gasto' END AS bearer FROM g""")
+def balance_bearers(t):
+    """Who bears the balance of each claim, by its outcome and the state of the return."""
+    k = F.col("case_id") % 7
+    out = _aged(t).withColumn("return_state", F.when(k == 0, "Custodia").when(k == 3, "Entregado").when(k == 5, "Creado"))
+    return out.select("case_id", "outcome", C.balance_bearer("outcome", "return_state").alias("bearer"))
 
 
 _CASES = """WITH c AS (SELECT page_id AS case_id, url, html, CASE page_id%3 WHEN 0 THEN 'claim' WHEN 1 THEN 'invoice' ELSE 'other' END AS type, TIMESTAMP '2024-01-01 10:50:00'+to_hours(CAST(page_id*7%300 AS INT)) AS created,
@@ -103,9 +120,10 @@ def task_log(t):
     return out.select("task_id", "task_hours", "cumulative_hours", "task_number", "dominant_team")
 
 
+_STORES = ["NORTE Lima", "MODULO", "HOME_PICKUP", "NA", "SUR", "-", "WEB", "OPEN CENTRO"]
 _AP = """WITH x AS (SELECT event_id AS appeal_id, user_id AS order_id, CAST(event_id%4 AS BIGINT) AS sku, ts AS requested_at, CASE WHEN event_id%3=0 THEN ts+to_days(CAST(event_id%9 AS INT)) END AS resolved_at, CASE event_id%3 WHEN 0 THEN 'Aceptado' WHEN 1 THEN 'Rechazado' ELSE 'Por validar' END AS state,
- value, CASE event_id%3 WHEN 0 THEN 'Garantia' WHEN 1 THEN 'Cambio de parecer' ELSE 'Otro' END AS reason, event_type FROM events),
-u AS (SELECT 'sheet' AS channel, * FROM x WHERE event_type='view' AND value>60 UNION ALL SELECT 'mail', * FROM x WHERE event_type='click' AND (order_id, sku) NOT IN (SELECT order_id, sku FROM x WHERE event_type='view' AND value>60)),
+ value, CASE event_id%3 WHEN 0 THEN 'Garantia' WHEN 1 THEN 'Cambio de parecer' ELSE 'Otro' END AS reason, list_extract(['NORTE Lima','MODULO','HOME_PICKUP','NA','SUR','-','WEB','OPEN CENTRO'],1+CAST(event_id%8 AS INT)) AS store, CASE WHEN event_id%5=0 THEN 'NON_SHOW_CLIENT' ELSE 'OTHER' END AS category, event_type FROM events),
+u AS (SELECT 'sheet' AS channel, * FROM x WHERE event_type='view' UNION ALL SELECT 'mail', * FROM x WHERE event_type<>'view' AND (order_id, sku) NOT IN (SELECT order_id, sku FROM x WHERE event_type='view')),
 g AS (SELECT order_id, COUNT(DISTINCT state) AS n, MAX(CASE WHEN state='Aceptado' THEN 1 ELSE 0 END) AS ok FROM u GROUP BY 1),
 v AS (SELECT u.* REPLACE (CASE WHEN state<>'Aceptado' AND n>1 AND ok=1 THEN NULL ELSE value END AS value) FROM u JOIN g USING (order_id)), r AS (SELECT order_id, COUNT(CASE WHEN value<>0 THEN order_id END) AS k FROM v GROUP BY 1),
 z AS (SELECT v.*, k, round(COALESCE(value, 20)/50,2) AS acc FROM v JOIN r USING (order_id))"""
@@ -113,18 +131,21 @@ z AS (SELECT v.*, k, round(COALESCE(value, 20)/50,2) AS acc FROM v JOIN r USING
 
 @query(_AP + """ SELECT appeal_id, channel, CASE WHEN k=0 THEN NULL ELSE value/k END AS value, CASE WHEN acc<0.05 THEN '1. 0 a 5%' WHEN acc<0.30 THEN '2. 5 a 30%' WHEN acc<0.50 THEN '3. 30% a 50%' WHEN acc<1 THEN '4. 50% a 100%' ELSE '5. 100%' END AS acceptance_band,
  CASE reason WHEN 'Garantia' THEN 'Falla de funcionamiento' WHEN 'Cambio de parecer' THEN 'Arrepentimiento' ELSE 'No identificado' END AS motive, date_diff('day',CAST(requested_at AS DATE),CAST(resolved_at AS DATE)) AS lead_days,
- ROW_NUMBER() OVER (PARTITION BY order_id, sku ORDER BY requested_at, appeal_id) AS n_appeal, CASE WHEN COUNT(*) OVER (PARTITION BY order_id, sku)>1 THEN 'Si' ELSE 'No' END AS re_appeal FROM z""")
+ ROW_NUMBER() OVER (PARTITION BY order_id, sku ORDER BY requested_at, appeal_id) AS n_appeal, CASE WHEN COUNT(*) OVER (PARTITION BY order_id, sku)>1 THEN 'Si' ELSE 'No' END AS re_appeal,
+ CASE store WHEN 'NORTE Lima' THEN 'NORTE' WHEN 'MODULO' THEN 'MODULO' WHEN 'HOME_PICKUP' THEN 'HOME_PICKUP' WHEN 'NA' THEN 'NA' WHEN 'SUR' THEN 'SUR' WHEN 'WEB' THEN 'MODULO' WHEN 'OPEN CENTRO' THEN 'CENTRO' ELSE 'Otro' END AS business_unit,
+ CASE WHEN store='HOME_PICKUP' THEN 'Devoluciones - Home Pickup' WHEN store IN ('NORTE Lima','SUR','OPEN CENTRO') THEN 'Devoluciones - Tienda' WHEN category='NON_SHOW_CLIENT' THEN 'Fallo de entrega' ELSE 'Otro' END AS flow FROM z""")
 def appeals(t):
     """Appeals of two channels with payment share, motive, lead time and repeats."""
     e = t("events", "event_id", "user_id", "event_type", "ts", "value")
     k = F.col("event_id")
     x = e.select(
         k.alias("appeal_id"), F.col("user_id").alias("order_id"), (k % 4).alias("sku"), F.col("ts").alias("requested_at"), F.when(k % 3 == 0, F.col("ts") + F.make_dt_interval(days=(k % 9).cast("int"))).alias("resolved_at"),
-        F.when(k % 3 == 0, "Aceptado").when(k % 3 == 1, "Rechazado").otherwise("Por validar").alias("state"), "value", F.when(k % 3 == 0, "Garantia").when(k % 3 == 1, "Cambio de parecer").otherwise("Otro").alias("reason"), "event_type")
-    channels = [("sheet", x.where((F.col("event_type") == "view") & (F.col("value") > 60))), ("mail", x.where(F.col("event_type") == "click"))]
+        F.when(k % 3 == 0, "Aceptado").when(k % 3 == 1, "Rechazado").otherwise("Por validar").alias("state"), "value", F.when(k % 3 == 0, "Garantia").when(k % 3 == 1, "Cambio de parecer").otherwise("Otro").alias("reason"),
+        F.get(F.array(*[F.lit(s) for s in _STORES]), (k % 8).cast("int")).alias("store"), F.when(k % 5 == 0, "NON_SHOW_CLIENT").otherwise("OTHER").alias("reason_category"), "event_type")
+    channels = [("sheet", x.where(F.col("event_type") == "view")), ("mail", x.where(F.col("event_type") != "view"))]
     orders = x.select("order_id", "sku").distinct().withColumns({"paid_price": F.lit(20.0), "income": F.lit(50.0)})
-    out = A.appeals([(n, c.drop("event_type")) for n, c in channels], orders, F.to_date("requested_at"))
-    return out.select("appeal_id", "channel", "value", "acceptance_band", "motive", F.col("lead_days").cast("bigint").alias("lead_days"), "n_appeal", "re_appeal")
+    out = A.appeals([(n, c.drop("event_type")) for n, c in channels], orders, F.to_date("requested_at"), ["CENTRO", "SUR", "NORTE"], "MODULO|WEB")
+    return out.select("appeal_id", "channel", "value", "acceptance_band", "motive", F.col("lead_days").cast("bigint").alias("lead_days"), "n_appeal", "re_appeal", "business_unit", "flow")
 
 
 _INV = """WITH o AS (SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS created, CAST(o_orderdate AS DATE)+3 AS promised, CASE WHEN o_custkey%3=0 THEN 'ACME' END AS company, CASE WHEN o_orderkey%4=0 THEN '10' WHEN o_orderkey%4=1 THEN '20' ELSE '99' END||'123' AS taxid FROM orders),
@@ -171,22 +192,23 @@ def document_payload(t):
 @query("""
 WITH p AS (SELECT l_orderkey AS order_id, l_suppkey AS guide, 'st'||l_linestatus AS state, l_returnflag AS reason, l_shipdate AS planned_at, 'PLANIFICADO' AS kind, l_partkey FROM (SELECT DISTINCT l_orderkey, l_suppkey, l_linestatus, l_returnflag, l_shipdate, l_partkey FROM lineitem WHERE l_returnflag<>'R')
  UNION ALL SELECT l_orderkey, l_suppkey, 'INGRESO SIN PLANIFICACION', 'NA', l_shipdate, 'NO PLANIFICADO', l_partkey FROM (SELECT DISTINCT l_orderkey, l_suppkey, l_shipdate, l_partkey FROM lineitem WHERE l_returnflag='R')),
-n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY kind, order_id ORDER BY planned_at, guide*100000+l_partkey) AS position FROM p),
+n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY kind, order_id ORDER BY planned_at, list_extract(['','DEV','RET'],1+CAST(guide%3 AS INT))||CAST(guide*100000+l_partkey AS VARCHAR)) AS position FROM p),
 k AS (SELECT user_id AS order_id, event_id AS case_id, ts AS ticket_at, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS position FROM events)
-SELECT kind, order_id, position, state, reason, guide*100000+l_partkey AS guide, case_id, o_custkey AS seller_id, strftime(planned_at,'%Y-%m') AS period_planned, strftime(ticket_at,'%Y-%m') AS period_ticket
+SELECT kind, order_id, position, state, reason, list_extract(['','DEV','RET'],1+CAST(guide%3 AS INT))||CAST(guide*100000+l_partkey AS VARCHAR) AS guide, CASE WHEN guide%3=0 THEN 'Recoleccion' ELSE 'IL' END AS flow, case_id, o_custkey AS seller_id, strftime(planned_at,'%Y-%m') AS period_planned, strftime(ticket_at,'%Y-%m') AS period_ticket
 FROM n LEFT JOIN k USING (order_id, position) LEFT JOIN orders ON order_id=o_orderkey
 """)
 def transport_plan(t):
     """Planned and unplanned arrivals with the k-th ticket of their order."""
     l = t("lineitem", "l_orderkey", "l_suppkey", "l_partkey", "l_linestatus", "l_returnflag", "l_shipdate")
-    guide = (F.col("l_suppkey") * 100000 + F.col("l_partkey")).alias("guide")
+    mark = F.get(F.array(F.lit(""), F.lit("DEV"), F.lit("RET")), (F.col("l_suppkey") % 3).cast("int"))
+    guide = F.concat(mark, (F.col("l_suppkey") * 100000 + F.col("l_partkey")).cast("string")).alias("guide")
     planned = l.where(F.col("l_returnflag") != "R").select(
         F.col("l_orderkey").alias("order_id"), guide, F.concat(F.lit("st"), "l_linestatus").alias("state"), F.col("l_returnflag").alias("reason"), F.lit("-").alias("condition"), F.col("l_shipdate").alias("planned_at")).distinct()
     unplanned = l.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("order_id"), guide, F.col("l_shipdate").alias("registered_at")).distinct()
     tickets = t("events", "user_id", "event_id", "ts").select(F.col("user_id").alias("order_id"), F.col("event_id").alias("case_id"), F.col("ts").alias("ticket_at"), F.lit(None).cast("timestamp_ntz").alias("closed_at"))
     orders = t("orders", "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("seller_id"))
     out = T.transport_plan(planned, unplanned, tickets, orders)
-    return out.select("kind", "order_id", "position", "state", "reason", "guide", "case_id", "seller_id", "period_planned", "period_ticket")
+    return out.select("kind", "order_id", "position", "state", "reason", "guide", "flow", "case_id", "seller_id", "period_planned", "period_ticket")
 
 
 _ANSWERS = ["no procede", "se procedera a aceptar", "gracias", None]

@@ -130,7 +130,7 @@ def volume_feature(t):
 def monthly_files(t):
     """Orders written one folder per month and read back by it."""
     path = shared_folder(t.spark) + "/monthly"
-    sinks.publish_monthly(t("orders", "o_orderkey", "o_custkey", "o_orderdate"), "o_orderdate", path, files_per_month=1)
+    sinks.publish_monthly(t("orders", "o_orderkey", "o_custkey", "o_orderdate"), "o_orderdate", path)
     back = readers.scan(t.spark, path, ["ym", "o_custkey"])
     return back.groupBy(F.col("ym").cast("string").alias("ym")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("customers"))
 
@@ -152,11 +152,11 @@ def per_key_files(t):
     """One folder per nation from the same report, counted back per folder."""
     path = shared_folder(t.spark) + "/per_nation"
     rows = t("customer", "c_custkey", "c_nationkey").join(t("nation", "n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
-    sinks.publish_per_key(rows, "n_nationkey", path, files_per_key=1)
+    sinks.publish_per_key(rows, "n_nationkey", path)
     return readers.scan(t.spark, path).groupBy("n_nationkey", "n_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus='F' AND o_orderpriority LIKE '%@%' OR o_orderstatus='F' AND o_orderkey%2=0")
+@query("SELECT o_orderkey, MIN(o_orderstatus) AS o_orderstatus FROM orders WHERE o_orderstatus='F' AND o_orderpriority LIKE '%@%' OR o_orderstatus='F' AND o_orderkey%2=0 GROUP BY 1")
 def watched_orders(t):
     """Closed orders with an address, published by the stream."""
     folder = shared_folder(t.spark)
@@ -164,7 +164,7 @@ def watched_orders(t):
     stream = watch.landed(t.spark, f"{t.folder}/orders.parque[t]", schema)
     stream = stream.withColumn("address", F.when(F.col("o_orderkey") % 2 == 0, "a@example.org").otherwise("none"))
     rows = watch.alerts(stream, "o_orderstatus", ["F"], "address", ["o_orderkey", "o_orderstatus"])
-    watch.publish_alerts(rows, f"{folder}/out", f"{folder}/state", every=None).awaitTermination()
+    watch.publish_alerts(rows, f"{folder}/out", f"{folder}/state", ["o_orderkey"], every=None).awaitTermination()
     return readers.scan(t.spark, f"{folder}/out", ["o_orderkey", "o_orderstatus"])
 
 

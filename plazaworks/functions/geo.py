@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,70 @@ def geodesic_m(lon1, lat1, lon2, lat2) -> Column:
     return F.lit(2 * EARTH_M) * F.asin(F.sqrt(h))
 
 
+# Semi-major axis in metres and flattening of the WGS 84 ellipsoid.
+WGS84_A, WGS84_F = 6378137.0, 1 / 298.257223563
+ROUNDS = 24  # steps of the iteration; points not almost opposite each other need a handful
+
+
+def spheroid_m(lon1, lat1, lon2, lat2, rounds: int = ROUNDS) -> Column:
+    """Metres on the WGS 84 ellipsoid, by Vincenty's inverse formula as a column expression.
+
+    The difference of longitudes on the auxiliary sphere is iterated to its fixed
+    point, ``rounds`` times for every row.  Equal points are 0 metres apart.
+    Points within half a degree of opposite each other, where the iteration need
+    not converge, get the great-circle distance; a NULL stays NULL.
+    """
+    lon1, lat1, lon2, lat2 = (F.radians(col(c)) for c in (lon1, lat1, lon2, lat2))
+    f, a = F.lit(WGS84_F), WGS84_A
+    b = a * (1 - WGS84_F)
+    u1, u2 = F.atan((1 - f) * F.tan(lat1)), F.atan((1 - f) * F.tan(lat2))
+    # everything that a step needs is worked out once a row
+    fixed = F.struct((lon2 - lon1).alias("l"), F.sin(u1).alias("s1"), F.cos(u1).alias("c1"), F.sin(u2).alias("s2"), F.cos(u2).alias("c2"))
+
+    def angles(p: Column, lam: Column) -> dict[str, Column]:
+        x, y = p["c2"] * F.sin(lam), p["c1"] * p["s2"] - p["s1"] * p["c2"] * F.cos(lam)
+        sin_s = F.sqrt(x * x + y * y)
+        cos_s = p["s1"] * p["s2"] + p["c1"] * p["c2"] * F.cos(lam)
+        sin_a = F.coalesce(F.try_divide(p["c1"] * p["c2"] * F.sin(lam), sin_s), F.lit(0.0))
+        cos2_a = 1 - sin_a * sin_a
+        # on the equator there is no such angle, and no term that needs it
+        cos_2m = F.coalesce(cos_s - F.try_divide(2 * p["s1"] * p["s2"], cos2_a), F.lit(0.0))
+        return {"sin_s": sin_s, "cos_s": cos_s, "sin_a": sin_a, "cos2_a": cos2_a, "cos_2m": cos_2m, "s": F.atan2(sin_s, cos_s)}
+
+    def step(p: Column):
+        def once(lam: Column, _: Column) -> Column:
+            def next_of(q: Column) -> Column:
+                c = f / 16 * q["cos2_a"] * (4 + f * (4 - 3 * q["cos2_a"]))
+                inner = q["cos_2m"] + c * q["cos_s"] * (2 * q["cos_2m"] * q["cos_2m"] - 1)
+                return p["l"] + (1 - c) * f * q["sin_a"] * (q["s"] + c * q["sin_s"] * inner)
+
+            return _bound(F.struct(*[v.alias(n) for n, v in angles(p, lam).items()]), next_of)
+
+        return once
+
+    def metres(p: Column) -> Column:
+        lam = F.aggregate(F.array_repeat(F.lit(0), rounds), p["l"], step(p))
+
+        def length(q: Column) -> Column:
+            u = q["cos2_a"] * (a * a - b * b) / (b * b)
+            big_a = 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u)))
+            big_b = u / 1024 * (256 + u * (-128 + u * (74 - 47 * u)))
+            m = 2 * q["cos_2m"] * q["cos_2m"]
+            turn = q["cos_s"] * (m - 1) - big_b / 6 * q["cos_2m"] * (4 * q["sin_s"] * q["sin_s"] - 3) * (2 * m - 3)
+            return b * big_a * (q["s"] - big_b * q["sin_s"] * (q["cos_2m"] + big_b / 4 * turn))
+
+        return _bound(lam, lambda x: _bound(F.struct(*[v.alias(n) for n, v in angles(p, x).items()]), length))
+
+    distance = _bound(fixed, metres)
+    opposite = geodesic_m(*(F.degrees(x) for x in (lon1, lat1, lon2, lat2)))
+    return F.when(opposite > math.pi * EARTH_M * (1 - 0.5 / 180), opposite).otherwise(distance)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def manhattan_km(lon1, lat1, lon2, lat2) -> Column:
     """City-block kilometres; longitude is scaled at the first point's latitude."""
     lon1, lat1, lon2, lat2 = (col(c) for c in (lon1, lat1, lon2, lat2))
@@ -36,8 +102,6 @@ def manhattan_km(lon1, lat1, lon2, lat2) -> Column:
 
 def local_metres(lon, lat, lon0: float, lat0: float) -> tuple[Column, Column]:
     """Plane metres (east, north) around an origin."""
-    import math
-
     k = KM_PER_DEGREE * 1000.0
     return (col(lon) - lon0) * (k * math.cos(math.radians(lat0))), (col(lat) - lat0) * k
 

@@ -75,6 +75,26 @@ def return_motive(reason: str) -> Column:
     return case_first([(r.isin(*words), label) for label, words in vocab.RETURN_MOTIVES.items()], vocab.RETURN_MOTIVE_OTHER)
 
 
+def business_unit(store: str, chains: Sequence[str], counters: str = vocab.COUNTER) -> Column:
+    """Business unit of the store that took a return: the first chain named in it, home pickup, or a counter (a pattern)."""
+    s = F.col(store)
+    named = [(F.contains(s, F.lit(n)), n) for n in (*chains, vocab.HOME_PICKUP)]
+    return case_first(named + [(s.rlike(counters), vocab.COUNTER), (s == "NA", "NA")], "Otro")
+
+
+def return_flow(store: str, reason_category: str, chains: Sequence[str]) -> Column:
+    """The way a return came in: picked up at home, brought to a store of a chain, or never delivered."""
+    s = F.col(store)
+    return case_first(
+        [
+            (s == vocab.HOME_PICKUP, "Devoluciones - Home Pickup"),
+            *[(F.contains(s, F.lit(n)), "Devoluciones - Tienda") for n in chains],
+            (F.col(reason_category).rlike("NON_SHOW"), "Fallo de entrega"),
+        ],
+        "Otro",
+    )
+
+
 def mark_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None = None) -> DataFrame:
     """Appeal number per line, the last number, and whether the line was appealed again."""
     block = natural_block(df, order[0]) if block is None else block
@@ -82,11 +102,12 @@ def mark_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], block
     return out.withColumn("re_appeal", F.when(F.col("max_appeal") > 1, "Si").otherwise("No"))
 
 
-def appeals(channels: Sequence[tuple[str, DataFrame]], orders: DataFrame, block: Column | None = None) -> DataFrame:
+def appeals(channels: Sequence[tuple[str, DataFrame]], orders: DataFrame, block: Column | None = None, chains: Sequence[str] = (), counters: str = vocab.COUNTER) -> DataFrame:
     """Appeals with state clean-up, payment share, motive, repeats and lead time.
 
     channels: appeal_id, order_id, sku, requested_at, resolved_at, state, value,
-    reason; orders: order_id, sku, paid_price, income.
+    reason, store, reason_category; orders: order_id, sku, paid_price, income;
+    chains: names of the store chains; counters: pattern of the counters' names.
     """
     rows = merge_channels(channels, ["order_id", "sku"])
     rows = attach(rows, orders, ["order_id", "sku"])
@@ -95,6 +116,8 @@ def appeals(channels: Sequence[tuple[str, DataFrame]], orders: DataFrame, block:
         {
             "acceptance_band": acceptance_band("acceptance"),
             "motive": return_motive("reason"),
+            "business_unit": business_unit("store", chains, counters),
+            "flow": return_flow("store", "reason_category", chains),
             "lead_days": F.datediff("resolved_at", "requested_at"),
         }
     )

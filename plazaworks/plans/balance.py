@@ -54,8 +54,10 @@ def settled(settlements: DataFrame, outside: DataFrame | None = None, charges=vo
     settlements: LINE, transaction_type, event_date, total, commission;
     outside (order_id, sku, discount) overrides the booked discount.
     """
-    rows = settlements.select(*LINE, "transaction_type", "event_date", "total", "commission").distinct()
     kind = F.col("transaction_type")
+    # the flexible delivery's charge has the marketplace's name before it
+    plain = F.regexp_replace(kind, "^[A-Z]+_(FLEX(?:_CREDIT)?)$", "$1").alias("transaction_type")
+    rows = settlements.select(*LINE, plain, "event_date", "total", "commission").distinct()
     at = lambda kinds: F.max(F.when(kind.isin(*kinds), F.col("event_date"))).cast("date")
     core = rows.groupBy(*LINE).agg(
         F.max("commission").alias("comision"),

@@ -62,6 +62,16 @@ def age_outcome(df: DataFrame, as_of: str) -> DataFrame:
     return df.withColumn("outcome", case_first(rules, c("outcome")))
 
 
+def balance_bearer(outcome: str, return_state: str) -> Column:
+    """Who bears a balance: the seller where the goods are on their way back, else by the outcome of the claim.
+
+    Null while neither says so.
+    """
+    state, (seller, back) = F.col(return_state), vocab.BEARER_BY_RETURN
+    rules = [(state.isin(*back), seller)]
+    return case_first(rules + [(F.col(outcome).isin(*words), who) for who, words in vocab.BEARER_BY_OUTCOME.items()])
+
+
 def resolve_claims(claims: DataFrame, comments: DataFrame) -> DataFrame:
     """Claims with the newest comment of each team and their outcome.
 

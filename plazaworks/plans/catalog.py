@@ -43,13 +43,14 @@ def effective_price(prices: DataFrame, as_of: str) -> DataFrame:
 
 
 def product_dimensions(products: DataFrame, attributes: str = "attributes") -> DataFrame:
-    """Width, length, height, weight, screen size and model from the attribute document.
+    """Measures, screen size, model, pieces, packs, condition and warranty from the attribute document.
 
     The document is parsed once into a map; every preferred key list is then a
     lookup in that map.
     """
     df = products.withColumn("_m", jsonx.as_map(attributes))
     number = lambda keys: decimal_comma(jsonx.first_of_keys("_m", keys))
+    said = lambda keys: jsonx.first_of_keys("_m", keys)
     model = F.upper(F.regexp_replace(text.fold_accents(jsonx.first_of_keys("_m", [vocab.MODEL_KEY])), "[^a-zA-Z0-9._ ]", ""))
     screen = safe_cast(jsonx.first_of_keys("_m", vocab.SCREEN_KEYS), "double")
     return df.withColumns(
@@ -58,12 +59,33 @@ def product_dimensions(products: DataFrame, attributes: str = "attributes") -> D
             "length": number(vocab.LENGTH_KEYS),
             "height": number(vocab.HEIGHT_KEYS),
             "weight": number(vocab.WEIGHT_KEYS),
+            "pieces": number(vocab.PIECES_KEYS),
+            "packs": number(vocab.PACKS_KEYS),
+            "condition_id": said(vocab.CONDITION_KEYS),
+            "condition_detail": said(vocab.CONDITION_DETAIL_KEYS),
+            "seller_warranty": F.lower(said(vocab.SELLER_WARRANTY_KEYS)),
+            "warranty_terms": F.lower(said(vocab.WARRANTY_TERMS_KEYS)),
+            "supplier_warranty_id": said(vocab.SUPPLIER_WARRANTY_KEYS),
             "screen": F.when(screen < 99, screen),
             "model": F.regexp_replace(model, "_DELETED.*$", ""),
         }
     ).drop("_m")
 
 
+def product_variation(products: DataFrame, variation: str = "variation") -> DataFrame:
+    """Colours and apparel size from the variation document, parsed once."""
+    df = products.withColumn("_m", jsonx.as_map(variation))
+    said = lambda keys: jsonx.first_of_keys("_m", keys)
+    return df.withColumns(
+        {
+            "colour": said(vocab.COLOUR_KEYS),
+            "basic_colour": said(vocab.BASIC_COLOUR_KEYS),
+            "second_colour": said(vocab.SECOND_COLOUR_KEYS),
+            "apparel_size": said(vocab.APPAREL_SIZE_KEYS),
+        }
+    ).drop("_m")
+
+
 def product_names(products: DataFrame, name: str = "name", category: str = "category", code: str = "category_code") -> DataFrame:
     """Clean name and the amount and unit it states."""
     levels = products.withColumns(category_levels(code))
@@ -103,17 +125,23 @@ def size_histogram(products: DataFrame, category: str, size: str, sku: str, size
     )
 
 
-def sku_master(products: DataFrame, data: DataFrame, logistics: DataFrame, prices: DataFrame, categories: DataFrame, as_of: str) -> DataFrame:
-    """Product master: names, levels, attributes, measured size, price, size histogram.
+def sku_master(products: DataFrame, data: DataFrame, logistics: DataFrame, prices: DataFrame, categories: DataFrame, as_of: str, options: DataFrame | None = None) -> DataFrame:
+    """Product master: names, levels, attributes, variation, measured size, price, size histogram.
 
-    products: sku, seller_id, name, category, category_code, product_set; data:
-    product_set, attributes; of several documents of a set the smallest text counts.
+    products: sku, seller_id, name, category, category_code, product_set,
+    variation; data: product_set, attributes; of several documents of a set the
+    smallest text counts.  options (option_id, option_name) names the condition
+    and the supplier's warranty.
     """
     rows = attach(products, data.groupBy("product_set").agg(F.min("attributes").alias("attributes")), ["product_set"])
-    rows = level_names(product_names(product_dimensions(rows)), categories)
+    rows = level_names(product_names(product_variation(product_dimensions(rows))), categories)
+    if options is not None:
+        named = options.groupBy("option_id").agg(F.max("option_name").alias("option_name"))
+        for c in ("condition", "supplier_warranty"):
+            rows = attach(rows, named.select(F.col("option_id").alias(f"{c}_id"), F.lower("option_name").alias(c)), [f"{c}_id"])
     rows = attach(rows, logistics_sizes(logistics), ["sku"])
     rows = attach(rows, effective_price(prices, as_of).select("sku", "price"), ["sku"])
-    rows = rows.withColumn("dimension_quantity", F.coalesce("screen", "name_quantity")).drop("attributes", "name_quantity")
+    rows = rows.withColumn("dimension_quantity", F.coalesce("screen", "name_quantity")).drop("attributes", "variation", "name_quantity")
     return attach(rows, size_histogram(rows, "category_code", "size", "sku"), ["category_code"])
 
 

@@ -15,18 +15,14 @@ def flow_of_guide(guide: str) -> Column:
     return F.when(F.col(guide).rlike("DEV|RET"), "IL").otherwise("Recoleccion")
 
 
-def bare_guide(guide: str) -> Column:
-    """Guide without its flow mark, to meet the collection it belongs to."""
-    return F.regexp_replace(guide, "RET|DEV|REC", "")
-
-
 def transport_plan(planned: DataFrame, unplanned: DataFrame, tickets: DataFrame, orders: DataFrame, block: str = "month") -> DataFrame:
     """Plan and unplanned arrivals with the k-th ticket of an order on its k-th row.
 
     planned: order_id, guide, state, reason, condition, planned_at; unplanned:
     order_id, guide, registered_at; tickets: order_id, case_id, ticket_at,
     closed_at; orders: order_id, seller_id.  Rows are numbered within each of
-    the two lists on its own, as the reports do.
+    the two lists on its own, as the reports do.  ``flow`` says whether a guide
+    is a return or a collection.
     """
     p = planned.select("order_id", "guide", "state", "reason", "condition", "planned_at", F.lit("PLANIFICADO").alias("kind"))
     u = unplanned.select(
@@ -38,5 +34,5 @@ def transport_plan(planned: DataFrame, unplanned: DataFrame, tickets: DataFrame,
     ranked = with_sequence(tickets, ["order_id"], ["ticket_at", "case_id"], "position", F.date_trunc(block, "ticket_at"))
     out = numbered.join(ranked, ["order_id", "position"], "left")
     out = attach(out, orders.select("order_id", "seller_id"), ["order_id"])
-    return out.withColumns({"period_planned": period_label("planned_at"), "period_ticket": period_label("ticket_at"), "period_closed": period_label("closed_at")})
+    return out.withColumns({"flow": flow_of_guide("guide"), "period_planned": period_label("planned_at"), "period_ticket": period_label("ticket_at"), "period_closed": period_label("closed_at")})
 

@@ -21,21 +21,28 @@ def publish_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def publish_monthly(df: DataFrame, date_col: str, path: str, month: str = "ym", files_per_month: int = 16) -> None:
+def _by_size(df: DataFrame, column: str) -> DataFrame:
+    """Rows dealt by a column, small values together and large ones cut by their bytes at run time.
+
+    The size aimed at is ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    (of the rows in memory, a few times that of the files).  A small value that
+    shares its shuffle partition with a large one is cut with it.
+    """
+    return df.hint("rebalance", F.col(column))
+
+
+def publish_monthly(df: DataFrame, date_col: str, path: str, month: str = "ym") -> None:
     """One folder per month in a single job.
 
-    Rows are spread over ``files_per_month`` tasks within a month, so that a
-    month that holds most of the data is not written by one task.
+    How many files a month has follows from its size, so that a month that holds
+    most of the data is written by many tasks and a small one by a single task.
     """
-    rows = df.withColumn(month, F.date_format(date_col, "yyyy-MM"))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
-    rows.repartition(F.col(month), spread).write.mode("overwrite").partitionBy(month).parquet(path)
+    _by_size(df.withColumn(month, F.date_format(date_col, "yyyy-MM")), month).write.mode("overwrite").partitionBy(month).parquet(path)
 
 
-def publish_per_key(df: DataFrame, key: str, path: str, files_per_key: int = 16, fmt: str = "parquet") -> None:
-    """One folder per key value, large keys written by several tasks."""
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))
-    df.repartition(F.col(key), spread).write.mode("overwrite").partitionBy(key).format(fmt).save(path)
+def publish_per_key(df: DataFrame, key: str, path: str, fmt: str = "parquet") -> None:
+    """One folder per key value; large keys are written by several tasks, by their size."""
+    _by_size(df, key).write.mode("overwrite").partitionBy(key).format(fmt).save(path)
 
 
 def write_csv(df: DataFrame, cols: Sequence[str], path: str) -> None:

@@ -109,6 +109,7 @@ LEDGER_CHARGES = {
     "cobro_banner": (("BANNERS_ON_CREDIT",), ("BANNERS_ON",)),
     "cobro_banner_home": ((), ("BANNERS_HOME",)),
     "cobro_mailings": ((), ("MAILINGS",)),
+    "cobro_flex": (("FLEX_CREDIT",), ("FLEX",)),
     "cobro_apelacion": (("APPEALED_RETURN_CREDIT",), ("APPEALED_RETURN",)),
 }
 LEDGER_PAYMENT = ("ITEM_PRICE_CREDIT",)
@@ -299,3 +300,29 @@ LENGTH_KEYS = ("21", "28", "33", "90", "117", "365", "512", "527", "713", "779",
 HEIGHT_KEYS = ("34", "41", "47", "81", "311", "360", "490", "566", "740", "768", "848", "977", "1050", "1300", "1341",
                "1377", "1458", "1516", "1732", "10779", "10795")
 WEIGHT_KEYS = ("8", "11", "14", "278", "392", "447", "606", "908", "1108", "1163", "1306", "33438")
+PIECES_KEYS = ("245", "674", "761", "818", "1017", "1144", "1235", "34829", "39141")
+PACKS_KEYS = ("10210", "10585", "10587", "10588", "10590", "10592", "10596", "10604", "10607", "11122", "11124", "11126", "22760", "31239")
+CONDITION_KEYS = ("22",)
+CONDITION_DETAIL_KEYS = ("49",)
+SELLER_WARRANTY_KEYS = ("10206",)
+WARRANTY_TERMS_KEYS = ("35",)
+SUPPLIER_WARRANTY_KEYS = ("9",)
+# Preferred keys of the variation document.
+COLOUR_KEYS = ("94", "275", "366", "393", "468", "624", "742", "772", "795", "945", "995", "1076", "1269", "1283", "1317",
+               "1347", "1362", "1450", "1492", "1532", "1717")
+BASIC_COLOUR_KEYS = ("62", "210", "381", "410", "517", "587", "687", "765", "789", "815", "976", "1139", "1165", "1291",
+                     "1310", "1339", "1399", "1480", "1509", "1627", "1734")
+SECOND_COLOUR_KEYS = ("468", "795")
+APPAREL_SIZE_KEYS = ("502", "794")
+
+# A return picked up at home, and one brought to a counter.
+HOME_PICKUP, COUNTER = "HOME_PICKUP", "MODULO"
+
+# Who bears a balance, by the final outcome of the claim and by the state of the return.
+BEARER_BY_OUTCOME = {
+    "Saldo por recuperar Seller": ("Devuelto a seller", "Error de seller", "Pedido no entregado a cliente", "Seller no responde"),
+    "Saldo por recuperar HD": ("Error de OPL", "OPL no responde", "Siniestro OPL"),
+    "Gasto": ("Caso cerrado por mediacion", "Caso improcedente o sin evidencias", "Cliente no responde", "Error sistemico",
+              "Pedido entregado al cliente", "Reembolso fuera de plazo"),
+}
+BEARER_BY_RETURN = ("Saldo por recuperar Seller", ("Entregado", "Custodia", "En Devolucion", "Siniestro"))

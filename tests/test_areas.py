@@ -128,3 +128,32 @@ def test_no_task_holds_a_whole_circle(spark, monkeypatch):
     ends = spatial._extremes(df.select("g", "x", "y"), 64).collect()[0]["e"]
     places = sorted(round(np.arctan2(e["y"], e["x"]) * n / 2 / np.pi) % n for e in ends)
     assert len(places) == 64 and max(np.diff([*places, places[0] + n])) < 0.02 * n
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "metres"),
+    [  # lon, lat; published distances on the WGS 84 ellipsoid, and a degree along the equator and a meridian
+        ((0.0, 0.0), (1.0, 0.0), 111319.491),
+        ((0.0, 0.0), (0.0, 1.0), 110574.389),
+        ((0.0, 89.0), (0.0, 90.0), 111693.865),
+        ((0.0, -90.0), (0.0, 90.0), 20015115.0),  # opposite: great circle
+        ((144 + 25 / 60 + 29.5244 / 3600, -37 - 57 / 60 - 3.7203 / 3600), (143 + 55 / 60 + 35.3839 / 3600, -37 - 39 / 60 - 10.1561 / 3600), 54972.271),
+        ((10.0, 10.0), (10.0, 10.0), 0.0),
+    ],
+)
+def test_distance_on_the_ellipsoid(one, a, b, metres):
+    from pyspark.sql import functions as F
+
+    from plazaworks.functions.geo import spheroid_m
+
+    x = [F.lit(v) for v in (*a, *b)]
+    assert one(spheroid_m(*x)) == pytest.approx(metres, abs=1.0)
+    assert one(spheroid_m(x[2], x[3], x[0], x[1])) == pytest.approx(metres, abs=1.0)
+
+
+def test_distance_of_nothing_is_nothing(one):
+    from pyspark.sql import functions as F
+
+    from plazaworks.functions.geo import spheroid_m
+
+    assert one(spheroid_m(F.lit(None).cast("double"), F.lit(1.0), F.lit(1.0), F.lit(1.0))) is None

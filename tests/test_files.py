@@ -57,10 +57,45 @@ def test_stream_publishes_each_order_once(spark, tmp_path):
 
     def run():
         rows = watch.alerts(watch.landed(spark, src, schema), "status", ["Canceled"], "address", ["order_id", "ts"])
-        rows = watch.once_per_order(rows, "order_id", "ts")
-        watch.publish_alerts(rows, str(tmp_path / "out"), str(tmp_path / "state"), every=None).awaitTermination()
+        watch.publish_alerts(rows, str(tmp_path / "out"), str(tmp_path / "state"), ["order_id"], every=None).awaitTermination()
         return sorted(r["order_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
 
     assert run() == [1]
     make([(1, "Canceled", "a@b.c", "2024-01-01 01:00:00"), (3, "Canceled", "none", "2024-01-01 01:00:00"), (4, "Canceled", "x@y.z", "2024-01-01 01:00:00")]).write.mode("append").parquet(src)
     assert run() == [1, 4]
+    # a repeat after eight days is not told again, and a row that comes late, twice and with another time is told once
+    make([(9, "Canceled", "a@b.c", "2024-02-01 00:00:00")]).write.mode("append").parquet(src)
+    assert run() == [1, 4, 9]
+    make([(1, "Canceled", "a@b.c", "2024-02-09 00:00:00"), (5, "Canceled", "a@b.c", "2023-12-01 00:00:00"), (5, "Canceled", "a@b.c", "2023-12-02 00:00:00")]).write.mode("append").parquet(src)
+    assert run() == [1, 4, 5, 9]
+    # a lost checkpoint reads all files again and tells nothing twice
+    rows = watch.alerts(watch.landed(spark, src, schema), "status", ["Canceled"], "address", ["order_id", "ts"])
+    watch.publish_alerts(rows, str(tmp_path / "out"), str(tmp_path / "other"), ["order_id"], every=None).awaitTermination()
+    assert run() == [1, 4, 5, 9]
+
+
+def test_files_follow_the_size_of_a_month(spark, tmp_path):
+    """One month holds almost all rows: it is cut into files of about one size, the small ones are one file each."""
+    df = spark.range(400_000).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), F.when(F.col("id") % 100 == 0, 31 * (F.col("id") / 100 % 11).cast("int") + 40).otherwise(0)).alias("d"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m", "spark.sql.shuffle.partitions": "256"}
+    old = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        W.publish_monthly(df, "d", str(tmp_path / "m"))
+        W.publish_per_key(df.withColumn("k", F.substring("v", 1, 1)), "k", str(tmp_path / "k"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = lambda p: [os.path.getsize(p / f) for f in os.listdir(p) if f.endswith(".parquet")]
+    months = {m: files(tmp_path / "m" / m) for m in os.listdir(tmp_path / "m") if m.startswith("ym=")}
+    large = months.pop("ym=2024-01")
+    assert len(large) >= 4 and max(large) < 2.5 * sorted(large)[len(large) // 2]
+    # a small month whose hash falls on the large one's partition is cut with it
+    assert len(months) > 8 and sum(len(f) > 1 for f in months.values()) <= 1
+    assert R.scan(spark, str(tmp_path / "m")).count() == 400_000
+    keys = [files(tmp_path / "k" / k) for k in os.listdir(tmp_path / "k") if k.startswith("k=")]
+    assert len(keys) == 16 and max(map(len, keys)) <= 2

@@ -164,3 +164,9 @@ def test_every_width_key_is_read(spark):
     keys = "48 55 60 72 344 375 514 548 730 762 938 962 1082 1210 1295 1314 1333 1405 1431 1495 1719 10794".split()
     rows = spark.createDataFrame([(k, f'{{"{k}": "7,5"}}') for k in keys], "name string, attributes string")
     assert {r["width"] for r in catalog.product_dimensions(rows).select("width").collect()} == {7.5}
+
+
+def test_flexible_delivery_is_charged_whatever_the_name_before_it(spark):
+    rows = [("s", "o", "k", kind, None, total, 0.0) for kind, total in (("ANY_FLEX", 5.0), ("ANY_FLEX_CREDIT", 2.0), ("FLEX", 1.0), ("NO_FLEXIBLE", 9.0))]
+    settlements = spark.createDataFrame(rows, "seller_id string, order_id string, sku string, transaction_type string, event_date date, total double, commission double")
+    assert balance.settled(settlements).collect()[0]["cobro_flex"] == 4.0

@@ -14,7 +14,7 @@ from plazaworks.operators import quality as Q
 from plazaworks.operators import reshape as R
 from plazaworks.operators import spatial as S
 from plazaworks.operators import windows as W
-from plazaworks.operators.entities import duplicates_wide
+from plazaworks.operators.entities import duplicates_wide, union_sizes
 
 
 @pytest.fixture(scope="module")
@@ -174,3 +174,15 @@ def test_winsorize_holds_tails(spark):
     df = spark.createDataFrame([("g", float(i)) for i in range(100)], "g string, v double")
     out = [r["v"] for r in Q.winsorize(df, ["g"], ["v"], 0.03).collect()]
     assert min(out) == 3.0 and max(out) == 96.0 and len(out) == 100
+
+
+def test_partner_counts_of_four_attributes(spark):
+    """Nulls, shared values and one value that a third of all rows has; one aggregate and one join whatever the attributes."""
+    rnd = random.Random(8)
+    rows = [(i, *[None if rnd.random() < 0.2 else "hot" if i % 3 == 0 and j == 0 else f"{j}{rnd.randrange(25)}" for j in range(4)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, a string, b string, c string, d string")
+    out = union_sizes(df, ["a", "b", "c", "d"], "n")
+    want = {r[0]: sum(any(x is not None and x == y for x, y in zip(r[1:], q[1:])) for q in rows) for r in rows}
+    assert {r["id"]: r["n"] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2
