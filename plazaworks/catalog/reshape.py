@@ -90,6 +90,17 @@ def concat_types(t):
     return t("part", "p_brand", "p_type").groupBy("p_brand").agg(R.concat_values("p_type", " | ").alias("types"))
 
 
+@query("""
+WITH d AS (SELECT DISTINCT o_orderstatus, o_custkey%7 AS g, CAST(o_custkey AS VARCHAR) AS v FROM orders JOIN customer ON o_custkey=c_custkey),
+n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderstatus, g ORDER BY v) AS n, COUNT(*) OVER (PARTITION BY o_orderstatus, g) AS values_ FROM d)
+SELECT o_orderstatus, g, CAST((n-1)//100 AS INT) AS page, CAST(ceil(values_/100) AS INT) AS pages, values_ AS "values", string_agg(v, '|' ORDER BY v) AS customers FROM n GROUP BY o_orderstatus, g, (n-1)//100, values_
+""")
+def paged_customers(t):
+    """Customers of each state of an order, a hundred to a cell and the rest on further pages."""
+    o = t("orders", "o_orderstatus", "o_custkey").join(t("customer", "c_custkey"), F.col("o_custkey") == F.col("c_custkey"))
+    return R.list_pages(o.withColumn("g", F.col("o_custkey") % 7), ["o_orderstatus", "g"], "o_custkey", 100, name="customers")
+
+
 @query("SELECT n_regionkey, " + ", ".join(
     f"string_agg(DISTINCT CASE WHEN c_mktsegment='{s}' AND c_acctbal>9000 THEN n_name END, ',' ORDER BY CASE WHEN c_mktsegment='{s}' AND c_acctbal>9000 THEN n_name END) AS \"{s}\""
     for s in SEGMENTS) + " FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY 1")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import attach
-from .windows import blocked_window
+from .windows import Sampled, blocked_window
 
 
 def eav_pivot(df: DataFrame, keys: Sequence[str], name: str, value: str, names: Sequence[str]) -> DataFrame:
@@ -73,6 +73,22 @@ def single_or_list(df: DataFrame, keys: Sequence[str], cols: Sequence[str], sep:
     return out.select(*keys, *[e.alias(c) for c, e in texts.items()], *rest)
 
 
+def list_pages(df: DataFrame, keys: Sequence[str], value: str, most: int = 1000, sep: str = "|", name: str = "listed") -> DataFrame:
+    """The distinct values of each key in sorted order, in texts of at most ``most`` values: keys, page, pages, values, ``name``.
+
+    Page 0 is the cell of a report; the pages after it are the overflow of keys
+    with more values, so no cell grows with the data and no value is lost.
+    Values are numbered in blocks between sampled edges, and no task sees all
+    values of a key.  NULL values are left out; NULL keys are a key.
+    """
+    text = F.col(value).cast("string").alias("_v")
+    known = df.where(F.col(value).isNotNull()).select(*keys, text).distinct()
+    rows = blocked_window(known, keys, ["_v"], Sampled([*keys, "_v"]), row_number="_n", group_count="values")
+    page = F.floor((F.col("_n") - 1) / most).cast("int")
+    out = rows.groupBy(*keys, page.alias("page"), "values").agg(F.array_join(F.sort_array(F.collect_list("_v")), sep).alias(name))
+    return out.select(*keys, "page", F.ceil(F.col("values") / most).cast("int").alias("pages"), "values", name)
+
+
 def pivot_concat(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], text: str, sep: str = ",") -> DataFrame:
     """Cross table whose cells list the distinct texts."""
     out = df.groupBy(*keys).agg(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plazaworks.ml.models import one_vs_rest_auc
 from plazaworks.operators import windows as W
 from plazaworks.operators.aggregates import medians, order_statistics
+from plazaworks.operators.reshape import list_pages
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +118,12 @@ def test_plain_windows_agree_with_spark(history):
     w = Window.partitionBy("key").orderBy("at", "id")
     want = sorted(tuple(r) for r in history.select("id", F.row_number().over(w).alias("n")).collect())
     assert sorted(tuple(r) for r in W.with_sequence(history, ["key"], ["at", "id"], "n", W.Sampled(["key", "at", "id"], 16)).select("id", "n").collect()) == want
+
+
+def test_lists_are_cut_into_pages(spark):
+    rows = [("hot", f"v{i:04d}") for i in range(950)] * 2 + [("one", "x"), ("one", None), (None, "y"), ("none", None)]
+    out = list_pages(spark.createDataFrame(rows, "k string, v string"), ["k"], "v", 100)
+    pages = {(r["k"], r["page"]): (r["pages"], r["values"], r["listed"].split("|")) for r in out.collect()}
+    assert pages.pop(("one", 0)) == (1, 1, ["x"]) and pages.pop((None, 0)) == (1, 1, ["y"])
+    assert len(pages) == 10 and [v for i in range(10) for v in pages["hot", i][2]] == [f"v{i:04d}" for i in range(950)]
+    assert all(p[:2] == (10, 950) and len(p[2]) <= 100 for p in pages.values())
