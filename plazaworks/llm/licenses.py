@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Fixed phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 #: Short licence notices in common use, by label.
@@ -91,13 +93,10 @@ def _words(c: Column) -> Column:
     return F.filter(F.split(c, f"{GAP}+"), lambda w: w != "")
 
 
-def _pattern(phrase: str) -> str:
-    return f"(?i)(?<!{WORD})" + f"{GAP}+".join(phrase.split()) + f"(?!{WORD})"
-
-
 def phrase_places(text: Column, phrases: Mapping[str, str] = PHRASES) -> Column:
-    """Array of (word number, label) of all places of the phrases; only texts that match a phrase are split."""
-    any_phrase = "|".join(f"(?:{_pattern(p)})" for p in phrases)
+    """Array of (word number, label) of all places of the phrases; only texts in which some may stand are split."""
+    # in lower case and without word borders, which lets a few more texts through and is quick
+    any_phrase = "|".join(f"{GAP}+".join(p.split()) for p in phrases)
     words = F.transform(_words(text), _lowered)
 
     def places_of(phrase: str, label: str, all_words: Column) -> Column:
@@ -109,7 +108,7 @@ def phrase_places(text: Column, phrases: Mapping[str, str] = PHRASES) -> Column:
         return F.flatten(F.array(*[places_of(phrase, label, all_words) for phrase, label in phrases.items()]))
 
     # the words are bound once, so that every place reads the same array
-    return F.when(text.rlike(any_phrase), F.element_at(F.transform(F.array(words), places), 1))
+    return F.when(F.lower(text).rlike(any_phrase), F.element_at(F.transform(F.array(words), places), 1))
 
 
 def _plain_words(text: str) -> list[str]:
@@ -208,24 +207,26 @@ def contained_templates(docs: DataFrame, templates: Mapping[str, str], percent:
     vocabulary = sorted({w for t in table for w in t.tokens})
     spark = docs.sparkSession
     wanted = F.array(*[F.struct(F.lit(t.label).alias("label"), _strings(t.tokens).alias("tokens"), F.lit(t.need).alias("need"), F.lit(t.span).alias("span"), _strings(t.deciding).alias("deciding")) for t in table])
+    sizes = spark.createDataFrame([(t.label, len(t.tokens) - t.need) for t in table], "label string, lacks int")
+    ranked = written(token_order(docs, table).join(sizes, "label").withColumn("first", F.col("rank") <= F.col("lacks")), "order")
+
+    # texts with a word of any prefix, and enough words of a template; the known words are bound once a row
+    prefixes = ranked.where("first").agg(F.collect_set("token")).scalar()
     known = F.array_intersect(_strings(vocabulary), _rough(F.col("text")))
-    long_enough = lambda words: F.filter(wanted, lambda t: F.size(F.array_intersect(t["tokens"], words)) >= t["need"])
-    likely = docs.select(*_row_key(), "text", known.alias("known"))
-    likely = likely.select("k0", "k1", "text", long_enough(F.col("known")).alias("ts")).where(F.size("ts") > 0)
+    long_enough = F.transform(F.array(known), lambda words: F.filter(wanted, lambda t: F.size(F.array_intersect(t["tokens"], words)) >= t["need"]))
+    likely = docs.where(F.arrays_overlap(_rough(F.col("text")), prefixes))
+    likely = likely.select(*_row_key(), "text", F.get(long_enough, F.lit(0))["label"].alias("labels")).where(F.size("labels") > 0)
 
     # the words of templates in those texts, with their positions
     words = F.transform(_words(F.col("text")), _lowered)
-    at = likely.select("k0", "k1", F.col("ts")["label"].alias("labels"), F.posexplode(words).alias("at", "token"))
-    order = token_order(docs, table)
-    sizes = spark.createDataFrame([(t.label, len(t.tokens) - t.need) for t in table], "label string, lacks int")
-    ranked = order.join(sizes, "label").withColumn("first", F.col("rank") <= F.col("lacks"))
+    at = likely.select("k0", "k1", "labels", F.posexplode(words).alias("at", "token"))
     found = at.join(ranked, "token").where(F.array_contains("labels", F.col("label")))
     held = found.groupBy("k0", "k1", "label").agg(F.array_sort(F.collect_set(F.struct("at", "token", "rank"))).alias("places"), F.max("first").alias("any_first"))
     rules = spark.createDataFrame([(t.label, t.tokens, t.need, t.span, t.deciding) for t in table], "label string, tokens array<string>, need int, span int, deciding array<string>")
     held = held.where("any_first").join(rules, "label")
     t = F.struct("tokens", "need", "span", "deciding", "places")
     checked = held.select("k0", "k1", "label", F.size("tokens").alias("size"), t.alias("t")).select("k0", "k1", "label", "size", _best_overlap(F.col("t")).alias("most"))
-    return checked.where("most is not null").select("k0", "k1", "label", (F.col("most") / F.col("size")).alias("containment"))
+    return written(checked, "overlaps").where("most is not null").select("k0", "k1", "label", (F.col("most") / F.col("size")).alias("containment"))
 
 
 def license_scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] | None = None, percent: int = CONTAINMENT) -> DataFrame:
