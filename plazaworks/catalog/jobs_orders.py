@@ -40,14 +40,14 @@ def order_timeline(t):
 
 @query("""
 WITH f AS (SELECT user_id AS tracking, event_type AS state, ts, event_id FROM events WHERE event_type<>'error'),
-l AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY tracking ORDER BY ts DESC, state DESC) rn FROM f) WHERE rn=1), o AS (SELECT user_id AS tracking, 'lost' AS state FROM events WHERE event_type='error' AND value>150 GROUP BY 1)
+l AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY tracking ORDER BY ts DESC, state DESC) rn FROM f) WHERE rn=1), o AS (SELECT user_id AS tracking, 'lost' AS state FROM events WHERE event_type='error' GROUP BY 1)
 SELECT l.tracking, COALESCE(o.state,l.state) AS state, strftime(l.ts,'%Y-%m-%d %H:%M:%S') AS ts FROM l LEFT JOIN o USING (tracking)
 """)
 def merged_tracking(t):
     """Newest state over two carriers' feeds; a third source overrides it."""
     e = t("events", "user_id", "event_type", "ts", "value").withColumnsRenamed({"user_id": "tracking", "event_type": "state"})
     feeds = [e.where(F.col("state").isin("view", "click")).drop("value"), e.where(F.col("state").isin("signup", "purchase")).drop("value")]
-    lost = e.where((F.col("state") == "error") & (F.col("value") > 150)).groupBy("tracking").agg(F.lit("lost").alias("state"))
+    lost = e.where(F.col("state") == "error").groupBy("tracking").agg(F.lit("lost").alias("state"))
     return O.merge_tracking(feeds, overrides=lost).select("tracking", "state", stamp("ts").alias("ts"))
 
 
@@ -130,7 +130,7 @@ def amount_alerts(t):
 
 _KPI = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CASE l_suppkey%3 WHEN 0 THEN 'FBS' WHEN 1 THEN 'FBF' ELSE 'XD' END AS st, CASE WHEN l_partkey%4=0 THEN 'courier internacional' ELSE 'ibis' END AS carrier,
  CASE WHEN l_partkey%5=0 THEN 'ABCDEFGHIJK' ELSE 'AB' END AS trk, o_orderdate AS created, o_orderdate + to_days(CAST(l_suppkey%6 AS INT)) AS target, CASE WHEN l_partkey%7<>0 THEN o_orderdate+to_days(CAST(l_partkey%9 AS INT)) END AS rts,
- CASE WHEN l_linestatus='F' THEN l_shipdate END AS shipped, CASE l_returnflag WHEN 'R' THEN 'canceled' WHEN 'A' THEN 'delivered' ELSE 'returned' END AS fsc,
+ CASE WHEN l_linestatus='F' THEN l_shipdate END AS shipped, CASE l_returnflag WHEN 'R' THEN 'canceled' WHEN 'A' THEN 'delivered' ELSE 'returned' END AS ost,
  CASE l_partkey%6 WHEN 0 THEN 'Siniestro' WHEN 1 THEN 'Entregado' WHEN 2 THEN 'Retorno A Seller' ELSE 'En Ruta' END AS tms, CASE l_suppkey%5 WHEN 0 THEN 'DELIVERED' WHEN 1 THEN 'CANCELLED' WHEN 2 THEN 'IN_TRANSIT' WHEN 3 THEN 'ODD' END AS cat,
  CASE WHEN l_suppkey%7=0 THEN 'DELIVERED' END AS bs, l_shipdate AS tms_time, CASE WHEN l_partkey%13=0 THEN 'R1' END AS rlo, CAST(l_partkey%3 AS BIGINT) AS visits FROM lineitem JOIN orders ON l_orderkey=o_orderkey"""
 
@@ -140,10 +140,10 @@ WITH k AS ({_KPI})
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CASE WHEN st<>'FBS' THEN 1 WHEN carrier='courier internacional' THEN 1 WHEN length(trk)>10 THEN 1 ELSE 0 END AS printed, CASE WHEN st='FBS' AND rts IS NULL THEN 0 ELSE 1 END AS readied,
  CASE WHEN visits>1 THEN 1 ELSE 0 END AS not_collected, CASE WHEN st<>'FBF' AND date_diff('day',created,target)<1 THEN 1 ELSE 0 END AS error_dts, CASE WHEN shipped IS NOT NULL THEN 1 ELSE 0 END AS shipped,
  CASE WHEN st='FBS' AND shipped>=target-INTERVAL 7 DAY THEN 0 WHEN shipped IS NULL THEN 0 ELSE 1 END AS advanced, CASE WHEN st='FBS' AND (shipped>=target OR rts>=target) THEN 1 ELSE 0 END AS delayed,
- CASE WHEN date_diff('day',tms_time,DATE '1999-01-01')>=2 AND fsc NOT IN ('delivered','canceled','returned') AND date_diff('day',target,DATE '1999-01-01')>=1 THEN 1 ELSE 0 END AS not_moving,
- CASE WHEN fsc='canceled' THEN 1 ELSE 0 END AS canceled, CASE WHEN tms='Retorno A Seller' THEN 1 ELSE 0 END AS rejected, CASE WHEN (fsc IN ('canceled','returned') AND shipped IS NOT NULL) OR rlo IS NOT NULL THEN 1 ELSE 0 END AS returned,
- CASE WHEN tms='Siniestro' OR (tms='Entregado' AND (cat='CANCELLED' OR fsc='canceled')) OR (bs='DELIVERED' AND (cat='CANCELLED' OR fsc='canceled')) OR (fsc='canceled' AND cat='DELIVERED') THEN 1 ELSE 0 END AS lost,
- CASE WHEN cat='DELIVERED' THEN 'delivered' WHEN cat='CANCELLED' THEN 'canceled' WHEN cat='IN_TRANSIT' OR cat IS NULL THEN 'in_progress' WHEN fsc='returned' THEN 'returned' END AS status FROM k
+ CASE WHEN date_diff('day',tms_time,DATE '1999-01-01')>=2 AND ost NOT IN ('delivered','canceled','returned') AND date_diff('day',target,DATE '1999-01-01')>=1 THEN 1 ELSE 0 END AS not_moving,
+ CASE WHEN ost='canceled' THEN 1 ELSE 0 END AS canceled, CASE WHEN tms='Retorno A Seller' THEN 1 ELSE 0 END AS rejected, CASE WHEN (ost IN ('canceled','returned') AND shipped IS NOT NULL) OR rlo IS NOT NULL THEN 1 ELSE 0 END AS returned,
+ CASE WHEN tms='Siniestro' OR (tms='Entregado' AND (cat='CANCELLED' OR ost='canceled')) OR (bs='DELIVERED' AND (cat='CANCELLED' OR ost='canceled')) OR (ost='canceled' AND cat='DELIVERED') THEN 1 ELSE 0 END AS lost,
+ CASE WHEN cat='DELIVERED' THEN 'delivered' WHEN cat='CANCELLED' THEN 'canceled' WHEN cat='IN_TRANSIT' OR cat IS NULL THEN 'in_progress' WHEN ost='returned' THEN 'returned' END AS status FROM k
 """)
 def order_kpis(t):
     """Flags of every order line: late, lost, returned and the rest."""
@@ -156,9 +156,9 @@ def order_kpis(t):
         *keys, F.when(s % 3 == 0, "FBS").when(s % 3 == 1, "FBF").otherwise("XD").alias("shipping_type"), F.when(p % 4 == 0, "courier internacional").otherwise("ibis").alias("carrier"),
         F.when(p % 5 == 0, "ABCDEFGHIJK").otherwise("AB").alias("tracking_code"), F.lit(0).alias("printed"), F.col("o_orderdate").alias("created_at"), days(s, 6).alias("target_to_ship"), F.lit(None).cast("date").alias("planned_at"),
         F.when(p % 7 != 0, days(p, 9)).alias("ready_to_ship"), F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("shipped_at"), (p % 3).alias("visits"), F.when(p % 13 == 0, "R1").alias("rlo_id"),
-        F.when(F.col("l_returnflag") == "R", "canceled").when(F.col("l_returnflag") == "A", "delivered").otherwise("returned").alias("status_fsc"),
+        F.when(F.col("l_returnflag") == "R", "canceled").when(F.col("l_returnflag") == "A", "delivered").otherwise("returned").alias("status_order"),
         F.when(p % 6 == 0, "Siniestro").when(p % 6 == 1, "Entregado").when(p % 6 == 2, "Retorno A Seller").otherwise("En Ruta").alias("status_tms"),
-        F.when(s % 5 == 0, "DELIVERED").when(s % 5 == 1, "CANCELLED").when(s % 5 == 2, "IN_TRANSIT").when(s % 5 == 3, "ODD").alias("status_catalyst"), F.when(s % 7 == 0, "DELIVERED").alias("status_backstore"), F.col("l_shipdate").alias("tms_time"))
+        F.when(s % 5 == 0, "DELIVERED").when(s % 5 == 1, "CANCELLED").when(s % 5 == 2, "IN_TRANSIT").when(s % 5 == 3, "ODD").alias("status_platform"), F.when(s % 7 == 0, "DELIVERED").alias("status_store"), F.col("l_shipdate").alias("tms_time"))
     out = O.order_kpis(line, "1999-01-01")
     return out.select(*keys, "printed", "readied", "not_collected", "error_dts", "shipped", "advanced", "delayed", "not_moving", "canceled", "rejected", "returned", "lost", "status")
 
@@ -167,7 +167,7 @@ _M = "CAST(l_extendedprice AS DECIMAL(18,2))"
 _BAL = f"""WITH e AS (SELECT l_suppkey AS seller_id, l_orderkey AS order_id, l_partkey AS sku, {_M} AS m, l_returnflag AS f, l_linestatus AS s, l_shipdate AS d, l_linenumber AS ln FROM lineitem),
 debe AS (SELECT seller_id, order_id, sku, COALESCE(SUM(CASE WHEN f<>'R' THEN m END),0) AS ing, COALESCE(-abs(SUM(CASE WHEN f='R' THEN m END)),0) AS egr, CAST(MAX(CASE WHEN f<>'R' THEN d END) AS DATE) AS fi, CAST(MAX(CASE WHEN f='R' THEN d END) AS DATE) AS fe FROM e GROUP BY 1,2,3),
 debe2 AS (SELECT seller_id, order_id, sku, greatest(ing,-egr) AS ing, egr, fi, fe FROM debe),
-st AS (SELECT DISTINCT seller_id, order_id, sku, CASE WHEN f='N' THEN 'ITEM_PRICE_CREDIT' WHEN f='R' THEN 'ITEM_PRICE' ELSE 'COMMISSION' END AS k, d, CAST(CAST(m*100 AS BIGINT) AS DOUBLE)/100 AS total FROM e WHERE s='F'),
+st AS (SELECT DISTINCT seller_id, order_id, sku, CASE WHEN f='N' THEN 'ITEM_PRICE_CREDIT' WHEN f='R' THEN 'ITEM_PRICE' ELSE 'COMMISSION' END AS k, d, CAST(CAST(CASE WHEN s='F' THEN m ELSE m*0.5 END*100 AS BIGINT) AS DOUBLE)/100 AS total FROM e),
 hab AS (SELECT seller_id, order_id, sku, COALESCE(SUM(CASE WHEN k='ITEM_PRICE_CREDIT' THEN total END),0) AS pago, COALESCE(-SUM(CASE WHEN k='ITEM_PRICE' THEN total END),0) AS des, COALESCE(SUM(CASE WHEN k='COMMISSION' THEN total END),0) AS com FROM st GROUP BY 1,2,3),
 ord AS (SELECT order_id, sku, COUNT(sku) AS items, SUM(m) AS value FROM (SELECT DISTINCT order_id, ln, sku, m FROM e) GROUP BY 1,2),
 j AS (SELECT seller_id, order_id, sku, fi, fe, items, CAST(value AS DOUBLE) AS value, round(CAST(least(ing,value) AS DOUBLE),2) AS ing, round(CAST(CASE WHEN abs(egr)>value THEN -value ELSE egr END AS DOUBLE),2) AS egr, round(COALESCE(pago,0),2) AS pago, round(COALESCE(des,0),2) AS des, com
@@ -184,8 +184,9 @@ def _balance(t):
     back = c("l_returnflag") == "R"
     events = l.select(*key, F.when(back, "RETURN").otherwise("PAYMENT").alias("event"), F.when(back, "RECEIVED").otherwise("CHARGED").alias("event_status"), c("l_shipdate").alias("event_date"), m.alias("total"))
     kind = F.when(c("l_returnflag") == "N", "ITEM_PRICE_CREDIT").when(back, "ITEM_PRICE").otherwise("COMMISSION")
-    booked = l.where(c("l_linestatus") == "F").select(
-        *key, kind.alias("transaction_type"), c("l_shipdate").alias("event_date"), (m * 100).cast("bigint").cast("string").alias("net_amount_cent"), F.lit("100").alias("net_amount_fraction"), F.lit(None).cast("double").alias("commission"))
+    part = F.when(c("l_linestatus") == "F", m).otherwise(m * F.lit("0.5").cast("decimal(2,1)"))
+    booked = l.select(
+        *key, kind.alias("transaction_type"), c("l_shipdate").alias("event_date"), F.round(part * 100).cast("bigint").cast("string").alias("net_amount_cent"), F.lit("100").alias("net_amount_fraction"), F.lit(None).cast("double").alias("commission"))
     items = l.select(c("l_orderkey").alias("order_id"), c("l_linenumber").alias("item_id"), c("l_partkey").alias("sku"), m.alias("paid_price"))
     out = L.order_balance(events, L.settlement_amount(booked), items, charges={"cobro_comision": vocab.LEDGER_CHARGES["cobro_comision"]})
     return out.withColumn("saldo", F.round(num("saldo"), 2))
@@ -203,17 +204,17 @@ def order_balance(t):
  FROM (SELECT *, CASE order_id%4 WHEN 0 THEN 'canceled' WHEN 1 THEN 'delivered' END AS fs, CASE order_id%3 WHEN 0 THEN 'CANCELLED' WHEN 1 THEN 'DELIVERED' END AS cs FROM b)""")
 def balance_action(t):
     """What to do about each open balance."""
-    states = {k: vocab.CLOSED_STATES[k] for k in ("status_fsc", "status_catalyst")}
+    states = {k: vocab.CLOSED_STATES[k] for k in ("status_order", "status_platform")}
     o = F.col("order_id")
     out = _balance(t).withColumns({
-        "status_fsc": F.when(o % 4 == 0, "canceled").when(o % 4 == 1, "delivered"), "status_catalyst": F.when(o % 3 == 0, "CANCELLED").when(o % 3 == 1, "DELIVERED")})
+        "status_order": F.when(o % 4 == 0, "canceled").when(o % 4 == 1, "delivered"), "status_platform": F.when(o % 3 == 0, "CANCELLED").when(o % 3 == 1, "DELIVERED")})
     tipo = F.when(F.col("saldo") >= 0, "CxP").otherwise("CxC")
     return out.withColumn("tipo", tipo).select("seller_id", "order_id", "sku", "tipo", L.recommended_action("1998-01-01", states).alias("action"), L.is_final(states).alias("final"))
 
 
 _WORDS = ["DELIVERED", "En Reparto", "REGISTRADO", "SINIESTRO", "CUSTODIA", "Raro"]
 _RET = """WITH r AS (SELECT l_orderkey AS order_id, l_partkey AS sku, 'G'||CAST(l_suppkey AS VARCHAR) AS guide, CASE l_suppkey%4 WHEN 0 THEN 'tms' WHEN 1 THEN 'urbano sur' WHEN 2 THEN '-' ELSE 'otra-via' END AS carrier, list_extract([{w}],1+CAST(l_suppkey%6 AS INT)) AS state,
- l_shipdate AS requested_at, CASE WHEN l_linestatus='F' THEN l_shipdate+to_days(CAST(l_partkey%60 AS INT)) END AS delivered_at, CASE WHEN l_linestatus='F' THEN 'a' ELSE 'b' END AS feed FROM lineitem WHERE l_returnflag='R'),
+ l_shipdate AS requested_at, CASE WHEN l_linestatus='F' THEN l_shipdate+to_days(CAST(l_partkey%60 AS INT)) END AS delivered_at, CASE WHEN l_linestatus='F' THEN 'a' ELSE 'b' END AS feed FROM lineitem),
 p AS (SELECT l_orderkey AS order_id, l_partkey AS sku, MIN(CAST(l_shipdate AS DATE)) AS egreso FROM lineitem GROUP BY 1,2),
 j AS (SELECT r.*, date_diff('day',egreso,CAST(delivered_at AS DATE)) AS return_days, CASE WHEN carrier IN ('tms','-') THEN 'Own Fleet' WHEN carrier='urbano sur' THEN 'Urbano' ELSE 'Otra-Via' END AS who,
  CASE state WHEN 'DELIVERED' THEN 'Entregado' WHEN 'En Reparto' THEN 'En Reparto' WHEN 'REGISTRADO' THEN 'Registrado' WHEN 'SINIESTRO' THEN 'Siniestro' WHEN 'CUSTODIA' THEN 'Custodia' ELSE state END AS sg FROM r JOIN p USING (order_id, sku)),
@@ -223,11 +224,10 @@ k AS (SELECT *, CASE sg WHEN 'Entregado' THEN 1 WHEN 'Custodia' THEN 1 WHEN 'Sin
 def _returns(t):
     l = t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
     s = F.col("l_suppkey")
-    back = l.where(F.col("l_returnflag") == "R")
     base = [F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku"), F.concat(F.lit("G"), s.cast("string")).alias("guide"),
             F.when(s % 4 == 0, "tms").when(s % 4 == 1, "urbano sur").when(s % 4 == 2, "-").otherwise("otra-via").alias("carrier"), F.get(F.array(*[F.lit(w) for w in _WORDS]), (s % 6).cast("int")).alias("state"), F.col("l_shipdate").alias("requested_at")]
     arrived = F.col("l_shipdate") + F.make_dt_interval(days=(F.col("l_partkey") % 60).cast("int"))
-    feeds = {"a": back.where(F.col("l_linestatus") == "F").select(*base, arrived.alias("delivered_at")), "b": back.where(F.col("l_linestatus") == "O").select(*base)}
+    feeds = {"a": l.where(F.col("l_linestatus") == "F").select(*base, arrived.alias("delivered_at")), "b": l.where(F.col("l_linestatus") != "F").select(*base)}
     prior = l.groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku")).agg(F.min(F.to_date("l_shipdate")).alias("fecha_egreso"))
     return R.consolidate_returns(feeds, prior)
 
@@ -250,6 +250,6 @@ SELECT o_orderkey AS order_id, CASE WHEN o_orderkey%2=0 THEN o_custkey ELSE one
 """)
 def missing_skus(t):
     """Missing sku of an order reference, where its order holds a single sku."""
-    feed = t("orders", "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("order_id"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("sku"), F.lit("FSC").alias("kind"))
+    feed = t("orders", "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("order_id"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("sku"), F.lit("ORDER").alias("kind"))
     skus = t("lineitem", "l_orderkey", "l_partkey").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku"))
     return R.fill_sku(feed, skus).select("order_id", "sku")

@@ -55,7 +55,7 @@ def _aged(t):
     k = F.col("case_id")
     out = _claims(t).withColumns({
         "segment": F.when(k % 2 == 0, "Longtail").otherwise("AAA"), "fecha_egreso": F.date_sub(F.lit("2024-06-30").cast("date"), (k % 200).cast("int")),
-        "fecha_ingreso": F.date_sub(F.lit("2024-06-30").cast("date"), (k % 200 + 40).cast("int")), "status_catalyst": F.when(k % 3 == 0, "CANCELLED"), "status_tms": F.lit("Entregado"), "status_backstore": F.lit(None).cast("string")})
+        "fecha_ingreso": F.date_sub(F.lit("2024-06-30").cast("date"), (k % 200 + 40).cast("int")), "status_platform": F.when(k % 3 == 0, "CANCELLED"), "status_tms": F.lit("Entregado"), "status_store": F.lit(None).cast("string")})
     return C.age_outcome(out, "2024-06-30")
 
 

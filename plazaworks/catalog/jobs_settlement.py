@@ -87,7 +87,7 @@ def held_refunds(t):
 
 _RATES = """rates AS (SELECT CASE p_partkey%3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS period, p_partkey%6+1 AS rule, CAST(p_partkey%23 AS VARCHAR) AS seller,
  CASE p_partkey%6+1 WHEN 1 THEN '' WHEN 2 THEN CAST(p_partkey%23 AS VARCHAR)||' - '||c7 WHEN 3 THEN '0 - '||c7 WHEN 4 THEN CAST(p_partkey%23 AS VARCHAR)||' - '||c5 WHEN 5 THEN CAST(p_partkey%23 AS VARCHAR)||' - '||c3 ELSE '0 - '||c5 END AS rate_key, CAST(p_size AS DOUBLE)/100 AS rate
- FROM (SELECT *, 'K0'||lpad(CAST(p_partkey%40 AS VARCHAR),2,'0')||lpad(CAST(p_partkey%30 AS VARCHAR),3,'0') AS c7, 'K0'||lpad(CAST(p_partkey%40 AS VARCHAR),2,'0')||'0' AS c5, 'K0'||CAST(p_partkey%4 AS VARCHAR) AS c3 FROM part) WHERE p_partkey%6+1<>1 OR p_size<5)"""
+ FROM (SELECT *, 'K0'||lpad(CAST(p_partkey%40 AS VARCHAR),2,'0')||lpad(CAST(p_partkey%30 AS VARCHAR),3,'0') AS c7, 'K0'||lpad(CAST(p_partkey%40 AS VARCHAR),2,'0')||'0' AS c5, 'K0'||CAST(p_partkey%4 AS VARCHAR) AS c3 FROM part))"""
 _CLASS = "'K0'||lpad(CAST(l_partkey%40 AS VARCHAR),2,'0')||lpad(CAST(l_linenumber%3*10 AS VARCHAR),3,'0')"
 
 
@@ -101,8 +101,7 @@ def _rates(t):
     dash = lambda a, b: F.concat(a, F.lit(" - "), b)
     zero = F.lit("0")
     key = F.when(rule == 1, "").when(rule == 2, dash(who, c7)).when(rule == 3, dash(zero, c7)).when(rule == 4, dash(who, c5)).when(rule == 5, dash(who, c3)).otherwise(dash(zero, c5))
-    rows = p.where((rule != 1) | (F.col("p_size") < 5))
-    return rows.select(F.when(k % 3 == 0, "A").when(k % 3 == 1, "B").otherwise("C").alias("period"), rule.cast("string").alias("rule"), who.alias("seller"), key.alias("rate_key"), (F.col("p_size").cast("double") / 100).alias("rate"))
+    return p.select(F.when(k % 3 == 0, "A").when(k % 3 == 1, "B").otherwise("C").alias("period"), rule.cast("string").alias("rule"), who.alias("seller"), key.alias("rate_key"), (F.col("p_size").cast("double") / 100).alias("rate"))
 
 
 _LINES = f"""l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, {_M} AS m, CAST(l_suppkey%23 AS VARCHAR) AS seller, {_CLASS} AS class_code, CAST(l_shipdate AS DATE) AS sold_on, l_linestatus,
@@ -148,7 +147,7 @@ def settlement(t):
 
 
 @query(f"""
-WITH h AS (SELECT l_orderkey AS order_no, l_partkey AS sku, {_M} AS total FROM lineitem WHERE l_shipdate<TIMESTAMP '1998-01-01' AND l_returnflag<>'A'), n AS (SELECT l_orderkey AS order_no, l_partkey AS sku, CASE WHEN l_returnflag='R' THEN -{_M} ELSE {_M} END AS total FROM lineitem WHERE l_shipdate>=TIMESTAMP '1998-01-01'),
+WITH h AS (SELECT l_orderkey AS order_no, l_partkey AS sku, {_M} AS total FROM lineitem WHERE l_shipdate<TIMESTAMP '1998-01-01'), n AS (SELECT l_orderkey AS order_no, l_partkey AS sku, CASE WHEN l_returnflag='R' THEN -{_M} ELSE {_M} END AS total FROM lineitem WHERE l_shipdate>=TIMESTAMP '1998-01-01'),
 s AS (SELECT 1 AS p, * FROM h UNION ALL SELECT 2, * FROM n), r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_no, sku, total>=0 ORDER BY p, total) rn FROM s)
 SELECT order_no, sku, CASE WHEN total>=0 THEN 'Ingreso' ELSE 'Egreso' END AS type, CAST(total AS DOUBLE) AS total FROM r WHERE rn=1 AND p=2
 """)
@@ -157,7 +156,7 @@ def one_per_direction(t):
     l = t("lineitem", "l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag", "l_shipdate")
     cut, m = F.lit("1998-01-01").cast("timestamp_ntz"), money("l_extendedprice")
     base = [F.col("l_orderkey").alias("order_no"), F.col("l_partkey").alias("sku")]
-    history = l.where((F.col("l_shipdate") < cut) & (F.col("l_returnflag") != "A")).select(*base, m.alias("total"))
+    history = l.where(F.col("l_shipdate") < cut).select(*base, m.alias("total"))
     new = l.where(F.col("l_shipdate") >= cut).select(*base, F.when(F.col("l_returnflag") == "R", -m).otherwise(m).alias("total"))
     return S.one_per_direction(new, history, [F.asc("total")]).select("order_no", "sku", "type", num("total").alias("total"))
 
@@ -182,7 +181,7 @@ def delivered_returns(t):
 
 _ST = f"""WITH a AS (SELECT strftime(l_shipdate,'%Y-%m') AS week, l_suppkey AS seller, CASE l_returnflag WHEN 'N' THEN 'Pago' WHEN 'R' THEN 'Descuento' ELSE 'Regularización' END AS concept, CASE WHEN l_returnflag='R' THEN -{_M} ELSE {_M} END AS amount FROM lineitem),
 w AS (SELECT week, seller, SUM(CASE WHEN concept='Pago' THEN amount ELSE 0 END) AS payment, SUM(CASE WHEN concept='Descuento' THEN amount ELSE 0 END) AS discount, SUM(amount) AS settlement FROM a GROUP BY 1,2),
-p AS (SELECT strftime(o_orderdate,'%Y-%m') AS week, o_custkey%{{n}} AS seller, o_orderkey AS document, CAST(o_totalprice AS DECIMAL(18,2)) AS paid FROM orders WHERE o_orderstatus='F'),
+p AS (SELECT strftime(o_orderdate,'%Y-%m') AS week, o_custkey%{{n}} AS seller, o_orderkey AS document, CAST(o_totalprice AS DECIMAL(18,2)) AS paid FROM orders),
 d AS (SELECT w.*, document, paid, ROW_NUMBER() OVER (PARTITION BY week, seller ORDER BY document) rn FROM w LEFT JOIN p USING (week, seller)),
 k AS (SELECT seller, week, MAX(settlement) AS s, SUM(COALESCE(paid,0)) AS p, MAX(document) AS doc FROM d GROUP BY 1,2), r AS (SELECT *, SUM(s) OVER x AS st, SUM(p) OVER x AS pt FROM k WINDOW x AS (PARTITION BY seller ORDER BY week))"""
 
@@ -196,7 +195,7 @@ def seller_statement(t):
     back = F.col("l_returnflag") == "R"
     lines = l.select(
         F.date_format("l_shipdate", "yyyy-MM").alias("week"), F.col("l_suppkey").alias("seller"), F.when(F.col("l_returnflag") == "N", "Pago").when(back, "Descuento").otherwise("Regularización").alias("concept"), F.when(back, -m).otherwise(m).alias("amount"))
-    o = t("orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus").where(F.col("o_orderstatus") == "F")
+    o = t("orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     paid = o.select(F.date_format("o_orderdate", "yyyy-MM").alias("week"), (F.col("o_custkey") % 100).alias("seller"), F.col("o_orderkey").alias("document"), money("o_totalprice").alias("paid"))
     out = S.seller_statement(lines, paid)
     return out.select("seller", "week", "document", *[num(c).alias(c) for c in ("settlement", "paid", "settled_total", "paid_total")], "comment")
@@ -250,10 +249,10 @@ def transaction_balance(t):
     return _transactions(t).select("seller", "order_no", "folio", "sku", *[num(c).alias(c) for c in ("cxp", "cxc", "saldo")], "observation")
 
 
-@query(_TB + " SELECT seller, order_no, folio, sku, CAST(ing AS DOUBLE) AS total FROM k WHERE ing>0 AND egr<0 AND pago=0 AND des<0 AND cxp>0 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey=order_no AND o_custkey%5=sku AND o_orderstatus='F')")
+@query(_TB + " SELECT seller, order_no, folio, sku, CAST(ing AS DOUBLE) AS total FROM k WHERE ing>0 AND egr<0 AND pago=0 AND des<0 AND cxp>0 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey=order_no AND o_custkey%5=sku)")
 def unjustified_discounts(t):
     """Lines discounted without ever having been paid."""
-    done = t("orders", "o_orderkey", "o_custkey", "o_orderstatus").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("order_no"), (F.col("o_custkey") % 5).alias("sku"), F.lit(1).alias("total"))
+    done = t("orders", "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("order_no"), (F.col("o_custkey") % 5).alias("sku"), F.lit(1).alias("total"))
     return S.unjustified_discounts(_transactions(t), done).select("seller", "order_no", "folio", "sku", num("total").alias("total"))
 
 
@@ -352,12 +351,12 @@ def settlement_totals(t):
 
 @query("""
 WITH d AS (SELECT DISTINCT l_orderkey AS n FROM lineitem), g AS (SELECT n, LEAD(n) OVER (ORDER BY n) AS nx FROM d), m AS (SELECT unnest(range(n+1,nx)) AS n FROM g WHERE nx-n>1)
-SELECT 'F001' AS series, n AS number, 'F001-'||CAST(n AS VARCHAR) AS folio, o_custkey AS payer FROM m LEFT JOIN orders ON o_orderkey=n AND o_orderstatus<>'P'
+SELECT 'F001' AS series, n AS number, 'F001-'||CAST(n AS VARCHAR) AS folio, o_custkey AS payer FROM m LEFT JOIN orders ON o_orderkey=n
 """)
 def document_gaps(t):
     """Missing documents of a series with what a second ledger knows of them."""
     docs = t("lineitem", "l_orderkey").select(F.concat(F.lit("F001-"), F.col("l_orderkey").cast("string"), F.lit(".0")).alias("folio"))
-    ledger = t("orders", "o_orderkey", "o_custkey", "o_orderstatus").where(F.col("o_orderstatus") != "P").select(F.concat(F.lit("F001-"), F.col("o_orderkey").cast("string")).alias("folio"), F.col("o_custkey").alias("payer"))
+    ledger = t("orders", "o_orderkey", "o_custkey").select(F.concat(F.lit("F001-"), F.col("o_orderkey").cast("string")).alias("folio"), F.col("o_custkey").alias("payer"))
     return A.sequence_gap_audit(docs, ledger, width=5000).select("series", "number", "folio", "payer")
 
 
@@ -380,7 +379,7 @@ def withholding(t):
 
 
 @query("""
-WITH q AS (SELECT l_orderkey*100+l_linenumber*10+ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS request_id, l_orderkey, l_linenumber, CASE WHEN l_suppkey%2=0 THEN 'Commission Adjustment' ELSE 'Commission Credit Adjustment' END AS g,
+WITH q AS (SELECT (l_orderkey*8+l_linenumber)*1000000000+ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS request_id, l_orderkey, l_linenumber, CASE WHEN l_suppkey%2=0 THEN 'Commission Adjustment' ELSE 'Commission Credit Adjustment' END AS g,
  'SC'||lpad(CAST(l_suppkey%50 AS VARCHAR),CASE WHEN l_partkey%9=0 THEN 4 ELSE 5 END,'0') AS seller, CAST(l_extendedprice/50 AS DECIMAL(18,2)) AS amount, l_returnflag FROM lineitem),
 p AS (SELECT l_orderkey, l_linenumber, COUNT(CASE WHEN g='Commission Adjustment' THEN 1 END) AS d, COUNT(CASE WHEN g<>'Commission Adjustment' THEN 1 END) AS c FROM q GROUP BY 1,2), h AS (SELECT o_orderkey, o_orderstatus, 'SC'||lpad(CAST(o_custkey%50 AS VARCHAR),5,'0') AS s FROM orders)
 SELECT request_id, CASE WHEN d=1 AND c=1 THEN 'Si' ELSE 'No' END AS check_pair, CASE WHEN o_orderstatus='F' THEN 'No' ELSE 'Si' END AS check_return, CASE WHEN o_orderstatus='O' THEN 'No' ELSE 'Si' END AS check_adjustment,
@@ -391,7 +390,7 @@ def adjustment_checks(t):
     l = t("lineitem", *_IDS)
     rows = with_sequence(l, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"], "n", F.floor(F.col("l_partkey") / 500))
     requests = rows.select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber") * 10 + F.col("n")).alias("request_id"), F.col("l_orderkey").alias("order_id"), F.lit("s").alias("sku"), F.col("l_linenumber").alias("item_id"),
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000_000 + F.col("n")).alias("request_id"), F.col("l_orderkey").alias("order_id"), F.lit("s").alias("sku"), F.col("l_linenumber").alias("item_id"),
         F.when(F.col("l_suppkey") % 2 == 0, "Commission Adjustment").otherwise("Commission Credit Adjustment").alias("group"),
         F.concat(F.lit("SC"), F.when(F.col("l_partkey") % 9 == 0, F.lpad((F.col("l_suppkey") % 50).cast("string"), 4, "0")).otherwise(F.lpad((F.col("l_suppkey") % 50).cast("string"), 5, "0"))).alias("seller_id"),
         (F.col("l_extendedprice") / 50).cast("decimal(18,2)").alias("amount"))
@@ -404,13 +403,13 @@ def adjustment_checks(t):
 
 
 @query("""
-WITH p AS (SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) AS ordinal, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS m FROM orders WHERE o_orderpriority='1-URGENT')
+WITH p AS (SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) AS ordinal, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS m FROM orders)
 SELECT 0 AS ordinal, 'P20123456789EMPRESA240001'||lpad(CAST(CAST(SUM(m)*100 AS BIGINT) AS VARCHAR),15,'0') AS line FROM p
 UNION ALL SELECT ordinal, '6'||lpad(CAST(o_orderkey AS VARCHAR),11,'0')||'0000000'||'000000000'||'037'||'00012345678'||lpad(CAST(CAST(m*100 AS BIGINT) AS VARCHAR),15,'0')||'01'||'202406'||'01'||'F001'||lpad(CAST(o_orderkey AS VARCHAR),8,'0') FROM p
 """)
 def deposit_file(t):
     """Header and detail records of a fixed-width deposit file."""
-    o = t("orders", "o_orderkey", "o_totalprice", "o_orderpriority").where(F.col("o_orderpriority") == "1-URGENT")
+    o = t("orders", "o_orderkey", "o_totalprice")
     rows = with_row_id(o, ["o_orderkey"], F.floor(F.col("o_orderkey") / 1000), "ordinal").select(
         "ordinal", F.lit("6").alias("doc_type"), F.col("o_orderkey").alias("doc_number"), F.lit("000000000").alias("proforma"), F.lit("037").alias("service"), F.col("o_totalprice").alias("amount"), F.lit("01").alias("operation"),
         F.lit("202406").alias("period"), F.lit("01").alias("voucher_type"), F.lit("F001").alias("series"), F.col("o_orderkey").alias("number"))

@@ -266,7 +266,7 @@ def fee_split(t):
 
 @query(r"""
 SELECT event_id, regexp_replace(regexp_extract(r,'^([^-]*)',1),' PROD','') AS order_id, CASE WHEN event_id%2=0 THEN '1'||lpad(CAST(event_id AS VARCHAR),CAST(greatest(8,length(CAST(event_id AS VARCHAR))) AS INT),'0') END AS sku, CAST(event_id%3+1 AS BIGINT) AS n_guide,
- CASE WHEN regexp_matches(o,'^2') AND length(o)=10 THEN 'FSC' WHEN regexp_matches(o,'^RLO') THEN 'RLO' WHEN length(o)>12 THEN 'Rastreo' ELSE 'Otro' END AS kind
+ CASE WHEN regexp_matches(o,'^2') AND length(o)=10 THEN 'ORDER' WHEN regexp_matches(o,'^RLO') THEN 'RLO' WHEN length(o)>12 THEN 'Rastreo' ELSE 'Otro' END AS kind
 FROM (SELECT event_id, b||'-'||CAST(event_id%3+1 AS VARCHAR) AS r, b AS o FROM (SELECT event_id, list_extract(['2','RLO','1234','9'],1+CAST(event_id%4 AS INT))||lpad(CAST(event_id AS VARCHAR),CAST(greatest(9,length(CAST(event_id AS VARCHAR))) AS INT),'0') AS b FROM events))
 """)
 def carrier_feed(t):

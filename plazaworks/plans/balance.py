@@ -120,7 +120,7 @@ def recommended_action(as_of: str, states=vocab.CLOSED_STATES) -> Column:
     rules = [(owed & known(n, undone), "Reembolsar a cliente") for n, (_, undone) in states.items()]
     rules += [(owed & known(n, done), "Pagar a seller") for n, (done, _) in states.items()]
     rules.append((owed & (F.datediff(today, "fecha_ingreso") >= 30), "Escalera"))
-    rules += [(due & known(n, states[n][1]), "Descontar a seller") for n in ("status_fsc", "status_catalyst") if n in states]
+    rules += [(due & known(n, states[n][1]), "Descontar a seller") for n in ("status_order", "status_platform") if n in states]
     rules.append((due & (F.datediff(today, "fecha_egreso") >= 30), "Escalera"))
     return case_first(rules, "No aplica")
 

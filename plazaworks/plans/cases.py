@@ -47,15 +47,15 @@ def age_outcome(df: DataFrame, as_of: str) -> DataFrame:
     """Late refunds, system errors, and silent sellers after their grace period.
 
     df: outcome, comment_support, segment, fecha_ingreso, fecha_egreso,
-    status_catalyst, status_tms, status_backstore.
+    status_platform, status_tms, status_store.
     """
     c = F.col
     late = c("comment_support").isNull() & (days_between("fecha_egreso", "fecha_ingreso") > 30)
     open_ = c("outcome").isNull()
     rules = [
         (late, vocab.CLAIM_LATE_REFUND),
-        (open_ & (c("status_catalyst") == "CANCELLED") & (c("status_tms") == "Entregado"), vocab.CLAIM_SYSTEM_ERROR),
-        (open_ & (c("status_catalyst") == "CANCELLED") & (c("status_backstore") == "DELIVERED"), vocab.CLAIM_SYSTEM_ERROR),
+        (open_ & (c("status_platform") == "CANCELLED") & (c("status_tms") == "Entregado"), vocab.CLAIM_SYSTEM_ERROR),
+        (open_ & (c("status_platform") == "CANCELLED") & (c("status_store") == "DELIVERED"), vocab.CLAIM_SYSTEM_ERROR),
     ]
     for segments, days in vocab.CLAIM_AGEING:
         rules.append((open_ & c("segment").isin(*segments) & (F.datediff(as_date(as_of), c("fecha_egreso")) >= days), vocab.CLAIM_SILENT_SELLER))

@@ -82,7 +82,7 @@ def order_kpis(timeline: DataFrame, as_of: str, compat_delay: bool = False) -> D
 
     timeline: shipping_type, carrier, tracking_code, printed, created_at,
     target_to_ship, planned_at, ready_to_ship, shipped_at, visits, rlo_id,
-    status_fsc, status_tms, status_catalyst, status_backstore, tms_time.
+    status_order, status_tms, status_platform, status_store, tms_time.
 
     An order is late when it ships, or is ready, at or after its target; only
     own-stock sellers are judged.  ``compat_delay`` also marks other shipping
@@ -91,15 +91,15 @@ def order_kpis(timeline: DataFrame, as_of: str, compat_delay: bool = False) -> D
     c, today = F.col, as_date(as_of)
     flag = lambda cond: F.when(cond, 1).otherwise(0)
     own = c("shipping_type") == "FBS"
-    canceled = c("status_fsc").isin(*CANCELED)
+    canceled = c("status_order").isin(*CANCELED)
     ready_late = c("ready_to_ship") >= c("target_to_ship")
     late = (own & (c("shipped_at") >= c("target_to_ship"))) | (ready_late if compat_delay else own & ready_late)
-    settled = ~c("status_fsc").isin("delivered", *CANCELED, *RETURNED)
+    settled = ~c("status_order").isin("delivered", *CANCELED, *RETURNED)
     lost = (
         c("status_tms").isin("Siniestro", "Envio Siniestrado")
-        | ((c("status_tms") == "Entregado") & (c("status_catalyst").isin("CANCELLED", "UNDELIVERED") | canceled))
-        | ((c("status_backstore") == "DELIVERED") & (c("status_catalyst").isin("CANCELLED", "UNDELIVERED") | canceled))
-        | (canceled & (c("status_catalyst") == "DELIVERED"))
+        | ((c("status_tms") == "Entregado") & (c("status_platform").isin("CANCELLED", "UNDELIVERED") | canceled))
+        | ((c("status_store") == "DELIVERED") & (c("status_platform").isin("CANCELLED", "UNDELIVERED") | canceled))
+        | (canceled & (c("status_platform") == "DELIVERED"))
     )
     return timeline.withColumns(
         {
@@ -119,19 +119,19 @@ def order_kpis(timeline: DataFrame, as_of: str, compat_delay: bool = False) -> D
             "canceled": flag(canceled),
             "rejected": flag(c("status_tms") == "Retorno A Seller"),
             "failed_delivery": flag(
-                c("status_fsc").isin("failed", "failed_delivery")
+                c("status_order").isin("failed", "failed_delivery")
                 | c("status_tms").isin("Fallo De Entrega", "Fallo De Entrega Ct", "Devolucion Al Shipper")
             ),
-            "returned": flag((c("status_fsc").isin(*CANCELED, *RETURNED) & c("shipped_at").isNotNull()) | c("rlo_id").isNotNull()),
+            "returned": flag((c("status_order").isin(*CANCELED, *RETURNED) & c("shipped_at").isNotNull()) | c("rlo_id").isNotNull()),
             "has_rlo": flag(c("rlo_id").isNotNull()),
             "lost": flag(lost),
             "days_to_ship": days_between("target_to_ship", "created_at"),
             "status": case_first(
                 [
-                    (c("status_catalyst") == "DELIVERED", "delivered"),
-                    (c("status_catalyst").isin("CANCELLED", "UNDELIVERED"), "canceled"),
-                    (c("status_catalyst").isNull() | c("status_catalyst").isin(*IN_PROGRESS), "in_progress"),
-                    (c("status_fsc").isin(*RETURNED, "return_rejected"), "returned"),
+                    (c("status_platform") == "DELIVERED", "delivered"),
+                    (c("status_platform").isin("CANCELLED", "UNDELIVERED"), "canceled"),
+                    (c("status_platform").isNull() | c("status_platform").isin(*IN_PROGRESS), "in_progress"),
+                    (c("status_order").isin(*RETURNED, "return_rejected"), "returned"),
                 ]
             ),
         }

@@ -21,7 +21,7 @@ def reference_kind(reference: str) -> Column:
     r = F.col(reference)
     return case_first(
         [
-            (r.rlike("^2") & (F.length(r) == 10), "FSC"),
+            (r.rlike("^2") & (F.length(r) == 10), "ORDER"),
             (r.rlike("^RLO"), "RLO"),
             (F.length(r) > 12, "Rastreo"),
         ],
@@ -49,7 +49,7 @@ def fill_sku(feed: DataFrame, order_skus: DataFrame) -> DataFrame:
     """Missing sku of order references, taken from orders that hold a single sku."""
     side = order_skus.select("order_id", F.col("sku").alias("_sku"))
     out = join_if_unique(feed, side, ["order_id"], "_sku")
-    return out.withColumn("sku", F.when(F.col("kind") == "FSC", F.coalesce("sku", "_sku")).otherwise(F.col("sku"))).drop("_sku")
+    return out.withColumn("sku", F.when(F.col("kind") == "ORDER", F.coalesce("sku", "_sku")).otherwise(F.col("sku"))).drop("_sku")
 
 
 def carrier_name(carrier: str, guide: str) -> Column:

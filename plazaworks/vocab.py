@@ -120,10 +120,10 @@ OUTFLOW_EVENTS = (("CANCELLATION", "RETURN"), ("CANCELLED", "RECEIVED", "REJECTE
 
 # Final states per source, used for the recommended action.
 CLOSED_STATES = {
-    "status_fsc": (("delivered",), ("canceled", "failed")),
-    "status_catalyst": (("DELIVERED",), ("CANCELLED", "UNDELIVERED")),
+    "status_order": (("delivered",), ("canceled", "failed")),
+    "status_platform": (("DELIVERED",), ("CANCELLED", "UNDELIVERED")),
     "status_tms": (("Entregado",), ("Anulado", "Devolucion Al Shipper", "Fallo De Entrega", "Retorno A Seller", "Siniestro")),
-    "status_backstore": (("DELIVERED",), ("ANNULLED", "CANCELLED")),
+    "status_store": (("DELIVERED",), ("ANNULLED", "CANCELLED")),
 }
 
 # Reverse-logistics carrier states -> one vocabulary.
