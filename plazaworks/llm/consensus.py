@@ -222,13 +222,24 @@ def best(page: Page) -> tuple[str, float] | None:
 
 
 def main_text(page: Page, winners: list[str]) -> str:
-    """Blocks below the first winning path that the page has, else below its own best one."""
-    paths = {p for p, _, _ in page.blocks}
+    """Blocks below the winning path that holds most of the page's text, else below the page's own best one.
+
+    A path that wins the host's vote but holds less than half of what the page's
+    own best one does is not where this page keeps its text. Of winners that
+    hold as much, the one with more votes is taken.
+    """
+
+    def below(path: str) -> list[str]:
+        return [t for p, t, _ in page.blocks if p == path or p.startswith(f"{path}>")]
+
     found = best(page)
-    for path in [*winners, found and found[0]]:
-        if path is not None and any(p == path or p.startswith(f"{path}>") for p in paths):
-            return "\n\n".join(t for p, t, _ in page.blocks if p == path or p.startswith(f"{path}>"))
-    return ""
+    if found is None:
+        return ""
+    own = below(found[0])
+    held = [(sum(map(len, texts)), -i) for i, path in enumerate(winners) if (texts := below(path))]
+    if held and 2 * max(held)[0] >= sum(map(len, own)):
+        return "\n\n".join(below(winners[-max(held)[1]]))
+    return "\n\n".join(own)
 
 
 def host_of(url: str | None) -> str:

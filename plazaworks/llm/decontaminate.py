@@ -10,7 +10,7 @@ from itertools import compress
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import alnum_words, rows_of, written
@@ -81,23 +81,28 @@ def _postings(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.Rec
     known = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
     for batch in rows_of(batches):
         terms, ids, lists = [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        known_ids = batch.column(0).is_valid().to_pylist()
+        for row, (valid, text) in enumerate(zip(known_ids, batch.column(1).to_pylist(), strict=True)):
             words = alnum_words(text)
-            if doc is None or not words:
+            if not valid or not words:
                 continue
             own = defaultdict(list)
             for at in np.flatnonzero(known[_places(words)]).tolist():
                 own[words[at]].append(at)
             terms += [t.decode("utf-8", "surrogatepass") for t in own]
-            ids += [doc] * len(own)
+            ids += [row] * len(own)
             lists += own.values()
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(ids, pa.int64()), pa.array(lists, pa.list_(pa.int32()))], names=["term", "doc_id", "positions"])
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), batch.column(0).take(pa.array(ids, pa.int32())), pa.array(lists, pa.list_(pa.int32()))], names=["term", "doc_id", "positions"])
 
 
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Postings (term, doc_id, positions) of the given terms in all documents, written to the shared folder."""
+    """Postings (term, doc_id, positions) of the given terms in all documents, written to the shared folder.
+
+    Documents are told apart by doc_id, of any type; one without it is left out.
+    """
     bits = term_filter(terms)
-    return written(docs.select("doc_id", "text").mapInArrow(partial(_postings, bits=bits), "term string, doc_id long, positions array<int>"), "index")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return written(docs.select("doc_id", "text").mapInArrow(partial(_postings, bits=bits), f"term string, doc_id {kind}, positions array<int>"), "index")
 
 
 def anchored(docs: DataFrame, windows: DataFrame, anchors: int = ANCHORS) -> DataFrame:
@@ -143,7 +148,7 @@ def _candidates(index: DataFrame, windows: DataFrame, anchors: int, slack: int |
 def _confirm(batches: Iterator[pa.RecordBatch], slack: int | None) -> Iterator[pa.RecordBatch]:
     for batch in rows_of(batches):
         ids, phrases, starts, ends = [], [], [], []
-        for doc, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        for doc, (text, wanted) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 2)), strict=True)):
             words = alnum_words(text)
             for w in wanted:
                 terms = w["phrase"].encode("utf-8", "surrogatepass").split()
@@ -158,7 +163,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], slack: int | None) -> Iterator[p
                     phrases.append(w["phrase"])
                     starts.append(s)
                     ends.append(min(len(words), s + length))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(phrases, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["doc_id", "phrase", "start", "end"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int32())), pa.array(phrases, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["doc_id", "phrase", "start", "end"])
 
 
 def matches(docs: DataFrame, windows: DataFrame, anchors: int = ANCHORS, slack: int | None = None) -> DataFrame:
@@ -168,11 +173,27 @@ def matches(docs: DataFrame, windows: DataFrame, anchors: int = ANCHORS, slack:
     where all words of a window stand in any order within its length plus
     ``slack`` words.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select("doc_id", "text")
+    kind = texts.schema["doc_id"].dataType.simpleString()
     rare = written(anchored(texts, windows, anchors), "anchored")
     index = build_index(texts, rare.select(F.explode("anchors.term").alias("term")).distinct())
     found = _candidates(index, rare, anchors, slack).groupBy("doc_id").agg(F.collect_set(F.struct("phrase", "start")).alias("wanted"))
-    return texts.join(found, "doc_id").mapInArrow(partial(_confirm, slack=slack), "doc_id long, phrase string, start int, end int").distinct()
+    return texts.join(found, "doc_id").mapInArrow(partial(_confirm, slack=slack), f"doc_id {kind}, phrase string, start int, end int").distinct()
+
+
+def row_key() -> Column:
+    """What a row is told apart by: its doc_id and its text, so that rows that share an id or have none keep their own hits."""
+    named = F.col("doc_id").cast("string")
+    return F.struct(*[F.xxhash64(F.lit(half), named, F.isnull("doc_id"), "text").alias(f"k{half}") for half in (0, 1)])
+
+
+def row_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """(row, n_hit, n_items, items) of the rows of ``docs``, by their key, that hold a window of ``windows``."""
+    found = written(matches(docs.select(row_key().alias("doc_id"), "text"), windows).withColumnRenamed("doc_id", "row"), "matches")
+    hits = found.select("row", F.explode(F.sequence("start", F.col("end") - 1)).alias("at")).distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n_hit"))
+    items = found.select("row", "phrase").distinct().join(windows.where("item_id is not null").select("phrase", "item_id"), "phrase").select("row", F.col("item_id").cast("string").alias("item")).distinct()
+    items = items.groupBy("row").agg(F.count(F.lit(1)).alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("item"))).alias("items"))
+    return hits.join(items, "row", "left")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -182,18 +203,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     is hit if it stands inside an occurrence of any window of any item. Windows
     are searched in the index from their rarest term on, and candidates are
     confirmed on the words of the text. Null or empty texts have no words, null
-    or empty items no windows. Rows that share a doc_id are one document and
-    carry all its hits; a row without a doc_id is not searched. Repeated items
-    count once.
+    or empty items no windows. Every row is searched by itself: rows that share
+    a doc_id, or have none, have the hits of their own text. Repeated items count
+    once. Other columns are ignored.
     """
     windows = written(windows_of(benchmark, width), "windows")
-    found = written(matches(docs, windows), "matches")
-    hits = found.select("doc_id", F.explode(F.sequence("start", F.col("end") - 1)).alias("at")).distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_hit"))
-    items = found.select("doc_id", "phrase").distinct().join(windows.where("item_id is not null").select("phrase", "item_id"), "phrase").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
-    items = items.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("item"))).alias("items"))
-    rows = docs.select("doc_id", F.pandas_udf(_n_words, "long")("text").alias("n_words"))
-    out = rows.join(hits, "doc_id", "left").join(items, "doc_id", "left")
+    rows = docs.select("doc_id", row_key().alias("row"), F.pandas_udf(_n_words, "long")("text").alias("n_words"))
+    out = rows.join(row_hits(docs, windows), "row", "left")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
     )
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item, with all their columns; null texts hold none."""
+    windows = written(windows_of(benchmark, width), "windows")
+    hit = row_hits(docs, windows).select(F.col("row").alias("_hit"))
+    return docs.join(hit, row_key() == F.col("_hit"), "left_anti")

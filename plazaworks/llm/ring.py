@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -66,9 +66,12 @@ def _arc_of(ends: np.ndarray):
     return arc
 
 
-def bounded_ring(docs: DataFrame, shards: int, vnodes: int = VNODES, slack: float = 0.0) -> DataFrame:
+def bounded_ring(docs: DataFrame, shards: int, vnodes: int = VNODES, slack: float = 0.0, keep: Sequence[str] = ()) -> DataFrame:
     """Shard and gapless slot of every row of ``docs`` (doc_id, text): doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
+    Columns named in ``keep`` go along with their rows and must not bear one of
+    these names.
+
     A row stands on the ring at the hash of its doc_id and belongs to the next
     virtual node clockwise; rows that find its shard full go on clockwise. With
     ``slack`` 0 the counts differ by one at most (law `rows`), so
@@ -97,14 +100,14 @@ def bounded_ring(docs: DataFrame, shards: int, vnodes: int = VNODES, slack: floa
     before = before.select("arc", "block", F.coalesce("before", F.lit(0)).alias("before"))
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), place)
+    rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), place, *keep)
     rows = rows.select("*", arc("place").alias("arc"), block)
     nth = F.row_number().over(W.partitionBy("arc", "block").orderBy("place", "doc_id", "size", "text_crc32")) - 1
     rows = rows.withColumn("nth", nth).join(before, ["arc", "block"]).withColumn("nth", F.col("nth") + F.col("before"))
     placed = rows.join(table, "arc").where("nth >= lo and nth < hi")
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows" if slack == 0 else "ring").alias("law"), "shard",
-        (F.col("first") + F.col("nth") - F.col("lo")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        (F.col("first") + F.col("nth") - F.col("lo")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *keep,
     )
 
 

@@ -140,14 +140,16 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     A group of near copies of any size is spread over chunk pairs; only sums and
     one root per node leave a task. Null, empty and zero vectors and those with
     null or non-finite components link with nothing; vectors of different
-    lengths link with nothing either. Equal vec_ids name one vector; a row
-    without an id has no component and is kept.
+    lengths link with nothing either. Rows that share a vec_id are vectors of
+    their own, linked by what they hold; a row without an id has no component,
+    links with nothing and is kept. Other columns are ignored.
     """
     e = F.col("embedding")
     finite = F.coalesce(F.forall(e, lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), F.lit(False))), F.lit(False))
     sound = F.col("vec_id").isNotNull() & finite & F.coalesce(F.exists(e, lambda v: v != 0), F.lit(False))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", sound.alias("sound"))
-    nodes = written(rows.where("sound").groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "nodes")
+    nodes = rows.where("sound").groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbered once, as written
     bits = max(1, math.ceil(math.log2(max(1, nodes.count()) / CHUNK)))
     spots = nodes.select("node", "embedding").mapInArrow(partial(_place, bits=bits, cosine=cosine), "dims int, block int, cell int, home boolean, node long")
     spots = written(spots, "cells")
@@ -158,7 +160,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     lefts = sized.where("home").select(*key, "home", "node", F.lit(True).alias("left"), turn("left", "lefts").alias("i"), every("rights").alias("j"))
     rights = sized.select(*key, "home", "node", F.lit(False).alias("left"), turn("right", "rights").alias("j"), every("lefts").alias("i"))
-    tasks = lefts.unionByName(rights).join(nodes, "node")
+    tasks = lefts.unionByName(rights).join(nodes.drop("first"), "node")
 
     def task(rows: pa.Table) -> pa.Table:
         return _join(rows, cosine)
@@ -167,8 +169,9 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     found = written(found, "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     component = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
-    known = nodes.join(links, "node", "left").join(component, "node", "left")
-    known = known.select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
+    known = nodes.join(links, "node", "left").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    names = known.groupBy("component").agg(F.min("first").alias("least"))
+    known = known.join(names, "component").select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("least").alias("component"))
     linked = rows.where("sound").join(known, "embedding").select("vec_id", "n_links", F.col("component").alias("component_id"))
     alone = rows.where("not sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
