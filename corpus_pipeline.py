@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,13 @@ SHARDS = 24
 TOXIC = 0.5  # least score of a document that goes
 
 
+def _fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``docs`` bears."""
+    longest = max(len(c) for c in docs.columns)
+    taken = {c.lower() for c in docs.columns}
+    return [n if n not in taken else n + "_" * longest for n in names]
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is not among ``dropped``; rows without one stay."""
     return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
@@ -32,24 +40,37 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
-    benchmark = table(configure(spark), sf_dir, "benchmark", "item_id", "text")
-    return _without(docs, decontaminate.contamination(docs, benchmark).where("contaminated"))
+    """Rows without any window of a benchmark item, each judged by its own text."""
+    return decontaminate.without_benchmark(docs, table(configure(spark), sf_dir, "benchmark", "item_id", "text"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents as often as the mix begins them, in training order."""
-    mixed = curriculum.mix(docs).where("passes > 0")
+    mixed = curriculum.mix(docs.select("doc_id", "text", "source")).where("passes > 0")
     # rows that share a doc_id are taken alike, as often as the one taken most
-    taken = mixed.groupBy(F.col("doc_id").alias("taken_id")).agg(F.max("passes").alias("passes"), F.min("position").alias("p"), F.min("later_position").alias("q"))
-    taken = taken.select("taken_id", F.explode(F.slice(F.array("p", "q"), F.lit(1), F.col("passes"))).alias("training_position"))
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"]))
-    return joined.orderBy("training_position", "taken_id").select(*[docs[c] for c in docs.columns])
+    taken_id, position = _fresh(docs, "taken_id", "training_position")
+    taken = mixed.groupBy(F.col("doc_id").alias(taken_id)).agg(F.max("passes").alias("passes"), F.min("position").alias("p"), F.min("later_position").alias("q"))
+    taken = taken.select(taken_id, F.explode(F.slice(F.array("p", "q"), F.lit(1), F.col("passes"))).alias(position))
+    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken[taken_id]))
+    return joined.orderBy(position, taken_id).select(*[docs[c] for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row."""
-    return ring.bounded_ring(docs, SHARDS)
+    """Shard and slot of every row, with its place in training order: the part of the mix that it stands in, and its row there.
+
+    The mix is written sorted by position, so parts and rows number the order;
+    within a shard, rows are read by them. Rows that come from no file have no
+    place.
+    """
+    part, row = _fresh(docs, "training_part", "training_row")
+    try:
+        placed = docs.withColumns({part: F.col("_metadata.file_name"), row: F.col("_metadata.row_index")})
+    except AnalysisException as e:  # rows that were never written have no such column
+        if not (e.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        placed = docs.withColumns({part: F.lit(None).cast("string"), row: F.lit(None).cast("long")})
+    out = ring.bounded_ring(placed, SHARDS, keep=(part, row))
+    return out.withColumnsRenamed({part: "training_part", row: "training_row"})
 
 
 STAGES = [("toxicity", drop_toxic), ("near duplicates", one_of_each_group), ("decontamination", drop_benchmark), ("mixing", mix_sources), ("sharding", shard)]
