@@ -180,7 +180,7 @@ register("op5_recurrent", op5_recurrent)
 
 def op2_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its personal data replaced."""
-    return surrogates.replace_entities(table(configure(spark), folder, "documents", "doc_id", "text"))
+    return surrogates.replace_entities(table(configure(spark), folder, "documents", "doc_id", "text"), "key of this query")
 
 
 register("op2_surrogates", op2_surrogates)

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import written
 
+TITLES = "Mrs|Mr|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr"
+#: A title and those after it ('Frau Dr.'), and a name, which may be joined by hyphens.
+TITLED, PERSON = rf"(?:{TITLES})\.?(?: (?:Dr|Prof)\.?)*", r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)*"
 #: Kinds of entities in order of precedence, with their patterns.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "name": r"\b(?:Mrs|Mr|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
+    "name": rf"\b{TITLED} {PERSON}(?: {PERSON})?",
     "secret": r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}(?![0-9A-Za-z])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
@@ -24,7 +27,7 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these holds no entity; far cheaper to look for. Single digits stand in addresses and secrets only.
-HINT = r"[0-9]{2}|@|[0-9]\.[0-9]|[0-9A-Fa-f]{32}|\b(?:Mrs|Mr|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr)\b"
+HINT = rf"[0-9]{{2}}|@|[0-9]\.[0-9]|[0-9A-Fa-f]{{32}}|\b(?:{TITLES})\b"
 #: Given names by script and gender, and surnames that are the same for both.
 NAMES = {
     "f": "Ada Berta Clara Dora Elena Flora Greta Hanna Irene Julia Karla Laura Maria Nora Olga Paula Rosa Sara Teresa Vera".split(),
@@ -52,6 +55,8 @@ MALE_GIVEN = [*NAMES["m"], *NAMES["Cyrillic m"], *NAMES["Greek m"]] + "Andrea El
 FEMALE_ENDING = "[aáаяαάηήωώ]$"
 #: Country codes of telephone numbers.
 COUNTRY = r"^(\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|)"
+#: Octets that say that an address is private, and stay.
+PRIVATE = r"^(10\.|127\.|169\.254\.|192\.168\.|172\.(?:1[6-9]|2[0-9]|3[01])\.|)"
 PARTED = "[^0-9A-Za-z+]"  # blanks and signs of a number, which its notations differ in
 ROUNDS = 40  # of new draws; two surrogates still equal after them raise an error
 
@@ -104,15 +109,45 @@ def _gender(title: Column, given: Column) -> Column:
 
 
 def parts_of(kind: Column, value: Column) -> Column:
-    """Array of (kind, value) that are drawn each by itself: given name (with its gender) and surname of a name, else the normal form."""
-    words = F.split(value, " ")
-    given, surname = F.get(words, F.lit(1)), F.element_at(words, -1)
+    """Array of (kind, value) that are drawn each by itself: given names (with their gender) and surnames of a name, else the normal form."""
+    words = F.split(F.regexp_replace(value, f"^{TITLED} ", ""), " ")
     part = lambda k, v: F.struct(k.alias("part"), v.alias("form"))
-    last = part(F.lit("surname"), surname)
-    named = F.when(F.size(words) > 2, F.array(part(F.lit("given"), F.concat(_gender(value, given), F.lit(":"), given)), last)).otherwise(F.array(last))
+    surnames = F.transform(F.split(F.element_at(words, -1), "-"), lambda w: part(F.lit("surname"), w))
+    first = F.get(words, F.lit(0))
+    given = F.transform(F.split(first, "-"), lambda w: part(F.lit("given"), F.concat(_gender(value, F.regexp_extract(first, "^[^-]+", 0)), F.lit(":"), w)))
+    named = F.when(F.size(words) > 1, F.concat(given, surnames)).otherwise(surnames)
     return F.when(kind == "name", named).otherwise(F.array(part(kind, normal_form(kind, value))))
 
 
+def _luhn(digits: Column) -> Column:
+    """Sum of the digits by Luhn's rule, every second one from the right doubled; a multiple of 10 in a valid number."""
+    doubled = lambda d: F.when(d > 4, 2 * d - 9).otherwise(2 * d)
+    values = F.transform(F.split(F.reverse(digits), ""), lambda d, i: F.when(i % 2 == 1, doubled(d.cast("int"))).otherwise(d.cast("int")))
+    return F.aggregate(values, F.lit(0), lambda n, d: n + d)
+
+
+def _mod97(text: Column) -> Column:
+    """Remainder of an account number by 97, its letters read as 10 to 35; 1 in a valid one."""
+    moved = F.concat(F.substring(text, F.lit(5), F.length(text)), F.substring(text, 1, 4))
+    value = lambda c: F.when(c.rlike("^[0-9]$"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.split(moved, ""), F.lit(0), lambda n, c: (n * F.when(c.rlike("^[0-9]$"), 10).otherwise(100) + value(c)) % 97)
+
+
+def _card(value: Column, drawn: Column) -> Column:
+    """A card number whose check digit is right if that of the value was."""
+    body = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
+    check = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
+    return F.when(_luhn(value) % 10 == 0, F.concat(body, check)).otherwise(drawn)
+
+
+def _iban(value: Column, drawn: Column) -> Column:
+    """An account number whose check digits are right if those of the value were."""
+    rest = F.substring(drawn, F.lit(5), F.length(drawn))
+    country = F.substring(value, 1, 2)
+    check = F.lpad((98 - _mod97(F.concat(country, F.lit("00"), rest))).cast("string"), 2, "0")
+    return F.when(_mod97(value) == 1, F.concat(country, check, rest)).otherwise(drawn)
+
+
 def _in_notation(value: Column, form: Column) -> Column:
     """The characters of ``form`` in the places of the value's digits and letters."""
 
@@ -146,8 +181,10 @@ def draw(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     # the name of the host is redrawn, its first label's and last label's form stay
     host = F.regexp_extract(value, "@(.*)\\.[A-Za-z]{2,}$", 1)
     ending = F.regexp_extract(value, "(\\.[A-Za-z]{2,})$", 1)
-    email = F.concat(local, F.lit("@"), _redrawn(host, F.sha2(F.concat_ws("|", F.lit(key), F.lit("host"), F.regexp_extract(value, "@(.*)$", 1), attempt.cast("string")), 512), True), ending)
-    ip = F.array_join(F.transform(F.split(value, "\\."), lambda c, i: (1 + _number(stream, i) % 254).cast("string")), ".")
+    email = F.concat(local, F.lit("@"), _redrawn(host, _digits(F.concat_ws("|", F.lit(key), F.lit("host"), F.regexp_extract(value, "@(.*)$", 1), attempt.cast("string")), F.length(host)), True), ending)
+    kept = F.regexp_extract(value, PRIVATE, 1)
+    octets = F.transform(F.split(F.substring(value, F.length(kept) + 1, F.length(value)), "\\."), lambda c, i: (1 + _number(stream, i) % 254).cast("string"))
+    ip = F.concat(kept, F.array_join(octets, "."))
     given_name = F.substring(value, F.lit(3), F.length(value))
     of = lambda gender: {script: NAMES[f"{script} {gender}".strip()] for script in SURNAMES}
     given = F.when(value.startswith("f:"), _by_script(given_name, of("f"), name, attempt)).otherwise(_by_script(given_name, of("m"), name, attempt))
@@ -156,7 +193,8 @@ def draw(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     iban = F.concat(F.substring(value, 1, 2), _redrawn(F.substring(value, F.lit(3), F.length(value)), stream, True))
     return (
         F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "given", given).when(kind == "surname", _by_script(value, SURNAMES, name, attempt))
-        .when(kind == "phone", phone).when(kind == "iban", iban).when(kind == "secret", _redrawn(value, stream, True, True)).otherwise(_redrawn(value, stream, False))
+        .when(kind == "phone", phone).when(kind == "iban", _iban(value, iban)).when(kind == "secret", _redrawn(value, stream, True, True))
+        .when(kind == "card", _card(value, _redrawn(value, stream, False))).otherwise(_redrawn(value, stream, False))
     )
 
 
@@ -195,21 +233,24 @@ def surrogate_table(values: DataFrame, key: str) -> DataFrame:
     found = rows.join(drawn_parts(rows.select("part", "form"), key), ["part", "form"])
     whole = found.groupBy("kind", "value").agg(F.array_sort(F.collect_list(F.struct("at", "surrogate")))["surrogate"].alias("drawn"))
     kind, value, first = F.col("kind"), F.col("value"), F.col("drawn")[0]
-    person = F.concat_ws(" ", F.regexp_extract(value, "^(\\S+) ", 1), F.array_join("drawn", " "))
+    title = F.regexp_extract(value, f"^{TITLED} ", 0)
+    marks = F.regexp_extract_all(F.regexp_replace(value, f"^{TITLED} ", ""), F.lit("[ -]"), F.lit(0))
+    person = F.concat(title, F.array_join(F.transform("drawn", lambda d, i: F.concat(d, F.coalesce(F.get(marks, i), F.lit("")))), ""))
     shouted = (value == F.upper(value)) & (value != F.lower(value))
     text = F.when(kind == "name", person).when(kind.isin("card", "iban", "phone"), _in_notation(value, first))
     text = text.when(kind.isin("email", "secret") & shouted, F.upper(first)).otherwise(first)
     return whole.select("kind", "value", text.alias("surrogate"))
 
 
-def replace_entities(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
+def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with its entities replaced: doc_id, n_entities, kinds, text.
 
     Equal values, whatever their case, blanks and signs, get one surrogate in all
     documents, and so does each given name and surname, whatever the title, so
     coreference is kept; different values get different ones. Formats stay:
-    separators, lengths, letter case, country codes, title, script and gender of
-    a name.
+    separators, lengths, letter case, country codes, check digits that were right,
+    private octets, titles, hyphens, script and gender of a name. Who has not the
+    ``key`` cannot tell what a surrogate stands for.
     A text is cut at its entities and put together again, so a surrogate is
     never taken for a value. Texts without entities come out as they are; null
     texts stay null with 0 entities. Rows that share a doc_id are rewritten each

@@ -186,12 +186,12 @@ def test_main_text_is_whole(html, kept, dropped):
 
 def test_surrogates(spark, empty):
     rows = [(1, "mail a.b@x.org or A.B@X.ORG, card 4111111111111111"), (2, "ip 10.2.3.4 card 4111111111111111"), (3, None), (4, "nothing"), (5, "Frau Maria Muster")]
-    got = {r["doc_id"]: r for r in surrogates.replace_entities(doc_table(spark, rows)).collect()}
+    got = {r["doc_id"]: r for r in surrogates.replace_entities(doc_table(spark, rows), "k").collect()}
     assert "a.b@x.org" not in got[1]["text"].lower() and got[1]["n_entities"] == 3
     small, large = got[1]["text"].split()[1], got[1]["text"].split()[3].rstrip(",")
     assert small.upper() == large and got[1]["text"].split()[-1] == got[2]["text"].split()[-1] != "4111111111111111"
     assert got[3]["text"] is None and got[4]["text"] == "nothing" and got[5]["text"].split()[1] in surrogates.NAMES["f"]
-    assert surrogates.replace_entities(empty).count() == 0
+    assert surrogates.replace_entities(empty, "k").count() == 0
 
 
 def test_hint_lets_every_pattern_through(spark):
@@ -201,7 +201,7 @@ def test_hint_lets_every_pattern_through(spark):
     }
     assert set(values) == set(surrogates.PATTERNS)
     rows = [*values.values(), "1.2.3.4", "a" * 31 + "1", "+12345678"]
-    got = {r["doc_id"]: r for r in surrogates.replace_entities(doc_table(spark, [(i, f"see {v} here") for i, v in enumerate(rows)])).collect()}
+    got = {r["doc_id"]: r for r in surrogates.replace_entities(doc_table(spark, [(i, f"see {v} here") for i, v in enumerate(rows)]), "k").collect()}
     assert all(got[i]["n_entities"] == 1 and v not in got[i]["text"] for i, v in enumerate(rows)), got
 
 
@@ -225,7 +225,7 @@ def test_surrogates_keep_coreference_gender_and_script(spark):
         "DE12 3456 7890 1234", "DE12345678901234", "+1 (555) 123-4567", "+15551234567", "Mrs Maria Smith",
     ]
     docs = doc_table(spark, list(enumerate(f"see {v}; end" for v in pairs)))
-    got = [r["text"][4:-5] for r in sorted(surrogates.replace_entities(docs).collect(), key=lambda r: r["doc_id"])]
+    got = [r["text"][4:-5] for r in sorted(surrogates.replace_entities(docs, "k").collect(), key=lambda r: r["doc_id"])]
     assert got[0].split()[2] == got[1].split()[1] == got[2].split()[1] == got[12].split()[2] != "Smith" and got[0].split()[1] in surrogates.NAMES["m"]
     assert got[1].startswith("Mr ") and got[2].startswith("Mr. ")
     assert got[3].split()[1] in surrogates.NAMES["f"] and got[3].split()[1] == got[12].split()[1]
