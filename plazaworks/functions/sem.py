@@ -75,11 +75,6 @@ def safe_divide(a, b) -> Column:
     return F.try_divide(col(a), col(b))
 
 
-def safe_add(*cs) -> Column:
-    """Sum that is NULL when an argument is NULL or the sum overflows."""
-    return reduce(F.try_add, [col(c) for c in cs])
-
-
 def not_in(c, values) -> Column:
     """``NOT IN`` over a literal list, three-valued as in SQL."""
     return ~col(c).isin(list(values))

@@ -41,9 +41,8 @@ def allocate_evenly(df: DataFrame, keys: Sequence[str], amounts: Sequence[str])
     return out.withColumns({a: F.try_divide(F.col(a), F.col("_n")) for a in amounts}).drop("_n")
 
 
-def threshold_groups(df: DataFrame, payer: Sequence[str], doc: str, amount: str, minimum: float) -> DataFrame:
-    """Documents (largest amount each) of payers whose documents reach a minimum."""
-    docs = df.groupBy(*payer, doc).agg(F.max(amount).alias(amount))
+def threshold_groups(docs: DataFrame, payer: Sequence[str], amount: str, minimum: float) -> DataFrame:
+    """Documents (one row each) of payers whose documents together reach a minimum."""
     payers = docs.groupBy(*payer).agg(F.sum(amount).alias("_total")).where(F.col("_total") >= minimum).select(*payer)
     return docs.join(payers, list(payer), "left_semi")
 

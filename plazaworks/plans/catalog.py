@@ -145,11 +145,6 @@ def sku_master(products: DataFrame, data: DataFrame, logistics: DataFrame, price
     return attach(rows, size_histogram(rows, "category_code", "size", "sku"), ["category_code"])
 
 
-def size_differences(df: DataFrame, pairs: dict[str, tuple[str, str]], tolerance: float = 0.0) -> DataFrame:
-    """'Si' where a stated and a measured dimension differ."""
-    return df.withColumns({n: F.when(F.abs(F.col(a) - F.col(b)) > tolerance, "Si").otherwise("No") for n, (a, b) in pairs.items()})
-
-
 def review_report(reviews: DataFrame, products: DataFrame, catalog: DataFrame) -> DataFrame:
     """Newest version of each review with the sku and seller it is about.
 

@@ -23,12 +23,6 @@ def weekday_flags(text: str) -> dict[str, Column]:
     return {day: F.when(F.col(text).contains(mark), 1).otherwise(0) for day, mark in vocab.WEEKDAY_MARKS.items()}
 
 
-def warehouse_kind(c: str) -> Column:
-    """Main, return, or the name as it stands."""
-    n = F.lower(F.col(c))
-    return case_first([(n.rlike("main|principal"), "Main warehouse"), (n.rlike("return|secund|retorno"), "Return warehouse")], F.col(c))
-
-
 def seller_profile(
     attributes: DataFrame, overrides: DataFrame, dropoffs: DataFrame, names: Sequence[str], sites: Mapping[str, tuple[float, float]] = {}
 ) -> DataFrame:
