@@ -62,3 +62,62 @@ def test_rounds_go_on_from_each_other(spark):
     h = history.orderBy("epoch").collect()
     assert [r["epoch"] for r in h] == [10, 20, 25] and [r["kept"] for r in h] == [False, False, True]
     assert h[0]["train_loss"] > h[1]["train_loss"] > h[2]["train_loss"]
+
+
+def test_tfidf_against_brute_force(spark, folder):
+    import math
+    import re
+    from collections import Counter
+
+    from plazaworks.ml.features import stop_words
+
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    stop = set(stop_words())
+    words = {d: Counter(w for w in re.split(r"[\W_]+", t.lower()) if w and w not in stop) for d, t in texts.items()}
+    seen = Counter(w for c in words.values() for w in c)
+    idf = {w: math.log((len(texts) + 1) / (n + 1)) for w, n in seen.items()}
+    got = {r["doc_id"]: (r["words"], r["weight"]) for r in QUERIES["text_tfidf"](spark, folder).collect()}
+    assert set(got) == set(texts)
+    for d, c in words.items():
+        assert got[d][0] == len(c)
+        assert got[d][1] == pytest.approx(sum(n * idf[w] for w, n in c.items()), abs=2e-4)
+
+
+def test_component_variance_against_numpy(spark, folder):
+    from plazaworks.catalog.registry import Tables
+    from plazaworks.catalog.sizes_data import sized_parts
+
+    measures = ["width", "length", "height", "weight", "volume_m3"]
+    x = np.array([tuple(r) for r in sized_parts(Tables(spark, folder)).select(*measures).collect()], float)
+    x = x[np.isfinite(x).all(axis=1)]
+    spread = np.linalg.eigvalsh(np.cov(((x - x.mean(axis=0)) / x.std(axis=0, ddof=1)).T))[::-1]
+    want = (spread / spread.sum())[:4]
+    got = QUERIES["component_variance"](spark, folder).orderBy("component").collect()
+    assert [r["share"] for r in got] == pytest.approx(want.tolist(), abs=1e-6)
+    assert [r["cumulative_share" if "cumulative_share" in r else "cumulative"] for r in got] == pytest.approx(np.cumsum(want).tolist(), abs=1e-6)
+
+
+def test_a_reloaded_tree_predicts_as_before(spark, folder, tmp_path):
+    from plazaworks.catalog.registry import Tables
+    from plazaworks.catalog.sizes_data import sized_parts
+    from plazaworks.sources import sinks
+
+    parts = sized_parts(Tables(spark, folder))
+    model = M.tree_classifier(["width", "length", "height", "weight", "volume_m3"], "size").fit(parts)
+    sinks.save_pipeline(model, str(tmp_path / "m"))
+    fresh = {r["p_partkey"]: r["predicted"] for r in M.score(model, parts).collect()}
+    again = {r["p_partkey"]: r["predicted"] for r in M.score(sinks.load_pipeline(str(tmp_path / "m")), parts).collect()}
+    assert fresh == again == {r["p_partkey"]: r["predicted"] for r in QUERIES["reloaded_model"](spark, folder).collect()}
+    truth = {r["p_partkey"]: r["size"] for r in parts.select("p_partkey", "size").collect()}
+    assert sum(truth[k] == v for k, v in fresh.items()) > 0.95 * len(fresh)  # a tree of depth 28 knows its own rows
+
+
+def test_metrics_of_the_tree_add_up(spark, folder):
+    rows = {r["class"]: r for r in QUERIES["size_tree"](spark, folder).collect()}
+    classes = [r for n, r in rows.items() if n not in ("Micro", "Macro", "Weighted")]
+    total = sum(r["support"] for r in classes)
+    assert rows["Micro"]["support"] == rows["Weighted"]["support"] == total
+    assert rows["Micro"]["recall"] == pytest.approx(sum(r["recall"] * r["support"] for r in classes) / total)
+    for r in classes:
+        if r["precision"] and r["recall"]:
+            assert r["f1"] == pytest.approx(2 * r["precision"] * r["recall"] / (r["precision"] + r["recall"]))
