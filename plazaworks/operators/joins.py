@@ -31,6 +31,13 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], null_safe: bool
     return df.alias("d").join(stats.alias("s"), _same(keys, "d", "s"), "left").select("d.*", *[f"s.`{c}`" for c in new])
 
 
+def attach_one(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a table that may hold a key more than once: its smallest row counts, so ``df`` keeps its rows."""
+    rest = [c for c in side.columns if c not in keys]
+    one = side.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*")
+    return attach(df, one, keys)
+
+
 def attach_group(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     """Group statistics on every row.
 

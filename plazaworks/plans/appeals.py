@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
-from ..operators.joins import anti_join, attach, attach_group
+from ..operators.joins import anti_join, attach_group, attach_one
 from ..operators.rules import bands, case_first
 from ..operators.windows import blocked_window, natural_block
 
@@ -110,7 +110,7 @@ def appeals(channels: Sequence[tuple[str, DataFrame]], orders: DataFrame, block:
     chains: names of the store chains; counters: pattern of the counters' names.
     """
     rows = merge_channels(channels, ["order_id", "sku"])
-    rows = attach(rows, orders, ["order_id", "sku"])
+    rows = attach_one(rows, orders, ["order_id", "sku"])
     rows = share_payment(rows, "order_id", "state", "value", "income", "paid_price")
     rows = rows.withColumns(
         {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions.dates import as_date, days_between
-from ..operators.joins import attach
+from ..operators.joins import attach, attach_one
 from ..operators.keys import latest_per_key, top_per_key
 from ..operators.reshape import status_time
 from ..operators.rules import case_first
@@ -67,7 +67,7 @@ def merge_tracking(feeds: Sequence[DataFrame], key: str = "tracking", ts: str =
     if overrides is None:
         return newest
     side = overrides.select(key, F.col(tie).alias("_state"))
-    return attach(newest, side, [key]).withColumn(tie, F.coalesce("_state", tie)).drop("_state")
+    return attach_one(newest, side, [key]).withColumn(tie, F.coalesce("_state", tie)).drop("_state")
 
 
 # Order states by meaning.

@@ -277,7 +277,10 @@ def seller_statement(lines: DataFrame, payments: DataFrame) -> DataFrame:
         ],
         "PAGO REALIZADO",
     )
-    docs = run.withColumns({"difference": diff, "comment": comment}).drop("_p").join(payments, ["week", "seller"], "left")
+    told = run.withColumns({"difference": diff, "comment": comment})
+    # the documents, which may be many for one seller and week, stand on a side that AQE can split
+    documents = payments.join(told.where(c("_p").isNotNull()), ["week", "seller"])
+    docs = documents.unionByName(told.where(c("_p").isNull()), allowMissingColumns=True).drop("_p")
     first = c("document").eqNullSafe(c("_d"))
     amounts = ["payment", "discount", "regularisation", "settlement"]
     return docs.withColumns({a: F.when(first, c(a)).otherwise(F.lit(0)) for a in amounts}).drop("_d")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import period_label
-from ..operators.joins import attach
+from ..operators.joins import attach_one
 from ..operators.windows import with_sequence
 
 
@@ -33,6 +33,6 @@ def transport_plan(planned: DataFrame, unplanned: DataFrame, tickets: DataFrame,
     numbered = with_sequence(rows, ["kind", "order_id"], ["planned_at", "guide"], "position", F.date_trunc(block, "planned_at"))
     ranked = with_sequence(tickets, ["order_id"], ["ticket_at", "case_id"], "position", F.date_trunc(block, "ticket_at"))
     out = numbered.join(ranked, ["order_id", "position"], "left")
-    out = attach(out, orders.select("order_id", "seller_id"), ["order_id"])
+    out = attach_one(out, orders.select("order_id", "seller_id"), ["order_id"])
     return out.withColumns({"flow": flow_of_guide("guide"), "period_planned": period_label("planned_at"), "period_ticket": period_label("ticket_at"), "period_closed": period_label("closed_at")})
 

@@ -170,3 +170,23 @@ def test_flexible_delivery_is_charged_whatever_the_name_before_it(spark):
     rows = [("s", "o", "k", kind, None, total, 0.0) for kind, total in (("ANY_FLEX", 5.0), ("ANY_FLEX_CREDIT", 2.0), ("FLEX", 1.0), ("NO_FLEXIBLE", 9.0))]
     settlements = spark.createDataFrame(rows, "seller_id string, order_id string, sku string, transaction_type string, event_date date, total double, commission double")
     assert balance.settled(settlements).collect()[0]["cobro_flex"] == 4.0
+
+
+def test_repeated_keys_on_the_side_keep_the_rows(spark):
+    from plazaworks.operators.joins import attach_one
+    from plazaworks.plans.orders import merge_tracking
+
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    side = spark.createDataFrame([("a", 9, "x"), ("a", 8, "y"), (None, 1, "z")], "k string, w int, n string")
+    assert sorted((r["k"] or "", r["v"], r["w"], r["n"]) for r in attach_one(rows, side, ["k"]).collect()) == [("", 4, None, None), ("a", 1, 8, "y"), ("a", 2, 8, "y"), ("b", 3, None, None)]
+    feed = spark.createDataFrame([("t", "open", 1), ("t", "sent", 2)], "tracking string, state string, ts int")
+    twice = spark.createDataFrame([("t", "lost"), ("t", "late")], "tracking string, state string")
+    assert [(r["tracking"], r["state"]) for r in merge_tracking([feed], overrides=twice).collect()] == [("t", "late")]
+
+
+def test_a_statement_keeps_every_document_and_every_week(spark):
+    lines = spark.createDataFrame([("w1", "s", "Pago", 10.0), ("w2", "s", "Pago", 5.0), ("w3", None, "Pago", 1.0)], "week string, seller string, concept string, amount double")
+    paid = spark.createDataFrame([("w1", "s", i, 1.0) for i in range(3)] + [("w9", "s", 7, 1.0)], "week string, seller string, document int, paid double")
+    out = settlement.seller_statement(lines, paid)
+    got = sorted(((r["week"], r["document"], r["settlement"], r["settled_total"], r["paid_total"]) for r in out.collect()), key=str)
+    assert got == [("w1", 0, 10.0, 10.0, 3.0), ("w1", 1, 0.0, 10.0, 3.0), ("w1", 2, 0.0, 10.0, 3.0), ("w2", None, 5.0, 15.0, 3.0), ("w3", None, 1.0, 1.0, 0.0)]
