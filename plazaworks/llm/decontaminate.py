@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 from itertools import compress
 
@@ -148,7 +148,7 @@ def _candidates(index: DataFrame, windows: DataFrame, anchors: int, slack: int |
 def _confirm(batches: Iterator[pa.RecordBatch], slack: int | None) -> Iterator[pa.RecordBatch]:
     for batch in rows_of(batches):
         ids, phrases, starts, ends = [], [], [], []
-        for doc, (text, wanted) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 2)), strict=True)):
+        for doc, (text, wanted) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("text", "wanted")), strict=True)):
             words = alnum_words(text)
             for w in wanted:
                 terms = w["phrase"].encode("utf-8", "surrogatepass").split()
@@ -163,37 +163,48 @@ def _confirm(batches: Iterator[pa.RecordBatch], slack: int | None) -> Iterator[p
                     phrases.append(w["phrase"])
                     starts.append(s)
                     ends.append(min(len(words), s + length))
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int32())), pa.array(phrases, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["doc_id", "phrase", "start", "end"])
+        kept = [n for n in batch.schema.names if n not in ("text", "wanted")]
+        rows = [batch.column(n).take(pa.array(ids, pa.int32())) for n in kept]
+        yield pa.RecordBatch.from_arrays([*rows, pa.array(phrases, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[*kept, "phrase", "start", "end"])
 
 
-def matches(docs: DataFrame, windows: DataFrame, anchors: int = ANCHORS, slack: int | None = None) -> DataFrame:
-    """(doc_id, phrase, start, end): occurrences of windows in documents, in words from 0, the end excluded.
+def matches(docs: DataFrame, windows: DataFrame, anchors: int = ANCHORS, slack: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns to ``keep``, phrase, start, end): occurrences of windows in documents, in words from 0, the end excluded.
 
     Without ``slack`` the exact phrases; with it the proximity matches, places
     where all words of a window stand in any order within its length plus
     ``slack`` words.
     """
-    texts = docs.select("doc_id", "text")
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", *keep, "text")
+    kinds = "".join(f"{c} {texts.schema[c].dataType.simpleString()}, " for c in ("doc_id", *keep))
     rare = written(anchored(texts, windows, anchors), "anchored")
     index = build_index(texts, rare.select(F.explode("anchors.term").alias("term")).distinct())
     found = _candidates(index, rare, anchors, slack).groupBy("doc_id").agg(F.collect_set(F.struct("phrase", "start")).alias("wanted"))
-    return texts.join(found, "doc_id").mapInArrow(partial(_confirm, slack=slack), f"doc_id {kind}, phrase string, start int, end int").distinct()
+    return texts.join(found, "doc_id").mapInArrow(partial(_confirm, slack=slack), f"{kinds}phrase string, start int, end int").distinct()
 
 
-def row_key() -> Column:
-    """What a row is told apart by: its doc_id and its text, so that rows that share an id or have none keep their own hits."""
+ROW = ["_row", "_check"]
+
+
+def row_key() -> list[Column]:
+    """128 bits of a row's doc_id and text, so that rows that share an id or have none keep their own hits.
+
+    The index goes by the first half; what it finds is confirmed on each text
+    and then told apart by both.
+    """
     named = F.col("doc_id").cast("string")
-    return F.struct(*[F.xxhash64(F.lit(half), named, F.isnull("doc_id"), "text").alias(f"k{half}") for half in (0, 1)])
+    return [F.xxhash64(F.lit(half), named, F.isnull("doc_id"), "text").alias(n) for half, n in enumerate(ROW)]
 
 
 def row_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(row, n_hit, n_items, items) of the rows of ``docs``, by their key, that hold a window of ``windows``."""
-    found = written(matches(docs.select(row_key().alias("doc_id"), "text"), windows).withColumnRenamed("doc_id", "row"), "matches")
-    hits = found.select("row", F.explode(F.sequence("start", F.col("end") - 1)).alias("at")).distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n_hit"))
-    items = found.select("row", "phrase").distinct().join(windows.where("item_id is not null").select("phrase", "item_id"), "phrase").select("row", F.col("item_id").cast("string").alias("item")).distinct()
-    items = items.groupBy("row").agg(F.count(F.lit(1)).alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("item"))).alias("items"))
-    return hits.join(items, "row", "left")
+    """(row key, n_hit, n_items, items) of the rows of ``docs`` that hold a window of ``windows``."""
+    first, second = row_key()
+    found = matches(docs.select(first.alias("doc_id"), second, "text"), windows, keep=ROW[1:])
+    found = written(found.withColumnRenamed("doc_id", ROW[0]), "matches")
+    hits = found.select(*ROW, F.explode(F.sequence("start", F.col("end") - 1)).alias("at")).distinct().groupBy(*ROW).agg(F.count(F.lit(1)).alias("n_hit"))
+    items = found.select(*ROW, "phrase").distinct().join(windows.where("item_id is not null").select("phrase", "item_id"), "phrase").select(*ROW, F.col("item_id").cast("string").alias("item")).distinct()
+    items = items.groupBy(*ROW).agg(F.count(F.lit(1)).alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("item"))).alias("items"))
+    return hits.join(items, ROW, "left")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -208,8 +219,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     once. Other columns are ignored.
     """
     windows = written(windows_of(benchmark, width), "windows")
-    rows = docs.select("doc_id", row_key().alias("row"), F.pandas_udf(_n_words, "long")("text").alias("n_words"))
-    out = rows.join(row_hits(docs, windows), "row", "left")
+    rows = docs.select("doc_id", *row_key(), F.pandas_udf(_n_words, "long")("text").alias("n_words"))
+    out = rows.join(row_hits(docs, windows), ROW, "left")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
@@ -219,5 +230,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item, with all their columns; null texts hold none."""
     windows = written(windows_of(benchmark, width), "windows")
-    hit = row_hits(docs, windows).select(F.col("row").alias("_hit"))
-    return docs.join(hit, row_key() == F.col("_hit"), "left_anti")
+    hit = row_hits(docs, windows).select(*[F.col(n).alias(f"{n}_hit") for n in ROW])
+    same = [k == F.col(f"{n}_hit") for k, n in zip(row_key(), ROW, strict=True)]
+    return docs.join(hit, same[0] & same[1], "left_anti")
