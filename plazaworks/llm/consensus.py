@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import rows_of
+from .common import rows_of, written
 
+LARGE_HOSTS = 1000  # a host with this part of all pages is a large one
 LEAST_SHARE = 0.05  # of a host's votes that a winning path has; so a host has at most 20 of them
 
 TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
@@ -274,7 +275,7 @@ def _hosts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def winning_paths(pages: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, winners): per host the paths with a share of its pages' votes, most votes first.
+    """(host, winners, pages): per host the paths with a share of its pages' votes, most votes first, and the pages that voted.
 
     Each page votes for its best path. Votes are counted per (host, path), so a
     host with most of the pages sends a few rows per task.
@@ -282,7 +283,8 @@ def winning_paths(pages: DataFrame, least_share: float = LEAST_SHARE) -> DataFra
     votes = pages.select("url", "html").mapInArrow(_votes, "host string, path string, score double")
     counted = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
     counted = counted.withColumn("all", F.sum("votes").over(W.partitionBy("host"))).where(F.col("votes") >= least_share * F.col("all"))
-    return counted.groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), F.round(-F.col("score"), 3).alias("s"), "path")))["path"].alias("winners"))
+    paths = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), F.round(-F.col("score"), 3).alias("s"), "path")))["path"]
+    return counted.groupBy("host").agg(paths.alias("winners"), F.first("all").alias("pages"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -291,10 +293,21 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Blocks of the winning path are joined by two line breaks. A page without
     any winning path of its host uses its own best container, one without text
     gives the empty text, and so does a null html. Pages without a host vote
-    together. Repeated rows and null ids are pages like any other.
+    together. Repeated rows and null ids are pages like any other; a very long
+    page is one row throughout.
+
+    A host with a thousandth of all pages or more is one of a thousand at most,
+    so the winners of these hosts go to all tasks and their pages are dealt by
+    their own hash; the pages of other hosts meet their winners by host.
     """
-    winners = winning_paths(pages)
+    winners = written(winning_paths(pages), "winners")
+    least = F.coalesce(winners.agg(F.sum("pages")).scalar(), F.lit(0)) / LARGE_HOSTS
+    large = winners.where(F.col("pages") >= least).select("host", F.col("winners").alias("known"))
     rows = pages.select("page_id", "url", "html", F.pandas_udf(_hosts, "string")("url").alias("host"))
-    joined = rows.join(winners, "host", "left").select("page_id", "url", "html", "winners")
+    rows = rows.join(F.broadcast(large), "host", "left")  # LARGE_HOSTS rows at most
+    own = F.concat(F.lit("\0"), F.xxhash64("page_id", "url", "html").cast("string"))  # no host
+    rows = rows.withColumn("dealt", F.when(F.col("known").isNull(), F.col("host")).otherwise(own))
+    small = winners.where(F.col("pages") < least).select(F.col("host").alias("dealt"), "winners")
+    joined = rows.join(small, "dealt", "left").select("page_id", "url", "html", F.coalesce("known", "winners").alias("winners"))
     kind = pages.schema["page_id"].dataType.simpleString()
     return joined.mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars long")

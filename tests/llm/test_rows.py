@@ -150,3 +150,20 @@ def test_a_winner_takes_the_page_it_fits():
     story = next(x for x, _, _ in p.blocks if "story" in x)
     assert consensus.main_text(p, [story]).count("Sentence number") == 8
     assert consensus.main_text(page(""), [story]) == ""
+
+
+@pytest.mark.parametrize("large", [1, 3, 1000])
+def test_pages_of_large_and_small_hosts(spark, monkeypatch, large):
+    """One host has two thirds of the pages; how hosts are dealt does not change a text."""
+    monkeypatch.setattr(consensus, "LARGE_HOSTS", large)
+    body = lambda n: f'<html><body><div class="menu"><a href="#">Home</a></div><div class="story-{n % 3}">{STORY}<p>Page {n}.</p></div></body></html>'
+    rows = [(i if i % 7 else None, f"http://{'big.example' if i % 3 else f'h{i % 13}.example'}/p{i}", body(i)) for i in range(90)]
+    rows += [(1, None, body(1)), (2, "no url", body(2)), (3, "http://big.example/x", None), (3, "http://big.example/x", None), (4, "http://h1.example", "<p>" + "long text of a page " * 20000 + "</p>")]
+    pages = spark.createDataFrame([(*r, "x", 0) for r in rows], "page_id long, url string, html string, host string, winners int")
+    got = consensus.extract_main_text(pages)
+    assert got.columns == ["page_id", "url", "text", "n_chars"] and got.count() == len(rows)
+    out = [tuple(r) for r in got.collect()]
+    assert sum(t.count("Sentence number") == 8 and "Home" not in t for _, _, t, _ in out) == 92
+    assert all(n == len(t) for _, _, t, n in out) and sum(not t for _, _, t, _ in out) == 2
+    assert any(n > 300_000 for _, _, _, n in out)
+    assert consensus.extract_main_text(pages.limit(0)).count() == 0
