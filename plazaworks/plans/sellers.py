@@ -15,7 +15,6 @@ from ..operators.joins import attach
 from ..operators.keys import latest_per_key
 from ..operators.quality import compare_records
 from ..operators.reshape import eav_pivot
-from ..operators.rules import case_first
 
 
 def weekday_flags(text: str) -> dict[str, Column]:
