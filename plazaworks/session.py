@@ -17,6 +17,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # rows hold whole texts: few of them at a time between the JVM and Python
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
