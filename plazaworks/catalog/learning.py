@@ -6,7 +6,7 @@ from ..functions.text import tokens
 from ..ml import features as X
 from ..ml import models as M
 from ..plans.landing import clean_landed
-from ..session import shared_folder
+from ..session import shared_folder, spread
 from ..sources import readers, sinks
 from ..streaming import watch
 from .registry import query
@@ -43,7 +43,7 @@ def _network(t):
 def size_network(t):
     """Class probabilities of a dense network, trained on eight tenths and stopped by the loss on one."""
     model, _, test = _network(t)
-    scored = M.score(model, test)
+    scored = M.score(model, spread(test))
     probabilities = [f"p_{n}" for n in M.labels_of(model)]
     return scored.select("p_partkey", "size", "predicted", *[F.round(c, 6).alias(c) for c in sorted(probabilities)])
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.windows import BLOCKS, Sampled, blocked_window
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 from .features import scaled
 
 
@@ -76,11 +76,12 @@ def fit_early_stopping(
     rounds in a row were not better than the best by more than ``min_delta``;
     the weights of the best round are returned.  Without validation rows all
     rounds run and the last one stays.  Weights and losses are all that reaches
-    the driver.
+    the driver.  Rows are dealt to tasks by their number, so a pass takes more
+    tasks on a larger table.
     """
     *before, network = mlp_classifier(features, label, classes, hidden, epochs).getStages()
     prepared = Pipeline(stages=before).fit(train)
-    ready = lambda df: cut_lineage(prepared.transform(df).select("label_index", "features"))
+    ready = lambda df: cut_lineage(spread(prepared.transform(df).select("label_index", "features")))
     rows, held = ready(train), ready(valid)
     best, best_loss, weights, worse, history = None, float("inf"), None, 0, []
     for done in range(step, epochs + step, step):

@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plazaworks.ml import models as M
 
@@ -121,3 +122,17 @@ def test_metrics_of_the_tree_add_up(spark, folder):
     for r in classes:
         if r["precision"] and r["recall"]:
             assert r["f1"] == pytest.approx(2 * r["precision"] * r["recall"] / (r["precision"] + r["recall"]))
+
+
+def test_passes_are_dealt_by_rows(spark, tmp_path):
+    """A file with one row group is read by one task; work that is large per row takes more of them, whatever the file."""
+    from plazaworks.session import ROWS_PER_TASK, spread
+
+    path = str(tmp_path / "one")
+    spark.range(3 * ROWS_PER_TASK).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    dealt = spread(df).select(F.spark_partition_id().alias("p"), "id").groupBy("p").agg(F.count("id").alias("n"), F.sum("id").alias("s")).collect()
+    assert len(dealt) == 3 and max(r["n"] for r in dealt) < 1.2 * ROWS_PER_TASK
+    assert sum(r["n"] for r in dealt) == 3 * ROWS_PER_TASK and sum(r["s"] for r in dealt) == sum(range(3 * ROWS_PER_TASK))
+    assert spread(df.limit(5)).count() == 5
+    assert spread(df.limit(0)).count() == 0
