@@ -8,6 +8,7 @@ from ..functions import geo as G
 from ..operators import spatial as S
 from ..operators.keys import drop_duplicates_ordered
 from ..operators.quality import compare_records
+from ..session import spread
 from .registry import query
 
 # places are made from keys, so that both engines see the same points
@@ -66,7 +67,7 @@ SELECT c_custkey, ROUND({b}::DOUBLE*big_a*(sg-big_b*ss*(cm+big_b/4*(cs*(2*cm*cm-
 @query(_vincenty_sql(8))
 def spheroid_distance(t):
     """Metres on the ellipsoid from each customer to the hub."""
-    return _points(t).select("c_custkey", F.round(G.spheroid_m("lon", "lat", F.lit(_HUB[0]), F.lit(_HUB[1])), 3).alias("metres"))
+    return spread(_points(t)).select("c_custkey", F.round(G.spheroid_m("lon", "lat", F.lit(_HUB[0]), F.lit(_HUB[1])), 3).alias("metres"))
 
 
 @query("""

@@ -38,7 +38,7 @@ def spheroid_m(lon1, lat1, lon2, lat2, rounds: int = ROUNDS) -> Column:
     """Metres on the WGS 84 ellipsoid, by Vincenty's inverse formula as a column expression.
 
     The difference of longitudes on the auxiliary sphere is iterated to its fixed
-    point, ``rounds`` times for every row.  Equal points are 0 metres apart.
+    point, ``rounds`` times at most; a row that has reached it is left alone.  Equal points are 0 metres apart.
     Points within half a degree of opposite each other, where the iteration need
     not converge, get the great-circle distance; a NULL stays NULL.
     """
@@ -60,18 +60,22 @@ def spheroid_m(lon1, lat1, lon2, lat2, rounds: int = ROUNDS) -> Column:
         return {"sin_s": sin_s, "cos_s": cos_s, "sin_a": sin_a, "cos2_a": cos2_a, "cos_2m": cos_2m, "s": F.atan2(sin_s, cos_s)}
 
     def step(p: Column):
-        def once(lam: Column, _: Column) -> Column:
+        def once(state: Column, _: Column) -> Column:
+            lam = state["lam"]
+
             def next_of(q: Column) -> Column:
                 c = f / 16 * q["cos2_a"] * (4 + f * (4 - 3 * q["cos2_a"]))
                 inner = q["cos_2m"] + c * q["cos_s"] * (2 * q["cos_2m"] * q["cos_2m"] - 1)
                 return p["l"] + (1 - c) * f * q["sin_a"] * (q["s"] + c * q["sin_s"] * inner)
 
-            return _bound(F.struct(*[v.alias(n) for n, v in angles(p, lam).items()]), next_of)
+            after = _bound(F.struct(*[v.alias(n) for n, v in angles(p, lam).items()]), next_of)
+            return F.when(state["before"] == lam, state).otherwise(F.struct(lam.alias("before"), after.alias("lam")))
 
         return once
 
     def metres(p: Column) -> Column:
-        lam = F.aggregate(F.array_repeat(F.lit(0), rounds), p["l"], step(p))
+        start = F.struct(F.lit(None).cast("double").alias("before"), p["l"].alias("lam"))
+        lam = F.aggregate(F.array_repeat(F.lit(0), rounds), start, step(p))["lam"]
 
         def length(q: Column) -> Column:
             u = q["cos2_a"] * (a * a - b * b) / (b * b)

@@ -157,3 +157,16 @@ def test_distance_of_nothing_is_nothing(one):
     from plazaworks.functions.geo import spheroid_m
 
     assert one(spheroid_m(F.lit(None).cast("double"), F.lit(1.0), F.lit(1.0), F.lit(1.0))) is None
+
+
+def test_steps_end_at_the_fixed_point(spark):
+    """More steps than a row needs change nothing."""
+    from pyspark.sql import functions as F
+
+    from plazaworks.functions.geo import spheroid_m
+
+    rows = [(float(a), float(b)) for a, b in ((-77.0, -12.0), (-76.5, -12.4), (0.0, 0.0), (100.0, 60.0))]
+    df = spark.createDataFrame(rows, "lon double, lat double")
+    far = [spheroid_m("lon", "lat", F.lit(-76.958073), F.lit(-12.21717), n).alias(f"m{n}") for n in (12, 24, 60)]
+    for r in df.select(*far).collect():
+        assert r["m12"] == pytest.approx(r["m24"], abs=1e-6) and r["m24"] == pytest.approx(r["m60"], abs=1e-6)
