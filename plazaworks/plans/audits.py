@@ -48,11 +48,14 @@ def withholding(docs: DataFrame, concepts: DataFrame, minimum: float = vocab.WIT
     """
     kind = classify_by_prefix("payer", {"1P": list(first_party)}, default="3P") if first_party else F.lit("3P")
     rows = docs.where(kind == "3P").withColumn("concept", classify(F.lower("description"), vocab.WITHHOLDING_CONCEPTS, vocab.WITHHOLDING_OTHER))
-    rows = attach(rows, concepts, ["concept"])
     # the smallest code that comes with the highest rate of the document
     first = F.struct((-F.col("rate")).alias("lowered"), F.col("code").isNull().alias("bare"), "code")
+    # rows name a handful of concepts, so they read theirs from a map: a join would deal all rows by those few names
+    named = [label for _, label in vocab.WITHHOLDING_CONCEPTS] + [vocab.WITHHOLDING_OTHER]
+    known = concepts.where(F.col("concept").isin(named) & F.col("rate").isNotNull()).groupBy("concept").agg(F.min(first).alias("_f"))
+    codes = known.agg(F.map_from_entries(F.collect_list(F.struct("concept", "_f")))).scalar()
     # one pass over the rows gives what the payers' totals, the largest amounts and the codes are made of
-    parts = rows.groupBy("period", "payer", "doc").agg(F.max("total").alias("total"), F.min(F.when(F.col("rate").isNotNull(), first)).alias("_b"))
+    parts = rows.groupBy("period", "payer", "doc").agg(F.max("total").alias("total"), F.min(F.try_element_at(codes, F.col("concept"))).alias("_b"))
     liable = threshold_groups(parts.drop("_b"), ["period", "payer"], "total", minimum)
     best = parts.groupBy("doc").agg(F.min("_b").alias("_b"))
     out = attach(liable, best.select("doc", "_b.code", (-F.col("_b.lowered")).alias("rate")), ["doc"])

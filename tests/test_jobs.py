@@ -190,3 +190,15 @@ def test_a_statement_keeps_every_document_and_every_week(spark):
     out = settlement.seller_statement(lines, paid)
     got = sorted(((r["week"], r["document"], r["settlement"], r["settled_total"], r["paid_total"]) for r in out.collect()), key=str)
     assert got == [("w1", 0, 10.0, 10.0, 3.0), ("w1", 1, 0.0, 10.0, 3.0), ("w1", 2, 0.0, 10.0, 3.0), ("w2", None, 5.0, 15.0, 3.0), ("w3", None, 1.0, 1.0, 0.0)]
+
+
+def test_withholding_does_not_deal_rows_by_concept(spark):
+    """Few concepts stand on all rows: rows find theirs without being dealt by it, also where concepts repeat or have no rate."""
+    docs = spark.createDataFrame([("p", "a", f"d{i}", w, 1000.0) for i, w in enumerate(("shipping fee", "commission", "odd", None))], "period string, payer string, doc string, description string, total double")
+    concepts = spark.createDataFrame([("Shipping Fee", "z", 0.1), ("Shipping Fee", "y", 0.1), ("Shipping Fee", "x", 0.05), ("Commission", "c", None), (None, "n", 0.5), ("Other", "o", 0.5)], "concept string, code string, rate double")
+    out = audits.withholding(docs, concepts, 1)
+    assert sorted((r["doc"], r["code"], r["rate"]) for r in out.collect()) == [("d0", "y", 0.1), ("d1", None, None), ("d2", None, None), ("d3", None, None)]
+    # documents meet their payers and their codes, rows meet no concepts
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+    none = audits.withholding(docs, concepts.limit(0), 1)
+    assert sorted((r["doc"], r["code"], r["total"]) for r in none.collect()) == [(f"d{i}", None, 1000.0) for i in range(4)]
