@@ -124,3 +124,18 @@ def test_collection_and_settlement(spark):
     assert sorted((r["type"], round(r["payable"], 6)) for r in settled.collect()) == [("Egreso", -81.1), ("Ingreso", 81.1)]
     totals = {r["label"]: r["total"] for r in S.settlement_totals(payments, collected, settled).collect()}
     assert totals == {"payable": 100.0, "settled_in": 100.0, "collected_in": 100.0, "collected_out": -100.0, "settled_out": -100.0}
+
+
+def test_rules_looked_up_a_few_at_a_time(spark, sales, monkeypatch):
+    """On a large table the rules meet in joins of their own; what comes out is the same, and nothing shuffled for them stays."""
+    from plazaworks.operators import joins
+
+    rows = [("a", "5000000001", "10000000011", "10000001", None, None, None, None, D(-100)), ("b", "x", "x", "x", "1", "1", "3", DAY, D(-1)), ("c", "5000000001", "?", "?", None, None, None, None, D(-50))]
+    rows += [("d", "5123456xxx", "?", "10000004", None, None, None, None, D(-1)), ("e", None, None, None, None, None, None, None, None), ("e", None, None, None, None, None, None, None, None)]
+    refunds = spark.createDataFrame(rows, REFUNDS)
+    once = sorted(map(str, S.repair_refunds(refunds, sales).collect()))
+    stored, store = [], joins.store
+    monkeypatch.setattr(joins, "ROWS_AT_ONCE", 1)
+    monkeypatch.setattr(joins, "store", lambda df: stored.append(store(df)) or stored[-1])
+    assert sorted(map(str, S.repair_refunds(refunds, sales).collect())) == once
+    assert len(stored) == 3
