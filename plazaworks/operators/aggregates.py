@@ -61,8 +61,11 @@ def value_counts(df: DataFrame, c: str) -> DataFrame:
 
 
 def control_totals(totals: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
-    """Check list: one labelled row per whole-table total."""
-    rows = [df.agg(agg.cast("double").alias("total")).select(F.lit(n).alias("label"), "total") for n, (df, agg) in totals.items()]
+    """Check list: one labelled row per whole-table total; a table with several totals is read once."""
+    tables: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for n, (df, agg) in totals.items():
+        tables.setdefault(id(df), (df, []))[1].append(F.struct(F.lit(n).alias("label"), agg.cast("double").alias("total")))
+    rows = [df.agg(F.array(*aggs).alias("_t")).select(F.inline("_t")) for df, aggs in tables.values()]
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 

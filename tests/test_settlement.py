@@ -139,3 +139,14 @@ def test_rules_looked_up_a_few_at_a_time(spark, sales, monkeypatch):
     monkeypatch.setattr(joins, "store", lambda df: stored.append(store(df)) or stored[-1])
     assert sorted(map(str, S.repair_refunds(refunds, sales).collect())) == once
     assert len(stored) == 3
+
+
+def test_totals_of_one_table_take_one_pass(spark):
+    from plazaworks.operators.aggregates import control_totals
+
+    a, b = spark.createDataFrame([(1,), (-2,), (None,)], "v int"), spark.createDataFrame([], "v int")
+    c = F.col("v")
+    out = control_totals({"all": (a, F.sum(c)), "none": (b, F.sum(c)), "in": (a, F.sum(F.when(c > 0, c))), "rows": (a, F.count(F.lit(1)))})
+    assert {r["label"]: r["total"] for r in out.collect()} == {"all": -1.0, "none": None, "in": 1.0, "rows": 3.0}
+    assert out.schema.simpleString() == "struct<label:string,total:double>"
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
