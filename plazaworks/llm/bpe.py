@@ -19,6 +19,8 @@ from .common import rows_of
 
 #: Words of which a task remembers the ids; when there are more it forgets them and starts anew.
 REMEMBERED = 1 << 18
+#: Largest code points of the texts that have a word pattern of their own: ASCII, two bytes, all.
+REACHES = (0x7F, 0xFFFF, sys.maxunicode)
 #: Rank of a pair that does not merge.
 NEVER = np.int32(2**31 - 1)
 
@@ -53,7 +55,7 @@ class Vocabulary(NamedTuple):
     alone: np.ndarray  # by rank: whether the merge can make pairs of a lower rank, so that only one is done in a round
     tokens: list[str | None]  # text of every id
     special: dict[str, int]  # texts that are one id wherever they stand
-    words: str  # pattern of a word
+    words: tuple[str, ...]  # pattern of a word in texts up to each of REACHES
 
 
 def byte_letters() -> list[str]:
@@ -63,20 +65,26 @@ def byte_letters() -> list[str]:
     return [chr(256 + hidden.index(b)) if b in set(hidden) else chr(b) for b in range(256)]
 
 
-def _class(kind: str, new: Sequence[tuple[int, int]]) -> str:
-    """Pattern of all code points of a general category, as ranges."""
-    found = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == kind]
-    found = np.array(sorted(found + [c for a, b in new for c in range(a, b + 1)]))
+def _class(kind: str, new: Sequence[tuple[int, int]], most: int) -> str:
+    """Pattern of all code points of a general category up to ``most``, as ranges."""
+    found = [c for c in range(most + 1) if unicodedata.category(chr(c))[0] == kind]
+    found = np.array(sorted(found + [c for a, b in new for c in range(a, min(b, most) + 1)]))
     cuts = np.flatnonzero(np.diff(found) > 1)
     ends = zip(found[np.append(0, cuts + 1)].tolist(), found[np.append(cuts, -1)].tolist(), strict=True)
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ends)
 
 
-@lru_cache(maxsize=1)
-def word_pattern() -> str:
-    """Contractions, runs of letters, single numbers, runs of other signs."""
-    letters, numbers = _class("L", NEW_LETTERS), _class("N", NEW_NUMBERS)
-    return f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{BLANKS}{letters}{numbers}]+"
+@lru_cache(maxsize=len(REACHES))
+def word_pattern(most: int = sys.maxunicode) -> str:
+    """Contractions, runs of letters, single numbers, runs of other signs, in texts of code points up to ``most``.
+
+    Contractions come after letters and numbers, with which none begins.  A
+    class of characters looks code points of two bytes up in a map and tries
+    its ranges beyond them one by one, at the end of every word; a pattern that
+    ends at two bytes has none to try.
+    """
+    letters, numbers = _class("L", NEW_LETTERS, most), _class("N", NEW_NUMBERS, most)
+    return f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{BLANKS}{letters}{numbers}]+"
 
 
 def read_vocabulary(path: str) -> Vocabulary:
@@ -106,7 +114,7 @@ def read_vocabulary(path: str) -> Vocabulary:
     np.minimum.at(lowest, left, rank)
     np.minimum.at(lowest, right, rank)
     first = np.array([[ids[c] for c in letters], [ids[c + end] for c in letters]], np.int32)
-    return Vocabulary(first, keys[order], rank[order].astype(np.int32), made, lowest[made] <= rank, tokens, special, word_pattern())
+    return Vocabulary(first, keys[order], rank[order].astype(np.int32), made, lowest[made] <= rank, tokens, special, tuple(map(word_pattern, REACHES)))
 
 
 def pair_ranks(left: np.ndarray, right: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
@@ -209,7 +217,8 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
         self.vocabulary, self.remembered = vocabulary, remembered
-        self.find = re.compile(vocabulary.words).findall
+        self.find = [re.compile(words).findall for words in vocabulary.words]
+        self.beyond = re.compile("[\U00010000-\U0010ffff]").search
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True)) + ")").split if vocabulary.special else None
         self.tokens = [(t or "").encode() for t in vocabulary.tokens]
         # word -> its ids as bytes, and its decoded text as decode() gives it
@@ -223,7 +232,8 @@ class Encoder:
             if n % 2:
                 out.append(part)
             elif part:
-                out += self.find(lower_case(composed(part)))
+                plain = lower_case(composed(part))
+                out += self.find[0 if plain.isascii() else 2 if self.beyond(plain) else 1](plain)
         return out
 
     def learn(self, words: Iterable[str]) -> None:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import sys
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -181,6 +182,18 @@ def test_encoding_odd_rows(spark, library):
     assert bpe.encode(docs.limit(0), VOCABULARY).count() == 0
 
 
+def test_word_patterns_by_reach_find_the_same_words(own):
+    """A text's words are found by the pattern of its largest code point, which tries no range beyond it."""
+    letters, numbers = (bpe._class(k, new, sys.maxunicode) for k, new in (("L", bpe.NEW_LETTERS), ("N", bpe.NEW_NUMBERS)))
+    want = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{bpe.BLANKS}{letters}{numbers}]+").findall
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for most, pattern in zip(bpe.REACHES, own.words, strict=True):
+        within = [c for c in points if ord(c) <= most]
+        for text in ["".join(within), " ".join(within), "a".join(within), "it's !'s 'll'd 're''ve I'm '5't x'"]:
+            assert re.findall(pattern, text) == want(text)
+        assert all(int(c, 16) <= most for c in re.findall(r"\\U([0-9a-f]{8})", pattern))
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
