@@ -6,6 +6,8 @@ edges); each (key, block) is its own window partition.  What earlier blocks
 contribute -- how many rows, which running total, which last value -- comes from
 one small aggregate per block and enters the block as an extra head row, so the
 result is the same as that of the uncut window.  The large side is shuffled once.
+Summaries of many short histories are as long as the table; positions are taken
+without them where no key can have more than ``SHORT`` rows.
 
 The block summaries of a key are rows in an order themselves, so they are cut
 into coarser blocks in the same way: no task sees all blocks of a long history.
@@ -23,6 +25,8 @@ HEAD, ROW, TAIL = 0, 1, 2
 FAN = 1024  # numbered blocks in a coarser block
 BLOCKS = 1024  # ranges between sampled edges; to be raised with the number of tasks of a cluster
 PER_EDGE = 8  # sampled rows for each edge
+SHORT = 1 << 18  # rows of a history that one task orders as it is
+BUCKETS = 1 << 16  # hashes of keys whose rows are counted to tell short histories
 
 
 class Sampled(NamedTuple):
@@ -96,6 +100,7 @@ def blocked_window(
     range_frame: bool = False,
     range_order: Sequence[str] | None = None,
     group_count: str | None = None,
+    short: int | None = None,
 ) -> DataFrame:
     """Add running columns over ``order`` (ascending) within ``keys``.
 
@@ -111,6 +116,9 @@ def blocked_window(
       where that is only the first part of ``order``)
     * ``group_count`` -- name of the number of rows of the whole key
     * ``previous`` / ``following`` -- name -> column read from the neighbour row
+
+    With ``short`` only keys that may have more rows than that are cut, so that
+    a table of many short histories has no block summaries at all.
     """
     sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
     columns = df.columns
@@ -120,10 +128,24 @@ def blocked_window(
     totals = {n: f"_v_{n}" for n in sums} | ({row_number: f"_c_{row_number}"} if row_number else {})
     whole = {group_count: f"_c_{group_count}"} if group_count else {}
     ties = (range_order or order) if range_frame else None
+    if block is not None and short is not None and keys and not whole:
+        data = _with_long(data, keys, short)
     out = _running(data, keys, order, 0 if block is None else 2, totals, whole, previous, following, ties if sums else None, [*sums])
     return out.select(*[c for c in columns if c not in added], *added)
 
 
+def _with_long(df: DataFrame, keys: Sequence[str], short: int) -> DataFrame:
+    """``df`` with ``_long``: whether the key may have more than ``short`` rows. The blocks of other keys become one.
+
+    Rows are counted by a hash of the key, so the list of hashes that hold many
+    is bounded; a short key that shares one is cut like a long one.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    many = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > short)
+    out = df.withColumn("_bucket", bucket).join(F.broadcast(many.select("_bucket", F.lit(True).alias("_long"))), "_bucket", "left").drop("_bucket")
+    return out.withColumn("_block", F.when(F.col("_long"), F.col("_block")))
+
+
 def _running(df, keys, order, levels: int, totals, whole, previous, following, ties=None, tied=(), before=False) -> DataFrame:
     """``df`` with running totals (``totals``: name -> column), totals of the key (``whole``) and neighbours.
 
@@ -136,7 +158,9 @@ def _running(df, keys, order, levels: int, totals, whole, previous, following, t
         return df.withColumns(new | {n: F.sum(c).over(w) for n, c in whole.items()})
     carried = sorted({*previous.values(), *following.values()})
     by = F.struct(*order)
-    blocks = df.groupBy(*keys, F.col("_block").alias("_at")).agg(
+    if cut := "_long" in df.columns:
+        df, long = df.drop("_long"), df.where("_long")
+    blocks = (long if cut else df).groupBy(*keys, F.col("_block").alias("_at")).agg(
         *[F.sum(c).alias(c) for c in sorted({*totals.values(), *whole.values()})],
         *([F.min_by(F.struct(*carried), by).alias("_first"), F.max_by(F.struct(*carried), by).alias("_last")] if carried else []),
     )
@@ -203,7 +227,7 @@ def diff_prev(df, keys, order, value, name, block=None) -> DataFrame:
 
 def with_sequence(df, keys, order, name="n", block=None) -> DataFrame:
     """Position of each row within its key."""
-    return blocked_window(df, keys, order, block, row_number=name)
+    return blocked_window(df, keys, order, block, row_number=name, short=SHORT)
 
 
 def first_last_flags(df, keys, order, block=None, first="is_first", last="is_last") -> DataFrame:

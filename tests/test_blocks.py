@@ -127,3 +127,22 @@ def test_lists_are_cut_into_pages(spark):
     assert pages.pop(("one", 0)) == (1, 1, ["x"]) and pages.pop((None, 0)) == (1, 1, ["y"])
     assert len(pages) == 10 and [v for i in range(10) for v in pages["hot", i][2]] == [f"v{i:04d}" for i in range(950)]
     assert all(p[:2] == (10, 950) and len(p[2]) <= 100 for p in pages.values())
+
+
+def test_short_histories_have_no_block_summaries(spark, monkeypatch):
+    """Positions of keys with few rows need no summaries of their blocks; long keys beside them are cut as before."""
+    rows = [(k, None if i % 7 == 3 else (i * 37) % 101, i) for k, n in ((None, 9), ("a", 60), ("b", 2), ("c", 1), ("d", 25)) for i in range(n)]
+    history = spark.createDataFrame(rows, "key string, at int, id int")
+    want = set()
+    for key in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        want |= {(*r, n) for n, r in enumerate(mine, 1)}
+    summaries = {}
+    for short in (1, 20, 1000):
+        monkeypatch.setattr(W, "SHORT", short)
+        for name, block in (("numbers", F.floor(F.col("at") / 10)), ("sampled", W.Sampled(["key", "at", "id"], 8))):
+            out = W.with_sequence(history, ["key"], ["at", "id"], "n", block)
+            got = out.collect()
+            assert len(got) == len(rows) and {tuple(r) for r in got} == want
+            summaries[short, name] = "Union" in out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert summaries[20, "numbers"] and not summaries[1000, "numbers"] and not summaries[1000, "sampled"]

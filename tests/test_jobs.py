@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plazaworks import vocab
 from plazaworks.ml import features as X
 from plazaworks.ml import models as M
-from plazaworks.plans import appeals, audits, backlog, balance, catalog, orders, settlement, sizes
+from plazaworks.plans import appeals, audits, backlog, balance, catalog, orders, settlement, sizes, transport
 from plazaworks.plans.landing import clean_landed
 
 
@@ -202,3 +202,29 @@ def test_withholding_does_not_deal_rows_by_concept(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
     none = audits.withholding(docs, concepts.limit(0), 1)
     assert sorted((r["doc"], r["code"], r["total"]) for r in none.collect()) == [(f"d{i}", None, 1000.0) for i in range(4)]
+
+
+def unions(df):
+    """Unions left in the plan of a frame that has run."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Union")
+
+
+def test_requests_take_lines_without_block_summaries(spark):
+    """Ids far apart, each a block of its own: no summaries of them beside the requests."""
+    asked = [(i * 10**9, o, "s", g) for i, (o, g) in enumerate([(1, "g"), (1, "g"), (1, "h"), (2, "g"), (3, "g"), (None, "g")])]
+    lines = [(1, "s", 5), (1, "s", 4 * 10**9), (2, "s", 6), (None, "s", 7)]
+    out = audits.with_line(spark.createDataFrame(asked, "request_id long, order_id long, sku string, group string"), spark.createDataFrame(lines, "order_id long, sku string, line_id long"))
+    assert sorted((r["request_id"] // 10**9, r["position"], r["line_id"]) for r in out.collect()) == [(0, 1, 5), (1, 2, 4 * 10**9), (2, 1, 5), (3, 1, 6), (4, 1, None), (5, 1, None)]
+    assert unions(out) == 0
+
+
+def test_tickets_of_short_orders_need_no_block_summaries(spark):
+    """Only the plan and the unplanned arrivals are stacked; their months are not."""
+    at = [datetime(2024, m, 1) for m in (1, 2, 3)]
+    planned = spark.createDataFrame([(1, "DEV1", "st", "r", "-", at[0]), (1, "2", "st", "r", "-", at[1]), (2, "3", "st", "r", "-", None)], "order_id long, guide string, state string, reason string, condition string, planned_at timestamp")
+    unplanned = spark.createDataFrame([(1, "RET4", at[2])], "order_id long, guide string, registered_at timestamp")
+    tickets = spark.createDataFrame([(1, 12, at[2], None), (1, 11, at[0], None), (2, 13, None, None)], "order_id long, case_id long, ticket_at timestamp, closed_at timestamp")
+    out = transport.transport_plan(planned, unplanned, tickets, spark.createDataFrame([(1, 9)], "order_id long, seller_id long"))
+    got = sorted((r["guide"], r["position"], r["case_id"], r["seller_id"], r["flow"]) for r in out.collect())
+    assert got == [("2", 2, 12, 9, "Recoleccion"), ("3", 1, 13, None, "Recoleccion"), ("DEV1", 1, 11, 9, "IL"), ("RET4", 1, 11, 9, "IL")]
+    assert unions(out) == 1
