@@ -175,7 +175,7 @@ def refund_lines(refunds: DataFrame, sold: DataFrame, first_day: str | None = No
     if last_day is not None:
         week = week.where(c("sold_on") <= F.lit(last_day).cast("date"))
     one = drop_duplicates_ordered(week, LINE, [F.asc("sold_on"), F.asc("seller"), F.asc("amount")])
-    return attach(cap_refund(one, sold), sold.groupBy(*LINE).agg(F.min("sold_on").alias("bought_on")), LINE)
+    return cap_refund(one, sold, bought_on=F.min("sold_on"))
 
 
 def collected_lines(income: DataFrame, outflow: DataFrame, history: DataFrame) -> DataFrame:
@@ -189,9 +189,11 @@ def collected_lines(income: DataFrame, outflow: DataFrame, history: DataFrame) -
     """
     rows = income.unionByName(outflow.where(F.col("bought_on").isNotNull())).where(F.col("folio").isNotNull())
     order = [F.asc("sold_on"), F.asc("folio"), F.asc("total"), F.asc("seller")]
-    rows = drop_duplicates_ordered(rows, [*LINE, "total"], order)
-    fresh = new_rows(rows, history, ["order_no", "sku", "total"])
-    return one_per_direction(fresh, history, order)
+    # What is known of a direction is known of each of its amounts, and its first line is the first of its repeats: the
+    # step that leaves least goes first, and deals the rows so that the repeats of a line need not be dealt again.
+    kept = one_per_direction(rows, history, order)
+    kept = drop_duplicates_ordered(kept, [*LINE, "type", "total"], order)
+    return new_rows(kept, history, ["order_no", "sku", "total"])
 
 
 def discounts(collected: DataFrame, commissions: DataFrame, sizes: DataFrame, tariffs, exempt: Column | None = None) -> DataFrame:
@@ -218,8 +220,10 @@ def settled_lines(payments: DataFrame, refunded: DataFrame) -> DataFrame:
     c = F.col
     cols = [*LINE, "seller", "sold_on", "total", "commission", "shipping"]
     order = [F.asc("sold_on"), F.asc("folio"), F.asc("total"), F.asc("seller")]
-    kept = priority_dedup([payments.select(*cols), refunded.select(*cols)], ["order_no", "sku", "total"], order, "_prio")
-    kept = drop_duplicates_ordered(kept.withColumn("type", sign_type("total")), ["order_no", "sku", "type"], [F.asc("_prio"), *order]).drop("_prio")
+    # rows of an amount have one direction: once dealt by it, the repeats of an amount need not be dealt again
+    sources = [df.select(*cols).withColumn("type", sign_type("total")) for df in (payments, refunded)]
+    kept = priority_dedup(sources, ["order_no", "sku", "type"], order, "_prio")
+    kept = drop_duplicates_ordered(kept, ["order_no", "sku", "type", "total"], [F.asc("_prio"), *order]).drop("_prio")
     return kept.withColumn("payable", c("total") - F.coalesce("commission", F.lit(0)) - c("shipping"))
 
 
@@ -367,13 +371,14 @@ def reconcile_sources(a: DataFrame, b: DataFrame, keys: Sequence[str], amount: s
     return reconcile(a, b, keys, amount, tolerance)
 
 
-def cap_refund(refunds: DataFrame, sold: DataFrame) -> DataFrame:
+def cap_refund(refunds: DataFrame, sold: DataFrame, **also: Column) -> DataFrame:
     """Refund held within the sale and rounded to whole units.
 
-    refunds: LINE, amount (negative); sold: LINE, total, unit_price.
+    refunds: LINE, amount (negative); sold: LINE, total, unit_price.  ``also``
+    names aggregates of the line's sales that come with it.
     """
     c = F.col
-    side = sold.groupBy(*LINE).agg(F.max("total").alias("_t"), F.max("unit_price").alias("_u"))
+    side = sold.groupBy(*LINE).agg(F.max("total").alias("_t"), F.max("unit_price").alias("_u"), *[a.alias(n) for n, a in also.items()])
     out = attach(refunds, side, LINE)
     amount = F.when(-c("amount") > c("_t"), -c("_t")).otherwise(c("amount"))
     out = out.withColumn("amount", amount).withColumn("_u", F.abs(F.coalesce("_u", "amount")))

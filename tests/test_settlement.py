@@ -1,6 +1,8 @@
 """Refunds led back to their sale, and the refund side of a settlement, on hand-written rows."""
 
 import datetime as dt
+import random
+from collections import Counter
 from decimal import Decimal as D
 
 import pytest
@@ -8,6 +10,8 @@ from pyspark.sql import functions as F
 
 from plazaworks import vocab
 from plazaworks.operators.joins import first_unique_match
+from plazaworks.operators.keys import drop_duplicates_ordered, priority_dedup
+from plazaworks.operators.setops import new_rows
 from plazaworks.plans import settlement as S
 
 DAY = dt.date(1997, 5, 6)
@@ -150,3 +154,48 @@ def test_totals_of_one_table_take_one_pass(spark):
     assert {r["label"]: r["total"] for r in out.collect()} == {"all": -1.0, "none": None, "in": 1.0, "rows": 3.0}
     assert out.schema.simpleString() == "struct<label:string,total:double>"
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def odd_lines(spark, seed):
+    """Lines whose parts repeat or are missing, some twice."""
+    rng = random.Random(seed)
+    pick = lambda *some: rng.choice(some)
+    rows = [(pick("a", "b", None), pick("1", "2", None), pick("s", "t", None), pick("x", "y", None), pick(DAY, dt.date(1998, 1, 1), None), pick(D(5), D(-5), D(3), D(-1), D(0), None)) for _ in range(60)]
+    rows = [(*r[:5], r[4], r[5]) for r in rows + rows[:9]]
+    return spark.createDataFrame(rows, LINE.replace("total double", "total decimal(18,2)"))
+
+
+def counted(df, cols):
+    return Counter(tuple(r) for r in df.select(*cols).collect())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_order_of_the_steps_of_a_settlement(spark, seed):
+    """The strictest step may go first: what stays is what stays when the lines' repeats are dropped first."""
+    income, outflow, kept = (odd_lines(spark, 10 * seed + i) for i in range(3))
+    history = kept.where("folio = '1' and seller = 'x'").select("order_no", "sku", "total")
+    order = [F.asc("sold_on"), F.asc("folio"), F.asc("total"), F.asc("seller")]
+    cols = ["order_no", "folio", "sku", "seller", "sold_on", "bought_on", "total", "type"]
+    rows = income.unionByName(outflow.where("bought_on is not null")).where("folio is not null")
+    fresh = new_rows(drop_duplicates_ordered(rows, [*S.LINE, "total"], order), history, ["order_no", "sku", "total"])
+    collected = S.collected_lines(income, outflow, history)
+    assert counted(collected, cols) == counted(S.one_per_direction(fresh, history, order), cols) and collected.count()
+    payments, refunded = (df.withColumns({"commission": F.length("seller") * 0.5, "shipping": F.lit(float(n))}) for n, df in enumerate((income, outflow)))
+    taken = [*S.LINE, "seller", "sold_on", "total", "commission", "shipping"]
+    one = priority_dedup([payments.select(*taken), refunded.select(*taken)], ["order_no", "sku", "total"], order, "_prio").withColumn("type", S.sign_type("total"))
+    want = drop_duplicates_ordered(one, ["order_no", "sku", "type"], [F.asc("_prio"), *order])
+    settled = S.settled_lines(payments, refunded)
+    assert counted(settled, [*taken, "type"]) == counted(want, [*taken, "type"])
+    assert exchanges(settled) == 1 and exchanges(collected) == 3
+
+
+def test_sales_are_summed_up_once_for_their_refunds(spark):
+    """Amounts and day of purchase come from one aggregate of the sales."""
+    sold = spark.createDataFrame([("o", "f", "s", dt.date(1998, 1, 2), 9.0, 9.0), ("o", "f", "s", DAY, 8.0, 4.0)], "order_no string, folio string, sku string, sold_on date, total double, unit_price double")
+    out = S.refund_lines(spark.createDataFrame([("o", "f", "s", "x", DAY, -20.0)], "order_no string, folio string, sku string, seller string, sold_on date, amount double"), sold)
+    assert [(r["bought_on"], r["amount"], r["quantity"]) for r in out.collect()] == [(DAY, -9.0, 1)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
