@@ -8,11 +8,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.windows import BLOCKS, Sampled, blocked_window
 from ..session import cut_lineage, spread
+from .descent import Passes, descend
 from .features import scaled
 
 
@@ -75,28 +77,30 @@ def fit_early_stopping(
     over ``train``.  Learning ends after ``epochs`` passes, or when ``patience``
     rounds in a row were not better than the best by more than ``min_delta``;
     the weights of the best round are returned.  Without validation rows all
-    rounds run and the last one stays.  Weights and losses are all that reaches
-    the driver.  Rows are dealt to tasks by their number, so a pass takes more
-    tasks on a larger table.
+    rounds run and the last one stays.  Weights, gradients and losses are all
+    that reaches the driver.  Rows are dealt to tasks by their number, so a pass
+    takes more tasks on a larger table; the passes are Spark's optimiser over
+    blocks of rows (:mod:`.descent`), and the model is Spark's.
     """
     *before, network = mlp_classifier(features, label, classes, hidden, epochs).getStages()
     prepared = Pipeline(stages=before).fit(train)
     ready = lambda df: cut_lineage(spread(prepared.transform(df).select("label_index", "features")))
     rows, held = ready(train), ready(valid)
-    best, best_loss, weights, worse, history = None, float("inf"), None, 0, []
+    one = cut_lineage(rows.limit(1))  # with no pass to run, a fit only makes the model
+    made = lambda **p: network.copy({getattr(network, n): v for n, v in {"maxIter": 0, **p}.items()}).fit(one)
+    passes = Passes(rows, network.getLayers(), network.getBlockSize())
+    now = passes(made().weights.toArray())
+    best, best_loss, worse, history = None, float("inf"), 0, []
     for done in range(step, epochs + step, step):
-        stage = network.copy({network.maxIter: min(step, epochs - done + step)})
-        if weights is not None:
-            stage.setInitialWeights(weights)
-        model = stage.fit(rows)
-        weights = model.weights
+        now = descend(passes, now, min(step, epochs - done + step), network.getTol())
+        model = made(initialWeights=DenseVector(now.weights))
         loss = log_loss(model, held)
         better = best is None or loss < best_loss - min_delta or loss == float("inf")
         if better:
             best, best_loss, worse = model, loss, 0
         else:
             worse += 1
-        history.append((min(done, epochs), float(log_loss(model, rows)), float(loss)))
+        history.append((min(done, epochs), now.log_loss, float(loss)))
         if worse >= patience:
             break
     kept = min((loss, i) for i, (_, _, loss) in enumerate(history))[1] if best_loss < float("inf") else len(history) - 1

@@ -65,6 +65,49 @@ def test_rounds_go_on_from_each_other(spark):
     assert h[0]["train_loss"] > h[1]["train_loss"] > h[2]["train_loss"]
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_passes_are_those_of_sparks_optimiser(spark, parts):
+    """The weights and the loss after some iterations are what Spark's own fit gives, over full and other blocks; no pass is run twice."""
+    from plazaworks.ml.descent import Passes, descend
+
+    rng = np.random.default_rng(2)
+    rows = [(float(a), float(b), str(int(a * b > 0) + int(a > 1))) for a, b in rng.normal(size=(700, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, label string").coalesce(parts)
+    *before, network = M.mlp_classifier(["a", "b"], "label", 3, (12, 6)).getStages()
+    data = M.Pipeline(stages=before).fit(df).transform(df).select("label_index", "features")
+    passes, asked = Passes(data, network.getLayers(), network.getBlockSize()), []
+    seen = lambda w: asked.append(w) or passes(w)
+    start = passes(network.copy({network.maxIter: 0}).fit(data).weights.toArray())
+    for most in (2, 12):
+        model, now = network.copy({network.maxIter: most}).fit(data), descend(seen, start, most, network.getTol())
+        assert now.weights == pytest.approx(model.weights.toArray(), abs=1e-9)
+        assert now.log_loss == pytest.approx(M.log_loss(model, data), abs=1e-9)
+        assert now.value == pytest.approx(model.summary().objectiveHistory[-1], abs=1e-9)
+    assert not any((w == start.weights).all() for w in asked)
+
+
+def test_a_descent_that_finds_no_step_stays(spark):
+    from plazaworks.ml.descent import Point, descend
+
+    wrong = lambda w: Point(w, float(w @ w), -2 * w, 0.0)  # noqa: E731  # the gradient points the other way
+    start = wrong(np.array([1.0, 2.0]))
+    assert descend(wrong, start, 5, 1e-6) is start
+    right = lambda w: Point(w, float(w @ w), 2 * w, 0.0)
+    assert descend(right, right(np.array([1.0, 2.0])), 20, 1e-6).value < 1e-6
+
+
+def test_a_network_learns_without_sparks_passes(spark, monkeypatch):
+    """The table is gone over once for each loss and gradient; Spark's row-by-row passes see one row only."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    seen, fit = [], MultilayerPerceptronClassifier._fit
+    monkeypatch.setattr(MultilayerPerceptronClassifier, "_fit", lambda self, rows: seen.append((self.getMaxIter(), rows.count())) or fit(self, rows))
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(float(a), float(b), str(int(a * b > 0))) for a, b in rng.normal(size=(150, 2))], "a double, b double, label string")
+    M.fit_early_stopping(df, df, ["a", "b"], "label", 2, hidden=(4,), epochs=4)
+    assert seen and set(seen) == {(0, 1)}
+
+
 def test_tfidf_against_brute_force(spark, folder):
     import math
     import re
