@@ -199,3 +199,60 @@ def test_sales_are_summed_up_once_for_their_refunds(spark):
     out = S.refund_lines(spark.createDataFrame([("o", "f", "s", "x", DAY, -20.0)], "order_no string, folio string, sku string, seller string, sold_on date, amount double"), sold)
     assert [(r["bought_on"], r["amount"], r["quantity"]) for r in out.collect()] == [(DAY, -9.0, 1)]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+
+
+def test_large_tables_go_by_rules_and_slices(spark, sales, monkeypatch, tmp_path):
+    """One rule's rows are shuffled at a time, refunds are held by slices of their lines, and of the stored steps only the result stays; rows are as in one piece."""
+    from plazaworks import session
+    from plazaworks.operators import joins
+
+    rows = [(str(i), "5000000001", "10000000011", "10000001", None, None, None, None, D(a)) for i, a in enumerate((-50, -100, -100, -70, -170, -150))]
+    rows += [(f"x{i}", "x", "x", "x", "1", "1", "3", DAY, D(-1)) for i in range(3)] + [("p", "5123456xxx", "?", "10000004", None, None, None, None, D(-1))]
+    rows += [("n", None, None, None, None, None, None, None, None)] * 2 + [("e", "", None, "10000001", None, None, None, None, D(-9)), ("e", None, "", "10000001", None, None, None, None, D(-9))]
+    rows += [("w", "w", "w", "w", None, None, None, None, D(-i % 3 - 1)) for i in range(6)]
+    refunds = spark.createDataFrame(rows, REFUNDS)
+    repaired = sorted(map(str, S.repair_refunds(refunds, sales).collect()))
+    held = sorted(map(str, S.held_refunds(S.repair_refunds(refunds, sales), sales).collect()))
+    monkeypatch.setattr(joins, "ROWS_AT_ONCE", 1)
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / str(len(list(tmp_path.iterdir())) + random.random())))
+    pieces, store = [], joins.store
+    monkeypatch.setattr(joins, "store", lambda some: pieces.append(some := list(some)) or store(some))
+    large = S.repair_refunds(refunds, sales, rows=5)
+    assert [len(p) for p in pieces] == [5, 5, 3]  # thirteen rules, each made and stored by itself
+    assert len(list(tmp_path.iterdir())) == session.SLICES
+    assert sorted(map(str, large.collect())) == repaired
+    assert sorted(map(str, S.held_refunds(large, sales, rows=5).collect())) == held
+    assert len(list(tmp_path.iterdir())) == 2 * session.SLICES
+
+
+def test_keys_of_any_columns_on_large_tables(spark, monkeypatch):
+    """Without a list of the columns that keys follow from, rows are told apart by their keys, nulls from empty texts."""
+    from plazaworks.operators import joins
+
+    left = spark.createDataFrame([("", None, 1), (None, "", 2), (None, None, 3), ("", "", 4), ("", "", 4), ("k", "q", 5)], "a string, b string, n int")
+    right = spark.createDataFrame([("", "", 1), ("k", "r", 2), ("k", "r", 2), ("k", "s", 3), ("m", "q", 4)], "a string, b string, v int")
+    rules = [([F.col("a"), F.col("b")], [F.col("a"), F.col("b")]), ([F.col("a2")], [F.col("a")]), ([F.col("b")], [F.col("b")])]
+    find = lambda: sorted(map(str, first_unique_match(left, right, rules, "v", made={"a2": F.col("a")}).collect()))
+    small = find()
+    assert "Row(a='k', b='q', n=5, rule=3, v=4)" in small or "Row(a='k', b='q', n=5, v=4, rule=3)" in small
+    monkeypatch.setattr(joins, "ROWS_AT_ONCE", 1)
+    monkeypatch.setattr(joins, "RULES_AT_ONCE", 2)
+    assert find() == small
+
+
+def test_filters_stay_above_the_keys(spark, sales, monkeypatch):
+    """No filter of the large joins works the keys or row marks out once more."""
+    from plazaworks.operators import joins
+
+    plans, store = [], joins.store
+
+    def keep(some):
+        some = list(some)
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in some)
+        return store(some)
+
+    monkeypatch.setattr(joins, "ROWS_AT_ONCE", 1)
+    monkeypatch.setattr(joins, "store", keep)
+    S.repair_refunds(spark.createDataFrame([("r", "x", "y", "z", None, None, None, None, D(-1))], REFUNDS), sales, rows=5)
+    assert len(plans) == 13
+    assert not any("xxhash64" in line for p in plans for line in p.splitlines() if line.lstrip(" +-:").startswith("Filter"))
